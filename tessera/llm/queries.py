@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe
+from tessera.llm import bpe, quality, secrets, warc
 
 
 def tokenizer(name: str) -> str:
@@ -28,8 +28,23 @@ def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.documents_round_trip(spark, table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.document_secrets(table(spark, sf_dir, "documents"))
+
+
+def op5_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.pages_round_trip(table(spark, sf_dir, "pages")).drop("url")
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.verdicts(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
+    "op3_secret_scan": op3_secret_scan,
+    "op5_warc_round_trip": op5_warc_round_trip,
+    "op7_quality_rules": op7_quality_rules,
 }
 
 #: DuckDB SQL for the queries that SQL can express on whole tables.
