@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, quality, secrets, warc
+from tessera.llm import bpe, decontaminate, quality, secrets, token_counts, toxicity, warc
 
 
 def tokenizer(name: str) -> str:
@@ -32,19 +32,34 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.document_secrets(table(spark, sf_dir, "documents"))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.document_counts(table(spark, sf_dir, "documents"), bpe.read_spec(tokenizer("byte_bpe_50k.json")))
+
+
 def op5_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.pages_round_trip(table(spark, sf_dir, "pages")).drop("url")
 
 
+def op6_benchmark_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.document_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op3_secret_scan": op3_secret_scan,
+    "op4_token_counts": op4_token_counts,
     "op5_warc_round_trip": op5_warc_round_trip,
+    "op6_benchmark_matches": op6_benchmark_matches,
     "op7_quality_rules": op7_quality_rules,
+    "op8_toxicity": op8_toxicity,
 }
 
 #: DuckDB SQL for the queries that SQL can express on whole tables.
