@@ -34,6 +34,8 @@ from pyspark.sql import types as T
 MEMO_WORDS = 400_000
 #: Leaves up to which the trees of many words share an array, and cells of such an array.
 SHARED_LEAVES, SHARED_CELLS = 256, 1 << 20
+#: Pieces below which sharing an array is not worth its set-up.
+FEW = 48
 _NONE = np.iinfo(np.int64).max
 #: Control characters that Python's split() takes for white space and the pattern's \s does not.
 _NOT_SPACE = regex.compile("[\x1c-\x1f]")
@@ -195,7 +197,7 @@ class Bpe:
         lengths = np.array([len(p) for p in pieces], np.int64)
         done = lengths == 0
         leaves = 2
-        while leaves <= SHARED_LEAVES and not done.all():
+        while leaves <= SHARED_LEAVES and len(pieces) >= FEW and not done.all():
             which = np.flatnonzero(~done & (lengths <= leaves))
             done[which] = True
             step = max(1, SHARED_CELLS // leaves)

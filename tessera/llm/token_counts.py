@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm.bpe import Bpe, load
+from tessera.llm.words import chunks, text_buffer
 
 #: Pre-tokens before an edit that are cut again; the pattern looks ahead less far than two of them.
 BOUNDARY = 4
@@ -38,10 +39,9 @@ RESULT = "n_pretokens long, n_tokens long, n_tokens_after long, n_chars_after lo
 class TokenTree:
     """Token counts of one text that is being edited."""
 
-    def __init__(self, bpe: Bpe, text: str):
+    def __init__(self, bpe: Bpe, pieces: list[str]):
         self.bpe = bpe
         self.reencoded = 0
-        pieces = bpe.pattern.findall(text)
         self.leaves: list[list[str]] = [[p] for p in pieces] or [[]]
         self.width = w = 1 << max(0, len(self.leaves) - 1).bit_length()
         self.chars, self.tokens = [0] * (2 * w), [0] * (2 * w)
@@ -165,13 +165,18 @@ def counts(docs: DataFrame, spec: str, edits: str = "edits", key: str = "doc_id"
         bpe = load(shared.value)
         for batch in batches:
             out: list[tuple] = []
-            for t, es in zip(batch.column("__text"), batch.column("__edits"), strict=True):
-                tree = TokenTree(bpe, bpe.normal(t.as_py() or ""))
-                before = (sum(map(len, tree.leaves)), tree.n_tokens)
-                for e in es.as_py() or ():
-                    if e is not None:
-                        tree.edit(e["at"] or 0, e["removed"] or 0, e["inserted"] or "")
-                out.append((*before, tree.n_tokens, tree.n_chars, tree.reencoded))
+            _, offsets = text_buffer(batch.column("__text"))
+            for lo, hi in chunks(offsets):
+                cut = [bpe.pattern.findall(bpe.normal(t.as_py() or "")) for t in batch.column("__text")[lo:hi]]
+                if new := set().union(*cut).difference(bpe.memo):
+                    bpe.learn(new)  # together: the trees of many pre-tokens share an array
+                for pieces, es in zip(cut, batch.column("__edits")[lo:hi], strict=True):
+                    tree = TokenTree(bpe, pieces)
+                    before = (len(pieces), tree.n_tokens)
+                    for e in es.as_py() or ():
+                        if e is not None:
+                            tree.edit(e["at"] or 0, e["removed"] or 0, e["inserted"] or "")
+                    out.append((*before, tree.n_tokens, tree.n_chars, tree.reencoded))
             cols = [pa.array([r[j] for r in out], pa.int64()) for j in range(5)]
             yield pa.RecordBatch.from_arrays([batch.column("__key"), *cols], names=["__key", "n_pretokens", "n_tokens", "n_tokens_after", "n_chars_after", "n_reencoded"])
 

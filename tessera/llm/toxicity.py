@@ -10,6 +10,11 @@ toxic documents fall into as many equal parts as there are grades above 0 by how
 many of their words are marked. The regression then learns the grades from the
 presence of the words that tell the labels apart most.
 
+Candidate words are chosen one after the other: the word that tells the labels
+apart most, then the one that does so among the documents it is not in, and so
+on. So a word that a few copies of one toxic document share has no place once
+that document is explained.
+
 It is fitted on at most FIT_ROWS labelled documents, those with the least hash
 of their id; fitting is the only step that is bounded, and every document is
 scored from its whole text. Words are lower-cased in A-Z, without the signs
@@ -35,9 +40,9 @@ from tessera.llm.shared import materialize
 
 GRADES = 4
 FIT_ROWS = 20_000
-#: Words in the model, and the documents and the z score that a word needs.
-FEATURES, LEAST_DOCS, LEAST_Z = 4096, 5, 6.0
-RIDGE, STEPS, RATE = 1e-3, 600, 0.1
+#: Candidate words, the z score that a candidate needs, and the documents and the z score that a chosen word needs.
+FEATURES, CANDIDATE_Z, LEAST_DOCS, LEAST_Z = 16_384, 3.0, 5, 6.0
+RIDGE, STEPS, RATE = 1e-6, 1500, 0.05
 _EDGE = np.zeros(256, dtype=bool)
 _EDGE[[b for b in range(0x21, 0x7F) if not chr(b).isalnum()]] = True
 
@@ -75,7 +80,7 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFram
 
 
 def features(rows: DataFrame, limit: int = FEATURES) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words that tell the labels apart most, sorted, and their z scores."""
+    """Hashes of the words that stand out most in toxic documents, sorted, and their z scores."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got = [np.frombuffer(h.as_py(), np.uint64) for h in batch.column("hashes")]
@@ -94,7 +99,7 @@ def features(rows: DataFrame, limit: int = FEATURES) -> tuple[np.ndarray, np.nda
     counts = rows.mapInArrow(run, "hash long, bad long, good long").groupBy("hash").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     rate = (F.col("bad") + F.col("good")) / F.lit(float(bad + good))
     z = (F.col("bad") / F.lit(float(bad)) - F.col("good") / F.lit(float(good))) / F.sqrt(F.greatest(rate * (1 - rate), F.lit(1e-12)) * F.lit(1 / bad + 1 / good))
-    top = counts.filter(F.col("bad") + F.col("good") >= LEAST_DOCS).withColumn("z", z).filter(F.abs("z") >= LEAST_Z).orderBy(F.abs("z").desc(), "hash").limit(limit).collect()
+    top = counts.filter(F.col("bad") + F.col("good") >= LEAST_DOCS).withColumn("z", z).filter(F.col("z") >= CANDIDATE_Z).orderBy(F.col("z").desc(), "hash").limit(limit).collect()
     hashes = np.array([r["hash"] for r in top], np.int64).view(np.uint64)
     order = np.argsort(hashes)
     return hashes[order], np.array([r["z"] for r in top])[order]
@@ -118,6 +123,30 @@ def grades(toxic: np.ndarray, density: np.ndarray, levels: int = GRADES) -> np.n
     return out
 
 
+def select(rows: list[np.ndarray], toxic: np.ndarray, n_features: int) -> np.ndarray:
+    """Candidates in the order in which each tells toxic from other documents best, among documents without those before it."""
+    flat = np.concatenate(rows) if rows else np.zeros(0, np.int64)
+    owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    left = np.ones(len(rows), bool)
+    chosen: list[int] = []
+    while True:
+        bad, good = int((left & toxic).sum()), int((left & ~toxic).sum())
+        if not bad or not good:
+            break
+        open_ = left[owner]
+        a = np.bincount(flat[open_ & toxic[owner]], minlength=n_features)
+        b = np.bincount(flat[open_ & ~toxic[owner]], minlength=n_features)
+        rate = (a + b) / (bad + good)
+        z = (a / bad - b / good) / np.sqrt(np.maximum(rate * (1 - rate), 1e-12) * (1 / bad + 1 / good))
+        z[a + b < LEAST_DOCS] = 0
+        best = int(np.argmax(z))
+        if z[best] < LEAST_Z:
+            break
+        chosen.append(best)
+        left[owner[flat == best]] = False
+    return np.array(sorted(chosen), np.int64)
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
@@ -158,28 +187,38 @@ def fit(rows: list[np.ndarray], y: np.ndarray, n_features: int, levels: int = GR
 def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Feature hashes, their weights, and the thresholds (none where the labels are of one kind)."""
     taken = sample(docs, labels, rows)
-    hashes, z = features(taken)
+    nothing = np.zeros(0, np.uint64), np.zeros(0), np.zeros(0)
+    hashes, _ = features(taken)
     if not len(hashes):
-        return hashes, z, np.zeros(0)
-    marked = hashes[z > 0]
-    shared = docs.sparkSession.sparkContext.broadcast((hashes, marked))
+        return nothing
+    shared = docs.sparkSession.sparkContext.broadcast(hashes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        every, bad = shared.value
         for batch in batches:
-            present, density = [], []
+            present, often, total = [], [], []
             for h, n in zip(batch.column("hashes"), batch.column("counts"), strict=True):
                 u, c = np.frombuffer(h.as_py(), np.uint64), np.frombuffer(n.as_py(), np.int32)
-                at, hit = places_in(every, u)
-                present.append(np.sort(at[hit]))
-                density.append(float(c[places_in(bad, u)[1]].sum() / max(1, c.sum())))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array(present, pa.list_(pa.int64())), pa.array(density)], names=["doc_id", "toxic", "present", "density"])
+                at, hit = places_in(shared.value, u)
+                order = np.argsort(at[hit])
+                present.append(at[hit][order])
+                often.append(c[hit][order].astype(np.int64))
+                total.append(int(c.sum()))
+            lists = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array(present, lists), pa.array(often, lists), pa.array(total, pa.int64())], names=["doc_id", "toxic", "present", "often", "total"])
 
     # at most ``rows`` short lists reach the driver
-    got = taken.mapInArrow(run, "doc_id long, toxic int, present array<long>, density double").orderBy("doc_id", "density").collect()
-    y = grades(np.array([r["toxic"] > 0 for r in got]), np.array([r["density"] for r in got]))
-    w, theta = fit([np.array(r["present"], np.int64) for r in got], y, len(hashes))
-    return hashes, w, theta
+    got = taken.mapInArrow(run, "doc_id long, toxic int, present array<long>, often array<long>, total long").orderBy("doc_id", "total").collect()
+    toxic = np.array([r["toxic"] > 0 for r in got])
+    present = [np.array(r["present"], np.int64) for r in got]
+    chosen = select(present, toxic, len(hashes))
+    if not len(chosen):
+        return nothing
+    place = np.full(len(hashes), -1, np.int64)
+    place[chosen] = np.arange(len(chosen))
+    density = np.array([sum(n for f, n in zip(r["present"], r["often"], strict=True) if place[f] >= 0) / max(1, r["total"]) for r in got])
+    kept = [place[p][place[p] >= 0] for p in present]
+    w, theta = fit(kept, grades(toxic, density), len(chosen))
+    return hashes[chosen], w, theta
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, np.ndarray]) -> DataFrame:
