@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, decontaminate, quality, secrets, token_counts, toxicity, warc
+from tessera.llm import bpe, decontaminate, jaccard, quality, secrets, token_counts, toxicity, warc
 
 
 def tokenizer(name: str) -> str:
@@ -28,6 +28,10 @@ def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.documents_round_trip(spark, table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def op2_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.document_components(table(spark, sf_dir, "documents"))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.document_secrets(table(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
+    "op2_jaccard_components": op2_jaccard_components,
     "op3_secret_scan": op3_secret_scan,
     "op4_token_counts": op4_token_counts,
     "op5_warc_round_trip": op5_warc_round_trip,
