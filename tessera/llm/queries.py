@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, decontaminate, jaccard, quality, secrets, token_counts, toxicity, warc
+from tessera.llm import bpe, decontaminate, jaccard, line_dedup, quality, secrets, token_counts, toxicity, warc
 
 
 def tokenizer(name: str) -> str:
@@ -56,6 +56,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.document_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.document_lines(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op2_jaccard_components": op2_jaccard_components,
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_benchmark_matches": op6_benchmark_matches,
     "op7_quality_rules": op7_quality_rules,
     "op8_toxicity": op8_toxicity,
+    "op9_line_dedup": op9_line_dedup,
 }
 
 #: DuckDB SQL for the queries that SQL can express on whole tables.

@@ -147,3 +147,35 @@ def quality(docs: list[tuple], reach: float = 3.0, least: int = 20) -> list[dict
             ok &= q1 - spread <= v <= q3 + spread
         r["kept"] = ok
     return rows
+
+
+def line_tokens(line: str, k: int = 5) -> frozenset:
+    ws = [w for w in words(line.lower())]
+    return frozenset(tuple(ws[i : i + k]) for i in range(max(1, len(ws) - k + 1)))
+
+
+def line_removals(docs: list[tuple], percent: int = 80) -> list[set[int]]:
+    """Places of removed lines of each (doc_id, text), ids distinct and in order."""
+    order = sorted(range(len(docs)), key=lambda i: (docs[i][0] is None, docs[i][0] or 0))
+    out: list[set[int]] = [set() for _ in docs]
+    by: dict = defaultdict(list)
+    seen: set[str] = set()
+    sets: list[frozenset] = []
+    for i in order:
+        if docs[i][1] is None:
+            continue
+        for p, line in enumerate(docs[i][1].split("\n")):
+            if not words(line):
+                continue
+            if line in seen:
+                out[i].add(p)
+                continue
+            seen.add(line)
+            s = line_tokens(line)
+            common = Counter(j for t in s for j in by[t])
+            if any(100 * n >= percent * (len(s) + len(sets[j]) - n) for j, n in common.items()):
+                out[i].add(p)
+            for t in s:
+                by[t].append(len(sets))
+            sets.append(s)
+    return out
