@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, decontaminate, jaccard, line_dedup, quality, secrets, token_counts, toxicity, warc
+from tessera.llm import bpe, decontaminate, jaccard, line_dedup, quality, secrets, suffix_dedup, token_counts, toxicity, warc
 
 
 def tokenizer(name: str) -> str:
@@ -60,6 +60,10 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.document_lines(table(spark, sf_dir, "documents"))
 
 
+def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.document_repeats(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op2_jaccard_components": op2_jaccard_components,
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality_rules": op7_quality_rules,
     "op8_toxicity": op8_toxicity,
     "op9_line_dedup": op9_line_dedup,
+    "op10_suffix_repeats": op10_suffix_repeats,
 }
 
 #: DuckDB SQL for the queries that SQL can express on whole tables.

@@ -179,3 +179,25 @@ def line_removals(docs: list[tuple], percent: int = 80) -> list[set[int]]:
                 by[t].append(len(sets))
             sets.append(s)
     return out
+
+
+def repeats(docs: list[tuple], least: int = 50) -> list[tuple[list[tuple[int, int]], list[tuple[int, int]]]]:
+    """Repeated spans, and those that an earlier text has, of each (doc_id, text) with distinct ids in order."""
+    seqs = [[ascii_lower(w) for w in words(t)] for _, t in docs]
+    where = defaultdict(set)
+    for i, s in enumerate(seqs):
+        for p in range(len(s) - least + 1):
+            where[tuple(s[p : p + least])].add(i)
+    out = []
+    for i, s in enumerate(seqs):
+        got: tuple[list, list] = ([], [])
+        for p in range(len(s) - least + 1):
+            w = where[tuple(s[p : p + least])]
+            for k, hit in enumerate((len(w) > 1, min(w) < i)):
+                if hit:
+                    if got[k] and p <= got[k][-1][1]:
+                        got[k][-1] = (got[k][-1][0], p + least)
+                    else:
+                        got[k].append((p, p + least))
+        out.append(got)
+    return out
