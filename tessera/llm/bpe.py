@@ -349,17 +349,22 @@ def decode(df: DataFrame, spec: str, ids: str = "ids", text: str = "decoded") ->
     return df.withColumn(text, text_of(F.col(f"`{ids}`")))
 
 
-def digest(df: DataFrame, spec: str, text: str = "text") -> DataFrame:
-    """df with n_tokens, ids_sha256 and decoded_sha256 instead of ``text``: a round trip, without its bulk."""
+def digest(df: DataFrame, spec: str, text: str = "text", packed: str | None = None) -> DataFrame:
+    """df with n_tokens, ids_sha256 and decoded_sha256 of a round trip.
+
+    packed names a further column, of the ids as little-endian unsigned 32-bit integers.
+    """
     def work(bpe: Bpe, texts: list[str]) -> list[list]:
         ids = bpe.encode_batch(texts)
         return [
             [len(x) // 4 for x in ids],
             [hashlib.sha256(x).hexdigest() for x in ids],
             [hashlib.sha256(bpe.decode(x).encode()).hexdigest() for x in ids],
+            *([ids] if packed else []),
         ]
 
     fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
+    fields += [T.StructField(packed, T.BinaryType())] if packed else []
     return _map_texts(df, text, spec, fields, work)
 
 

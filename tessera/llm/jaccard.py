@@ -41,7 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm import words as W
@@ -127,7 +127,7 @@ def ordered_prefix(s: np.ndarray, hot: np.ndarray, rank: np.ndarray, percent: in
 
 
 def measured(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n, cls and the key rows of the first document of each class in its task, written to the shared folder."""
+    """doc_id, digest (of the text), n, cls and the keys of the first document of each class in its task, written to the shared folder."""
     hashes, counts = common_shingles(docs, k)
     ranks = np.empty(len(counts), np.int64)
     ranks[np.lexsort((hashes, counts))] = np.arange(len(counts))
@@ -159,9 +159,10 @@ def measured(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
                     keys.append(ordered_prefix(s, hit[part], rank[at[part]] if len(rank) else at[part], percent).tobytes())
                 if len(seen) > 1_000_000:  # no more than a saving: a class may give its keys again
                     seen.clear()
-                yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(keys, pa.binary())], names=["doc_id", "n", "cls", "keys"])
+                yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), batch.column("digest").slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(keys, pa.binary())], names=["doc_id", "digest", "n", "cls", "keys"])
 
-    return materialize(docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, cls long, keys binary"), "jaccard-sets"), shared, counts
+    source = docs.select("doc_id", "text", F.xxhash64("text").alias("digest"))
+    return materialize(source.mapInArrow(run, "doc_id long, digest long, n long, cls long, keys binary"), "jaccard-sets"), shared, counts
 
 
 def blocks_of(sets: DataFrame, shared, counts: np.ndarray) -> DataFrame:  # noqa: ANN001
@@ -361,6 +362,22 @@ def star_pairs(blocks: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 def document_components(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
+    return _components(docs, k, percent).drop("digest")
+
+
+def keep_one(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
+    """The document of the least id of each component, with all its columns, and all documents without an id.
+
+    Of several rows with that id, one stays.
+    """
+    found = _components(docs, k, percent).filter("doc_id = component_id").select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")).distinct()
+    named = docs.filter("doc_id is not null")
+    kept = named.join(found, (named["doc_id"] == F.col("__id")) & (F.xxhash64(named["text"]) == F.col("__digest")))
+    one = kept.withColumn("__n", F.row_number().over(Window.partitionBy("doc_id").orderBy("__digest"))).filter("__n = 1")
+    return one.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(docs.filter("doc_id is null"))
+
+
+def _components(docs: DataFrame, k: int, percent: int) -> DataFrame:
     docs = docs.select("doc_id", "text")
     sets, shared, counts = measured(docs, k, percent)
     blocks = blocks_of(sets, shared, counts)
@@ -378,7 +395,7 @@ def document_components(docs: DataFrame, k: int = K, percent: int = PERCENT) ->
     named = classes.join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left").join(least, "root", "left")
     named = named.select("cls", F.coalesce("component_id", "first_id").alias("component_id"))
     own = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component_id", "doc_id"))
-    return sets.join(named, "cls", "left").select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+    return sets.join(named, "cls", "left").select("doc_id", "digest", F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
 def _own_class(fetched: DataFrame, k: int) -> DataFrame:
