@@ -10,10 +10,11 @@ key are compared. The order is by hash, with shingles last that many documents
 share, by their counts; any order gives the same links, this one gives small
 blocks. The list of common shingles has a fixed length (HOT_LIMIT).
 
-Stars. In each block every class looks at the two leaders of the block, those
-with the least and the largest class id; each class is verified against the
-leaders it shares most blocks with. This is linear in the blocks, and joins the
-groups of near copies, so their pairs need not be formed.
+Stars. In each block every class looks at the block's leader, the class whose
+key comes earliest in its own order, so one that has little that is rare; it is
+verified against the leader it shares most blocks with. This is linear in the
+blocks and joins most groups of near copies. A shared key at places i and j
+leaves room for min(n - i, m - j) common shingles; what needs more is left out.
 
 R-tree. What is left are pairs in a block that are not yet in one component. The
 shingles are hashed into GROUPS groups, and a class is the point of its group
@@ -22,8 +23,9 @@ sets, and that of two boxes' upper corners bounds the overlap of all sets below
 them. A block is joined with itself by descending its R-tree; subtrees whose
 bound is below what their smallest sizes need, or that lie in one component, are
 left out. Blocks that fit a leaf are compared at once. Blocks of over TILE
-classes are cut into tiles, each pair of tiles a task of its own. Surviving pairs
-are verified on the texts.
+classes are cut into tiles, each pair of tiles a task of its own. For TURNS
+rounds a class is verified against PICKS partners only, which joins components;
+then all surviving pairs of different components are verified on the texts.
 
 Memory: a task holds a bucket of keys, a tile pair or a batch of texts; the
 driver holds the list of common shingles and counts. Hashes have 64 bits.
@@ -53,6 +55,8 @@ K, PERCENT = 5, 80
 HOT_LIMIT, HOT_LOCAL, LOCAL_BYTES = 1 << 17, 4, 8 << 20
 #: Key rows that a bucket holds, classes of a block's tile, of a leaf, and coordinates of a point.
 BUCKET_ROWS, TILE, LEAF, GROUPS = 1 << 20, 4096, 16, 128
+#: Rounds in which a class of a larger block is verified against a few partners, before all that are left.
+TURNS, PICKS = 3, 3
 _KEY = np.dtype([("key", "<u8"), ("cls", "<i8"), ("n", "<i4"), ("pos", "<i4")])
 
 
@@ -165,30 +169,30 @@ def measured(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
     return materialize(source.mapInArrow(run, "doc_id long, digest long, n long, cls long, keys binary"), "jaccard-sets"), shared, counts
 
 
-def blocks_of(sets: DataFrame, shared, counts: np.ndarray) -> DataFrame:  # noqa: ANN001
-    """key, cls, n, pos of the classes that share a key with another; keys meet in buckets of packed rows."""
+def met_in_blocks(sets: DataFrame, shared, counts: np.ndarray, percent: int = PERCENT) -> DataFrame:  # noqa: ANN001
+    """What blocks of classes with a common key give; keys meet in buckets of packed rows.
+
+    kind 0: a class (cls) and the leader of its block (other). kind 1: a pair of a
+    block that fits a leaf. kind 2: a class of a larger block, for the R-tree.
+    """
     rows = sets.agg(F.sum(F.octet_length("keys") / 8)).first()[0] or 0
     buckets = max(sets.sparkSession.sparkContext.defaultParallelism, int(rows // BUCKET_ROWS) + 1)
-    parts = np.maximum(1, -(-counts // TILE))
-    salts = sets.sparkSession.sparkContext.broadcast(parts)
+    salts = sets.sparkSession.sparkContext.broadcast((counts, np.maximum(1, -(-counts // TILE))))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot, _ = shared.value
-        split = salts.value
+        _, split = salts.value
 
         def packed(held: list[np.ndarray]) -> pa.RecordBatch:
-            rows = np.concatenate(held) if held else np.zeros(0, _KEY)
+            rows = np.concatenate(held)
+            at, hit = _places(hot, rows["key"])
             salt = np.zeros(len(rows), np.uint64)
-            if len(hot):
-                at = np.minimum(np.searchsorted(hot, rows["key"]), len(hot) - 1)
-                hit = hot[at] == rows["key"]
-                salt[hit] = rows["cls"][hit].view(np.uint64) % split[at[hit]].astype(np.uint64)
+            salt[hit] = rows["cls"][hit].view(np.uint64) % split[at[hit]].astype(np.uint64)
             to = (W.mix(rows["key"] + salt * np.uint64(0x632BE59BD9B4E019)) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(to, kind="stable")
             rows, to = rows[order], to[order]
             cuts = np.flatnonzero(np.diff(to)) + 1
-            parts_ = np.split(rows, cuts)
-            return pa.RecordBatch.from_arrays([pa.array([int(t) for t in to[np.concatenate([[0], cuts])]] if len(rows) else [], pa.int64()), pa.array([p.tobytes() for p in parts_] if len(rows) else [], pa.binary())], names=["bucket", "rows"])
+            return pa.RecordBatch.from_arrays([pa.array(to[np.concatenate([[0], cuts])]), pa.array([x.tobytes() for x in np.split(rows, cuts)], pa.binary())], names=["bucket", "rows"])
 
         held, size = [], 0
         for batch in batches:
@@ -206,22 +210,81 @@ def blocks_of(sets: DataFrame, shared, counts: np.ndarray) -> DataFrame:  # noqa
 
     def meet(table: pa.Table) -> pa.Table:
         hot, _ = shared.value
+        count, split = salts.value
         rows = np.concatenate([np.frombuffer(x.as_py(), _KEY) for x in table.column("rows")])
         rows = rows[np.lexsort((rows["cls"], rows["key"]))]
         fresh = np.ones(len(rows), bool)
         fresh[1:] = (rows["key"][1:] != rows["key"][:-1]) | (rows["cls"][1:] != rows["cls"][:-1])
         rows = rows[fresh]
-        same = rows["key"][1:] == rows["key"][:-1]
-        shares = np.zeros(len(rows), bool)
-        shares[1:] |= same
-        shares[:-1] |= same
-        if len(hot):  # the rest of such a key may be in another bucket
-            shares |= hot[np.minimum(np.searchsorted(hot, rows["key"]), len(hot) - 1)] == rows["key"]
-        rows = rows[shares]
-        return pa.table({"key": rows["key"].view(np.int64) if rows["key"].flags.c_contiguous else np.ascontiguousarray(rows["key"]).view(np.int64), "cls": np.ascontiguousarray(rows["cls"]), "n": np.ascontiguousarray(rows["n"]), "pos": np.ascontiguousarray(rows["pos"])})
+        begins = np.ones(len(rows), bool)
+        begins[1:] = rows["key"][1:] != rows["key"][:-1]
+        run = np.cumsum(begins) - 1
+        size = np.bincount(run)[run].astype(np.int64) if len(rows) else np.zeros(0, np.int64)
+        at, hit = _places(hot, rows["key"])
+        salted = np.zeros(len(rows), bool)
+        salted[hit] = split[at[hit]] > 1  # the rest of such a block is in other buckets
+        size[salted] = np.maximum(size[salted], count[at[salted]])
+        keep = (size > 1) | salted
+        rows, size, run, salted = rows[keep], size[keep], run[keep], salted[keep]
+        n, free = rows["n"].astype(np.int64), rows["n"].astype(np.int64) - rows["pos"]
+
+        def fits(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+            return (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])) & (np.minimum(free[x], free[y]) >= need(n[x], n[y], percent))
+
+        # the leader stands earliest in the order of its own set: it has little that is rare
+        by = np.lexsort((rows["cls"], rows["pos"], run))
+        lead = np.empty(len(rows), np.int64)
+        starts = np.flatnonzero(np.diff(run, prepend=-1))
+        lead[:] = by[starts][np.cumsum(np.diff(run, prepend=-1) != 0) - 1] if len(rows) else 0
+        me = np.arange(len(rows))
+        star = me[(lead != me) & fits(me, lead)] if len(rows) else me
+        small = (size <= LEAF) & ~salted
+        left, right = [], []
+        for d in range(1, LEAF):
+            x = me[: max(0, len(rows) - d)]
+            x = x[small[x] & (run[x] == run[x + d])]
+            x = x[fits(x, x + d)]
+            left.append(x)
+            right.append(x + d)
+        x, y = np.concatenate(left), np.concatenate(right)
+        big = me[~small]
+        cls = rows["cls"]
+        stars = _distinct(cls[star], cls[lead[star]])
+        pairs = _distinct(np.minimum(cls[x], cls[y]), np.maximum(cls[x], cls[y]))
+        none = np.zeros(0, np.int64)
+        cols = [
+            np.repeat([0, 1, 2], [len(stars[0]), len(pairs[0]), len(big)]).astype(np.int32),
+            np.concatenate([np.zeros(len(stars[0]) + len(pairs[0]), np.int64), rows["key"][big].view(np.int64)]),
+            np.concatenate([stars[0], pairs[0], cls[big]]),
+            np.concatenate([stars[1], pairs[1], none, np.zeros(len(big), np.int64)]),
+            np.concatenate([stars[2], np.zeros(len(pairs[0]), np.int64), n[big]]),
+            np.concatenate([np.zeros(len(stars[0]) + len(pairs[0]), np.int64), free[big]]),
+            np.concatenate([np.zeros(len(stars[0]) + len(pairs[0]), np.int64), size[big]]),
+        ]
+        return pa.table(dict(zip(("kind", "key", "cls", "other", "n", "free", "size"), map(pa.array, cols), strict=True)))
 
     dealt = sets.filter("keys is not null").select("keys", "cls", "n").mapInArrow(deal, "bucket long, rows binary")
-    return materialize(dealt.groupBy("bucket").applyInArrow(meet, "key long, cls long, n int, pos int"), "jaccard-blocks")
+    return materialize(dealt.groupBy("bucket").applyInArrow(meet, "kind int, key long, cls long, other long, n long, free long, size long"), "jaccard-met")
+
+
+def _places(values: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each of x stands in sorted values, and whether it does."""
+    if not len(values):
+        return np.zeros(len(x), np.int64), np.zeros(len(x), bool)
+    at = np.minimum(np.searchsorted(values, x), len(values) - 1)
+    return at, values[at] == x
+
+
+def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs, and how often each came."""
+    if not len(a):
+        return a, b, np.zeros(0, np.int64)
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    at = np.flatnonzero(new)
+    return a[at], b[at], np.diff(np.append(at, len(a)))
 
 
 def verified(pairs: DataFrame, texts: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
@@ -259,23 +322,23 @@ def points_of(texts: DataFrame, k: int = K) -> DataFrame:
 class RTree:
     """Points of group counts with their sizes and components, packed by sorting on the widest coordinate."""
 
-    def __init__(self, points: np.ndarray, sizes: np.ndarray, comps: np.ndarray, percent: int = PERCENT):
-        self.points, self.sizes, self.comps, self.percent = points, sizes, comps, percent
+    def __init__(self, points: np.ndarray, sizes: np.ndarray, free: np.ndarray, comps: np.ndarray, percent: int = PERCENT):
+        self.points, self.sizes, self.free, self.comps, self.percent = points, sizes, free, comps, percent
         self.root = self._build(np.arange(len(points)))
 
     def _build(self, rows: np.ndarray) -> tuple:
-        """(upper corner, least size, largest size, the only component or None, rows, children)"""
+        """(upper corner, least size, largest size, the only component or None, rows, children, most that can be common)"""
         some = self.points[rows]
         comp = self.comps[rows[0]] if (self.comps[rows] == self.comps[rows[0]]).all() else None
         box = some.max(axis=0), int(self.sizes[rows].min()), int(self.sizes[rows].max()), comp
         if len(rows) <= LEAF:
-            return (*box, rows, ())
+            return (*box, rows, (), int(self.free[rows].max()))
         spread = self.sizes[rows].max() - self.sizes[rows].min()
         ranges = some.max(axis=0).astype(np.int64) - some.min(axis=0)
         by = self.sizes[rows] if spread > 4 * ranges.max() else some[:, int(ranges.argmax())]
         order = rows[np.argsort(by, kind="stable")]
         half = len(order) // 2
-        return (*box, rows, (self._build(order[:half]), self._build(order[half:])))
+        return (*box, rows, (self._build(order[:half]), self._build(order[half:])), int(self.free[rows].max()))
 
     def _apart(self, a: tuple, b: tuple) -> bool:
         """No point below a links with one below b in another component."""
@@ -283,7 +346,8 @@ class RTree:
             return True
         if 100 * a[2] < self.percent * b[1] or 100 * b[2] < self.percent * a[1]:
             return True
-        return int(np.minimum(a[0], b[0]).sum(dtype=np.int64)) < need(a[1], b[1], self.percent)
+        least = need(a[1], b[1], self.percent)
+        return min(a[6], b[6]) < least or int(np.minimum(a[0], b[0]).sum(dtype=np.int64)) < least
 
     def pairs(self, side: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Pairs of rows that may link and are in different components; if sides are given, on different sides."""
@@ -308,56 +372,52 @@ class RTree:
             if side is not None:
                 good &= side[x] != side[y]
             x, y = x[good], y[good]
-            bound = np.minimum(self.points[x], self.points[y]).sum(axis=1, dtype=np.int64)
             n, m = self.sizes[x], self.sizes[y]
-            good = (bound >= need(n, m, self.percent)) & (100 * np.minimum(n, m) >= self.percent * np.maximum(n, m))
+            least = need(n, m, self.percent)
+            good = (np.minimum(self.free[x], self.free[y]) >= least) & (100 * np.minimum(n, m) >= self.percent * np.maximum(n, m))
+            x, y, least = x[good], y[good], least[good]
+            good = np.minimum(self.points[x], self.points[y]).sum(axis=1, dtype=np.int64) >= least
             if good.any():
                 yield x[good], y[good]
 
 
-def residual_pairs(blocks: DataFrame, roots: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """a, b of the pairs of classes that share a block, are in different components and may link."""
-    rows = blocks.join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left").select("key", "cls", "n", "pos", F.coalesce("root", "cls").alias("root"))
+def open_rows(big: DataFrame, roots: DataFrame) -> DataFrame:
+    """The classes of larger blocks that still hold several components, with their roots."""
+    rows = big.join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     rows = materialize(rows, "jaccard-rows")
-    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 < r2").select("key", "size")
-    rows = materialize(rows.join(sizes, "key"), "jaccard-open")
-    # positions bound the overlap as well: no more can be common than what stands from the first shared key on
-    fits = F.expr(f"1 + least(x.n - x.pos, y.n - y.pos) - 1 >= ceil((x.n + y.n) * {percent} / {100 + percent}) and 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)")
-    small = rows.filter(F.col("size") <= LEAF)
-    packed = small.groupBy("key").agg(F.collect_list(F.struct("cls", "n", "pos", "root")).alias("m"))  # LEAF rows at most
-    left = packed.select("m", F.posexplode("m").alias("i", "x")).select(F.col("x"), F.explode(F.slice("m", F.col("i") + 2, F.size("m"))).alias("y"))
-    few = left.filter("x.root <> y.root").filter(fits).select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b"))
-    large = rows.filter(F.col("size") > LEAF)
+    several = rows.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 < r2").select("key")
+    return materialize(rows.join(several, "key"), "jaccard-open")
+
+
+def tree_pairs(rows: DataFrame, points: DataFrame, percent: int = PERCENT, picks: int | None = None, turn: int = 0) -> DataFrame:
+    """a, b of the pairs of classes in a block, of different components, that may link.
+
+    With picks, each class gets at most that many partners of a block, others at each turn.
+    """
     tiles = F.ceil(F.col("size") / TILE).cast("int")
-    own = F.pmod("cls", tiles).cast("int")
-    dealt = large.withColumn("tiles", tiles).withColumn("own", own)
+    dealt = rows.withColumn("tiles", tiles).withColumn("own", F.pmod("cls", F.col("tiles")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).withColumn("t1", F.least("own", "other")).withColumn("t2", F.greatest("own", "other"))
-    dealt = dealt.join(points_of(texts), "cls").select("key", "t1", "t2", "own", "cls", "n", "root", "point")
+    dealt = dealt.join(points, "cls").select("key", "t1", "t2", "own", "cls", "n", "free", "root", "point")
 
     def join_tile(table: pa.Table) -> pa.Table:
-        cls, size, comp, own_ = (np.asarray(table.column(c)) for c in ("cls", "n", "root", "own"))
-        points = np.frombuffer(b"".join(table.column("point").to_pylist()), "<u2").reshape(len(cls), GROUPS)
-        apart = own_ if table.column("t1")[0] != table.column("t2")[0] else None
-        found = list(RTree(points, size.astype(np.int64), comp, percent).pairs(apart))
+        cls, size, free, comp, own = (np.asarray(table.column(c)) for c in ("cls", "n", "free", "root", "own"))
+        points_ = np.frombuffer(b"".join(table.column("point").to_pylist()), "<u2").reshape(len(cls), GROUPS)
+        apart = own if table.column("t1")[0] != table.column("t2")[0] else None
+        found = list(RTree(points_, size, free, comp, percent).pairs(apart))
         x = np.concatenate([f[0] for f in found]) if found else np.zeros(0, np.int64)
         y = np.concatenate([f[1] for f in found]) if found else np.zeros(0, np.int64)
-        return pa.table({"a": np.minimum(cls[x], cls[y]), "b": np.maximum(cls[x], cls[y])})
-
-    many = dealt.groupBy("key", "t1", "t2").applyInArrow(join_tile, "a long, b long")
-    return materialize(few.unionByName(many).distinct(), "jaccard-pairs")
-
+        if picks is not None and len(x):
+            # of each class, the partners that come first in this turn's order
+            left, right = np.concatenate([x, y]), np.concatenate([y, x])
+            order = np.lexsort((W.mix(cls[right].view(np.uint64) + np.uint64(turn)), left))
+            left, right = left[order], right[order]
+            begin = np.flatnonzero(np.diff(left, prepend=-1))
+            nth = np.arange(len(left)) - np.repeat(begin, np.diff(np.append(begin, len(left))))
+            x, y = left[nth < picks], right[nth < picks]
+        a, b, _ = _distinct(np.minimum(cls[x], cls[y]), np.maximum(cls[x], cls[y]))
+        return pa.table({"a": a, "b": b})
 
-def star_pairs(blocks: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """a, b: each class with the leaders, least and largest class id of a block, that it shares most blocks with."""
-    leaders = blocks.groupBy("key").agg(F.min(F.struct("cls", "n")).alias("lo"), F.max(F.struct("cls", "n")).alias("hi"))
-    seen = blocks.join(leaders, "key")
-    out = None
-    for side in ("lo", "hi"):
-        near = seen.filter((F.col("cls") != F.col(f"{side}.cls")) & (100 * F.least("n", f"{side}.n") >= percent * F.greatest("n", f"{side}.n")))
-        best = near.groupBy("cls", F.col(f"{side}.cls").alias("leader")).agg(F.count(F.lit(1)).alias("c")).groupBy("cls").agg(F.max_by("leader", F.struct("c", "leader")).alias("leader"))
-        part = best.select(F.least("cls", "leader").alias("a"), F.greatest("cls", "leader").alias("b"))
-        out = part if out is None else out.unionByName(part)
-    return materialize(out.distinct(), "jaccard-stars")
+    return dealt.groupBy("key", "t1", "t2").applyInArrow(join_tile, "a long, b long")
 
 
 def document_components(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
@@ -372,28 +432,56 @@ def keep_one(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
     """
     found = _components(docs, k, percent).filter("doc_id = component_id").select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")).distinct()
     named = docs.filter("doc_id is not null")
-    kept = named.join(found, (named["doc_id"] == F.col("__id")) & (F.xxhash64(named["text"]) == F.col("__digest")))
+    kept = named.join(found, (named["doc_id"] == F.col("__id")) & F.xxhash64(named["text"]).eqNullSafe(F.col("__digest")))
     one = kept.withColumn("__n", F.row_number().over(Window.partitionBy("doc_id").orderBy("__digest"))).filter("__n = 1")
     return one.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(docs.filter("doc_id is null"))
 
 
+def _links(docs: DataFrame, sets: DataFrame, classes: DataFrame, shared, counts: np.ndarray, k: int, percent: int) -> DataFrame:  # noqa: ANN001
+    """node, root of the classes that are linked with another."""
+    met = met_in_blocks(sets, shared, counts, percent)
+    stars = met.filter("kind = 0").groupBy("cls", "other").agg(F.sum("n").alias("c")).groupBy("cls").agg(F.max_by("other", F.struct("c", "other")).alias("other"))
+    stars = stars.select(F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b")).distinct()
+    pairs = met.filter("kind = 1").select(F.col("cls").alias("a"), F.col("other").alias("b")).distinct()
+    big = met.filter("kind = 2").select("key", "cls", "n", "free", "size")
+    named = met.select("cls").unionByName(met.filter("kind < 2").select(F.col("other").alias("cls"))).distinct()
+    # an id may stand for several texts: the set tells which is meant
+    fetched = docs.join(named.join(classes, "cls"), F.col("doc_id") == F.col("first_id")).select("cls", "text")
+    texts = materialize(_own_class(fetched, k), "jaccard-texts")
+    links = materialize(verified(stars, texts, k, percent), "jaccard-links")
+    roots = components(links)
+
+    def join(more: DataFrame) -> tuple[bool, DataFrame, DataFrame]:
+        found = materialize(verified(materialize(more.distinct(), "jaccard-pairs"), texts, k, percent), "jaccard-links")
+        if found.isEmpty():
+            return False, links, roots
+        both = materialize(links.unionByName(found), "jaccard-links")
+        return True, both, components(both)
+
+    left, right = roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), roots.select(F.col("node").alias("b"), F.col("root").alias("rb"))
+    apart = pairs.join(left, "a", "left").join(right, "b", "left").filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
+    _, links, roots = join(apart)
+    rows = open_rows(big, roots)
+    if rows.isEmpty():
+        return roots
+    points = materialize(points_of(texts.join(big.select("cls").distinct(), "cls", "left_semi"), k), "jaccard-points")
+    for turn in range(TURNS):
+        grew, links, roots = join(tree_pairs(rows, points, percent, PICKS, turn))
+        if not grew:
+            break
+        rows = open_rows(big, roots)
+    _, links, roots = join(tree_pairs(rows, points, percent))
+    return roots
+
+
 def _components(docs: DataFrame, k: int, percent: int) -> DataFrame:
     docs = docs.select("doc_id", "text")
     sets, shared, counts = measured(docs, k, percent)
-    blocks = blocks_of(sets, shared, counts)
     classes = sets.filter("cls is not null and doc_id is not null").groupBy("cls").agg(F.min("doc_id").alias("first_id"))
-    wanted = blocks.select("cls").distinct().join(classes, "cls")
-    # an id may stand for several texts: the set tells which is meant
-    fetched = docs.join(wanted, F.col("doc_id") == F.col("first_id")).select("cls", "text")
-    texts = materialize(_own_class(fetched, k), "jaccard-texts")
-    links = materialize(verified(star_pairs(blocks, percent), texts, k, percent), "jaccard-links")
-    roots = materialize(components(links), "jaccard-roots")
-    more = verified(residual_pairs(blocks, roots, texts, percent), texts, k, percent)
-    links = materialize(links.unionByName(more), "jaccard-links")
-    roots = materialize(components(links), "jaccard-roots")
+    roots = materialize(_links(docs, sets, classes, shared, counts, k, percent), "jaccard-roots")
     least = classes.join(roots, F.col("cls") == F.col("node")).groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = classes.join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left").join(least, "root", "left")
-    named = named.select("cls", F.coalesce("component_id", "first_id").alias("component_id"))
+    linked = roots.join(least, "root").select(F.col("node").alias("cls"), "component_id")
+    named = classes.join(linked, "cls", "left").select("cls", F.coalesce("component_id", "first_id").alias("component_id"))
     own = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component_id", "doc_id"))
     return sets.join(named, "cls", "left").select("doc_id", "digest", F.col("n").alias("n_shingles"), own.alias("component_id"))
 
