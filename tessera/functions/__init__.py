@@ -1 +1 @@
-
+"""Column functions: names and texts, similarity scores, vocabularies."""

@@ -1 +1 @@
-
+"""Relational, matching, spatial and graph operators over DataFrames."""
