@@ -10,7 +10,7 @@ stands for it, so copies cost one aggregation with partial results and no join.
 
 Order. Tokens go by rarity: the FREQUENT ones with the most line classes, found
 by a mergeable sketch over all lines, come last and by their counts; the rest
-come first, by a hash. Prefix. Two similar lines of n and m tokens share one of
+come first, by a hash. Any order gives the same result; this one gives small blocks. Prefix. Two similar lines of n and m tokens share one of
 the first n - ceil(percent * n) + 1 tokens of each. Position and length. A
 shared token at places i and j leaves room for 1 + min(n - i - 1, m - j - 1)
 common tokens, and sizes may differ by the percentage. A bitmap of 256 bits bounds
@@ -39,6 +39,8 @@ from tessera.llm.shared import materialize
 K, PERCENT = 5, 80
 #: Tokens that come last in the order, and the counters of the sketch that finds them.
 FREQUENT, SKETCH_ITEMS = 256, 20_000
+#: Bytes of the filter for lines that share a token.
+SLOTS = 1 << 21
 SPACE = r"[ \t-\r]+"
 _LONGS = "cast(array() as array<bigint>)"
 
@@ -64,12 +66,21 @@ def tokens(line: str) -> Column:
     )
 
 
-def frequent_tokens(sets: DataFrame) -> list[int]:
-    """The tokens of most lines, rarest first; FREQUENT at most."""
-    top = sets.select(F.explode("sh").alias("t")).agg(F.expr(f"approx_top_k(t, {FREQUENT}, {SKETCH_ITEMS})").alias("top")).first()["top"] or []
+def frequent_tokens(sets: DataFrame, percent: int) -> list[int]:
+    """The tokens of most lines, rarest first; FREQUENT at most.
+
+    Of each line those tokens are counted that would be its prefix by hash alone: only
+    they can be in many blocks.
+    """
+    top = sets.select(F.explode(_head(F.col("sh"), F.size("sh"), percent)).alias("t")).agg(F.expr(f"approx_top_k(t, {FREQUENT}, {SKETCH_ITEMS})").alias("top")).first()["top"] or []
     return [x["item"] for x in sorted(top, key=lambda x: (x["count"], x["item"])) if x["count"] > 1]
 
 
+def _head(tokens_: Column, size: Column, percent: int) -> Column:
+    """The first n - ceil(percent * n) + 1 tokens."""
+    return F.slice(tokens_, 1, (size - F.ceil(size * percent / 100) + 1).cast("int"))
+
+
 def _apart(percent: int) -> str:
     """Condition on rows x and y of one token: lengths, positions, bitmaps, and that no earlier token brought the pair up."""
     need = f"ceil((x.n + y.n) * {percent} / {100 + percent})"
@@ -87,19 +98,35 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return good.select(F.col("a").alias("h1"), F.col("a2").alias("h2")).distinct()
 
 
+def among(keys: DataFrame, key: str) -> Column:
+    """Condition that holds for all of the keys and for few others, without a shuffle of the rows it is put to.
+
+    SLOTS bytes, whatever the number of keys, tell which hashes occur; the more keys,
+    the more others pass, so an exact join must follow.
+    """
+    slot = F.pmod(F.col(key), F.lit(SLOTS))
+    seen = keys.groupBy(F.floor(slot / 256).cast("int").alias("part")).agg(F.collect_set((slot % 256).cast("int")).alias("slots")).collect()
+    bits = bytearray(SLOTS)
+    for r in seen:
+        for s in r["slots"]:
+            bits[r["part"] * 256 + s] = 1
+    return F.substring(F.lit(bytes(bits)), (slot + 1).cast("int"), F.lit(1)) == F.lit(b"\x01")
+
+
 def similar_later(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """h1, h2 of the classes of lines (h1, h2, first, line) that are similar to an earlier one."""
     sets = classes.select("h1", tokens("line").alias("sh"))
-    last = frequent_tokens(sets)
+    last = frequent_tokens(sets, percent)
     common = F.lit(last).cast("array<bigint>") if last else F.expr(_LONGS)
     ordered = F.concat(F.array_except("sh", common), F.array_intersect(common, "sh")) if last else F.col("sh")
     size = F.size("sh")
-    prefix = F.slice(ordered, 1, (size - F.ceil(size * percent / 100) + 1).cast("int"))
+    prefix = _head(ordered, size, percent)
     heads = sets.select("h1", size.alias("n"), prefix.alias("prefix"))
     rows = heads.select("h1", "n", F.posexplode("prefix").alias("i", "t"))
     shared = rows.withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("t"))).filter("c > 1").drop("c")
     shared = materialize(shared, "lines-shared")
-    some = classes.join(shared.select("h1").distinct(), "h1", "left_semi").select("h1", "h2", "first", tokens("line").alias("sh"))
+    wanted = shared.select("h1").distinct()
+    some = classes.filter(among(wanted, "h1")).join(wanted, "h1", "left_semi").select("h1", "h2", "first", tokens("line").alias("sh"))
     bit = lambda k: F.expr(f"aggregate(filter(sh, s -> (s & 3) = {k}), 0L, (a, s) -> a | shiftleft(1L, cast((s >> 2) & 63 as int)))").alias(f"b{k}")
     some = materialize(some.select("*", prefix.alias("prefix"), *[bit(k) for k in range(4)]), "lines-sets")
     rows = materialize(shared.join(some.drop("h2", "sh"), "h1"), "lines-rows")

@@ -43,7 +43,7 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = fresh_path(spark, tag)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
