@@ -8,6 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import bpe, decontaminate, jaccard, line_dedup, quality, secrets, suffix_dedup, token_counts, toxicity, warc
+from tessera.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES", "table", "tokenizer"]
 
 
 def tokenizer(name: str) -> str:
@@ -76,6 +79,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_suffix_repeats": op10_suffix_repeats,
 }
-
-#: DuckDB SQL for the queries that SQL can express on whole tables.
-ORACLES: dict[str, str] = {}
