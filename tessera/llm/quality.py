@@ -93,9 +93,14 @@ def limits(groups: DataFrame, least: int = LEAST, reach: float = REACH) -> DataF
     own = groups.select("lang", "source", "n", F.struct(*ready(groups)).alias("own"))
     by_lang = merged(["lang"])
     by_lang = by_lang.select(F.col("lang").alias("__lang"), F.col("n").alias("__n"), F.struct(*ready(by_lang)).alias("of_lang"))
-    overall = merged([])
-    overall = overall.select(F.struct(*ready(overall)).alias("of_all"))
-    joined = own.join(by_lang, F.col("lang").eqNullSafe(F.col("__lang")), "left").join(F.broadcast(overall), how="left")  # one row
+    whole = merged([])
+    all_docs = whole.select(*ready(whole)).first()  # one row: the limits for documents of a rare language
+
+    def fixed(m: str) -> Column:
+        q = all_docs[m]
+        return F.struct(*[F.lit(None if q is None else q[k]).cast("double").alias(k) for k in ("q1", "q3")]).alias(m)
+
+    joined = own.join(by_lang, F.col("lang").eqNullSafe(F.col("__lang")), "left").withColumn("of_all", F.struct(*map(fixed, MEASURES)))
     chosen = F.when(F.col("n") >= least, F.col("own")).when(F.col("__n") >= least, F.col("of_lang")).otherwise(F.col("of_all"))
     joined = joined.select("lang", "source", chosen.alias("__q"))
     bounds = []
@@ -105,23 +110,26 @@ def limits(groups: DataFrame, least: int = LEAST, reach: float = REACH) -> DataF
     return joined.select("lang", "source", *bounds)
 
 
-def verdicts(docs: DataFrame, keys: list[str], text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """The key columns with n_words, the four base counts, base_failed and kept, a row for each document."""
+def _judged(docs: DataFrame, keys: list[str], text: str, lang: str, source: str) -> DataFrame:
+    """__key0, __key1, ... for the key columns, with the measures, failed and passed."""
     kept = [F.col(f"`{c}`").alias(f"__key{i}") for i, c in enumerate(keys)]
     renamed = docs.select(*kept, F.col(f"`{text}`").alias("__text"), F.col(f"`{lang}`").alias("lang"), F.col(f"`{source}`").alias("source"))
     own = [f"__key{i}" for i in range(len(keys))]
     measured = materialize(_counts(renamed, "__text", [*own, "lang", "source"]), "quality-measures")
-    bounds = materialize(limits(sketches(measured)), "quality-limits").withColumnsRenamed({"lang": "__lang", "source": "__source"})
+    bounds = materialize(limits(materialize(sketches(measured), "quality-sketches")), "quality-limits").withColumnsRenamed({"lang": "__lang", "source": "__source"})
     joined = measured.join(bounds, F.col("lang").eqNullSafe(F.col("__lang")) & F.col("source").eqNullSafe(F.col("__source")), "left")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     inside = F.lit(True)
     for m, value in _per_word().items():
         inside &= F.coalesce((value >= F.col(f"{m}_low")) & (value <= F.col(f"{m}_high")), F.lit(True))
-    return joined.select(
-        *[F.col(f"__key{i}").alias(c) for i, c in enumerate(keys)],
-        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        failed.alias("base_failed"), (~failed & inside).alias("kept"),
-    )
+    return joined.withColumn("failed", failed).withColumn("passed", ~F.col("failed") & inside)
+
+
+def verdicts(docs: DataFrame, keys: list[str], text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
+    """The key columns with n_words, the four base counts, base_failed and kept, a row for each document."""
+    named = [F.col(f"__key{i}").alias(c) for i, c in enumerate(keys)]
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return _judged(docs, keys, text, lang, source).select(*named, *counts, F.col("failed").alias("base_failed"), F.col("passed").alias("kept"))
 
 
 def passing(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
@@ -129,4 +137,4 @@ def passing(docs: DataFrame, text: str = "text", lang: str = "lang", source: str
 
     Whole rows are measured and carried, so neither repeated nor missing ids matter.
     """
-    return verdicts(docs, docs.columns, text, lang, source).filter("kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return _judged(docs, docs.columns, text, lang, source).filter("passed").select(*[F.col(f"__key{i}").alias(c) for i, c in enumerate(docs.columns)])

@@ -74,7 +74,9 @@ def find_spans(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("do
     each = found.select(*[F.col(f"`{c}`") for c in keep], "__row", F.inline_outer("__found")).repartition("__row")
     running = Window.partitionBy("__row", "kind").orderBy("number")
     upto = F.sum(F.col("before") + F.col("long")).over(running)
-    each = each.withColumn("end", upto).withColumn("start", F.col("end") - F.col("long")).filter("kind is null or counts")
+    each = each.withColumn("end", upto).withColumn("start", F.col("end") - F.col("long"))
+    # a match that does not count stays a row, without a role, so that its document does
+    each = each.withColumn("kind", F.when(F.col("counts"), F.col("kind")))
     roles = F.create_map(*[x for k, kind in enumerate(KINDS) for x in (F.lit(k), F.lit(kind[2]))])
     each = each.withColumn("role", roles[F.col("kind")]).withColumn("base", F.col("kind") < sum(k[3] for k in KINDS))
     near = Window.partitionBy("__row").orderBy("start").rangeBetween(-scope, scope)
