@@ -18,9 +18,9 @@ its id; other columns are ignored.
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,14 +42,12 @@ class TokenTree:
     def __init__(self, bpe: Bpe, pieces: list[str]):
         self.bpe = bpe
         self.reencoded = 0
-        self.leaves: list[list[str]] = [[p] for p in pieces] or [[]]
-        self.width = w = 1 << max(0, len(self.leaves) - 1).bit_length()
-        self.chars, self.tokens = [0] * (2 * w), [0] * (2 * w)
-        self.chars[w : w + len(pieces)] = map(len, pieces)
-        self.tokens[w : w + len(pieces)] = self._counts(pieces)
-        for sums in (self.chars, self.tokens):
-            for i in range(w - 1, 0, -1):
-                sums[i] = sums[2 * i] + sums[2 * i + 1]
+        self.pieces = pieces
+        self.changed: dict[int, list[str]] = {}
+        self.n_leaves = max(1, len(pieces))
+        self.width = w = 1 << max(0, self.n_leaves - 1).bit_length()
+        self.chars = self._sums(list(map(len, pieces)), w)
+        self.tokens = self._sums(self._counts(pieces), w)
 
     def _counts(self, pieces: list[str]) -> list[int]:
         memo = self.bpe.memo
@@ -61,6 +59,23 @@ class TokenTree:
                 self.bpe.learn(missing)
             return [len(memo[p]) >> 2 for p in pieces]
 
+    @staticmethod
+    def _sums(leaves: list[int], width: int) -> list[int]:
+        """The nodes of a tree over the leaves: the root at 1, the children of i at 2i and 2i + 1."""
+        level = np.zeros(width, np.int64)
+        level[: len(leaves)] = leaves
+        levels = [level]
+        while len(level) > 1:
+            level = level[::2] + level[1::2]
+            levels.append(level)
+        return [0, *np.concatenate(levels[::-1]).tolist()]
+
+    def leaf(self, i: int) -> list[str]:
+        """The pre-tokens of a leaf: one at first, any number after an edit."""
+        if i in self.changed:
+            return self.changed[i]
+        return self.pieces[i : i + 1]
+
     @property
     def n_chars(self) -> int:
         return self.chars[1]
@@ -70,7 +85,7 @@ class TokenTree:
         return self.tokens[1]
 
     def text(self) -> str:
-        return "".join(p for leaf in self.leaves for p in leaf)
+        return "".join(p for i in range(self.n_leaves) for p in self.leaf(i))
 
     def find(self, at: int) -> tuple[int, int]:
         """The leaf that holds a code point, and where it starts; the last leaf for the text's end."""
@@ -80,10 +95,10 @@ class TokenTree:
             if at >= start + self.chars[node] and self.chars[node + 1]:
                 start += self.chars[node]
                 node += 1
-        return min(node - self.width, len(self.leaves) - 1), start
+        return min(node - self.width, self.n_leaves - 1), start
 
     def _put(self, leaf: int, pieces: list[str]) -> None:
-        self.leaves[leaf] = pieces
+        self.changed[leaf] = pieces
         node = leaf + self.width
         more_chars = sum(map(len, pieces)) - self.chars[node]
         more_tokens = sum(self._counts(pieces)) - self.tokens[node]
@@ -102,14 +117,14 @@ class TokenTree:
         while lo > 0 and more > 0:  # whole leaves, until enough pre-tokens stand before the edit
             lo -= 1
             start -= self.chars[lo + self.width]
-            more -= len(self.leaves[lo])
+            more -= len(self.leaf(lo))
         hi, _ = self.find(at + removed)
         while True:
             # the region up to leaf hi, as it was and as it is now
-            old = [p for leaf in self.leaves[lo : hi + 1] for p in leaf]
+            old = [p for i in range(lo, hi + 1) for p in self.leaf(i)]
             was = "".join(old)
             now = was[: at - start] + inserted + was[at - start + removed :]
-            to_end = hi == len(self.leaves) - 1
+            to_end = hi == self.n_leaves - 1
             if to_end:
                 new = self.bpe.pattern.findall(now)
                 break
@@ -121,10 +136,10 @@ class TokenTree:
                     break
                 ends.add(len(was) - left)
             tail: list[str] = []  # what the pattern may look ahead at; leaves may be empty
-            for leaf in itertools.islice(self.leaves, hi + 1, None):
+            for i in range(hi + 1, self.n_leaves):
                 if len(tail) >= 2 * BOUNDARY:
                     break
-                tail += leaf
+                tail += self.leaf(i)
             whole, new, sync = now + "".join(tail), [], None
             for m in self.bpe.pattern.finditer(whole):
                 if m.end() > len(now):
@@ -144,14 +159,14 @@ class TokenTree:
                 new += kept[::-1]
                 self._replace(lo, hi, new)
                 return
-            hi = min(len(self.leaves) - 1, hi + 1 + BOUNDARY)
+            hi = min(self.n_leaves - 1, hi + 1 + BOUNDARY)
         self.reencoded += len(new)
         self._replace(lo, hi, new)
 
     def _replace(self, lo: int, hi: int, pieces: list[str]) -> None:
         self._put(lo, pieces)
         for leaf in range(lo + 1, hi + 1):
-            if self.leaves[leaf]:
+            if self.leaf(leaf):
                 self._put(leaf, [])
 
 
