@@ -75,6 +75,8 @@ class _Query:
     # values and conditions
     def value(self) -> Column:
         t = self.r.next()
+        if not t:
+            raise QueryError("a value is expected")
         if t[:1] in "'\"":
             return F.lit(re.sub(r"\\(.)", r"\1", t[1:-1]))
         if t[:1].isdigit():
@@ -269,7 +271,7 @@ class _Query:
                 self.unwind()
             elif self.r.word("MATCH"):
                 self.match()
-            elif self.r.word("WHERE"):
+            elif self.frame is not None and self.r.word("WHERE"):
                 self.frame = self.frame.filter(self.condition())
             elif self.r.word("RETURN"):
                 return self.returned()
@@ -277,6 +279,8 @@ class _Query:
                 raise QueryError(f"unexpected {self.r.peek() or 'end'}")
 
     def returned(self) -> DataFrame:
+        if self.frame is None:
+            raise QueryError("RETURN without MATCH")
         distinct = self.r.word("DISTINCT")
         items: list[tuple[Column, str, bool]] = []
         while True:
