@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """The first row of each key in the given order. The rank limit is pushed below the shuffle."""
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("__rank", rank).filter("__rank = 1").drop("__rank")
+    return df.withColumn("__kept_first", rank).filter("__kept_first = 1").drop("__kept_first")
 
 
 def last_wins(df: DataFrame, keys: Sequence[str], value: str, order: str, alias: str) -> DataFrame:
