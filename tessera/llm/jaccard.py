@@ -56,7 +56,7 @@ HOT_LIMIT, HOT_LOCAL, LOCAL_BYTES = 1 << 17, 4, 8 << 20
 #: Key rows that a bucket holds, classes of a block's tile, of a leaf, and coordinates of a point.
 BUCKET_ROWS, TILE, LEAF, GROUPS = 1 << 20, 4096, 16, 128
 #: Rounds in which a class of a larger block is verified against a few partners, before all that are left.
-TURNS, PICKS = 3, 3
+TURNS, PICKS = 2, 4
 _KEY = np.dtype([("key", "<u8"), ("cls", "<i8"), ("n", "<i4"), ("pos", "<i4")])
 
 
@@ -246,8 +246,32 @@ def met_in_blocks(sets: DataFrame, shared, counts: np.ndarray, percent: int = PE
             x = x[fits(x, x + d)]
             left.append(x)
             right.append(x + d)
+        # of a larger block, what fits nothing goes; few pairs are given as such, many are left to the R-tree
+        of_tree = np.zeros(len(rows), bool)
+        of_tree[salted] = True
+        first = np.flatnonzero(np.diff(run, prepend=-1))
+        for lo, hi in zip(first, np.append(first[1:], len(rows)), strict=True):
+            if small[lo] or salted[lo]:
+                continue
+            found_x, found_y, many = [], [], 0
+            for at in range(lo, hi, 512):
+                u = me[at : min(at + 512, hi)]
+                a, b = np.repeat(u, hi - lo), np.tile(me[lo:hi], len(u))
+                ok = a < b
+                a, b = a[ok], b[ok]
+                ok = fits(a, b)
+                a, b = a[ok], b[ok]
+                many += len(a)
+                of_tree[a] = of_tree[b] = True
+                if many <= 4 * (hi - lo):
+                    found_x.append(a)
+                    found_y.append(b)
+            if many <= 4 * (hi - lo):
+                of_tree[lo:hi] = False
+                left += found_x
+                right += found_y
         x, y = np.concatenate(left), np.concatenate(right)
-        big = me[~small]
+        big = np.flatnonzero(of_tree)
         cls = rows["cls"]
         stars = _distinct(cls[star], cls[lead[star]])
         pairs = _distinct(np.minimum(cls[x], cls[y]), np.maximum(cls[x], cls[y]))
@@ -381,23 +405,25 @@ class RTree:
                 yield x[good], y[good]
 
 
-def open_rows(big: DataFrame, roots: DataFrame) -> DataFrame:
-    """The classes of larger blocks that still hold several components, with their roots."""
+def open_rows(big: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
+    """The classes of larger blocks that still hold several components, with their roots; asks, in one block of each class at a turn."""
     rows = big.join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     rows = materialize(rows, "jaccard-rows")
     several = rows.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 < r2").select("key")
-    return materialize(rows.join(several, "key"), "jaccard-open")
+    # each class asks for partners in one of its blocks only
+    first = F.row_number().over(Window.partitionBy("cls").orderBy(F.xxhash64("key", F.lit(turn))))
+    return materialize(rows.join(several, "key").withColumn("asks", first == 1), "jaccard-open")
 
 
 def tree_pairs(rows: DataFrame, points: DataFrame, percent: int = PERCENT, picks: int | None = None, turn: int = 0) -> DataFrame:
     """a, b of the pairs of classes in a block, of different components, that may link.
 
-    With picks, each class gets at most that many partners of a block, others at each turn.
+    With picks, each class gets at most that many partners, of the block where it asks.
     """
     tiles = F.ceil(F.col("size") / TILE).cast("int")
     dealt = rows.withColumn("tiles", tiles).withColumn("own", F.pmod("cls", F.col("tiles")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).withColumn("t1", F.least("own", "other")).withColumn("t2", F.greatest("own", "other"))
-    dealt = dealt.join(points, "cls").select("key", "t1", "t2", "own", "cls", "n", "free", "root", "point")
+    dealt = dealt.join(points, "cls").select("key", "t1", "t2", "own", "cls", "n", "free", "root", "asks", "point")
 
     def join_tile(table: pa.Table) -> pa.Table:
         cls, size, free, comp, own = (np.asarray(table.column(c)) for c in ("cls", "n", "free", "root", "own"))
@@ -409,6 +435,8 @@ def tree_pairs(rows: DataFrame, points: DataFrame, percent: int = PERCENT, picks
         if picks is not None and len(x):
             # of each class, the partners that come first in this turn's order
             left, right = np.concatenate([x, y]), np.concatenate([y, x])
+            asking = np.asarray(table.column("asks"))[left]
+            left, right = left[asking], right[asking]
             order = np.lexsort((W.mix(cls[right].view(np.uint64) + np.uint64(turn)), left))
             left, right = left[order], right[order]
             begin = np.flatnonzero(np.diff(left, prepend=-1))
@@ -461,7 +489,7 @@ def _links(docs: DataFrame, sets: DataFrame, classes: DataFrame, shared, counts:
     left, right = roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), roots.select(F.col("node").alias("b"), F.col("root").alias("rb"))
     apart = pairs.join(left, "a", "left").join(right, "b", "left").filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
     _, links, roots = join(apart)
-    rows = open_rows(big, roots)
+    rows = open_rows(big, roots, 0)
     if rows.isEmpty():
         return roots
     points = materialize(points_of(texts.join(big.select("cls").distinct(), "cls", "left_semi"), k), "jaccard-points")
@@ -469,7 +497,7 @@ def _links(docs: DataFrame, sets: DataFrame, classes: DataFrame, shared, counts:
         grew, links, roots = join(tree_pairs(rows, points, percent, PICKS, turn))
         if not grew:
             break
-        rows = open_rows(big, roots)
+        rows = open_rows(rows.select(*big.columns), roots, turn + 1)
     _, links, roots = join(tree_pairs(rows, points, percent))
     return roots
 

@@ -39,8 +39,8 @@ from tessera.llm.shared import materialize
 K, PERCENT = 5, 80
 #: Tokens that come last in the order, and the counters of the sketch that finds them.
 FREQUENT, SKETCH_ITEMS = 256, 20_000
-#: Bytes of the filter for lines that share a token.
-SLOTS = 1 << 21
+#: Hash slots of the filter for lines that share a token.
+SLOTS = 1 << 20
 SPACE = r"[ \t-\r]+"
 _LONGS = "cast(array() as array<bigint>)"
 
@@ -98,19 +98,15 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return good.select(F.col("a").alias("h1"), F.col("a2").alias("h2")).distinct()
 
 
-def among(keys: DataFrame, key: str) -> Column:
-    """Condition that holds for all of the keys and for few others, without a shuffle of the rows it is put to.
+def among(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows whose key is among the keys, found without moving most of the others.
 
-    SLOTS bytes, whatever the number of keys, tell which hashes occur; the more keys,
-    the more others pass, so an exact join must follow.
+    First a broadcast of which of SLOTS hash slots the keys fall into, so of SLOTS
+    numbers at most, whatever their number; then the exact join.
     """
-    slot = F.pmod(F.col(key), F.lit(SLOTS))
-    seen = keys.groupBy(F.floor(slot / 256).cast("int").alias("part")).agg(F.collect_set((slot % 256).cast("int")).alias("slots")).collect()
-    bits = bytearray(SLOTS)
-    for r in seen:
-        for s in r["slots"]:
-            bits[r["part"] * 256 + s] = 1
-    return F.substring(F.lit(bytes(bits)), (slot + 1).cast("int"), F.lit(1)) == F.lit(b"\x01")
+    slots = keys.select(F.pmod(F.col(key), F.lit(SLOTS)).alias("__slot")).distinct()
+    some = rows.withColumn("__slot", F.pmod(F.col(key), F.lit(SLOTS))).join(F.broadcast(slots), "__slot", "left_semi").drop("__slot")
+    return some.join(keys, key, "left_semi")
 
 
 def similar_later(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -126,7 +122,7 @@ def similar_later(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     shared = rows.withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("t"))).filter("c > 1").drop("c")
     shared = materialize(shared, "lines-shared")
     wanted = shared.select("h1").distinct()
-    some = classes.filter(among(wanted, "h1")).join(wanted, "h1", "left_semi").select("h1", "h2", "first", tokens("line").alias("sh"))
+    some = among(classes, wanted, "h1").select("h1", "h2", "first", tokens("line").alias("sh"))
     bit = lambda k: F.expr(f"aggregate(filter(sh, s -> (s & 3) = {k}), 0L, (a, s) -> a | shiftleft(1L, cast((s >> 2) & 63 as int)))").alias(f"b{k}")
     some = materialize(some.select("*", prefix.alias("prefix"), *[bit(k) for k in range(4)]), "lines-sets")
     rows = materialize(shared.join(some.drop("h2", "sh"), "h1"), "lines-rows")
