@@ -343,6 +343,22 @@ def points_of(texts: DataFrame, k: int = K) -> DataFrame:
     return texts.mapInArrow(run, "cls long, point binary")
 
 
+def bounded(pairs: DataFrame, points: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs (a, b) whose points allow the overlap they need; points are small, so texts move for these only."""
+    both = pairs.join(points.select(F.col("cls").alias("a"), F.col("point").alias("pa")), "a").join(points.select(F.col("cls").alias("b"), F.col("point").alias("pb")), "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, GROUPS) for c in ("pa", "pb"))
+            n, m = x.sum(axis=1, dtype=np.int64), y.sum(axis=1, dtype=np.int64)
+            good = np.minimum(x, y).sum(axis=1, dtype=np.int64) >= need(n, m, percent)
+            # a count that reached the largest that fits says nothing: such pairs stay
+            good |= (x == 65535).any(axis=1) | (y == 65535).any(axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    return both.select("a", "b", "pa", "pb").mapInArrow(run, "a long, b long")
+
+
 class RTree:
     """Points of group counts with their sizes and components, packed by sorting on the widest coordinate."""
 
@@ -488,11 +504,11 @@ def _links(docs: DataFrame, sets: DataFrame, classes: DataFrame, shared, counts:
 
     left, right = roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), roots.select(F.col("node").alias("b"), F.col("root").alias("rb"))
     apart = pairs.join(left, "a", "left").join(right, "b", "left").filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
-    _, links, roots = join(apart)
+    points = materialize(points_of(texts, k), "jaccard-points")
+    _, links, roots = join(bounded(apart, points, percent))
     rows = open_rows(big, roots, 0)
     if rows.isEmpty():
         return roots
-    points = materialize(points_of(texts.join(big.select("cls").distinct(), "cls", "left_semi"), k), "jaccard-points")
     for turn in range(TURNS):
         grew, links, roots = join(tree_pairs(rows, points, percent, PICKS, turn))
         if not grew:
