@@ -139,9 +139,10 @@ def _good(left: DataFrame, right: DataFrame, a: str, b: str) -> DataFrame:
     return M.best_jaccard(M.token_pairs(left, right, a, b)).filter("jaccard >= 0.3").select("l", "r", F.round("jaccard", 9).alias("jaccard"))
 
 
-def _stage_sql(n: int) -> str:
+def _stage_sql(n: int, whole: bool = False) -> str:
+    cut = "" if whole else f""" and p_brand > p_type || '{"" if n else "Z"}'"""
     names = " ".join(f"and name not in (select l from m{i})" for i in range(n))
-    return f"""t{n} as (select distinct p_name as name from part where p_size % 3 = {n} and p_brand > p_type || '{"" if n else "Z"}'),
+    return f"""t{n} as (select distinct p_name as name from part where p_size % 3 = {n}{cut}),
       i{n} as (select distinct unnest({_WORDS.format('name')}) as token, name from t{n}),
       p{n} as (select distinct a.name as l, b.name as r from idx a join i{n} b using (token) where true {names.replace('name not', 'a.name not')}),
       s{n} as (select l, r, round({_JACCARD}, 9) as jaccard from p{n}),
@@ -160,6 +161,15 @@ def cascade_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.cascade(_names(spark, sf_dir), "name", sources, _good)
 
 
+@query(f"""with {_PAIRS}, {_stage_sql(0, True)}, {_stage_sql(1, True)}, {_stage_sql(2, True)}, found as (select * from m0 union all select * from m1 union all select * from m2)
+  select * from found union all select name, null, null, null from names where name not in (select l from found)""")
+def cascade_match_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """cascade_match with all parts dealt to the three sources."""
+    part = table(spark, sf_dir, "part")
+    sources = [(f"s{n}", part.filter(F.col("p_size") % 3 == n).select(F.col("p_name").alias("other")).distinct(), "other") for n in range(3)]
+    return M.cascade(_names(spark, sf_dir), "name", sources, _good)
+
+
 # -- enrich and append ----------------------------------------------------------------
 @query("""select n_nationkey as nation, n_name, s.total, 'nation' as source from nation left join (select s_nationkey, round(sum(s_acctbal), 2) as total from supplier where s_nationkey % 2 = 0 group by 1) s on n_nationkey = s_nationkey where n_nationkey < 15
   union all select distinct c_nationkey, null, null, 'customer' from customer where c_nationkey not in (select n_nationkey from nation where n_nationkey < 15)""")
