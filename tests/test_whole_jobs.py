@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from test_operators import consolidated_by_loop
 
 from tessera.plans import queries as core
 
@@ -32,3 +33,12 @@ def test_cascade_reaches_every_source(spark, tmp_path):
     }
     columns, want = by_sql(sf, "cascade_match_whole", "part")
     assert sorted(map(repr, (tuple(r[c] for c in columns) for r in df.collect()))) == sorted(map(repr, want))
+
+
+def test_consolidated_takes_every_row(spark, tmp_path):
+    rows = [(i, f"n{i * 7 % 5}", f"Brand#{i % 2}", f"T{i % 3}", i % 6, float(i)) for i in range(1, 41)]
+    sf = put(spark, tmp_path, part=(rows, "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"))
+    master = [(k, f"{n} {b}", f"{n} {t}" if k % 3 == 0 else None, str(k) if k % 5 == 0 else None, price if size % 2 == 0 else None) for k, n, b, t, size, price in rows]
+    want, dropped = consolidated_by_loop(master)
+    assert dropped and {k % 4 for k in dropped} == {0, 1, 2, 3}
+    assert {r["ord"]: (r["name"], r["synonyms"], r["acn"], r["revenue"]) for r in core.QUERIES["consolidated"](spark, sf).collect()} == want
