@@ -1,7 +1,7 @@
 """Line deduplication by an exact set-similarity join, with DataFrame functions only.
 
 A line's tokens are its distinct runs of five words, in lower case (a shorter
-line is one token). Single words are too few for blocks that stay small: with
+line is one token); with k = 1 they are its distinct words. Single words are too few for blocks that stay small: with
 them, candidate pairs grow with the square of the corpus. Of two lines whose
 token sets have a Jaccard similarity of at least ``percent``, the later one is
 removed; lines come by doc_id (those without one last), then by a digest of the
@@ -57,12 +57,12 @@ def places(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return lines.select(F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), F.struct("doc", "pos").alias("at"), "line")
 
 
-def tokens(line: str) -> Column:
-    """Hashes of the distinct runs of K words of a line, sorted."""
+def tokens(line: str, k: int = K) -> Column:
+    """Hashes of the distinct runs of k words of a line, sorted."""
     hashes = f"transform(array_remove(split(lower({line}), '{SPACE}'), ''), w -> xxhash64(w))"
     return F.expr(
-        f"""sort_array(array_distinct(transform(array({hashes}), h -> if(size(h) < {K}, array(xxhash64(size(h), h)),
-            transform(sequence(0, size(h) - {K}), i -> xxhash64({', '.join(f'h[i + {j}]' for j in range(K))}))))[0]))"""
+        f"""sort_array(array_distinct(transform(array({hashes}), h -> if(size(h) < {k}, array(xxhash64(size(h), h)),
+            transform(sequence(0, size(h) - {k}), i -> xxhash64({', '.join(f'h[i + {j}]' for j in range(k))}))))[0]))"""
     )
 
 
@@ -109,9 +109,9 @@ def among(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return some.join(keys, key, "left_semi")
 
 
-def similar_later(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
+def similar_later(classes: DataFrame, percent: int = PERCENT, k: int = K) -> DataFrame:
     """h1, h2 of the classes of lines (h1, h2, first, line) that are similar to an earlier one."""
-    sets = classes.select("h1", tokens("line").alias("sh"))
+    sets = classes.select("h1", tokens("line", k).alias("sh"))
     last = frequent_tokens(sets, percent)
     common = F.lit(last).cast("array<bigint>") if last else F.expr(_LONGS)
     ordered = F.concat(F.array_except("sh", common), F.array_intersect(common, "sh")) if last else F.col("sh")
@@ -122,8 +122,8 @@ def similar_later(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     shared = rows.withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("t"))).filter("c > 1").drop("c")
     shared = materialize(shared, "lines-shared")
     wanted = shared.select("h1").distinct()
-    some = among(classes, wanted, "h1").select("h1", "h2", "first", tokens("line").alias("sh"))
-    bit = lambda k: F.expr(f"aggregate(filter(sh, s -> (s & 3) = {k}), 0L, (a, s) -> a | shiftleft(1L, cast((s >> 2) & 63 as int)))").alias(f"b{k}")
+    some = among(classes, wanted, "h1").select("h1", "h2", "first", tokens("line", k).alias("sh"))
+    bit = lambda b: F.expr(f"aggregate(filter(sh, s -> (s & 3) = {b}), 0L, (a, s) -> a | shiftleft(1L, cast((s >> 2) & 63 as int)))").alias(f"b{b}")
     some = materialize(some.select("*", prefix.alias("prefix"), *[bit(k) for k in range(4)]), "lines-sets")
     rows = materialize(shared.join(some.drop("h2", "sh"), "h1"), "lines-rows")
 
@@ -137,30 +137,30 @@ def similar_later(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     return materialize(by_leader.unionByName(rest).distinct(), "lines-removed")
 
 
-def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, k: int = K) -> DataFrame:
     """doc (none, id, digest) and the places of the lines to remove, for documents that lose any."""
     lines = places(docs, doc_id, text)
     grouped = lines.groupBy("h1", "h2").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("copies"), F.first("line").alias("line"))
     classes = materialize(grouped, "lines-classes")
-    later = similar_later(classes.select("h1", "h2", "first", "line"), percent).withColumn("gone", F.lit(True))
+    later = similar_later(classes.select("h1", "h2", "first", "line"), percent, k).withColumn("gone", F.lit(True))
     touched = classes.select("h1", "h2", "first", "copies").join(later, ["h1", "h2"], "left").filter("copies > 1 or gone")
     drop = lines.drop("line").join(touched, ["h1", "h2"]).filter("at <> first or gone")
     return drop.groupBy(F.col("at.doc").alias("doc")).agg(F.sort_array(F.collect_set("at.pos")).alias("removed"))
 
 
-def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, k: int = K) -> DataFrame:
     """docs without the lines that are copies of, or similar to, earlier ones; all columns and rows stay."""
-    gone = removals(docs, doc_id, text, percent)
+    gone = removals(docs, doc_id, text, percent, k)
     same = F.col("__doc.none").eqNullSafe(F.col("doc.none")) & F.col("__doc.id").eqNullSafe(F.col("doc.id")) & F.col("__doc.digest").eqNullSafe(F.col("doc.digest"))
     joined = docs.withColumn("__doc", doc_key(doc_id, text)).join(gone.select(F.struct("doc", "removed").alias("__gone")).select(F.col("__gone.doc").alias("doc"), F.col("__gone.removed").alias("__removed")), same, "left")
     kept = F.expr(f"array_join(transform(filter(transform(split(`{text}`, '\\n', -1), (l, i) -> struct(l, i)), x -> not array_contains(__removed, x.i)), x -> x.l), '\\n')")
     return joined.select(*[(F.when(F.col("__removed").isNull(), F.col(f"`{c}`")).otherwise(kept).alias(c) if c == text else F.col(f"`{c}`")) for c in docs.columns])
 
 
-def document_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def document_lines(docs: DataFrame, percent: int = PERCENT, k: int = K) -> DataFrame:
     """doc_id, n_lines, n_removed and the removed places, comma-joined, of every document."""
     docs = docs.select("doc_id", "text")
-    gone = removals(docs, percent=percent)
+    gone = removals(docs, percent=percent, k=k)
     whole = docs.select(doc_key("doc_id", "text").alias("d"), "doc_id", F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n", -1))).cast("long").alias("n_lines"))
     same = F.col("d.id").eqNullSafe(F.col("doc.id")) & F.col("d.digest").eqNullSafe(F.col("doc.digest"))
     joined = whole.join(gone, same, "left")

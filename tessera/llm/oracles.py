@@ -77,6 +77,8 @@ LINES = rf"""with p as (select doc_id, unnest(string_split(text, chr(10))) as li
   z as (select doc_id, count(*) as n, string_agg(pos::varchar, ',' order by pos) as removed from r group by 1)
   select doc_id, CASE WHEN text is null THEN 0 ELSE len(string_split(text, chr(10))) END::bigint as n_lines, coalesce(n, 0)::bigint as n_removed, coalesce(removed, '') as removed from documents left join z using (doc_id)"""
 
+WORD_LINES = LINES.replace(f"CASE WHEN len(w) < 5 THEN ['short ' || array_to_string(w, ' ')] ELSE {_windows('w', 5)} END", "w")
+
 
 def _spans(condition: str, name: str) -> str:
     """Unions of 50-word windows that start where the condition holds."""
@@ -97,5 +99,6 @@ ORACLES = {
     "op5_warc_round_trip": WARC,
     "op7_quality_rules": QUALITY,
     "op9_line_dedup": LINES,
+    "op9_word_line_dedup": WORD_LINES,
     "op10_suffix_repeats": REPEATS,
 }

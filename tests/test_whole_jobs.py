@@ -42,3 +42,19 @@ def test_consolidated_takes_every_row(spark, tmp_path):
     want, dropped = consolidated_by_loop(master)
     assert dropped and {k % 4 for k in dropped} == {0, 1, 2, 3}
     assert {r["ord"]: (r["name"], r["synonyms"], r["acn"], r["revenue"]) for r in core.QUERIES["consolidated"](spark, sf).collect()} == want
+
+
+def test_line_dedup_by_words(spark, tmp_path):
+    line_dedup = pytest.importorskip("tessera.llm.line_dedup")
+    from tessera.llm import oracles
+
+    base = [f"w{i}" for i in range(20)]
+    lines = [" ".join(base), " ".join([*base[:9], "other", *base[10:]]), " ".join([*base[:5], "a", "b", "c", "d", "e", *base[10:]]), "w1 w2", "W2 w1 w1"]
+    rows = [(i, x) for i, x in enumerate(lines)] + [(9, "\n".join(["", *reversed(lines)])), (10, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["removed"] for r in line_dedup.document_lines(docs, k=1).collect()}
+    assert got == {0: "", 1: "0", 2: "", 3: "", 4: "0", 9: "1,2,3,4,5", 10: ""}
+    con = pytest.importorskip("duckdb").connect()
+    con.sql(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    assert {r[0]: r[3] for r in con.sql(oracles.ORACLES["op9_word_line_dedup"]).fetchall()} == got
