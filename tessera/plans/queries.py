@@ -414,6 +414,16 @@ def merged_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.merge_edges(edges, sources, targets)
 
 
+@query("select distinct o_custkey as src, l_suppkey as dst, l_returnflag as role from orders join lineitem on l_orderkey = o_orderkey where l_suppkey in (select s_suppkey from supplier) and o_custkey in (select c_custkey from customer)")
+def merged_edges_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """merged_edges with all customers and suppliers as ends."""
+    rows = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "lineitem"), F.col("l_orderkey") == F.col("o_orderkey"))
+    edges = rows.select(F.col("o_custkey").alias("src"), F.col("l_suppkey").alias("dst"), F.col("l_returnflag").alias("role"))
+    sources = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
+    targets = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"))
+    return G.merge_edges(edges, sources, targets)
+
+
 @query("select o_custkey as id, count(*) as n from orders group by 1 having count(*) > 1")
 def duplicate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.duplicate_ids(table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("id")), "id")

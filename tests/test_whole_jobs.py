@@ -58,3 +58,15 @@ def test_line_dedup_by_words(spark, tmp_path):
     con = pytest.importorskip("duckdb").connect()
     con.sql(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
     assert {r[0]: r[3] for r in con.sql(oracles.ORACLES["op9_word_line_dedup"]).fetchall()} == got
+
+
+def test_merged_edges_of_all_ends(spark, tmp_path):
+    sf = put(
+        spark, tmp_path, customer=([(1, 3), (2, 17)], "c_custkey long, c_nationkey int"), supplier=([(4,), (6,)], "s_suppkey long"),
+        orders=([(10, 1), (11, 2), (12, 9), (13, None)], "o_orderkey long, o_custkey long"),
+        lineitem=([(10, 4, "A"), (10, 4, "A"), (10, 4, "R"), (11, 6, "N"), (11, 5, "N"), (12, 4, "A"), (13, 4, "A"), (11, None, "A")], "l_orderkey long, l_suppkey long, l_returnflag string"),
+    )
+    got = sorted((r["src"], r["dst"], r["role"]) for r in core.QUERIES["merged_edges_whole"](spark, sf).collect())
+    assert got == [(1, 4, "A"), (1, 4, "R"), (2, 6, "N")]
+    columns, want = by_sql(sf, "merged_edges_whole", "customer", "supplier", "orders", "lineitem")
+    assert columns == ["src", "dst", "role"] and got == sorted(want)
