@@ -70,3 +70,11 @@ def test_merged_edges_of_all_ends(spark, tmp_path):
     assert got == [(1, 4, "A"), (1, 4, "R"), (2, 6, "N")]
     columns, want = by_sql(sf, "merged_edges_whole", "customer", "supplier", "orders", "lineitem")
     assert columns == ["src", "dst", "role"] and got == sorted(want)
+
+
+def test_match_status_holds_names_against_all(spark, tmp_path):
+    # endings go by the number: 3 and 6 have ' Minerals Australia' and none, 7 ' Pty Ltd'
+    rows = [(3, "red gold"), (6, "blue zinc"), (7, "grey tin"), (9, "Ltd")]
+    sf = put(spark, tmp_path, part=(rows, "p_partkey long, p_name string"))
+    got = {r["l"]: r["r"] for r in core.QUERIES["match_status"](spark, sf).collect()}
+    assert got["blue zinc"] == "blue zinc" and got["grey tin"] == "grey tin" and got["red gold"] == "red gold mineral au"
