@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.order import dense_ids
+from tessera.operators.sequential import _cut as cut
 
 
 def make_nodes(df: DataFrame, value: str, prefix: str, id_col: str = "id", text_col: str = "text") -> DataFrame:
@@ -46,16 +47,24 @@ def hierarchy_edges(df: DataFrame, child: str, parent: str) -> DataFrame:
     return df.select(clean(child).alias("src"), clean(parent).alias("dst")).filter("src <> '' and dst <> ''").distinct()
 
 
-def closure(edges: DataFrame, max_depth: int = 32) -> DataFrame:
-    """src, dst, depth for all pairs joined by directed edges, with the least depth; one join for each level that is new."""
-    spark = edges.sparkSession
-    edges.createOrReplaceTempView("__closure_edges")
-    return spark.sql(
-        f"""with recursive up(src, dst, depth) as (
-              select src, dst, 1 from __closure_edges
-              union all select up.src, e.dst, up.depth + 1 from up join __closure_edges e on up.dst = e.src where up.depth < {int(max_depth)})
-            select src, dst, min(depth) depth from up group by src, dst"""
-    )
+def closure(edges: DataFrame, max_depth: int | None = None) -> DataFrame:
+    """src, dst, depth for all pairs joined by directed edges, with the least depth; one join for each level that is new.
+
+    With max_depth, pairs up to that depth only.
+    """
+    step = edges.select("src", "dst").distinct()
+    new = out = cut(step.withColumn("depth", F.lit(1)))
+    depth = 1
+    while max_depth is None or depth < max_depth:
+        depth += 1
+        further = new.select("src", F.col("dst").alias("via")).join(step.withColumnRenamed("src", "via"), "via").select("src", "dst").distinct()
+        known = out.select(F.col("src").alias("a"), F.col("dst").alias("b"))
+        fresh = further.join(known, F.col("src").eqNullSafe(F.col("a")) & F.col("dst").eqNullSafe(F.col("b")), "left_anti")
+        new = cut(fresh.withColumn("depth", F.lit(depth)))
+        if new.isEmpty():
+            break
+        out = cut(out.unionByName(new))
+    return out
 
 
 @dataclass

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from test_operators import consolidated_by_loop
 
+from tessera.operators import graph as G
 from tessera.plans import queries as core
 
 
@@ -78,3 +79,10 @@ def test_match_status_holds_names_against_all(spark, tmp_path):
     sf = put(spark, tmp_path, part=(rows, "p_partkey long, p_name string"))
     got = {r["l"]: r["r"] for r in core.QUERIES["match_status"](spark, sf).collect()}
     assert got["blue zinc"] == "blue zinc" and got["grey tin"] == "grey tin" and got["red gold"] == "red gold mineral au"
+
+
+def test_closure_of_a_deep_hierarchy_with_a_cycle(spark):
+    edges = [(i, i + 1) for i in range(36)] + [(50, 51), (51, 50), (51, None), (50, None)]
+    got = sorted(((r["src"], r["dst"], r["depth"]) for r in G.closure(spark.createDataFrame(edges, "src long, dst long")).collect()), key=repr)
+    chain = [(i, j, j - i) for i in range(37) for j in range(i + 1, 37)]
+    assert got == sorted([*chain, (50, 51, 1), (51, 50, 1), (50, 50, 2), (51, 51, 2), (50, None, 1), (51, None, 1)], key=repr)
