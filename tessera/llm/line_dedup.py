@@ -1,26 +1,34 @@
 """Line deduplication by an exact set-similarity join, with DataFrame functions only.
 
-A line's tokens are its distinct runs of five words, in lower case (a shorter
-line is one token); with k = 1 they are its distinct words. Single words are too few for blocks that stay small: with
-them, candidate pairs grow with the square of the corpus. Of two lines whose
-token sets have a Jaccard similarity of at least ``percent``, the later one is
-removed; lines come by doc_id (those without one last), then by a digest of the
-document, then by their place. Lines of one text are a class whose first line
-stands for it, so copies cost one aggregation with partial results and no join.
-
-Order. Tokens go by rarity: the FREQUENT ones with the most line classes, found
-by a mergeable sketch over all lines, come last and by their counts; the rest
-come first, by a hash. Any order gives the same result; this one gives small blocks. Prefix. Two similar lines of n and m tokens share one of
-the first n - ceil(percent * n) + 1 tokens of each. Position and length. A
-shared token at places i and j leaves room for 1 + min(n - i - 1, m - j - 1)
-common tokens, and sizes may differ by the percentage. A bitmap of 256 bits bounds
-what two sets have apart, and only the first token that a pair shares brings it
-up. What passes is verified on the token sets.
-
-Leaders. Lines that share a prefix token are first verified against the earliest
-line that has it, which is linear, and settles the many variants of one line.
-Only lines that no leader removed are then held against all earlier lines they
-share a token with, removed ones included.
+A line's tokens are its distinct words, in lower case. Of two lines whose token
+sets have a Jaccard similarity of at least ``percent``, the later one is removed,
+whether or not the earlier one is; lines come by doc_id (those without one last),
+then by a digest of the document, then by their place. Lines of one text are a
+class whose first line stands for it, so copies cost one aggregation with partial
+results and no join.
+
+Order. Tokens go by rarity, then by hash. Rarity is how often words occur in all
+texts, counted in SLOTS hash slots, so the table of counts has a fixed size
+whatever the corpus; words that share a slot count as equally frequent, which
+changes the work, never the result.
+
+Prefix. Two similar lines share one of the first n - ceil(percent * n) + 1 tokens
+of each, and two of the first n - ceil(percent * n) + 2 if they have two tokens
+or more. So a rare token of the prefix is a key, and of frequent ones (FREQUENT
+times the mean of a slot) every pair is: if the rarest token that two lines share
+is frequent, so is the next one. Blocks of a key stay small without leaving any
+line out.
+
+Position and length. A shared key at places i and j leaves room for
+1 + min(n - i - 1, m - j - 1) common tokens, and sizes may differ by the
+percentage. A bitmap of 64 bits, of which each token turns one, bounds how many
+tokens two sets have apart. What passes is verified on the token sets.
+
+Blocks of fewer than BLOCK lines are joined with themselves at once: a line meets
+BLOCK others a key at most. In larger blocks, lines are first verified against
+the earliest line, which is linear and settles the many variants of one line;
+those that no such leader removed are then held against all of the block, in
+parts where the join is skewed.
 
 Defined cases: a null text is a text without lines; lines without a word are
 never removed; a document whose lines are all removed has an empty text; rows
@@ -31,18 +39,19 @@ ignored by ``removals``, whatever their names.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import materialize
+from tessera.llm.shared import materialize, release, scratch
 
-K, PERCENT = 5, 80
-#: Tokens that come last in the order, and the counters of the sketch that finds them.
-FREQUENT, SKETCH_ITEMS = 256, 20_000
-#: Hash slots of the filter for lines that share a token.
-SLOTS = 1 << 20
+PERCENT = 80
+#: Hash slots in which words are counted, and how many times a slot's mean makes a word frequent (LEAST_FREQUENT at least).
+SLOTS, FREQUENT, LEAST_FREQUENT = 1 << 20, 16, 1 << 12
+#: Lines with a key from which a block has a leader.
+BLOCK = 16
 SPACE = r"[ \t-\r]+"
-_LONGS = "cast(array() as array<bigint>)"
+#: A token: its rarity (7 bits) above the low bits of its hash.
+_BITS = 55
 
 
 def doc_key(doc_id: str, text: str) -> Column:
@@ -50,118 +59,183 @@ def doc_key(doc_id: str, text: str) -> Column:
     return F.struct(F.col(f"`{doc_id}`").isNull().alias("none"), F.col(f"`{doc_id}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("digest"))
 
 
-def places(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """h1, h2, at and line of every line with a word; at is (document, place)."""
+def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """doc, pos and line of every line with a word."""
     lines = docs.select(doc_key(doc_id, text).alias("doc"), F.posexplode(F.split(F.coalesce(F.col(f"`{text}`"), F.lit("")), "\n", -1)).alias("pos", "line"))
-    lines = lines.filter(F.col("line").rlike(r"[^ \t-\r]"))
-    return lines.select(F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), F.struct("doc", "pos").alias("at"), "line")
-
-
-def tokens(line: str, k: int = K) -> Column:
-    """Hashes of the distinct runs of k words of a line, sorted."""
-    hashes = f"transform(array_remove(split(lower({line}), '{SPACE}'), ''), w -> xxhash64(w))"
-    return F.expr(
-        f"""sort_array(array_distinct(transform(array({hashes}), h -> if(size(h) < {k}, array(xxhash64(size(h), h)),
-            transform(sequence(0, size(h) - {k}), i -> xxhash64({', '.join(f'h[i + {j}]' for j in range(k))}))))[0]))"""
-    )
-
-
-def frequent_tokens(sets: DataFrame, percent: int) -> list[int]:
-    """The tokens of most lines, rarest first; FREQUENT at most.
-
-    Of each line those tokens are counted that would be its prefix by hash alone: only
-    they can be in many blocks.
-    """
-    top = sets.select(F.explode(_head(F.col("sh"), F.size("sh"), percent)).alias("t")).agg(F.expr(f"approx_top_k(t, {FREQUENT}, {SKETCH_ITEMS})").alias("top")).first()["top"] or []
-    return [x["item"] for x in sorted(top, key=lambda x: (x["count"], x["item"])) if x["count"] > 1]
-
-
-def _head(tokens_: Column, size: Column, percent: int) -> Column:
-    """The first n - ceil(percent * n) + 1 tokens."""
-    return F.slice(tokens_, 1, (size - F.ceil(size * percent / 100) + 1).cast("int"))
+    return lines.filter(F.col("line").rlike(r"[^ \t-\r]"))
 
 
-def _apart(percent: int) -> str:
-    """Condition on rows x and y of one token: lengths, positions, bitmaps, and that no earlier token brought the pair up."""
-    need = f"ceil((x.n + y.n) * {percent} / {100 + percent})"
-    bits = " + ".join(f"bit_count(x.b{k} ^ y.b{k})" for k in range(4))
-    return f"""100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n) and 1 + least(x.n - x.i, y.n - y.i) - 1 >= {need}
-        and {bits} <= x.n + y.n - 2 * {need}"""
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The later class (h1, h2) of each pair (a later, b earlier) whose token sets are similar."""
-    left = sets.select(F.col("h1").alias("a"), F.col("h2").alias("a2"), F.col("first").alias("fa"), F.col("sh").alias("sa"))
-    right = sets.select(F.col("h1").alias("b"), F.col("first").alias("fb"), F.col("sh").alias("sb"))
-    both = F.size(F.array_intersect("sa", "sb"))
-    good = pairs.join(left, "a").join(right, "b").filter("fb < fa").filter(100 * both >= percent * (F.size("sa") + F.size("sb") - both))
-    return good.select(F.col("a").alias("h1"), F.col("a2").alias("h2")).distinct()
-
-
-def among(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """The rows whose key is among the keys, found without moving most of the others.
-
-    First a broadcast of which of SLOTS hash slots the keys fall into, so of SLOTS
+def places(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """h1, h2, at and line of every line with a word; at is (document, place)."""
+    return _lines(docs, doc_id, text).select(F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), F.struct("doc", "pos").alias("at"), "line")
+
+
+def words(line: str) -> Column:
+    """The words of a line in lower case, with empty strings between spaces; a pattern is only matched where a line has other space."""
+    low = F.lower(F.col(line))
+    odd = F.lit(False)
+    for c in "\t\x0b\x0c\r":
+        odd = odd | F.contains(F.col(line), F.lit(c))
+    return F.when(odd, F.split(low, SPACE)).otherwise(F.split(low, " "))
+
+
+def _hashes(line: str) -> Column:
+    """The hash of each word of a line."""
+    return F.transform(F.array_remove(words(line), ""), lambda w: F.xxhash64(w))
+
+
+def rarity(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, int]:
+    """One row with the rarity of each slot (in the high bits of a long), and the rarity from which words are frequent."""
+    found = _lines(docs, doc_id, text).select(F.explode(words("line")).alias("w")).filter("w <> ''").select(F.xxhash64("w").bitwiseAND(SLOTS - 1).alias("slot"), F.lit(1).cast("long").alias("n"))
+    spark = docs.sparkSession
+    every = found.unionByName(spark.range(SLOTS).select(F.col("id").alias("slot"), F.lit(0).cast("long").alias("n")))
+    grade = F.when(F.col("n") == 0, 0).otherwise(F.least(F.lit(127), 1 + F.floor(4 * F.log2("n"))))
+    slots = materialize(every.groupBy("slot").agg(F.sum("n").alias("n")).select("slot", "n", grade.cast("long").alias("grade")), "lines-slots")
+    total = slots.agg(F.sum("n")).first()[0] or 0
+    often = max(LEAST_FREQUENT, FREQUENT * total // SLOTS)
+    limit = slots.filter(F.col("n") >= often).agg(F.min("grade")).first()[0] or 127
+    table = slots.agg(F.sort_array(F.collect_list(F.struct("slot", F.shiftleft("grade", _BITS).alias("v"))))["v"].alias("table"))
+    out = materialize(table, "lines-rarity")
+    release(slots)
+    return out, int(limit)
+
+
+def _tokens(line: str, table: Column) -> Column:
+    """The distinct tokens of a line, rarest first."""
+    low = (1 << _BITS) - 1
+    return F.sort_array(F.array_distinct(F.transform(_hashes(line), lambda h: F.get(table, h.bitwiseAND(SLOTS - 1).cast("int")).bitwiseOR(h.bitwiseAND(low)))))
+
+
+def _prefix(percent: int) -> Column:
+    """n - ceil(percent * n) + 1"""
+    return (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int")
+
+
+def heads(docs: DataFrame, doc_id: str, text: str, percent: int = PERCENT) -> tuple[DataFrame, int]:
+    """Classes of lines: h1, h2, first, copies, n, p, the p + 1 rarest tokens and a bitmap; and from which token on words are frequent."""
+    table, limit = rarity(docs, doc_id, text)
+    classes = places(docs, doc_id, text).groupBy("h1", "h2").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("copies"), F.first("line").alias("line"))
+    own = ["h1", "h2", "first", "copies"]
+    # an optimiser's rule moves the subquery into the function over words, so that no row carries the table
+    sets = classes.select(*own, "line", table.scalar().alias("table")).select(*own, _tokens("line", F.col("table")).alias("tokens"))
+    bitmap = F.expr("aggregate(tokens, 0L, (a, t) -> a ^ shiftleft(1L, cast(shiftright(t, 20) & 63 as int)))")
+    sized = sets.select(*own, F.size("tokens").alias("n"), bitmap.alias("b"), "tokens")
+    out = sized.withColumn("p", _prefix(percent)).select(*own, "n", "p", "b", F.slice("tokens", F.lit(1), F.col("p") + 1).alias("rarest"))
+    written = materialize(out, "lines-heads")
+    release(table)
+    return written, limit << _BITS
+
+
+def keys(heads_: DataFrame, frequent: int) -> DataFrame:
+    """t, h1, ni (size and place in the order), b and o (about the order of lines) of every key of every class."""
+    o = F.coalesce(F.shiftleft(F.col("first.doc.id").cast("long"), 20), F.col("first.doc.digest")) + F.col("first.pos")
+    own = ["h1", "n32", "b", "o"]
+    rows = heads_.select("h1", F.shiftleft(F.col("n").cast("long"), 32).alias("n32"), "b", o.alias("o"), "n", "p", "rarest")
+    ni = F.col("n32").bitwiseOR(F.col("i")).alias("ni")
+    first = F.posexplode(F.slice("rarest", F.lit(1), F.col("p"))).alias("i", "t")
+    single = rows.select(*own, first).filter((F.col("t") < frequent) | (F.col("n32") == 1 << 32)).select("t", "h1", ni, "b", "o")
+    # of the frequent tokens, which come last, each pair whose first token is in the prefix
+    several = rows.filter((F.col("n") > 1) & (F.get("rarest", F.col("p") - 1) >= frequent)).select(*own, "p", "rarest", first).filter(F.col("t") >= frequent)
+    pairs = several.select(*own, "i", "t", F.explode(F.slice("rarest", F.col("i") + 2, F.col("p") - F.col("i"))).alias("u"))
+    return single.unionByName(pairs.select(F.xxhash64("t", "u").alias("t"), "h1", ni, "b", "o"))
+
+
+def _may_link(percent: int) -> str:
+    """Condition on rows x and y of one key: lengths, places and bitmaps allow a link."""
+    n, m, i, j = "shiftright(x.ni, 32)", "shiftright(y.ni, 32)", "(x.ni & 4294967295)", "(y.ni & 4294967295)"
+    # least overlap of linked sets: need * (100 + percent) >= (n + m) * percent
+    room = f"least({n} - {i}, {m} - {j})"
+    return f"""100 * least({n}, {m}) >= {percent} * greatest({n}, {m}) and {100 + percent} * {room} >= {percent} * ({n} + {m})
+        and {100 + percent} * bit_count(x.b ^ y.b) <= {100 - percent} * ({n} + {m})"""
+
+
+def among(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """The rows whose key is among the wanted, found without moving most of the others.
+
+    First a broadcast of which of SLOTS hash slots they fall into, so of SLOTS
     numbers at most, whatever their number; then the exact join.
     """
-    slots = keys.select(F.pmod(F.col(key), F.lit(SLOTS)).alias("__slot")).distinct()
+    slots = wanted.select(F.pmod(F.col(key), F.lit(SLOTS)).alias("__slot")).distinct()
     some = rows.withColumn("__slot", F.pmod(F.col(key), F.lit(SLOTS))).join(F.broadcast(slots), "__slot", "left_semi").drop("__slot")
-    return some.join(keys, key, "left_semi")
-
-
-def similar_later(classes: DataFrame, percent: int = PERCENT, k: int = K) -> DataFrame:
-    """h1, h2 of the classes of lines (h1, h2, first, line) that are similar to an earlier one."""
-    sets = classes.select("h1", tokens("line", k).alias("sh"))
-    last = frequent_tokens(sets, percent)
-    common = F.lit(last).cast("array<bigint>") if last else F.expr(_LONGS)
-    ordered = F.concat(F.array_except("sh", common), F.array_intersect(common, "sh")) if last else F.col("sh")
-    size = F.size("sh")
-    prefix = _head(ordered, size, percent)
-    heads = sets.select("h1", size.alias("n"), prefix.alias("prefix"))
-    rows = heads.select("h1", "n", F.posexplode("prefix").alias("i", "t"))
-    shared = rows.withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("t"))).filter("c > 1").drop("c")
-    shared = materialize(shared, "lines-shared")
-    wanted = shared.select("h1").distinct()
-    some = among(classes, wanted, "h1").select("h1", "h2", "first", tokens("line", k).alias("sh"))
-    bit = lambda b: F.expr(f"aggregate(filter(sh, s -> (s & 3) = {b}), 0L, (a, s) -> a | shiftleft(1L, cast((s >> 2) & 63 as int)))").alias(f"b{b}")
-    some = materialize(some.select("*", prefix.alias("prefix"), *[bit(k) for k in range(4)]), "lines-sets")
-    rows = materialize(shared.join(some.drop("h2", "sh"), "h1"), "lines-rows")
-
-    lead = rows.groupBy("t").agg(F.min(F.struct("first", "h1", "n", "i", *[f"b{k}" for k in range(4)])).alias("y"))
-    near = rows.alias("x").join(lead.select("t", "y"), "t").filter("x.h1 <> y.h1").filter(_apart(percent))
-    by_leader = materialize(_verified(near.select(F.col("x.h1").alias("a"), F.col("y.h1").alias("b")).distinct(), some, percent), "lines-removed")
-
-    left = rows.join(by_leader.select("h1"), "h1", "left_anti")
-    met = left.alias("x").join(rows.alias("y"), F.expr(f"x.t = y.t and y.first < x.first and {_apart(percent)} and array_intersect(x.prefix, y.prefix)[0] = x.t"))
-    rest = _verified(met.select(F.col("x.h1").alias("a"), F.col("y.h1").alias("b")), some, percent)
-    return materialize(by_leader.unionByName(rest).distinct(), "lines-removed")
-
-
-def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, k: int = K) -> DataFrame:
+    return some.join(wanted, key, "left_semi")
+
+
+def _pairs(met: DataFrame) -> DataFrame:
+    """The classes a, b of rows x, y, each pair once."""
+    return met.select(F.least("x.h1", "y.h1").alias("a"), F.greatest("x.h1", "y.h1").alias("b")).distinct()
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
+    """h1, h2 of the later class of each pair (a, b) whose token sets are similar."""
+    with scratch() as held:
+        held.append(pairs := materialize(pairs, "lines-pairs"))
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct()
+        texts = among(places(docs, doc_id, text), wanted, "h1").groupBy("h1", "h2").agg(F.min("at").alias("first"), F.first("line").alias("line"))
+        held.append(sets := materialize(texts.select("h1", "h2", "first", F.sort_array(F.array_distinct(_hashes("line"))).alias("s")), "lines-sets"))
+        left = sets.select(F.col("h1").alias("a"), F.col("h2").alias("a2"), F.col("first").alias("fa"), F.col("s").alias("sa"))
+        right = sets.select(F.col("h1").alias("b"), F.col("h2").alias("b2"), F.col("first").alias("fb"), F.col("s").alias("sb"))
+        both = pairs.join(left, "a").join(right, "b").withColumn("o", F.size(F.array_intersect("sa", "sb")))
+        good = both.filter(100 * F.col("o") >= percent * (F.size("sa") + F.size("sb") - F.col("o")))
+        later = F.when(F.col("fa") > F.col("fb"), F.struct(F.col("a").alias("h1"), F.col("a2").alias("h2"))).otherwise(F.struct(F.col("b").alias("h1"), F.col("b2").alias("h2")))
+        return materialize(good.select(later.alias("l")).select("l.*").distinct(), "lines-later")
+
+
+def similar_later(docs: DataFrame, heads_: DataFrame, frequent: int, doc_id: str, text: str, percent: int = PERCENT) -> DataFrame:
+    """h1, h2 of the classes of lines that are similar to an earlier one."""
+    every = keys(heads_, frequent)
+    link = F.expr(_may_link(percent))
+    with scratch() as held:
+        held.append(counts := materialize(every.groupBy("t").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "lines-counts"))
+
+        few = every.select("t", "h1", "ni", "b").join(counts.filter(F.col("c") < BLOCK).select("t").hint("shuffle_hash"), "t")
+        small = few.alias("x").join(few.alias("y").hint("shuffle_hash"), (F.col("x.t") == F.col("y.t")) & (F.col("x.h1") < F.col("y.h1")) & link)
+        held.append(near := materialize(_pairs(small), "lines-near"))
+
+        held.append(rows := materialize(among(every, counts.filter(F.col("c") >= BLOCK).select("t"), "t"), "lines-rows"))
+        release(counts)
+        lead = rows.groupBy("t").agg(F.min(F.struct("o", "h1", "ni", "b")).alias("y"))
+        led = rows.alias("x").join(lead.select("t", "y"), "t").filter("x.h1 <> y.h1").filter(link)
+        held.append(by_leader := _verified(_pairs(led).unionByName(near).distinct(), docs, doc_id, text, percent))
+        release(near)
+
+        left = rows.join(by_leader.select("h1"), "h1", "left_anti")
+        met = left.alias("x").join(rows.alias("y"), (F.col("x.t") == F.col("y.t")) & (F.col("x.h1") != F.col("y.h1")) & link)
+        held.append(rest := _verified(_pairs(met), docs, doc_id, text, percent))
+        return materialize(by_leader.unionByName(rest).distinct(), "lines-removed")
+
+
+def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """doc (none, id, digest) and the places of the lines to remove, for documents that lose any."""
-    lines = places(docs, doc_id, text)
-    grouped = lines.groupBy("h1", "h2").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("copies"), F.first("line").alias("line"))
-    classes = materialize(grouped, "lines-classes")
-    later = similar_later(classes.select("h1", "h2", "first", "line"), percent, k).withColumn("gone", F.lit(True))
-    touched = classes.select("h1", "h2", "first", "copies").join(later, ["h1", "h2"], "left").filter("copies > 1 or gone")
-    drop = lines.drop("line").join(touched, ["h1", "h2"]).filter("at <> first or gone")
-    return drop.groupBy(F.col("at.doc").alias("doc")).agg(F.sort_array(F.collect_set("at.pos")).alias("removed"))
-
-
-def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, k: int = K) -> DataFrame:
+    if not 50 < percent <= 100:  # two lines that link, of two tokens or more, must share two
+        raise ValueError("percent must be above 50 and at most 100")
+    classes, frequent = heads(docs, doc_id, text, percent)
+    later = similar_later(docs, classes, frequent, doc_id, text, percent)
+    touched = classes.select("h1", "h2", "first", "copies").join(later.withColumn("gone", F.lit(True)), ["h1", "h2"], "left").filter("copies > 1 or gone")
+    touched = materialize(touched, "lines-touched")
+    release(classes, later)
+    drop = among(places(docs, doc_id, text).drop("line"), touched.select("h1"), "h1").join(touched, ["h1", "h2"]).filter("at <> first or gone")
+    out = materialize(drop.groupBy(F.col("at.doc").alias("doc")).agg(F.sort_array(F.collect_set("at.pos")).alias("removed")), "lines-places")
+    release(touched)
+    return out
+
+
+def _with_removed(docs: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
+    """row (all columns of docs, whatever their names) and removed (null where nothing is)."""
+    gone = removals(docs, doc_id, text, percent).select(F.struct("doc", "removed").alias("g"))
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), doc_key(doc_id, text).alias("d"))
+    same = F.col("d.none").eqNullSafe(F.col("g.doc.none")) & F.col("d.id").eqNullSafe(F.col("g.doc.id")) & F.col("d.digest").eqNullSafe(F.col("g.doc.digest"))
+    return packed.join(gone, same, "left").select("row", F.col("g.removed").alias("removed"))
+
+
+def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """docs without the lines that are copies of, or similar to, earlier ones; all columns and rows stay."""
-    gone = removals(docs, doc_id, text, percent, k)
-    same = F.col("__doc.none").eqNullSafe(F.col("doc.none")) & F.col("__doc.id").eqNullSafe(F.col("doc.id")) & F.col("__doc.digest").eqNullSafe(F.col("doc.digest"))
-    joined = docs.withColumn("__doc", doc_key(doc_id, text)).join(gone.select(F.struct("doc", "removed").alias("__gone")).select(F.col("__gone.doc").alias("doc"), F.col("__gone.removed").alias("__removed")), same, "left")
-    kept = F.expr(f"array_join(transform(filter(transform(split(`{text}`, '\\n', -1), (l, i) -> struct(l, i)), x -> not array_contains(__removed, x.i)), x -> x.l), '\\n')")
-    return joined.select(*[(F.when(F.col("__removed").isNull(), F.col(f"`{c}`")).otherwise(kept).alias(c) if c == text else F.col(f"`{c}`")) for c in docs.columns])
+    joined = _with_removed(docs, doc_id, text, percent)
+    kept = F.expr(f"array_join(transform(filter(transform(split(row.`{text}`, '\\n', -1), (l, i) -> struct(l, i)), x -> not array_contains(removed, x.i)), x -> x.l), '\\n')")
+    return joined.select(*[(F.when(F.col("removed").isNull(), F.col(f"row.`{c}`")).otherwise(kept) if c == text else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
-def document_lines(docs: DataFrame, percent: int = PERCENT, k: int = K) -> DataFrame:
+def document_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_lines, n_removed and the removed places, comma-joined, of every document."""
-    docs = docs.select("doc_id", "text")
-    gone = removals(docs, percent=percent, k=k)
-    whole = docs.select(doc_key("doc_id", "text").alias("d"), "doc_id", F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n", -1))).cast("long").alias("n_lines"))
-    same = F.col("d.id").eqNullSafe(F.col("doc.id")) & F.col("d.digest").eqNullSafe(F.col("doc.digest"))
-    joined = whole.join(gone, same, "left")
-    return joined.select("doc_id", "n_lines", F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"), F.coalesce(F.array_join(F.col("removed").cast("array<string>"), ","), F.lit("")).alias("removed"))
+    joined = _with_removed(docs.select("doc_id", "text"), "doc_id", "text", percent)
+    n = F.when(F.col("row.text").isNull(), 0).otherwise(F.size(F.split("row.text", "\n", -1))).cast("long")
+    return joined.select(F.col("row.doc_id").alias("doc_id"), n.alias("n_lines"), F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"), F.coalesce(F.array_join(F.col("removed").cast("array<string>"), ","), F.lit("")).alias("removed"))

@@ -69,7 +69,7 @@ QUALITY = rf"""with d as (select row_number() over () as r, doc_id, lang, source
 
 LINES = rf"""with p as (select doc_id, unnest(string_split(text, chr(10))) as line, unnest(range(0, len(string_split(text, chr(10))))) as pos from documents where text is not null),
   q as (select *, row_number() over (order by doc_id, pos) as o from p where regexp_matches(line, '[^ \t-\r]')), f as (select line, min(o) as first from q group by 1),
-  s as (select first, list_distinct(CASE WHEN len(w) < 5 THEN ['short ' || array_to_string(w, ' ')] ELSE {_windows('w', 5)} END) as s from (select first, {_WORDS.format('lower(line)')} as w from f)),
+  s as (select first, list_distinct({_WORDS.format('lower(line)')}) as s from f),
   t as (select first, len(s) as n, unnest(s) as x from s),
   c as (select a.first as later, any_value(a.n) as n, any_value(b.n) as m, count(*) as k from t a join t b on a.x = b.x and b.first < a.first group by a.first, b.first),
   g as (select distinct later from c where 100 * k >= 80 * (n + m - k)),
@@ -77,8 +77,6 @@ LINES = rf"""with p as (select doc_id, unnest(string_split(text, chr(10))) as li
   z as (select doc_id, count(*) as n, string_agg(pos::varchar, ',' order by pos) as removed from r group by 1)
   select doc_id, CASE WHEN text is null THEN 0 ELSE len(string_split(text, chr(10))) END::bigint as n_lines, coalesce(n, 0)::bigint as n_removed, coalesce(removed, '') as removed from documents left join z using (doc_id)"""
 
-WORD_LINES = LINES.replace(f"CASE WHEN len(w) < 5 THEN ['short ' || array_to_string(w, ' ')] ELSE {_windows('w', 5)} END", "w")
-
 
 def _spans(condition: str, name: str) -> str:
     """Unions of 50-word windows that start where the condition holds."""
@@ -99,6 +97,5 @@ ORACLES = {
     "op5_warc_round_trip": WARC,
     "op7_quality_rules": QUALITY,
     "op9_line_dedup": LINES,
-    "op9_word_line_dedup": WORD_LINES,
     "op10_suffix_repeats": REPEATS,
 }

@@ -63,11 +63,6 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.document_lines(table(spark, sf_dir, "documents"))
 
 
-def op9_word_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """op9_line_dedup with words as tokens, which also finds short near copies."""
-    return line_dedup.document_lines(table(spark, sf_dir, "documents"), k=1)
-
-
 def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.document_repeats(table(spark, sf_dir, "documents"))
 
@@ -82,6 +77,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality_rules": op7_quality_rules,
     "op8_toxicity": op8_toxicity,
     "op9_line_dedup": op9_line_dedup,
-    "op9_word_line_dedup": op9_word_line_dedup,
     "op10_suffix_repeats": op10_suffix_repeats,
 }

@@ -149,9 +149,8 @@ def quality(docs: list[tuple], reach: float = 3.0, least: int = 20) -> list[dict
     return rows
 
 
-def line_tokens(line: str, k: int = 5) -> frozenset:
-    ws = [w for w in words(line.lower())]
-    return frozenset(tuple(ws[i : i + k]) for i in range(max(1, len(ws) - k + 1)))
+def line_tokens(line: str) -> frozenset:
+    return frozenset(words(line.lower()))
 
 
 def line_removals(docs: list[tuple], percent: int = 80) -> list[set[int]]:
