@@ -116,8 +116,9 @@ def heads(docs: DataFrame, doc_id: str, text: str, percent: int = PERCENT) -> tu
     table, limit = rarity(docs, doc_id, text)
     classes = places(docs, doc_id, text).groupBy("h1", "h2").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("copies"), F.first("line").alias("line"))
     own = ["h1", "h2", "first", "copies"]
-    # an optimiser's rule moves the subquery into the function over words, so that no row carries the table
-    sets = classes.select(*own, "line", table.scalar().alias("table")).select(*own, _tokens("line", F.col("table")).alias("tokens"))
+    # the optimiser moves the subquery into the function over words, so that no row carries the table; the
+    # filter, which all rows pass, keeps it from moving into the aggregation instead
+    sets = classes.filter("copies > 0").select(*own, "line", table.scalar().alias("table")).select(*own, _tokens("line", F.col("table")).alias("tokens"))
     bitmap = F.expr("aggregate(tokens, 0L, (a, t) -> a ^ shiftleft(1L, cast(shiftright(t, 20) & 63 as int)))")
     sized = sets.select(*own, F.size("tokens").alias("n"), bitmap.alias("b"), "tokens")
     out = sized.withColumn("p", _prefix(percent)).select(*own, "n", "p", "b", F.slice("tokens", F.lit(1), F.col("p") + 1).alias("rarest"))
