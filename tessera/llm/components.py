@@ -1,9 +1,9 @@
 """Connected components of a distributed edge list, by alternating star operations.
 
 Edges (u, v) with u > v over long node ids. Each round joins the edges with the
-least neighbour of a node, found by partial aggregation, so a node with very
-many edges is neither collected nor one task's work alone; every round's edges
-are written to the shared folder. Nothing is brought to the driver but counts.
+least neighbour of a node, found by partial aggregation; a node with very many
+edges is a skewed key of that join, which adaptive execution splits. Every
+round's edges are written to the shared folder, and the round before's deleted. Nothing is brought to the driver but counts.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import materialize
+from tessera.llm.shared import materialize, release
 
 
 def _down(edges: DataFrame) -> DataFrame:
@@ -32,14 +32,21 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame, tag: str = "components") -> DataFrame:
-    """node, root for every node that has an edge; the root is the least node of its component."""
+    """node, root for every node that has an edge; the root is the least node of its component.
+
+    The table is written to the shared folder; release() may delete it.
+    """
     now = materialize(_down(edges), tag)
     seen = None
     while True:
-        now = materialize(_small_star(_large_star(now)), tag)
+        after = materialize(_small_star(_large_star(now)), tag)
+        release(now)
+        now = after
         state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == seen:
             break
         seen = state
     stars = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    return stars.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+    out = materialize(stars.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()), tag)
+    release(now)
+    return out

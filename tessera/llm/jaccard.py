@@ -16,16 +16,16 @@ verified against the leader it shares most blocks with. This is linear in the
 blocks and joins most groups of near copies. A shared key at places i and j
 leaves room for min(n - i, m - j) common shingles; what needs more is left out.
 
-R-tree. What is left are pairs in a block that are not yet in one component. The
-shingles are hashed into GROUPS groups, and a class is the point of its group
-counts: the sum of the coordinate minima of two points bounds the overlap of the
-sets, and that of two boxes' upper corners bounds the overlap of all sets below
-them. A block is joined with itself by descending its R-tree; subtrees whose
-bound is below what their smallest sizes need, or that lie in one component, are
-left out. Blocks that fit a leaf are compared at once. Blocks of over TILE
-classes are cut into tiles, each pair of tiles a task of its own. For TURNS
-rounds a class is verified against PICKS partners only, which joins components;
-then all surviving pairs of different components are verified on the texts.
+R-tree. Blocks whose classes are then still of several components are joined with
+themselves by R-trees, whatever their size. The shingles are hashed into GROUPS
+groups, and a class is the point of its group counts: the sum of the coordinate
+minima of two points bounds the overlap of the sets, and that of two boxes' upper
+corners bounds the overlap of all sets below them. A tree is joined with itself
+from its root; subtrees whose bound is below what their smallest sizes need, or
+that lie in one component, are left out. Blocks of over TILE classes are cut into
+tiles, each pair of tiles a tree of its own, and many small trees make a task. For
+TURNS rounds a class is verified against PICKS partners only, which joins
+components; then all pairs that survive are verified on the texts.
 
 Memory: a task holds a bucket of keys, a tile pair or a batch of texts; the
 driver holds the list of common shingles and counts. Hashes have 64 bits.
@@ -33,7 +33,8 @@ driver holds the list of common shingles and counts. Hashes have 64 bits.
 Defined cases: a null or empty text, or one without words, has an empty set, is
 linked with nothing and is its own component; a document without an id has its
 set's size, but takes no part in linking and has no component; repeated ids are
-rows of their own, linked by their own sets; empty tables give no rows; other
+rows of their own, linked by their own sets; where no two documents share a key,
+or there is one document only, nothing is linked; empty tables give no rows; other
 columns are ignored, or kept by ``keep_one``, whatever their names.
 """
 
@@ -48,13 +49,15 @@ from pyspark.sql import functions as F
 
 from tessera.llm import words as W
 from tessera.llm.components import components
-from tessera.llm.shared import materialize
+from tessera.llm.shared import materialize, release, scratch
 
 K, PERCENT = 5, 80
 #: Common shingles that are ordered last, and in how many documents of LOCAL_BYTES of text a shingle counts as common.
 HOT_LIMIT, HOT_LOCAL, LOCAL_BYTES = 1 << 17, 4, 8 << 20
 #: Key rows that a bucket holds, classes of a block's tile, of a leaf, and coordinates of a point.
 BUCKET_ROWS, TILE, LEAF, GROUPS = 1 << 20, 4096, 16, 128
+#: Rows of small blocks that one task joins.
+TREE_ROWS = 1 << 15
 #: Rounds in which a class of a larger block is verified against a few partners, before all that are left.
 TURNS, PICKS = 2, 4
 _KEY = np.dtype([("key", "<u8"), ("cls", "<i8"), ("n", "<i4"), ("pos", "<i4")])
@@ -170,10 +173,10 @@ def measured(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
 
 
 def met_in_blocks(sets: DataFrame, shared, counts: np.ndarray, percent: int = PERCENT) -> DataFrame:  # noqa: ANN001
-    """What blocks of classes with a common key give; keys meet in buckets of packed rows.
+    """The blocks of classes with a common key: key, cls, n, free (what the key's place leaves of n), size and lead.
 
-    kind 0: a class (cls) and the leader of its block (other). kind 1: a pair of a
-    block that fits a leaf. kind 2: a class of a larger block, for the R-tree.
+    Keys meet in buckets of packed rows. size is about that of the block, lead the
+    block's leader, where the class may link with it.
     """
     rows = sets.agg(F.sum(F.octet_length("keys") / 8)).first()[0] or 0
     buckets = max(sets.sparkSession.sparkContext.defaultParallelism, int(rows // BUCKET_ROWS) + 1)
@@ -238,57 +241,21 @@ def met_in_blocks(sets: DataFrame, shared, counts: np.ndarray, percent: int = PE
         lead[:] = by[starts][np.cumsum(np.diff(run, prepend=-1) != 0) - 1] if len(rows) else 0
         me = np.arange(len(rows))
         star = me[(lead != me) & fits(me, lead)] if len(rows) else me
-        small = (size <= LEAF) & ~salted
-        left, right = [], []
-        for d in range(1, LEAF):
-            x = me[: max(0, len(rows) - d)]
-            x = x[small[x] & (run[x] == run[x + d])]
-            x = x[fits(x, x + d)]
-            left.append(x)
-            right.append(x + d)
-        # of a larger block, what fits nothing goes; few pairs are given as such, many are left to the R-tree
-        of_tree = np.zeros(len(rows), bool)
-        of_tree[salted] = True
-        first = np.flatnonzero(np.diff(run, prepend=-1))
-        for lo, hi in zip(first, np.append(first[1:], len(rows)), strict=True):
-            if small[lo] or salted[lo]:
-                continue
-            found_x, found_y, many = [], [], 0
-            for at in range(lo, hi, 512):
-                u = me[at : min(at + 512, hi)]
-                a, b = np.repeat(u, hi - lo), np.tile(me[lo:hi], len(u))
-                ok = a < b
-                a, b = a[ok], b[ok]
-                ok = fits(a, b)
-                a, b = a[ok], b[ok]
-                many += len(a)
-                of_tree[a] = of_tree[b] = True
-                if many <= 4 * (hi - lo):
-                    found_x.append(a)
-                    found_y.append(b)
-            if many <= 4 * (hi - lo):
-                of_tree[lo:hi] = False
-                left += found_x
-                right += found_y
-        x, y = np.concatenate(left), np.concatenate(right)
-        big = np.flatnonzero(of_tree)
-        cls = rows["cls"]
-        stars = _distinct(cls[star], cls[lead[star]])
-        pairs = _distinct(np.minimum(cls[x], cls[y]), np.maximum(cls[x], cls[y]))
-        none = np.zeros(0, np.int64)
-        cols = [
-            np.repeat([0, 1, 2], [len(stars[0]), len(pairs[0]), len(big)]).astype(np.int32),
-            np.concatenate([np.zeros(len(stars[0]) + len(pairs[0]), np.int64), rows["key"][big].view(np.int64)]),
-            np.concatenate([stars[0], pairs[0], cls[big]]),
-            np.concatenate([stars[1], pairs[1], none, np.zeros(len(big), np.int64)]),
-            np.concatenate([stars[2], np.zeros(len(pairs[0]), np.int64), n[big]]),
-            np.concatenate([np.zeros(len(stars[0]) + len(pairs[0]), np.int64), free[big]]),
-            np.concatenate([np.zeros(len(stars[0]) + len(pairs[0]), np.int64), size[big]]),
-        ]
-        return pa.table(dict(zip(("kind", "key", "cls", "other", "n", "free", "size"), map(pa.array, cols), strict=True)))
+        led = np.zeros(len(rows), bool)
+        led[star] = True
+        # what no other class of the block comes near in size goes; in a salted block the rest is elsewhere
+        by = np.lexsort((n, run))
+        ok = np.zeros(len(rows), bool)
+        x, y = by[:-1], by[1:]
+        close = (run[x] == run[y]) & (100 * n[x] >= percent * n[y])
+        ok[x[close]] = ok[y[close]] = True
+        ok |= salted
+        names = ("key", "cls", "n", "free", "size")
+        cols = {k: pa.array(v[ok]) for k, v in zip(names, (rows["key"].view(np.int64), rows["cls"], n, free, size), strict=True)}
+        return pa.table(cols | {"lead": pa.array(rows["cls"][lead][ok], mask=~led[ok])})
 
     dealt = sets.filter("keys is not null").select("keys", "cls", "n").mapInArrow(deal, "bucket long, rows binary")
-    return materialize(dealt.groupBy("bucket").applyInArrow(meet, "kind int, key long, cls long, other long, n long, free long, size long"), "jaccard-met")
+    return materialize(dealt.groupBy("bucket").applyInArrow(meet, "key long, cls long, n long, free long, size long, lead long"), "jaccard-met")
 
 
 def _places(values: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -343,22 +310,6 @@ def points_of(texts: DataFrame, k: int = K) -> DataFrame:
     return texts.mapInArrow(run, "cls long, point binary")
 
 
-def bounded(pairs: DataFrame, points: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) whose points allow the overlap they need; points are small, so texts move for these only."""
-    both = pairs.join(points.select(F.col("cls").alias("a"), F.col("point").alias("pa")), "a").join(points.select(F.col("cls").alias("b"), F.col("point").alias("pb")), "b")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, GROUPS) for c in ("pa", "pb"))
-            n, m = x.sum(axis=1, dtype=np.int64), y.sum(axis=1, dtype=np.int64)
-            good = np.minimum(x, y).sum(axis=1, dtype=np.int64) >= need(n, m, percent)
-            # a count that reached the largest that fits says nothing: such pairs stay
-            good |= (x == 65535).any(axis=1) | (y == 65535).any(axis=1)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    return both.select("a", "b", "pa", "pb").mapInArrow(run, "a long, b long")
-
-
 class RTree:
     """Points of group counts with their sizes and components, packed by sorting on the widest coordinate."""
 
@@ -421,14 +372,17 @@ class RTree:
                 yield x[good], y[good]
 
 
-def open_rows(big: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
-    """The classes of larger blocks that still hold several components, with their roots; asks, in one block of each class at a turn."""
-    rows = big.join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    rows = materialize(rows, "jaccard-rows")
-    several = rows.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 < r2").select("key")
+def open_rows(rows: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
+    """The rows of blocks that still hold several components, with their roots; asks, in one block of each class at a turn."""
+    rooted = materialize(rows.join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left").withColumn("root", F.coalesce("root", "cls")), "jaccard-rows")
+    several = rooted.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 < r2").select("key")
+    found = materialize(rooted.join(several, "key"), "jaccard-several")
+    release(rooted)
     # each class asks for partners in one of its blocks only
-    first = F.row_number().over(Window.partitionBy("cls").orderBy(F.xxhash64("key", F.lit(turn))))
-    return materialize(rows.join(several, "key").withColumn("asks", first == 1), "jaccard-open")
+    asked = found.groupBy("cls").agg(F.min_by("key", F.xxhash64("key", F.lit(turn))).alias("asked"))
+    out = materialize(found.join(asked, "cls").select(*found.columns, (F.col("key") == F.col("asked")).alias("asks")), "jaccard-open")
+    release(found)
+    return out
 
 
 def tree_pairs(rows: DataFrame, points: DataFrame, percent: int = PERCENT, picks: int | None = None, turn: int = 0) -> DataFrame:
@@ -439,95 +393,117 @@ def tree_pairs(rows: DataFrame, points: DataFrame, percent: int = PERCENT, picks
     tiles = F.ceil(F.col("size") / TILE).cast("int")
     dealt = rows.withColumn("tiles", tiles).withColumn("own", F.pmod("cls", F.col("tiles")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).withColumn("t1", F.least("own", "other")).withColumn("t2", F.greatest("own", "other"))
-    dealt = dealt.join(points, "cls").select("key", "t1", "t2", "own", "cls", "n", "free", "root", "asks", "point")
-
-    def join_tile(table: pa.Table) -> pa.Table:
-        cls, size, free, comp, own = (np.asarray(table.column(c)) for c in ("cls", "n", "free", "root", "own"))
-        points_ = np.frombuffer(b"".join(table.column("point").to_pylist()), "<u2").reshape(len(cls), GROUPS)
-        apart = own if table.column("t1")[0] != table.column("t2")[0] else None
+    total = dealt.agg(F.count(F.lit(1))).first()[0]
+    unit = F.xxhash64("key", "t1", "t2")
+    dealt = dealt.withColumn("bucket", F.pmod(unit, F.lit(total // TREE_ROWS + 1)))
+    dealt = dealt.join(points, "cls").select("bucket", unit.alias("unit"), "own", "cls", "n", "free", "root", "asks", "point")
+
+    def join_tile(unit: np.ndarray, cls: np.ndarray, size: np.ndarray, free: np.ndarray, comp: np.ndarray, own: np.ndarray, asks: np.ndarray, points_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        # the unit of two tiles of a block holds both, and joins one with the other; that of one tile joins it with itself
+        apart = own if (own != own[0]).any() else None
         found = list(RTree(points_, size, free, comp, percent).pairs(apart))
         x = np.concatenate([f[0] for f in found]) if found else np.zeros(0, np.int64)
         y = np.concatenate([f[1] for f in found]) if found else np.zeros(0, np.int64)
         if picks is not None and len(x):
             # of each class, the partners that come first in this turn's order
             left, right = np.concatenate([x, y]), np.concatenate([y, x])
-            asking = np.asarray(table.column("asks"))[left]
+            asking = asks[left]
             left, right = left[asking], right[asking]
             order = np.lexsort((W.mix(cls[right].view(np.uint64) + np.uint64(turn)), left))
             left, right = left[order], right[order]
             begin = np.flatnonzero(np.diff(left, prepend=-1))
             nth = np.arange(len(left)) - np.repeat(begin, np.diff(np.append(begin, len(left))))
             x, y = left[nth < picks], right[nth < picks]
-        a, b, _ = _distinct(np.minimum(cls[x], cls[y]), np.maximum(cls[x], cls[y]))
+        return np.minimum(cls[x], cls[y]), np.maximum(cls[x], cls[y])
+
+    def join_all(table: pa.Table) -> pa.Table:
+        names = ("unit", "cls", "n", "free", "root", "own", "asks")
+        cols = [np.asarray(table.column(c)) for c in names]
+        points_ = np.frombuffer(b"".join(table.column("point").to_pylist()), "<u2").reshape(len(cols[0]), GROUPS)
+        order = np.argsort(cols[0], kind="stable")
+        begin = np.flatnonzero(np.diff(cols[0][order]) != 0) + 1
+        found = [join_tile(*[c[at] for c in cols], points_[at]) for at in np.split(order, begin)]
+        a, b, _ = _distinct(np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]))
         return pa.table({"a": a, "b": b})
 
-    return dealt.groupBy("key", "t1", "t2").applyInArrow(join_tile, "a long, b long")
+    return dealt.groupBy("bucket").applyInArrow(join_all, "a long, b long")
 
 
 def document_components(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
-    return _components(docs, k, percent).drop("digest")
+    sets, named = _components(docs, k, percent)
+    own = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component_id", "doc_id"))
+    return sets.join(named, "cls", "left").select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
 def keep_one(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
-    """The document of the least id of each component, with all its columns, and all documents without an id.
+    """One document of each component, with all its columns: one of the least id.
 
-    Of several rows with that id, one stays.
+    Documents without an id or without words are all kept, and of rows that repeat an
+    id, those whose texts are not linked are each kept.
     """
-    found = _components(docs, k, percent).filter("doc_id = component_id").select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")).distinct()
-    named = docs.filter("doc_id is not null")
-    kept = named.join(found, (named["doc_id"] == F.col("__id")) & F.xxhash64(named["text"]).eqNullSafe(F.col("__digest")))
-    one = kept.withColumn("__n", F.row_number().over(Window.partitionBy("doc_id").orderBy("__digest"))).filter("__n = 1")
-    return one.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(docs.filter("doc_id is null"))
+    sets, named = _components(docs, k, percent)
+    rows = sets.filter("doc_id is not null").join(named, "cls", "left")
+    linked = rows.filter("cls is not null").groupBy("root").agg(F.min(F.struct("doc_id", "digest")).alias("k")).select("k.*", F.lit(True).alias("one"))
+    keep = linked.unionByName(rows.filter("cls is null").select("doc_id", "digest", F.lit(False).alias("one")).distinct())
+    keep = keep.select(F.struct("doc_id", "digest", "one").alias("k"))
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("r"))
+    digest = F.xxhash64("r.text")
+    found = packed.join(keep, (F.col("r.doc_id") == F.col("k.doc_id")) & digest.eqNullSafe(F.col("k.digest")))
+    kept = found.filter("k.one").groupBy("k.doc_id", "k.digest").agg(F.first("r").alias("r")).select("r")
+    others = found.filter("not k.one").select("r").unionByName(packed.filter("r.doc_id is null"))
+    return kept.unionByName(others).select(*[F.col(f"r.`{c}`").alias(c) for c in docs.columns])
 
 
 def _links(docs: DataFrame, sets: DataFrame, classes: DataFrame, shared, counts: np.ndarray, k: int, percent: int) -> DataFrame:  # noqa: ANN001
     """node, root of the classes that are linked with another."""
-    met = met_in_blocks(sets, shared, counts, percent)
-    stars = met.filter("kind = 0").groupBy("cls", "other").agg(F.sum("n").alias("c")).groupBy("cls").agg(F.max_by("other", F.struct("c", "other")).alias("other"))
-    stars = stars.select(F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b")).distinct()
-    pairs = met.filter("kind = 1").select(F.col("cls").alias("a"), F.col("other").alias("b")).distinct()
-    big = met.filter("kind = 2").select("key", "cls", "n", "free", "size")
-    named = met.select("cls").unionByName(met.filter("kind < 2").select(F.col("other").alias("cls"))).distinct()
-    # an id may stand for several texts: the set tells which is meant
-    fetched = docs.join(named.join(classes, "cls"), F.col("doc_id") == F.col("first_id")).select("cls", "text")
-    texts = materialize(_own_class(fetched, k), "jaccard-texts")
-    links = materialize(verified(stars, texts, k, percent), "jaccard-links")
-    roots = components(links)
-
-    def join(more: DataFrame) -> tuple[bool, DataFrame, DataFrame]:
-        found = materialize(verified(materialize(more.distinct(), "jaccard-pairs"), texts, k, percent), "jaccard-links")
-        if found.isEmpty():
-            return False, links, roots
-        both = materialize(links.unionByName(found), "jaccard-links")
-        return True, both, components(both)
-
-    left, right = roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), roots.select(F.col("node").alias("b"), F.col("root").alias("rb"))
-    apart = pairs.join(left, "a", "left").join(right, "b", "left").filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
-    points = materialize(points_of(texts, k), "jaccard-points")
-    _, links, roots = join(bounded(apart, points, percent))
-    rows = open_rows(big, roots, 0)
-    if rows.isEmpty():
+    with scratch() as held:
+        held.append(met := met_in_blocks(sets, shared, counts, percent))
+        release(sets)
+        stars = met.filter("lead is not null").groupBy("cls", "lead").agg(F.count(F.lit(1)).alias("c")).groupBy("cls").agg(F.max_by("lead", F.struct("c", "lead")).alias("lead"))
+        stars = stars.select(F.least("cls", "lead").alias("a"), F.greatest("cls", "lead").alias("b")).distinct()
+        named = met.select("cls").unionByName(met.filter("lead is not null").select(F.col("lead").alias("cls"))).distinct()
+        # an id may stand for several texts: the set tells which is meant
+        fetched = docs.join(named.join(classes, "cls"), F.col("doc_id") == F.col("first_id")).select("cls", "text")
+        held.append(texts := materialize(_own_class(fetched, k), "jaccard-texts"))
+        links = materialize(verified(stars, texts, k, percent), "jaccard-links")
+        roots = components(links)
+        rows = open_rows(met.drop("lead"), roots, 0)
+        release(met)
+        held.append(points := materialize(points_of(texts.join(rows.select("cls").distinct(), "cls", "left_semi"), k), "jaccard-points"))
+        for turn in range(TURNS + 1):
+            if rows.isEmpty():
+                break
+            held.append(pairs := materialize(tree_pairs(rows, points, percent, PICKS if turn < TURNS else None, turn).distinct(), "jaccard-pairs"))
+            found = materialize(verified(pairs, texts, k, percent), "jaccard-links")
+            held += [rows, found]
+            if found.isEmpty():
+                if turn == TURNS:
+                    break
+                continue
+            both = materialize(links.unionByName(found), "jaccard-links")
+            release(links, roots, pairs)
+            links, roots = both, components(both)
+            if turn < TURNS:
+                more = open_rows(rows.drop("root", "asks"), roots, turn + 1)
+                release(rows)
+                rows = more
+        held += [rows, links]
         return roots
-    for turn in range(TURNS):
-        grew, links, roots = join(tree_pairs(rows, points, percent, PICKS, turn))
-        if not grew:
-            break
-        rows = open_rows(rows.select(*big.columns), roots, turn + 1)
-    _, links, roots = join(tree_pairs(rows, points, percent))
-    return roots
 
 
-def _components(docs: DataFrame, k: int, percent: int) -> DataFrame:
+def _components(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """doc_id, digest, n and cls of every document; root and component_id of every class."""
     docs = docs.select("doc_id", "text")
-    sets, shared, counts = measured(docs, k, percent)
-    classes = sets.filter("cls is not null and doc_id is not null").groupBy("cls").agg(F.min("doc_id").alias("first_id"))
-    roots = materialize(_links(docs, sets, classes, shared, counts, k, percent), "jaccard-roots")
+    full, shared, counts = measured(docs, k, percent)
+    sets = materialize(full.drop("keys"), "jaccard-documents")
+    classes = materialize(sets.filter("cls is not null and doc_id is not null").groupBy("cls").agg(F.min("doc_id").alias("first_id")), "jaccard-classes")
+    roots = _links(docs, full, classes, shared, counts, k, percent)
     least = classes.join(roots, F.col("cls") == F.col("node")).groupBy("root").agg(F.min("first_id").alias("component_id"))
-    linked = roots.join(least, "root").select(F.col("node").alias("cls"), "component_id")
-    named = classes.join(linked, "cls", "left").select("cls", F.coalesce("component_id", "first_id").alias("component_id"))
-    own = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component_id", "doc_id"))
-    return sets.join(named, "cls", "left").select("doc_id", "digest", F.col("n").alias("n_shingles"), own.alias("component_id"))
+    linked = roots.join(least, "root").select(F.col("node").alias("cls"), "root", "component_id")
+    named = materialize(classes.join(linked, "cls", "left").select("cls", F.coalesce("root", "cls").alias("root"), F.coalesce("component_id", "first_id").alias("component_id")), "jaccard-named")
+    release(roots, classes)
+    return sets, named
 
 
 def _own_class(fetched: DataFrame, k: int) -> DataFrame:

@@ -380,3 +380,23 @@ def test_pipeline(spark, docs, tmp_path):
     lib = tokenizers.Tokenizer.from_file(queries.tokenizer("word_bpe_49k.json"))
     assert {i: np.frombuffer(x["ids"], "<u4").tolist() for i, x in got.items()} == {i: lib.encode(t, add_special_tokens=False).ids for i, t in kept}
     assert 500 not in got and len(got) > 20
+
+
+@pytest.mark.parametrize("rows", [[(1, "one two three four five six seven")], [(1, "a b c d e f g"), (2, "h i j k l m n o"), (3, None)], []])
+def test_jaccard_without_links(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r["doc_id"]: r["component_id"] for r in jaccard.document_components(df).collect()} == {i: i for i, _ in rows}
+    assert sorted(r["doc_id"] for r in jaccard.keep_one(df).collect()) == [i for i, _ in rows]
+
+
+def test_keep_one_of_repeated_ids(spark):
+    t, u = sentence(random.Random(3), 60), sentence(random.Random(4), 60)
+    rows = [(7, t, 1), (7, t, 1), (7, u, 2), (9, t + " more", 3), (None, t, 4), (8, "", 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, root int").withColumns({"k": F.lit(1), "r": F.lit("r")})
+    assert sorted(((r["doc_id"] or 0, r["root"], r["r"]) for r in jaccard.keep_one(df).collect())) == [(0, 4, "r"), (7, 1, "r"), (7, 2, "r"), (8, 5, "r")]
+
+
+def test_line_dedup_finds_one_changed_word(spark):
+    rows = [(1, "a b c d e f g h i j k l"), (2, "a b c d e f g h i j k x"), (3, "A B C D E F G H I J y z"), (4, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"doc": F.lit(1), "removed": F.lit(2), "row": F.lit(3), "d": F.lit(4), "g": F.lit(5)})
+    assert {r["doc_id"]: r["text"] for r in line_dedup.deduplicated(df).collect()} == {1: rows[0][1], 2: "", 3: rows[2][1], 4: ""}
