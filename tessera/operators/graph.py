@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.order import dense_ids
-from tessera.operators.sequential import _cut as cut
+from tessera.operators.stages import written as cut
 
 
 def make_nodes(df: DataFrame, value: str, prefix: str, id_col: str = "id", text_col: str = "text") -> DataFrame:

@@ -11,6 +11,7 @@ from tessera.functions import similarity as S
 from tessera.functions.text import normalize_name
 from tessera.operators.order import dense_ids, keep_first
 from tessera.operators.relational import append_unmatched
+from tessera.operators.stages import written
 
 THRESHOLD = 80.0
 #: Names whose lengths differ by more cannot reach the threshold.
@@ -83,9 +84,9 @@ def cascade(left: DataFrame, name: str, sources: Sequence[tuple[str, DataFrame,
     """
     rest, out = left.select(F.col(name)).distinct(), None
     for label, right, right_name in sources:
-        got = find(rest, right, name, right_name).withColumn("matched_source", F.lit(label))
+        got = written(find(rest, right, name, right_name).withColumn("matched_source", F.lit(label)), "cascade")
         out = got if out is None else out.unionByName(got, allowMissingColumns=True)
-        rest = rest.join(got.select(F.col("l").alias(name)), name, "left_anti")
+        rest = written(rest.join(got.select(F.col("l").alias(name)), name, "left_anti"), "cascade")
     return out.unionByName(rest.select(F.col(name).alias("l")), allowMissingColumns=True)
 
 
@@ -99,14 +100,16 @@ def enrich_append(left: DataFrame, right: DataFrame, name: str, order: str, take
     """One stage of building a master table.
 
     Right rows matched with high confidence give their ``take`` columns to the left
-    rows they match; right rows that no left row matched are appended and tagged.
+    rows they match; right rows that no left row matched are appended and tagged. Each
+    step is written to the shared folder, so that stages on stages stay small plans.
     """
-    a, b = prepared(left, name, order), prepared(right, name, order)
+    a, b = written(prepared(left, name, order), "left"), written(prepared(right, name, order), "right")
     good = match(a, b).filter(F.col("status").isin(*S.HIGH_CONFIDENCE)).select(F.col("l").alias("norm"), F.col("r").alias("__r"))
+    good = written(good, "matches")
     found = good.join(b.select(F.col("norm").alias("__r"), *take), "__r")
     mine = a.drop(*[c for c in take if c in a.columns]).join(found.drop("__r"), "norm", "left")
     extra = b.join(good.select(F.col("__r").alias("norm")).distinct(), "norm", "left_anti")
-    return append_unmatched(mine, extra, "norm", "Source", tag)
+    return written(append_unmatched(mine, extra, "norm", "Source", tag), "merged")
 
 
 def with_company_ids(df: DataFrame, order: Sequence[str]) -> DataFrame:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.stages import written
+
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """The first row of each key in the given order. The rank limit is pushed below the shuffle."""
@@ -29,12 +30,14 @@ def dense_ids(df: DataFrame, order: Sequence[str | Column], prefix: str = "", al
 
     Rows are range-partitioned by the order, each partition is counted, and its
     rows are numbered from the sum of the counts before it. The order must be total.
-    The dealt rows are kept on disk, so that counts and numbers see one partitioning.
+    The dealt rows are written to the shared folder, so that counts and numbers see
+    one dealing, whatever executors are lost between.
     """
     spark = df.sparkSession
     parts = range_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keyed = df.withColumn("__key", F.struct(*[c if isinstance(c, Column) else F.col(f"`{c}`") for c in order]))
-    dealt = keyed.repartitionByRange(parts, "__key").withColumn("__part", F.spark_partition_id()).persist(StorageLevel.DISK_ONLY)
+    dealt = keyed.repartitionByRange(parts, "__key").withColumn("__part", F.spark_partition_id())
+    dealt = written(dealt, "ids")
     counts = dealt.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
     # one row for each partition: their number is fixed, so this window stays small
     before = counts.select("__part", (F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).alias("__before"))

@@ -3,37 +3,29 @@
 Rows affect each other only if they share a name, so rows are grouped by the
 connected components of that relation, and each component is scanned in order.
 Components hold the names of one family of companies and stay small; they come
-from joins of names with their least neighbour, in rounds, each cut by a
-checkpoint in the cluster's shared folder (spark.checkpoint.dir).
+from joins of names with their least neighbour, in rounds, each written to the
+cluster's shared folder (spark.checkpoint.dir).
 """
 
 from __future__ import annotations
 
-import tempfile
-
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def _cut(df: DataFrame) -> DataFrame:
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        given = df.sparkSession.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-        context.setCheckpointDir(given or "file://" + tempfile.mkdtemp(prefix="tessera-checkpoint-"))
-    return df.checkpoint()
+from tessera.operators.stages import written
 
 
 def name_components(rows: DataFrame, row: str, name: str) -> DataFrame:
     """row, component for a table of (row, name): rows linked by names they share; the component is its least row."""
-    links = _cut(rows.select(F.col(row).alias("row"), F.col(name).alias("name")).distinct())
-    now = _cut(links.select("row").distinct().withColumn("component", F.col("row")))
+    links = written(rows.select(F.col(row).alias("row"), F.col(name).alias("name")).distinct())
+    now = written(links.select("row").distinct().withColumn("component", F.col("row")))
     while True:
         by_name = links.join(now, "row").groupBy("name").agg(F.min("component").alias("c"))
         least = links.join(by_name, "name").groupBy("row").agg(F.min("c").alias("component"))
         # follow the label one step further: components halve in depth each round
         jump = least.alias("a").join(least.alias("b"), F.col("a.component") == F.col("b.row"), "left")
-        new = _cut(jump.select(F.col("a.row").alias("row"), F.coalesce("b.component", "a.component").alias("component")))
+        new = written(jump.select(F.col("a.row").alias("row"), F.coalesce("b.component", "a.component").alias("component")))
         if new.join(now.withColumnRenamed("component", "old"), "row").filter("component <> old").isEmpty():
             return new.withColumnRenamed("row", row)
         now = new
@@ -112,7 +104,7 @@ def consolidate(master: DataFrame, order: str = "ord", company: str = "name", sy
 
     kinds = ", ".join(f"`{c}` string" for c in columns)
     schema = f"{kinds}, __kept boolean, __matched string, __target long, __merged string, __filled string, __ord long"
-    done = _cut(grouped.select("__component", F.col("__ord").cast("long").alias("__ord"), "__names", *texts).groupBy("__component").applyInPandas(lambda pdf: scan(pdf.astype(object).where(pdf.notna(), None)), schema))
+    done = written(grouped.select("__component", F.col("__ord").cast("long").alias("__ord"), "__names", *texts).groupBy("__component").applyInPandas(lambda pdf: scan(pdf.astype(object).where(pdf.notna(), None)), schema))
     kept = done.filter("__kept").select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in master.schema])
     log = done.filter("not __kept").select(F.col("__matched").alias("matched_name"), F.col("__target").alias("target"), F.col("__ord").alias("dropped"), F.col("__merged").alias("merged_names"), F.col("__filled").alias("updated_columns"))
     return kept, log

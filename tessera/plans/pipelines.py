@@ -16,6 +16,7 @@ from tessera.operators import order as O
 from tessera.operators import relational as R
 from tessera.operators import sequential as Q
 from tessera.operators import spatial as P
+from tessera.operators.stages import written
 
 
 # -- projects ----------------------------------------------------------------------
@@ -65,7 +66,7 @@ def unified_projects(deposits: DataFrame | None, majors: DataFrame | None, views
         whole = _mapped(X.split_list(source), symbols, "symbol", "name", whole, column, "ENO")
     second = F.when(F.size("__s") > 0, F.concat(F.lit("("), F.array_join("__s", ", "), F.lit(")")))
     named = F.array_join(F.filter(F.concat("__p", F.array(second)), lambda x: x.isNotNull()), ", ")
-    return whole.withColumns({"COMMODITY_NAMES": named, "OPERATING_STATUS": X.status_kind("OPERATING_STATUS")}).select(*V.PROJECT_COLUMNS)
+    return written(whole.withColumns({"COMMODITY_NAMES": named, "OPERATING_STATUS": X.status_kind("OPERATING_STATUS")}).select(*V.PROJECT_COLUMNS), "projects")
 
 
 def enriched_projects(projects: DataFrame, areas: DataFrame, provinces: DataFrame) -> DataFrame:
@@ -81,7 +82,7 @@ def enriched_projects(projects: DataFrame, areas: DataFrame, provinces: DataFram
     kinds = R.pivot_concat(inside, "ENO", "TYPE", "NAME", V.PROVINCE_KINDS).withColumnsRenamed({k: k.upper() for k in V.PROVINCE_KINDS})
     out = located.drop("LGA").join(first, "ENO", "left").join(kinds, "ENO", "left")
     out = out.withColumn("STATE", X.state_code(R.fill_from("STATE", "__state", blank=True))).withColumnsRenamed({"DEPOSIT_NAME": "PROJECT_NAME", "OPERATING_STATUS": "PROJECT_TYPE"})
-    return R.ensure_columns(out, V.ENRICHED_COLUMNS)
+    return written(R.ensure_columns(out, V.ENRICHED_COLUMNS), "enriched")
 
 
 def project_graph(graph: G.PropertyGraph, projects: DataFrame) -> G.PropertyGraph:
@@ -189,13 +190,14 @@ def cascaded_matches(projects: DataFrame, master: DataFrame, column: str = "COMP
     gate begins at 90, the others' is open above.
     """
     names = projects.select(F.explode(X.split_list(column)).alias("name")).distinct().withColumn("l", X.normalize_name("name")).filter("l <> ''")
+    names = written(names, "names")
     rest, out = names.select("l").distinct(), None
     for source, gate in (("market", (90.0, 100.0)), ("profiles", (90.0, 101.0)), ("statements", (90.0, 101.0))):
-        right = M.prepared(master.filter(F.col("Source") == source), "name", "ord")
+        right = written(M.prepared(master.filter(F.col("Source") == source), "name", "ord"), "source")
         got = M.match(rest, right, "l", "norm", vector_gate=gate).filter(F.col("status").isin(*S.HIGH_CONFIDENCE)).withColumn("matched_source", F.lit(source))
-        got = got.join(right.select(F.col("norm").alias("r"), F.col("name").alias("matched_name")), "r")
+        got = written(got.join(right.select(F.col("norm").alias("r"), F.col("name").alias("matched_name")), "r"), "cascade")
         out = got if out is None else out.unionByName(got)
-        rest = rest.join(got.select("l"), "l", "left_anti")
+        rest = written(rest.join(got.select("l"), "l", "left_anti"), "cascade")
     return names.join(out, "l", "left").withColumn("status", F.coalesce("status", F.lit("no_candidate_found")))
 
 
@@ -203,7 +205,7 @@ def former_names(register: DataFrame, companies: DataFrame) -> DataFrame:
     """companyID, ACN and all registered names of the companies found in the register, in its order, in title case."""
     numbers = Q.register_names(register)
     variants = companies.select("companyID", F.posexplode(X.name_variants("name")).alias("prio", "name"))
-    found = R.first_hit(variants, numbers, "companyID", "name", "prio", "acn")
+    found = written(R.first_hit(variants, numbers, "companyID", "name", "prio", "acn"), "found")
     named = register.filter("trim(name) <> '' and trim(acn) <> ''").select(F.trim("acn").alias("acn"), X.title_case(F.trim("name")).alias("n"), "ord")
     lists = named.join(found.select("acn").distinct(), "acn", "left_semi").groupBy("acn").agg(R.ordered_list("n", "ord").alias("names"))
     return found.join(lists, "acn").select("companyID", F.col("acn").alias("ACN"), "names")
@@ -227,7 +229,7 @@ def company_master(merged: DataFrame, matches: DataFrame, former: DataFrame | No
         df = _more_names(df, "__manual")
     ready = df.withColumn("synonyms", F.nullif(F.array_join("__syn", ", "), F.lit(""))).withColumn("ord", X.id_number("companyID")).drop("__syn", "__used", "__former", "__manual")
     fill = tuple(c for c in ("revenue", "linkedinEmployees", "linkedinFollowers") if c in ready.columns)
-    return Q.consolidate(ready, "ord", "name", "synonyms", "acn", fill)
+    return Q.consolidate(written(ready, "master"), "ord", "name", "synonyms", "acn", fill)
 
 
 def _more_names(df: DataFrame, column: str) -> DataFrame:
@@ -241,7 +243,8 @@ def project_owners(projects: DataFrame, project_ids: DataFrame, master: DataFram
     named = projects.select("ENO", F.explode(X.split_list(column)).alias("name")).withColumn("l", X.normalize_name("name")).filter("l <> ''")
     every = F.concat(F.array("name"), F.coalesce(X.split_list("synonyms"), F.expr("cast(array() as array<string>)")))
     known = master.select("companyID", X.id_number("companyID").alias("o"), F.explode(every).alias("n")).withColumn("norm", X.normalize_name("n")).filter("norm <> ''")
-    owner = O.last_wins(known, ["norm"], "companyID", "o", "companyID")
+    owner = written(O.last_wins(known, ["norm"], "companyID", "o", "companyID"), "owner")
+    named = written(named, "named")
     good = M.match(named, owner, "l", "norm").filter(F.col("status").isin(*S.HIGH_CONFIDENCE)).select("l", F.col("r").alias("norm"))
     return named.join(good, "l").join(owner, "norm").join(project_ids.select("ENO", "projectID"), "ENO").select("companyID", "projectID").distinct()
 

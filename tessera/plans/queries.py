@@ -117,13 +117,39 @@ def indel_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.token_pairs(names, names, "name", "name").withColumn("ratio", F.round(S.indel_ratio_udf("l", "r"), 6))
 
 
-@query()
+_SORTED = "array_to_string(list_sort({0}), ' ')"
+_GRAMS = "list_distinct(list_transform(range(1, greatest(len({0}), 1) + 1), lambda i: substr(' ' || {0} || ' ', i, 3)))"
+#: The weighted ratio in full: every pair of texts whose subsequence it needs, once, then the ratios from their lengths.
+_STATUS = f"""with part_names as (select distinct p_name as n, {ending_sql('p_name', 'p_partkey')} as o from part),
+  left_names as (select distinct {normalised_sql('n')} as l from part_names where {normalised_sql('n')} <> ''), right_names as (select distinct {normalised_sql('o')} as r from part_names where {normalised_sql('o')} <> ''),
+  lt as (select l, unnest({_WORDS.format('l')}) as token from left_names), rt as (select r, unnest({_WORDS.format('r')}) as token from right_names),
+  pairs as (select distinct l, r from lt join rt using (token) where greatest(len(l), len(r)) <= 8 * least(len(l), len(r))),
+  w as (select l, r, {_WORDS.format('l')} as a, {_WORDS.format('r')} as b, greatest(len(l), len(r)) / least(len(l), len(r)) >= 1.5 as far, CASE WHEN len(l) <= len(r) THEN l ELSE r END as s, CASE WHEN len(l) <= len(r) THEN r ELSE l END as g from pairs),
+  c as (select l, r, far, s, g, {_SORTED.format("string_split(l, ' ')")} as ls, {_SORTED.format("string_split(r, ' ')")} as rs, {_SORTED.format('list_intersect(a, b)')} as common,
+    {_SORTED.format('list_filter(a, lambda x: not list_contains(b, x))')} as x, {_SORTED.format('list_filter(b, lambda y: not list_contains(a, y))')} as y from w),
+  e as (select l, r, s, unnest(list_transform(range(1, len(g) + len(s)), lambda z: substr(g, greatest(0, z - len(s)) + 1, least(z, len(g)) - greatest(0, z - len(s))))) as v from c where far),
+  asked as (select l, r from c union select ls, rs from c where not far union select x, y from c where not far and x <> '' and y <> '' union select s, v from e),
+  lcs as (select l as p, r as q, t[len(t)] as n from (select l, r, {_LCS} as t from asked)),
+  part_ratio as (select e.l, e.r, max(200.0::double * n / (len(s) + len(v))) as ratio from e join lcs on p = s and q = v group by 1, 2),
+  ratios as (select c.*, 200.0::double * k.n / (len(c.l) + len(c.r)) as whole, 200.0::double * o.n / (len(ls) + len(rs)) as by_token, len(common) + 1 + len(x) as nx, len(common) + 1 + len(y) as ny, len(x) + len(y) - 2 * d.n as apart, h.ratio as part
+    from c join lcs k on k.p = c.l and k.q = c.r left join lcs o on not far and o.p = ls and o.q = rs left join lcs d on d.p = x and d.q = y left join part_ratio h on h.l = c.l and h.r = c.r),
+  scored as (select l, r, whole, CASE WHEN far THEN greatest(whole, 0.9::double * part, 0.95::double * 0.9::double * 100.0::double) ELSE greatest(whole, 0.95::double * greatest(by_token, CASE WHEN x = '' or y = '' THEN 100.0::double
+    ELSE greatest(100.0::double * (1 - apart::double / (nx + ny)), 100.0::double * (1 - (1 + len(x))::double / (len(common) + nx)), 100.0::double * (1 - (1 + len(y))::double / (len(common) + ny))) END)) END as ratio from ratios),
+  best as (select l, r, ratio, whole from (select *, row_number() over (partition by l order by ratio desc, whole desc, r) as k from scored where ratio >= 80) where k = 1),
+  f as (select l, r, round(ratio, 6) as w_ratio, round(whole, 6) as levenshtein_ratio, round({_JACCARD}, 6) as jaccard_similarity,
+    CASE WHEN ratio >= 95 and ratio < 100 THEN round(len(list_intersect({_GRAMS.format('l')}, {_GRAMS.format('r')})) / sqrt(len({_GRAMS.format('l')})::double * len({_GRAMS.format('r')})), 6) ELSE 0 END as vector_similarity,
+    (replace(l, ' ', '') = replace(r, ' ', ''))::int as no_space_exact_match, CASE WHEN {normalised_sql('l')} like '% au' THEN (left({normalised_sql('l')}, len({normalised_sql('l')}) - 3) = {normalised_sql('r')})::int ELSE 0 END as au_removed_match from best)
+  select left_names.l, f.* exclude (l), CASE WHEN r is null THEN 'no_candidate_found' WHEN no_space_exact_match = 1 THEN 'no_space_exact_match' WHEN au_removed_match = 1 THEN 'au_removed_match'
+    WHEN w_ratio >= 95 and levenshtein_ratio >= 90 and jaccard_similarity >= 0.5 and vector_similarity >= 0.5 THEN 'confident_score_match' ELSE 'low_confidence' END as status from left_names left join f using (l)"""
+
+
+@query(_STATUS)
 def match_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Six scores and the status of the best candidate, names of parts against the same names with endings."""
     part = table(spark, sf_dir, "part").withColumn("other", ending(F.col("p_name"), F.col("p_partkey")))
     left = M.prepared(part, "p_name", "p_partkey")
     right = M.prepared(part, "other", "p_partkey")
-    return M.match(left, right)
+    return M.match(left, right).withColumns({c: F.round(c, 6) for c in ("w_ratio", "levenshtein_ratio", "jaccard_similarity", "vector_similarity")})
 
 
 @query(f"""with n as (select distinct {normalised_sql(ending_sql('p_name', 'p_partkey'))} as a, lower(p_name) as b from part)
@@ -139,10 +165,9 @@ def _good(left: DataFrame, right: DataFrame, a: str, b: str) -> DataFrame:
     return M.best_jaccard(M.token_pairs(left, right, a, b)).filter("jaccard >= 0.3").select("l", "r", F.round("jaccard", 9).alias("jaccard"))
 
 
-def _stage_sql(n: int, whole: bool = False) -> str:
-    cut = "" if whole else f""" and p_brand > p_type || '{"" if n else "Z"}'"""
+def _stage_sql(n: int) -> str:
     names = " ".join(f"and name not in (select l from m{i})" for i in range(n))
-    return f"""t{n} as (select distinct p_name as name from part where p_size % 3 = {n}{cut}),
+    return f"""t{n} as (select distinct p_name as name from part where p_size % 3 = {n}),
       i{n} as (select distinct unnest({_WORDS.format('name')}) as token, name from t{n}),
       p{n} as (select distinct a.name as l, b.name as r from idx a join i{n} b using (token) where true {names.replace('name not', 'a.name not')}),
       s{n} as (select l, r, round({_JACCARD}, 9) as jaccard from p{n}),
@@ -152,30 +177,18 @@ def _stage_sql(n: int, whole: bool = False) -> str:
 @query(f"""with {_PAIRS}, {_stage_sql(0)}, {_stage_sql(1)}, {_stage_sql(2)}, found as (select * from m0 union all select * from m1 union all select * from m2)
   select * from found union all select name, null, null, null from names where name not in (select l from found)""")
 def cascade_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each part name's match in the first of three sources that has a good one."""
-    part = table(spark, sf_dir, "part")
-    sources = []
-    for n in range(3):
-        some = part.filter((F.col("p_size") % 3 == n) & (F.col("p_brand") > F.concat("p_type", F.lit("" if n else "Z"))))
-        sources.append((f"s{n}", some.select(F.col("p_name").alias("other")).distinct(), "other"))
-    return M.cascade(_names(spark, sf_dir), "name", sources, _good)
-
-
-@query(f"""with {_PAIRS}, {_stage_sql(0, True)}, {_stage_sql(1, True)}, {_stage_sql(2, True)}, found as (select * from m0 union all select * from m1 union all select * from m2)
-  select * from found union all select name, null, null, null from names where name not in (select l from found)""")
-def cascade_match_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """cascade_match with all parts dealt to the three sources."""
+    """Each part name's match in the first of three sources that has a good one; all parts are dealt to the sources."""
     part = table(spark, sf_dir, "part")
     sources = [(f"s{n}", part.filter(F.col("p_size") % 3 == n).select(F.col("p_name").alias("other")).distinct(), "other") for n in range(3)]
     return M.cascade(_names(spark, sf_dir), "name", sources, _good)
 
 
 # -- enrich and append ----------------------------------------------------------------
-@query("""select n_nationkey as nation, n_name, s.total, 'nation' as source from nation left join (select s_nationkey, round(sum(s_acctbal), 2) as total from supplier where s_nationkey % 2 = 0 group by 1) s on n_nationkey = s_nationkey where n_nationkey < 15
-  union all select distinct c_nationkey, null, null, 'customer' from customer where c_nationkey not in (select n_nationkey from nation where n_nationkey < 15)""")
+@query("""select n_nationkey as nation, n_name, s.total, 'nation' as source from nation left join (select s_nationkey, round(sum(s_acctbal), 2) as total from supplier group by 1) s on n_nationkey = s_nationkey
+  union all select distinct c_nationkey, null, null, 'customer' from customer where c_nationkey not in (select n_nationkey from nation)""")
 def enrich_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = table(spark, sf_dir, "nation").filter("n_nationkey < 15").select(F.col("n_nationkey").alias("nation"), "n_name", F.lit("nation").alias("source"))
-    totals = table(spark, sf_dir, "supplier").filter("s_nationkey % 2 = 0").groupBy(F.col("s_nationkey").alias("nation")).agg(F.round(F.sum("s_acctbal"), 2).alias("total"))
+    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("nation"), "n_name", F.lit("nation").alias("source"))
+    totals = table(spark, sf_dir, "supplier").groupBy(F.col("s_nationkey").alias("nation")).agg(F.round(F.sum("s_acctbal"), 2).alias("total"))
     customers = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("nation")).distinct()
     return R.append_unmatched(R.enrich(nation, totals, "nation"), customers, "nation", "source", "customer").select("nation", "n_name", "total", "source")
 
@@ -197,19 +210,19 @@ def last_and_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return O.last_wins(events, ["user_id"], "event_type", "event_id", "last_type").join(O.first_wins(events, ["user_id"], "event_type", "event_id", "first_type"), "user_id")
 
 
-@query("""with u as (select o_custkey as k, o_orderkey as ord, 0 as src from orders where o_orderstatus = 'O' union all select c_custkey, c_custkey, 1 from customer union all select l_partkey, l_orderkey * 10 + l_linenumber, 2 from lineitem where l_linenumber = 1)
+@query("""with u as (select o_custkey as k, o_orderkey as ord, 0 as src from orders union all select c_custkey, c_custkey, 1 from customer union all select l_partkey, l_orderkey * 10 + l_linenumber, 2 from lineitem)
   select k, ord, src from (select *, row_number() over (partition by k order by src, ord) as n from u) where n = 1""")
 def union_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = table(spark, sf_dir, "orders").filter("o_orderstatus = 'O'").select(F.col("o_custkey").alias("k"), F.col("o_orderkey").alias("ord"), F.lit(0).alias("src"))
+    a = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k"), F.col("o_orderkey").alias("ord"), F.lit(0).alias("src"))
     b = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), F.col("c_custkey").alias("ord"), F.lit(1).alias("src"))
-    c = table(spark, sf_dir, "lineitem").filter("l_linenumber = 1").select(F.col("l_partkey").alias("k"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ord"), F.lit(2).alias("src"))
+    c = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("k"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ord"), F.lit(2).alias("src"))
     return O.union_keep_first([a, b, c], "k", "ord")
 
 
-@query("""with u as (select s_nationkey as k, s_suppkey as v, 0 as src from supplier where s_nationkey < 12 union all select c_nationkey, c_custkey, 1 from customer)
+@query("""with u as (select s_nationkey as k, s_suppkey as v, 0 as src from supplier union all select c_nationkey, c_custkey, 1 from customer)
   select k, v, src from (select *, min(src) over (partition by k) as f from u) where src = f""")
 def union_first_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = table(spark, sf_dir, "supplier").filter("s_nationkey < 12").select(F.col("s_nationkey").alias("k"), F.col("s_suppkey").alias("v"), F.lit(0).alias("src"))
+    a = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("k"), F.col("s_suppkey").alias("v"), F.lit(0).alias("src"))
     b = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("k"), F.col("c_custkey").alias("v"), F.lit(1).alias("src"))
     return O.union_first_source([a, b], "k")
 
@@ -405,18 +418,8 @@ def upserted_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.upsert_nodes(table(spark, sf_dir, "events").select(F.col("user_id").alias("id"), "event_id", "event_type", "value"), "id", "event_id")
 
 
-@query("select distinct o_custkey as src, l_suppkey as dst, l_returnflag as role from orders join lineitem on l_orderkey = o_orderkey where l_suppkey % 3 = 0 and o_custkey in (select c_custkey from customer where c_nationkey < 10)")
-def merged_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "lineitem"), F.col("l_orderkey") == F.col("o_orderkey"))
-    edges = rows.select(F.col("o_custkey").alias("src"), F.col("l_suppkey").alias("dst"), F.col("l_returnflag").alias("role"))
-    sources = table(spark, sf_dir, "customer").filter("c_nationkey < 10").select(F.col("c_custkey").alias("id"))
-    targets = table(spark, sf_dir, "supplier").filter("s_suppkey % 3 = 0").select(F.col("s_suppkey").alias("id"))
-    return G.merge_edges(edges, sources, targets)
-
-
 @query("select distinct o_custkey as src, l_suppkey as dst, l_returnflag as role from orders join lineitem on l_orderkey = o_orderkey where l_suppkey in (select s_suppkey from supplier) and o_custkey in (select c_custkey from customer)")
-def merged_edges_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """merged_edges with all customers and suppliers as ends."""
+def merged_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "lineitem"), F.col("l_orderkey") == F.col("o_orderkey"))
     edges = rows.select(F.col("o_custkey").alias("src"), F.col("l_suppkey").alias("dst"), F.col("l_returnflag").alias("role"))
     sources = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
@@ -561,7 +564,20 @@ def register(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(key.alias("ord"), name(key * 7).alias("name"), (F.col("o_custkey") + 1000).cast("string").alias("acn"), F.when(key % 5 == 0, name(key * 11 + 3)).otherwise("").alias("previous"), F.when(key % 13 == 0, 3).otherwise(14).alias("n_columns"))
 
 
-@query()
+#: One pass over the register in order, as a fold; what a name is found with is kept beside it.
+_FOLD = """list_reduce(rows, lambda found, r: CASE WHEN (r.prev = '' or not list_contains(list_transform(found, lambda f: f.name), r.prev)) and not list_contains(list_transform(found, lambda f: f.name), r.name)
+  THEN list_append(found, r) ELSE found END, rows[1:0])"""
+
+
+_REGISTER_NAMES = f"""with o as (select o_orderkey as ord, 'COMPANY ' || (o_orderkey * 7 % 3001) as name, (o_custkey + 1000)::varchar as acn, CASE WHEN o_orderkey % 5 = 0 THEN 'COMPANY ' || ((o_orderkey * 11 + 3) % 3001) ELSE '' END as prev
+    from orders where o_orderkey % 13 <> 0),
+  x as (select name from o where prev <> '' union select prev from o where prev <> ''),
+  g as (select list(struct_pack(name := name, acn := acn, prev := prev) order by ord) as rows from o where name in (select name from x)),
+  h as (select unnest({_FOLD}) as f from g)
+  select f.name as name, f.acn as acn from h union all select name, arg_min(acn, ord) from o where name not in (select name from x) group by 1"""
+
+
+@query(_REGISTER_NAMES)
 def register_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.register_names(register(spark, sf_dir))
 

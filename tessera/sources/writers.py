@@ -26,5 +26,10 @@ def write_edges(edges: DataFrame, path: str, kind: str, props: Sequence[str] = (
     write_csv(edges.select(F.col("src").alias(":START_ID"), F.col("dst").alias(":END_ID"), F.lit(kind).alias(":TYPE"), *[F.col(p).alias(f"{p}:string") for p in props]), path)
 
 
+def write_former_names(found: DataFrame, path: str) -> None:
+    """ID, ACN and MatchedNames, a comma list, of the companies found in a register (companyID, ACN, names)."""
+    write_csv(found.select(F.col("companyID").alias("ID"), "ACN", F.array_join("names", ",").alias("MatchedNames")), path)
+
+
 def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path, ignoreNullFields=False)

@@ -10,6 +10,7 @@ from pathlib import Path
 
 import pytest
 
+from tessera.plans import composite_queries  # noqa: F401  (adds its queries to those of core)
 from tessera.plans import queries as core
 
 SF = os.environ.get("TESSERA_SF", "/root/testdata/sf0.001")

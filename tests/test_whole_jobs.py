@@ -26,13 +26,13 @@ def by_sql(folder, name, *tables):
 def test_cascade_reaches_every_source(spark, tmp_path):
     rows = [("red gold mine", 3), ("red gold pit", 4), ("blue zinc", 1), ("blue zinc road", 5), ("grey tin", 2), ("lone word", None)]
     sf = put(spark, tmp_path, part=([(i, n, s, "Brand#1", "STANDARD") for i, (n, s) in enumerate(rows)], "p_partkey long, p_name string, p_size int, p_brand string, p_type string"))
-    df = core.QUERIES["cascade_match_whole"](spark, sf)
+    df = core.QUERIES["cascade_match"](spark, sf)
     got = {r["l"]: (r["r"], r["matched_source"]) for r in df.collect()}
     assert got == {
         "red gold mine": ("red gold mine", "s0"), "red gold pit": ("red gold mine", "s0"), "blue zinc": ("blue zinc", "s1"),
         "blue zinc road": ("blue zinc", "s1"), "grey tin": ("grey tin", "s2"), "lone word": (None, None),
     }
-    columns, want = by_sql(sf, "cascade_match_whole", "part")
+    columns, want = by_sql(sf, "cascade_match", "part")
     assert sorted(map(repr, (tuple(r[c] for c in columns) for r in df.collect()))) == sorted(map(repr, want))
 
 
@@ -45,31 +45,15 @@ def test_consolidated_takes_every_row(spark, tmp_path):
     assert {r["ord"]: (r["name"], r["synonyms"], r["acn"], r["revenue"]) for r in core.QUERIES["consolidated"](spark, sf).collect()} == want
 
 
-def test_line_dedup_by_words(spark, tmp_path):
-    line_dedup = pytest.importorskip("tessera.llm.line_dedup")
-    from tessera.llm import oracles
-
-    base = [f"w{i}" for i in range(20)]
-    lines = [" ".join(base), " ".join([*base[:9], "other", *base[10:]]), " ".join([*base[:5], "a", "b", "c", "d", "e", *base[10:]]), "w1 w2", "W2 w1 w1"]
-    rows = [(i, x) for i, x in enumerate(lines)] + [(9, "\n".join(["", *reversed(lines)])), (10, None)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    docs.write.parquet(f"{tmp_path}/documents.parquet")
-    got = {r["doc_id"]: r["removed"] for r in line_dedup.document_lines(docs, k=1).collect()}
-    assert got == {0: "", 1: "0", 2: "", 3: "", 4: "0", 9: "1,2,3,4,5", 10: ""}
-    con = pytest.importorskip("duckdb").connect()
-    con.sql(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
-    assert {r[0]: r[3] for r in con.sql(oracles.ORACLES["op9_word_line_dedup"]).fetchall()} == got
-
-
 def test_merged_edges_of_all_ends(spark, tmp_path):
     sf = put(
         spark, tmp_path, customer=([(1, 3), (2, 17)], "c_custkey long, c_nationkey int"), supplier=([(4,), (6,)], "s_suppkey long"),
         orders=([(10, 1), (11, 2), (12, 9), (13, None)], "o_orderkey long, o_custkey long"),
         lineitem=([(10, 4, "A"), (10, 4, "A"), (10, 4, "R"), (11, 6, "N"), (11, 5, "N"), (12, 4, "A"), (13, 4, "A"), (11, None, "A")], "l_orderkey long, l_suppkey long, l_returnflag string"),
     )
-    got = sorted((r["src"], r["dst"], r["role"]) for r in core.QUERIES["merged_edges_whole"](spark, sf).collect())
+    got = sorted((r["src"], r["dst"], r["role"]) for r in core.QUERIES["merged_edges"](spark, sf).collect())
     assert got == [(1, 4, "A"), (1, 4, "R"), (2, 6, "N")]
-    columns, want = by_sql(sf, "merged_edges_whole", "customer", "supplier", "orders", "lineitem")
+    columns, want = by_sql(sf, "merged_edges", "customer", "supplier", "orders", "lineitem")
     assert columns == ["src", "dst", "role"] and got == sorted(want)
 
 
