@@ -1,34 +1,65 @@
-"""From raw documents to token ids: five stages, each of one operator, each written as Parquet and read again."""
+"""From raw documents to token ids: five stages, each of one operator, each written as Parquet and read again.
+
+Defined cases: null and empty texts have too few words, so the first stage drops
+them; documents without an id pass all stages by their texts alone; of rows that
+repeat id and text, one is left after the third stage; an empty table gives an
+empty result with the same columns. Every stage takes its input as written: the
+tables that a stage has used are deleted when the next one begins.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import bpe, decontaminate, jaccard, line_dedup, quality
 from tessera.llm.queries import table, tokenizer
-from tessera.llm.shared import materialize
+from tessera.llm.shared import materialize, recorded, release, release_paths
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+#: Tables that the stage before has left for its result; the result is written when the next stage begins.
+_LEFT: list[str] = []
+
+
+def _stage(f: Stage) -> Stage:
+    @wraps(f)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        release_paths(_LEFT)
+        with recorded() as made:
+            out = f(spark, docs, sf_dir)
+        _LEFT.extend(made)
+        return out
+
+    return run_stage
 
 
+@_stage
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     return quality.passing(docs)
 
 
+@_stage
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that repeat earlier ones."""
     return line_dedup.deduplicated(docs)
 
 
+@_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
     return jaccard.keep_one(docs)
 
 
+@_stage
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
+@_stage
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document left, with digests of the ids and of their decoding."""
     spec = bpe.read_spec(tokenizer("word_bpe_49k.json"))
@@ -50,7 +81,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        before, docs = docs, stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
             docs = materialize(docs, f"pipeline-{i + 1}")
+            release(before)
     return docs
