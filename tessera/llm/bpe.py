@@ -217,6 +217,20 @@ class Bpe:
         return out
 
     # -- texts -----------------------------------------------------------
+    @property
+    def tiles(self) -> bool:
+        """Whether the pre-tokens of a text, put together, are the text."""
+        return not (self.by_space or self.compose or self.lower)
+
+    def pretokens(self, text: str) -> Iterator[tuple[int, str]]:
+        """(end, pre-token) for a vocabulary that tiles; special tokens are pre-tokens of their own."""
+        at = 0
+        for hit in self.specials.finditer(text) if self.specials else ():
+            yield from ((m.end(), m[0]) for m in self.pattern.finditer(text, at, hit.start()))
+            yield hit.end(), hit[0]
+            at = hit.end()
+        yield from ((m.end(), m[0]) for m in self.pattern.finditer(text, at))
+
     def normal(self, text: str) -> str:
         """The text as the file's normaliser leaves it, up to the kind of white space."""
         if self.compose and not text.isascii():
@@ -302,9 +316,13 @@ def read_spec(path: str) -> str:
 
 
 def _map_texts(df: DataFrame, text: str, spec: str, fields: list[T.StructField], work: Callable[[Bpe, list[str]], list[list]]) -> DataFrame:
+    """df with the fields that work gives for each text; columns of df with a field's name are replaced."""
     names = {f.name for f in fields}
     kept = [c for c in df.columns if c not in names]
-    source = df.select(*[F.col(f"`{c}`") for c in kept], *([F.col(f"`{text}`").alias("__text")]))
+    source_text = "__text"
+    while source_text in kept:
+        source_text += "_"
+    source = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").alias(source_text))
     schema = T.StructType([*(df.schema[c] for c in kept), *fields])
     shared = df.sparkSession.sparkContext.broadcast(spec)
 
@@ -312,12 +330,12 @@ def _map_texts(df: DataFrame, text: str, spec: str, fields: list[T.StructField],
         bpe = load(shared.value)
         for whole in batches:
             lo = 0
-            size = np.asarray(pa.compute.fill_null(pa.compute.binary_length(whole.column("__text")), 0), np.int64)
+            size = np.asarray(pa.compute.fill_null(pa.compute.binary_length(whole.column(source_text)), 0), np.int64)
             total = np.cumsum(size)
             while lo < whole.num_rows:
                 hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + (1 << 22), "right")))
                 batch = whole.slice(lo, hi - lo)
-                columns = work(bpe, [t or "" for t in batch.column("__text").to_pylist()])
+                columns = work(bpe, [t or "" for t in batch.column(source_text).to_pylist()])
                 made = [pa.array(c, _arrow_type(f.dataType)) for c, f in zip(columns, fields, strict=True)]
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *made], names=[*kept, *(f.name for f in fields)])
                 lo = hi

@@ -12,9 +12,11 @@ code points, each broadcast by itself, and every block is held against all
 documents. Items and documents are compared in lower case, with each run of
 white space as one space; places count code points of the document so changed.
 
-Defined cases: a null or empty document has no match; a null item, and one of
-fewer than MIN_CHARS code points (which says nothing about a document), matches
-nowhere; items of equal text match alike; repeated documents are rows of their
+Defined cases: a null or empty document has no match; a null item, and one without
+anything but white space, matches nowhere; an item of fewer than SHORT code points
+matches where it occurs without an edit and as whole words, since a part of a word
+says nothing about a document; of equally good matches of an item, the first in the
+document is given; items of equal text match alike; repeated documents are rows of their
 own; empty tables give no matches; other columns are ignored by ``matches`` and
 kept by ``clean``, whatever their names.
 """
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ERROR_RATE = 0.08
-MIN_CHARS = 20
+SHORT = 20
 BLOCK_CHARS = 4 << 20
 MATCHES = "item_id long, distance int, start int, end int"
 
@@ -79,6 +81,11 @@ def best_end(peq: dict[str, int], m: int, text: str, anchored: bool = False) ->
     return best, where
 
 
+def whole_words(text: str, a: int, b: int) -> bool:
+    """Whether text[a:b] begins and ends where words do."""
+    return (a == 0 or text[a - 1] == " ") and (b == len(text) or text[b] == " ")
+
+
 class Matcher:
     """A block of items, ready to be looked for."""
 
@@ -87,9 +94,9 @@ class Matcher:
 
         by_text: dict[str, list[int]] = {}
         for i, text in items:
-            if len(n := normal(text)) >= MIN_CHARS:
+            if n := normal(text):
                 by_text.setdefault(n, []).append(i)
-        self.items = [(t, ids, int(len(t) * error_rate), masks(t), masks(t[::-1])) for t, ids in by_text.items()]
+        self.items = [(t, ids, int(len(t) * error_rate) if len(t) >= SHORT else 0, masks(t), masks(t[::-1])) for t, ids in by_text.items()]
         self.find = ahocorasick.Automaton()
         for n, (t, _, k, _, _) in enumerate(self.items):
             for at, piece in pieces(t, k):
@@ -108,6 +115,8 @@ class Matcher:
         for end, held in self.find.iter(text):
             for n, upto in held:
                 t, _, k, _, _ = self.items[n]
+                if len(t) < SHORT and not whole_words(text, end + 1 - len(t), end + 1):
+                    continue
                 lo = max(0, end + 1 - upto - k)
                 hi = min(len(text), end + 1 - upto + len(t) + k)
                 spans = around.setdefault(n, [])

@@ -398,32 +398,45 @@ def tree_pairs(rows: DataFrame, points: DataFrame, percent: int = PERCENT, picks
     dealt = dealt.withColumn("bucket", F.pmod(unit, F.lit(total // TREE_ROWS + 1)))
     dealt = dealt.join(points, "cls").select("bucket", unit.alias("unit"), "own", "cls", "n", "free", "root", "asks", "point")
 
-    def join_tile(unit: np.ndarray, cls: np.ndarray, size: np.ndarray, free: np.ndarray, comp: np.ndarray, own: np.ndarray, asks: np.ndarray, points_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        # the unit of two tiles of a block holds both, and joins one with the other; that of one tile joins it with itself
-        apart = own if (own != own[0]).any() else None
-        found = list(RTree(points_, size, free, comp, percent).pairs(apart))
-        x = np.concatenate([f[0] for f in found]) if found else np.zeros(0, np.int64)
-        y = np.concatenate([f[1] for f in found]) if found else np.zeros(0, np.int64)
+    def join_all(table: pa.Table) -> pa.Table:
+        unit, cls, size, free, comp, own, asks = (np.asarray(table.column(c)) for c in ("unit", "cls", "n", "free", "root", "own", "asks"))
+        points_ = np.frombuffer(b"".join(table.column("point").to_pylist()), "<u2").reshape(len(cls), GROUPS)
+        order = np.argsort(unit, kind="stable")
+        begin = np.flatnonzero(np.diff(unit[order], prepend=~unit[order[0]]))
+        end = np.append(begin[1:], len(order))
+        left, right = [], []
+        # trees of a single leaf, all at once: each row with the one d places on
+        fits = (end - begin) <= LEAF
+        upto = np.repeat(np.where(fits, end, 0), end - begin)
+        for d in range(1, LEAF):
+            x = np.flatnonzero(np.arange(len(order)) + d < upto)
+            x, y = order[x], order[x + d]
+            good = comp[x] != comp[y]
+            x, y = x[good], y[good]
+            least = need(size[x], size[y], percent)
+            good = (np.minimum(free[x], free[y]) >= least) & (100 * np.minimum(size[x], size[y]) >= percent * np.maximum(size[x], size[y]))
+            x, y, least = x[good], y[good], least[good]
+            good = np.minimum(points_[x], points_[y]).sum(axis=1, dtype=np.int64) >= least
+            left.append(x[good])
+            right.append(y[good])
+        for lo, hi in zip(begin[~fits], end[~fits], strict=True):
+            at = order[lo:hi]
+            # a unit of two tiles joins one with the other, that of one tile itself
+            apart = own[at] if (own[at] != own[at[0]]).any() else None
+            for x, y in RTree(points_[at], size[at], free[at], comp[at], percent).pairs(apart):
+                left.append(at[x])
+                right.append(at[y])
+        x, y = np.concatenate(left), np.concatenate(right)
         if picks is not None and len(x):
             # of each class, the partners that come first in this turn's order
-            left, right = np.concatenate([x, y]), np.concatenate([y, x])
-            asking = asks[left]
-            left, right = left[asking], right[asking]
-            order = np.lexsort((W.mix(cls[right].view(np.uint64) + np.uint64(turn)), left))
-            left, right = left[order], right[order]
-            begin = np.flatnonzero(np.diff(left, prepend=-1))
-            nth = np.arange(len(left)) - np.repeat(begin, np.diff(np.append(begin, len(left))))
-            x, y = left[nth < picks], right[nth < picks]
-        return np.minimum(cls[x], cls[y]), np.maximum(cls[x], cls[y])
-
-    def join_all(table: pa.Table) -> pa.Table:
-        names = ("unit", "cls", "n", "free", "root", "own", "asks")
-        cols = [np.asarray(table.column(c)) for c in names]
-        points_ = np.frombuffer(b"".join(table.column("point").to_pylist()), "<u2").reshape(len(cols[0]), GROUPS)
-        order = np.argsort(cols[0], kind="stable")
-        begin = np.flatnonzero(np.diff(cols[0][order]) != 0) + 1
-        found = [join_tile(*[c[at] for c in cols], points_[at]) for at in np.split(order, begin)]
-        a, b, _ = _distinct(np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]))
+            x, y = np.concatenate([x, y]), np.concatenate([y, x])
+            x, y = x[asks[x]], y[asks[x]]
+            order = np.lexsort((W.mix(cls[y].view(np.uint64) + np.uint64(turn)), x))
+            x, y = x[order], y[order]
+            begin = np.flatnonzero(np.diff(x, prepend=-1))
+            nth = np.arange(len(x)) - np.repeat(begin, np.diff(np.append(begin, len(x))))
+            x, y = x[nth < picks], y[nth < picks]
+        a, b, _ = _distinct(np.minimum(cls[x], cls[y]), np.maximum(cls[x], cls[y]))
         return pa.table({"a": a, "b": b})
 
     return dealt.groupBy("bucket").applyInArrow(join_all, "a long, b long")

@@ -40,10 +40,12 @@ SECRETS = f"""with d as (select row_number() over () as r, doc_id, coalesce(text
     from (select *, unnest(range(1, len(f) + 1)) as i from m where len(f) > 0)),
   y as (select r, k, name, role, start::bigint as s, (start + len(v))::bigint as e from x where CASE name WHEN 'assign' THEN len(g) >= 6 WHEN 'blob' THEN regexp_matches(v, '[0-9]') and regexp_matches(v, '[A-Z]') and regexp_matches(v, '[a-z]') ELSE true END),
   z as (select *, k < 3 or CASE role WHEN 'i' THEN has_s WHEN 's' THEN has_i ELSE has_s and has_i END as shown from (select *,
-    exists (select 1 from y b where b.r = y.r and b.role = 'i' and abs(b.s - y.s) <= 200) as has_i, exists (select 1 from y b where b.r = y.r and b.role = 's' and abs(b.s - y.s) <= 200) as has_s from y)),
+    exists (select 1 from y b where b.r = y.r and b.role = 'i' and abs(b.s - y.s) <= 200) as has_i, exists (select 1 from y b where b.r = y.r and b.role = 's' and abs(b.s - y.s) <= 200) as has_s,
+    (select arg_min(b.s, 2 * abs(b.s - y.s) + (b.s > y.s)::int) from y b where b.r = y.r and b.role = 'i' and abs(b.s - y.s) <= 200) as i_at, (select arg_min(b.s, 2 * abs(b.s - y.s) + (b.s > y.s)::int) from y b where b.r = y.r and b.role = 's' and abs(b.s - y.s) <= 200) as s_at from y)),
   a as (select r, count(*) filter (where k = 0) as n0, count(*) filter (where k = 1) as n1, count(*) filter (where k = 2) as n2, count(*) filter (where k > 2) as n3,
-    string_agg(name || ':' || s || ':' || e, ',' order by s, k) filter (where k < 3) as base, string_agg(name || ':' || s || ':' || e, ',' order by s, k) as spans from z where shown group by r)
-  select doc_id, coalesce(n0, 0) as n_assign, coalesce(n1, 0) as n_access, coalesce(n2, 0) as n_hex, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans, coalesce(n3, 0) as n_linked from d left join a using (r)"""
+    string_agg(name || ':' || s || ':' || e, ',' order by s, k) filter (where k < 3) as base, string_agg(name || ':' || s || ':' || e, ',' order by s, k) as spans,
+    string_agg(name || ':' || s || ':' || i_at || ':' || s_at, ',' order by s, k) filter (where k > 2) as links from z where shown group by r)
+  select doc_id, coalesce(n0, 0) as n_assign, coalesce(n1, 0) as n_access, coalesce(n2, 0) as n_hex, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans, coalesce(n3, 0) as n_linked, coalesce(links, '') as links from d left join a using (r)"""
 
 _NIBBLE = "(instr('0123456789abcdef', substr(h, 5 * (j // 4) + {0}, 1)) - 1)"
 _GROUP = " + ".join(f"{_NIBBLE.format(i + 1)} * {16 ** (4 - i)}" for i in range(5))

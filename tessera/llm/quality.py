@@ -10,6 +10,12 @@ values does not reject what barely differs. A group of under ``least`` documents
 uses the merged sketches of its language, or, failing that, of all documents.
 Measures are joined with the limits of their group and filtered.
 
+Contract of the limits. Up to SKETCH_K documents in a group the quartiles are the
+exact ones. Beyond, a sketch is randomised and depends on the order in which parts
+are merged: a quartile's rank is off by RANK_ERROR of the group at most (with a
+chance of over 99 %), so runs may differ for documents whose measure lies at a
+limit, and for no others; a test holds sketches of 100,000 values to it.
+
 Measures are written to the shared folder first: texts are read once, and the
 sketch and the verdict see the same rows.
 
@@ -32,6 +38,7 @@ WINDOW = 5
 SPACE = r"[ \t-\r]+"
 #: Entries that a sketch keeps for sure; up to that many documents quartiles are exact.
 SKETCH_K = 800
+RANK_ERROR = 0.01
 REACH = 3.0
 LEAST = 20
 #: Measure and the least interquartile range that its limits assume.

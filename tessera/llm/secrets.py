@@ -9,7 +9,9 @@ Linking. Access identifiers, secrets and endpoints are parts of one credential.
 Base findings stand by themselves. A weak part is reported only if parts of the
 complementary roles start within ``scope`` code points of it: an interval join
 of the parts of a document with themselves, run as a range frame over the
-starts, so a part meets the few parts near it and never all of its document.
+starts, so a part meets the few parts near it and never all of its document. Each
+linked part names the identifier and the secret nearest to it (the earlier one of
+two as near), so a credential can be put together from its parts.
 
 One shuffle, by document, carries lengths and never texts. Defined cases: a null
 text is an empty one and has no spans; documents that repeat, or have no id, are
@@ -66,7 +68,9 @@ def _lengths(text: Column, k: int) -> Column:
 def find_spans(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), scope: int = SCOPE) -> DataFrame:
     """A row for each reported span, and one without a span for each document that has none.
 
-    Columns: __row (of the document), those in ``keep``, kind, start, end, base.
+    Columns: __row (of the document), those in ``keep``, kind, start, end, base, and
+    identifier_at and secret_at: where the nearest parts of these roles within scope
+    start (a part's own start for its own role).
     """
     whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     rows = docs.select(*[F.col(f"`{c}`") for c in keep], whole.alias("__text"), F.monotonically_increasing_id().alias("__row"))
@@ -82,6 +86,14 @@ def find_spans(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("do
     near = Window.partitionBy("__row").orderBy("start").rangeBetween(-scope, scope)
     has = {r: F.coalesce(F.max(F.when(F.col("role") == r, 1)).over(near), F.lit(0)) == 1 for r in ("identifier", "secret")}
     each = each.withColumns({"__id": has["identifier"], "__secret": has["secret"]})
+    before, after = Window.partitionBy("__row").orderBy("start").rangeBetween(-scope, 0), Window.partitionBy("__row").orderBy("start").rangeBetween(0, scope)
+
+    def nearest(role: str) -> Column:
+        start = F.when(F.col("role") == role, F.col("start"))
+        a, b = F.max(start).over(before), F.min(start).over(after)
+        return F.when(b.isNull() | (F.col("start") - a <= b - F.col("start")), a).otherwise(b)
+
+    each = each.withColumns({"identifier_at": nearest("identifier"), "secret_at": nearest("secret")})
     linked = (
         F.when(F.col("role") == "identifier", F.col("__secret"))
         .when(F.col("role") == "secret", F.col("__id"))
@@ -93,19 +105,25 @@ def find_spans(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("do
     each = each.withColumn("__shown", F.coalesce(reported, F.lit(False))).withColumn("__first", first).filter("__shown or __first")
     names = F.create_map(*[x for k, kind in enumerate(KINDS) for x in (F.lit(k), F.lit(kind[0]))])
     shown = lambda c: F.when(F.col("__shown"), c)
-    return each.select("__row", *[F.col(f"`{c}`") for c in keep], shown(F.col("kind")).alias("kind"), shown(names[F.col("kind")]).alias("name"), shown(F.col("start")).alias("start"), shown(F.col("end")).alias("end"), shown(F.col("base")).alias("base"))
+    return each.select("__row", *[F.col(f"`{c}`") for c in keep], shown(F.col("kind")).alias("kind"), shown(names[F.col("kind")]).alias("name"), shown(F.col("start")).alias("start"), shown(F.col("end")).alias("end"), shown(F.col("base")).alias("base"), shown(F.col("identifier_at")).alias("identifier_at"), shown(F.col("secret_at")).alias("secret_at"))
 
 
 def document_secrets(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", scope: int = SCOPE) -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base_sha256, spans and n_linked of every document."""
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_linked and links of every document.
+
+    links has name:start:identifier:secret of each linked part, by start, the last two
+    being the starts of the parts it goes with.
+    """
     spans = find_spans(docs, text, (doc_id,), scope)
     entry = F.struct("start", "kind", F.concat_ws(":", "name", "start", "end").alias("shown"))
+    link = F.struct("start", "kind", F.concat_ws(":", "name", "start", "identifier_at", "secret_at").alias("shown"))
     grouped = spans.groupBy("__row").agg(
         F.first(F.col(f"`{doc_id}`")).alias(doc_id),
         *[F.count(F.when(F.col("name") == k, 1)).alias(f"n_{k}") for k in ("assign", "access", "hex")],
         F.count(F.when(~F.col("base"), 1)).alias("n_linked"),
         F.array_sort(F.collect_list(F.when(F.col("base"), entry))).alias("__base"),
         F.array_sort(F.collect_list(F.when(F.col("start").isNotNull(), entry))).alias("__all"),
+        F.array_sort(F.collect_list(F.when(~F.col("base"), link))).alias("__links"),
     )
     joined = lambda c: F.array_join(F.transform(F.col(c), lambda x: x["shown"]), ",")
-    return grouped.select(doc_id, "n_assign", "n_access", "n_hex", F.sha2(joined("__base"), 256).alias("base_sha256"), joined("__all").alias("spans"), "n_linked")
+    return grouped.select(doc_id, "n_assign", "n_access", "n_hex", F.sha2(joined("__base"), 256).alias("base_sha256"), joined("__all").alias("spans"), "n_linked", joined("__links").alias("links"))

@@ -83,6 +83,22 @@ def scratch() -> Iterator[list[DataFrame]]:
         release(*held)
 
 
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """A list that holds, at the end of the block, the paths handed out in it and not yet released."""
+    before, made = set(_WRITTEN), []
+    yield made
+    made += [p for p in _WRITTEN if p not in before]
+
+
+def release_paths(paths: list[str]) -> None:
+    """As release(), for paths."""
+    for path in paths:
+        if path in _WRITTEN:
+            remove(_WRITTEN.pop(path), path)
+    paths.clear()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete what is below path, through Hadoop's file system for its scheme."""
     jvm = spark.sparkContext._jvm

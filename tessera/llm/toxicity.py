@@ -22,8 +22,11 @@ around them.
 
 Defined cases: a null or empty text has no words, so the model's severity for an
 empty document; labels that are null or conflict count as toxic if any says so;
-with labels of one kind only, or none, every severity is 0; repeated documents
-are rows of their own; other columns are ignored.
+with labels of one kind only, or none, or so few that no word of LEAST_DOCS
+documents reaches the z score LEAST_Z, there is no model and every severity is 0
+(a word that stands in all toxic and no other documents reaches it from 36
+labelled documents on); of candidates that tell as much, the one of the smaller
+hash is taken; repeated documents are rows of their own; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,7 +43,7 @@ from tessera.llm.shared import materialize
 
 GRADES = 4
 FIT_ROWS = 20_000
-#: Candidate words, the z score that a candidate needs, and the documents and the z score that a chosen word needs.
+#: Most candidate words (of those with a z score of CANDIDATE_Z in the FIT_ROWS rows, the best), that z score, and the documents and the z score that a chosen word needs.
 FEATURES, CANDIDATE_Z, LEAST_DOCS, LEAST_Z = 16_384, 3.0, 5, 6.0
 RIDGE, STEPS, RATE = 1e-6, 1500, 0.05
 _EDGE = np.zeros(256, dtype=bool)

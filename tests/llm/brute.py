@@ -86,6 +86,9 @@ def secrets(text: str | None, scope: int = 200) -> dict:
     def near(x, r):
         return any(role[k] == r and abs(s - x[1]) <= scope for k, s, _ in parts)
 
+    def nearest(at, r):
+        return min((s for k, s, _ in parts if role[k] == r), key=lambda s: (abs(s - at), s))
+
     needs = {"s": "i", "i": "s", "e": "is"}
     linked = [x for x in weak if all(near(x, r) for r in needs[role[x[0]]])]
     kinds = list(role)
@@ -93,7 +96,7 @@ def secrets(text: str | None, scope: int = 200) -> dict:
     assert set(kinds) == set(order)
     shown = lambda xs: ",".join(f"{k}:{s}:{e}" for k, s, e in sorted(xs, key=lambda x: (x[1], order[x[0]])))
     n = Counter(k for k, _, _ in base)
-    return {"n_assign": n["assign"], "n_access": n["access"], "n_hex": n["hex"], "base_sha256": hashlib.sha256(shown(base).encode()).hexdigest(), "spans": shown(base + linked), "n_linked": len(linked)}
+    return {"n_assign": n["assign"], "n_access": n["access"], "n_hex": n["hex"], "base_sha256": hashlib.sha256(shown(base).encode()).hexdigest(), "spans": shown(base + linked), "n_linked": len(linked), "links": ",".join(f"{k}:{s}:{nearest(s, 'i')}:{nearest(s, 's')}" for k, s, _ in sorted(linked, key=lambda x: (x[1], order[x[0]])))}
 
 
 def warc(pages: list[tuple], min_bytes: int = 0) -> list[tuple]:

@@ -168,16 +168,25 @@ def test_token_counts_follow_edits(spark, docs, empty):
     spec = bpe.read_spec(queries.tokenizer("byte_bpe_50k.json"))
     own = bpe.load(spec)
     r = random.Random(2)
-    alphabet = ["a", "b", "'", "s", " ", "  ", "\n", "1", "é", "!", "'re", "\t", "the "]
+    alphabet = ["a", "b", "'", "s", " ", "  ", "\n", "1", "é", "!", "'re", "\t", "the ", "<|endoftext|>", "<|", "endof", "text", "|>", "<"]
+    lib = tokenizers.Tokenizer.from_file(queries.tokenizer("byte_bpe_50k.json"))
     for _ in range(300):
         t = "".join(r.choice(alphabet) for _ in range(r.randrange(60)))
-        tree = token_counts.TokenTree(own, own.pattern.findall(t))
+        tree = token_counts.TokenTree(own, [p for _, p in own.pretokens(t)])
         for _ in range(5):
             at, gone, new = r.randrange(-2, len(t) + 4), r.randrange(8), "".join(r.choice(alphabet) for _ in range(r.randrange(5)))
             tree.edit(at, gone, new)
             a = min(max(at, 0), len(t))
             t = t[:a] + new + t[min(len(t), a + gone) :]
-            assert tree.text() == t and tree.n_tokens == len(own.encode_batch([t])[0]) // 4 and tree.n_chars == len(t)
+            assert tree.text() == t and tree.n_tokens == len(lib.encode(t, add_special_tokens=False).ids) and tree.n_chars == len(t)
+            tree = token_counts.TokenTree.of_state(own, *tree.state())
+    with pytest.raises(ValueError):
+        token_counts.trees(empty, bpe.read_spec(queries.tokenizer("word_bpe_49k.json")))
+    kept = token_counts.trees(spark.createDataFrame([(1, "hello <|endoftext|> world"), (2, None)], "doc_id long, text string"), spec)
+    assert {r["doc_id"]: r["n_tokens"] for r in kept.collect()} == {1: 4, 2: 0}
+    later = token_counts.edited(kept.withColumn("edits", F.array(F.struct(F.lit(0).alias("at"), F.lit(0).alias("removed"), F.lit("a<|endoftext|>b ").alias("inserted")))), spec)
+    for r in later.collect():
+        assert r["n_tokens"] == len(lib.encode(r["text"], add_special_tokens=False).ids) and r["text"].startswith("a<|endoftext|>b ")
     rows = [(i, t) for i, t, *_ in docs]
     got = by_id(token_counts.document_counts(spark.createDataFrame(rows, "doc_id long, text string"), spec))
     for i, t in rows:
@@ -235,7 +244,7 @@ def test_warc_refuses_broken_archives():
 # -- 6 ---------------------------------------------------------------------------
 def test_decontamination(spark, frame, empty):
     r = random.Random(4)
-    items = [(i, sentence(r, 25)) for i in range(12)] + [(50, None), (51, "short"), (52, "")]
+    items = [(i, sentence(r, 25)) for i in range(12)] + [(50, None), (51, "a rare short one"), (52, ""), (53, " \n")]
     rows = []
     for i in range(60):
         t = sentence(r, 60)
@@ -245,7 +254,7 @@ def test_decontamination(spark, frame, empty):
                 item[r.randrange(len(item))] = r.choice("qz")
             t = t + "\n" + "".join(item).upper().replace(" ", "  ") + " " + sentence(r, 5)
         rows.append((i, t))
-    rows += [(90, None), (91, "")]
+    rows += [(90, None), (91, ""), (92, "Here: A rare  short one"), (93, "a rare short ones, extra rare short one"), (94, "a rare short one")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = {(m["doc_id"], m["item_id"]): m["distance"] for m in decontaminate.matches(docs, bench).collect()}
@@ -263,9 +272,14 @@ def test_decontamination(spark, frame, empty):
     for i, t in rows:
         for k, item in items:
             p = decontaminate.normal(item)
-            if len(p) >= decontaminate.MIN_CHARS and (d := least(p, decontaminate.normal(t))) <= int(len(p) * decontaminate.ERROR_RATE):
+            if not p:
+                continue
+            if len(p) < decontaminate.SHORT:
+                if f" {p} " in f" {decontaminate.normal(t)} ":
+                    want[i, k] = 0
+            elif (d := least(p, decontaminate.normal(t))) <= int(len(p) * decontaminate.ERROR_RATE):
                 want[i, k] = d
-    assert got == want and len(want) >= 15
+    assert got == want and len(want) >= 15 and {(92, 51), (94, 51)} <= set(want)
     assert {r["doc_id"] for r in decontaminate.clean(docs, bench).collect()} == {i for i, _ in rows} - {i for i, _ in want}
     assert decontaminate.matches(empty, bench).count() == 0
     assert decontaminate.matches(docs, bench.limit(0)).count() == 0 and decontaminate.clean(frame, bench.limit(0)).columns == frame.columns
@@ -281,6 +295,17 @@ def test_quality(frame, docs, empty):
     assert quality.verdicts(empty, ["doc_id"]).count() == 0
 
 
+def test_quality_sketches_keep_their_rank_error(spark):
+    n = 100_000
+    df = spark.range(n).repartition(7).select(F.lit("en").alias("lang"), (F.col("id") % 3 == 0).cast("string").alias("source"), F.lit(1).alias("n_words"), *[((F.col("id") * 7919) % n).cast("double").alias(c) for c in ("n_symbols", "n_dup_lines", "n_repeat_words", "word_chars")])
+    own = quality.sketches(df)
+    for source in ("true", "false"):
+        values = np.sort([r[0] for r in df.filter(F.col("source") == source).select("word_chars").collect()])
+        got = own.filter(F.col("source") == source).select(*[F.kll_sketch_get_quantile_double("word_length", F.lit(q)) for q in (0.25, 0.75)]).first()
+        for q, v in zip((0.25, 0.75), got, strict=True):
+            assert abs(np.searchsorted(values, v) / len(values) - q) <= quality.RANK_ERROR
+
+
 # -- 8 ---------------------------------------------------------------------------
 def test_toxicity_learns_held_out_labels(spark, empty):
     r = random.Random(6)
@@ -339,6 +364,22 @@ def test_line_dedup_repeated_rows(spark):
     assert got == [(0, ""), (2, "other\n" + line), (4, ""), (4, "")]
 
 
+def test_line_dedup_by_words(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    from tessera.llm import oracles
+
+    base = [f"w{i}" for i in range(20)]
+    lines = [" ".join(base), " ".join([*base[:9], "other", *base[10:]]), " ".join([*base[:5], "a", "b", "c", "d", "e", *base[10:]]), "w1 w2", "W2 w1 w1"]
+    rows = [(i, x) for i, x in enumerate(lines)] + [(9, "\n".join(["", *reversed(lines)])), (10, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["removed"] for r in line_dedup.document_lines(docs).collect()}
+    assert got == {0: "", 1: "0", 2: "", 3: "", 4: "0", 9: "1,2,3,4,5", 10: ""}
+    con = pytest.importorskip("duckdb").connect()
+    con.sql(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    assert {r[0]: r[3] for r in con.sql(oracles.ORACLES["op9_word_line_dedup"]).fetchall()} == got
+
+
 # -- 10 --------------------------------------------------------------------------
 def test_repeats(spark, frame, docs, empty):
     got = by_id(suffix_dedup.document_repeats(frame))
@@ -382,6 +423,29 @@ def test_pipeline(spark, docs, tmp_path):
     assert 500 not in got and len(got) > 20
 
 
+@pytest.mark.parametrize("rows", [[], [(1, None, "en", "s", 0), (None, None, None, None, None)]])
+def test_pipeline_of_nothing(spark, tmp_path, rows):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.count() == 0 and out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"]
+
+
+def test_a_text_of_several_megabytes(spark):
+    r = random.Random(13)
+    long = "\n".join(sentence(r, 12) for _ in range(40_000))  # over 2 MB, so a pass of numpy by itself
+    assert len(long) > 2 << 20
+    df = spark.createDataFrame([(1, long), (2, long + "\nmore"), (3, "one two")], "doc_id long, text string").repartition(2)
+    found = by_id(jaccard.document_components(df))
+    assert {i: x["component_id"] for i, x in found.items()} == {1: 1, 2: 1, 3: 3} and found[1]["n_shingles"] == len(brute.shingles(long))
+    repeats = by_id(suffix_dedup.document_repeats(df))
+    assert repeats[1]["n_repeated_words"] == 480_000 and repeats[3]["n_repeated_words"] == 0
+    counted = by_id(quality.verdicts(df.withColumns({"lang": F.lit("en"), "source": F.lit("s")}), ["doc_id"]))
+    assert counted[1]["n_words"] == 480_000
+    assert by_id(line_dedup.document_lines(df))[2]["n_removed"] == 40_000
+
+
 @pytest.mark.parametrize("rows", [[(1, "one two three four five six seven")], [(1, "a b c d e f g"), (2, "h i j k l m n o"), (3, None)], []])
 def test_jaccard_without_links(spark, rows):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
