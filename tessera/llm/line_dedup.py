@@ -21,14 +21,14 @@ line out.
 
 Position and length. A shared key at places i and j leaves room for
 1 + min(n - i - 1, m - j - 1) common tokens, and sizes may differ by the
-percentage. A bitmap of 64 bits, of which each token turns one, bounds how many
+percentage. A bitmap of 128 bits, of which each token turns one, bounds how many
 tokens two sets have apart. What passes is verified on the token sets.
 
 Blocks of fewer than BLOCK lines are joined with themselves at once: a line meets
-BLOCK others a key at most. In larger blocks, lines are first verified against
-the earliest line, which is linear and settles the many variants of one line;
-those that no such leader removed are then held against all of the block, in
-parts where the join is skewed.
+BLOCK others a key at most. In larger blocks, a line is first verified against the
+earliest lines of its LEADS largest blocks, which is linear and settles the many
+variants of one line; those that no such leader removed are then held against all
+of their blocks, in parts where the join is skewed.
 
 Defined cases: a null text is a text without lines; lines without a word are
 never removed; a document whose lines are all removed has an empty text; rows
@@ -39,7 +39,7 @@ ignored by ``removals``, whatever their names.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.shared import materialize, release, scratch
@@ -47,11 +47,12 @@ from tessera.llm.shared import materialize, release, scratch
 PERCENT = 80
 #: Hash slots in which words are counted, and how many times a slot's mean makes a word frequent (LEAST_FREQUENT at least).
 SLOTS, FREQUENT, LEAST_FREQUENT = 1 << 20, 16, 1 << 12
-#: Lines with a key from which a block has a leader.
-BLOCK = 16
+#: Lines with a key from which a block has a leader, and leaders that a line is held against.
+BLOCK, LEADS = 16, 2
 SPACE = r"[ \t-\r]+"
 #: A token: its rarity (7 bits) above the low bits of its hash.
 _BITS = 55
+_BITMAP = ("b0", "b1")
 
 
 def doc_key(doc_id: str, text: str) -> Column:
@@ -61,7 +62,9 @@ def doc_key(doc_id: str, text: str) -> Column:
 
 def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """doc, pos and line of every line with a word."""
-    lines = docs.select(doc_key(doc_id, text).alias("doc"), F.posexplode(F.split(F.coalesce(F.col(f"`{text}`"), F.lit("")), "\n", -1)).alias("pos", "line"))
+    # the key first: computed beside the lines, it would hash the whole text for each of them
+    whole = docs.select(doc_key(doc_id, text).alias("doc"), F.split(F.coalesce(F.col(f"`{text}`"), F.lit("")), "\n", -1).alias("lines"))
+    lines = whole.select("doc", F.posexplode("lines").alias("pos", "line"))
     return lines.filter(F.col("line").rlike(r"[^ \t-\r]"))
 
 
@@ -119,26 +122,26 @@ def heads(docs: DataFrame, doc_id: str, text: str, percent: int = PERCENT) -> tu
     # the optimiser moves the subquery into the function over words, so that no row carries the table; the
     # filter, which all rows pass, keeps it from moving into the aggregation instead
     sets = classes.filter("copies > 0").select(*own, "line", table.scalar().alias("table")).select(*own, _tokens("line", F.col("table")).alias("tokens"))
-    bitmap = F.expr("aggregate(tokens, 0L, (a, t) -> a ^ shiftleft(1L, cast(shiftright(t, 20) & 63 as int)))")
-    sized = sets.select(*own, F.size("tokens").alias("n"), bitmap.alias("b"), "tokens")
-    out = sized.withColumn("p", _prefix(percent)).select(*own, "n", "p", "b", F.slice("tokens", F.lit(1), F.col("p") + 1).alias("rarest"))
+    bits = [F.expr(f"aggregate(tokens, 0L, (a, t) -> if((t & {1 << 26}) = {k << 26}, a ^ shiftleft(1L, cast(shiftright(t, 20) & 63 as int)), a))").alias(b) for k, b in enumerate(_BITMAP)]
+    sized = sets.select(*own, F.size("tokens").alias("n"), *bits, "tokens")
+    out = sized.withColumn("p", _prefix(percent)).select(*own, "n", "p", *_BITMAP, F.slice("tokens", F.lit(1), F.col("p") + 1).alias("rarest"))
     written = materialize(out, "lines-heads")
     release(table)
     return written, limit << _BITS
 
 
 def keys(heads_: DataFrame, frequent: int) -> DataFrame:
-    """t, h1, ni (size and place in the order), b and o (about the order of lines) of every key of every class."""
+    """t, h1, ni (size and place in the order), the bitmap and o (about the order of lines) of every key of every class."""
     o = F.coalesce(F.shiftleft(F.col("first.doc.id").cast("long"), 20), F.col("first.doc.digest")) + F.col("first.pos")
-    own = ["h1", "n32", "b", "o"]
-    rows = heads_.select("h1", F.shiftleft(F.col("n").cast("long"), 32).alias("n32"), "b", o.alias("o"), "n", "p", "rarest")
+    own = ["h1", "n32", *_BITMAP, "o"]
+    rows = heads_.select("h1", F.shiftleft(F.col("n").cast("long"), 32).alias("n32"), *_BITMAP, o.alias("o"), "n", "p", "rarest")
     ni = F.col("n32").bitwiseOR(F.col("i")).alias("ni")
     first = F.posexplode(F.slice("rarest", F.lit(1), F.col("p"))).alias("i", "t")
-    single = rows.select(*own, first).filter((F.col("t") < frequent) | (F.col("n32") == 1 << 32)).select("t", "h1", ni, "b", "o")
+    single = rows.select(*own, first).filter((F.col("t") < frequent) | (F.col("n32") == 1 << 32)).select("t", "h1", ni, *_BITMAP, "o")
     # of the frequent tokens, which come last, each pair whose first token is in the prefix
     several = rows.filter((F.col("n") > 1) & (F.get("rarest", F.col("p") - 1) >= frequent)).select(*own, "p", "rarest", first).filter(F.col("t") >= frequent)
     pairs = several.select(*own, "i", "t", F.explode(F.slice("rarest", F.col("i") + 2, F.col("p") - F.col("i"))).alias("u"))
-    return single.unionByName(pairs.select(F.xxhash64("t", "u").alias("t"), "h1", ni, "b", "o"))
+    return single.unionByName(pairs.select(F.xxhash64("t", "u").alias("t"), "h1", ni, *_BITMAP, "o"))
 
 
 def _may_link(percent: int) -> str:
@@ -147,18 +150,18 @@ def _may_link(percent: int) -> str:
     # least overlap of linked sets: need * (100 + percent) >= (n + m) * percent
     room = f"least({n} - {i}, {m} - {j})"
     return f"""100 * least({n}, {m}) >= {percent} * greatest({n}, {m}) and {100 + percent} * {room} >= {percent} * ({n} + {m})
-        and {100 + percent} * bit_count(x.b ^ y.b) <= {100 - percent} * ({n} + {m})"""
+        and {100 + percent} * ({" + ".join(f"bit_count(x.{b} ^ y.{b})" for b in _BITMAP)}) <= {100 - percent} * ({n} + {m})"""
 
 
 def among(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
-    """The rows whose key is among the wanted, found without moving most of the others.
+    """The rows whose key is among the wanted, each key once, with the wanted's columns; most other rows do not move.
 
     First a broadcast of which of SLOTS hash slots they fall into, so of SLOTS
     numbers at most, whatever their number; then the exact join.
     """
     slots = wanted.select(F.pmod(F.col(key), F.lit(SLOTS)).alias("__slot")).distinct()
     some = rows.withColumn("__slot", F.pmod(F.col(key), F.lit(SLOTS))).join(F.broadcast(slots), "__slot", "left_semi").drop("__slot")
-    return some.join(wanted, key, "left_semi")
+    return some.join(wanted, key)
 
 
 def _pairs(met: DataFrame) -> DataFrame:
@@ -188,14 +191,17 @@ def similar_later(docs: DataFrame, heads_: DataFrame, frequent: int, doc_id: str
     with scratch() as held:
         held.append(counts := materialize(every.groupBy("t").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "lines-counts"))
 
-        few = every.select("t", "h1", "ni", "b").join(counts.filter(F.col("c") < BLOCK).select("t").hint("shuffle_hash"), "t")
+        few = every.select("t", "h1", "ni", *_BITMAP).join(counts.filter(F.col("c") < BLOCK).select("t").hint("shuffle_hash"), "t")
         small = few.alias("x").join(few.alias("y").hint("shuffle_hash"), (F.col("x.t") == F.col("y.t")) & (F.col("x.h1") < F.col("y.h1")) & link)
         held.append(near := materialize(_pairs(small), "lines-near"))
 
-        held.append(rows := materialize(among(every, counts.filter(F.col("c") >= BLOCK).select("t"), "t"), "lines-rows"))
+        large = counts.filter(F.col("c") >= BLOCK)
+        held.append(rows := materialize(among(every, large, "t"), "lines-rows"))
         release(counts)
-        lead = rows.groupBy("t").agg(F.min(F.struct("o", "h1", "ni", "b")).alias("y"))
-        led = rows.alias("x").join(lead.select("t", "y"), "t").filter("x.h1 <> y.h1").filter(link)
+        largest = F.row_number().over(Window.partitionBy("h1").orderBy(F.desc("c"), "t"))  # of a line's keys, so few rows each
+        asking = rows.withColumn("nth", largest).filter(F.col("nth") <= LEADS)
+        lead = rows.groupBy("t").agg(F.min(F.struct("o", "h1", "ni", *_BITMAP)).alias("y"))
+        led = asking.alias("x").join(lead.select("t", "y"), "t").filter("x.h1 <> y.h1").filter(link)
         held.append(by_leader := _verified(_pairs(led).unionByName(near).distinct(), docs, doc_id, text, percent))
         release(near)
 
@@ -214,7 +220,7 @@ def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percen
     touched = classes.select("h1", "h2", "first", "copies").join(later.withColumn("gone", F.lit(True)), ["h1", "h2"], "left").filter("copies > 1 or gone")
     touched = materialize(touched, "lines-touched")
     release(classes, later)
-    drop = among(places(docs, doc_id, text).drop("line"), touched.select("h1"), "h1").join(touched, ["h1", "h2"]).filter("at <> first or gone")
+    drop = among(places(docs, doc_id, text).drop("line"), touched.select("h1").distinct(), "h1").join(touched, ["h1", "h2"]).filter("at <> first or gone")
     out = materialize(drop.groupBy(F.col("at.doc").alias("doc")).agg(F.sort_array(F.collect_set("at.pos")).alias("removed")), "lines-places")
     release(touched)
     return out

@@ -21,8 +21,9 @@ bits.
 
 Defined cases: a null or empty text, or one of fewer words than ``least``, has no
 spans; repetition within one document alone does not count; documents without an
-id take part as copies of their class only; repeated ids are rows of their own;
-empty tables give no rows; other columns are ignored, whatever their names.
+id take part as copies of their class only; repeated ids are rows of their own,
+but a passage that only different texts under one id share is not reported, since
+they count as one document; empty tables give no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -365,7 +365,6 @@ def test_line_dedup_repeated_rows(spark):
 
 
 def test_line_dedup_by_words(spark, tmp_path):
-    duckdb = pytest.importorskip("duckdb")
     from tessera.llm import oracles
 
     base = [f"w{i}" for i in range(20)]
@@ -377,7 +376,7 @@ def test_line_dedup_by_words(spark, tmp_path):
     assert got == {0: "", 1: "0", 2: "", 3: "", 4: "0", 9: "1,2,3,4,5", 10: ""}
     con = pytest.importorskip("duckdb").connect()
     con.sql(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
-    assert {r[0]: r[3] for r in con.sql(oracles.ORACLES["op9_word_line_dedup"]).fetchall()} == got
+    assert {r[0]: r[3] for r in con.sql(oracles.ORACLES["op9_line_dedup"]).fetchall()} == got
 
 
 # -- 10 --------------------------------------------------------------------------
