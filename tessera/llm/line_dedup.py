@@ -199,13 +199,14 @@ def similar_later(docs: DataFrame, heads_: DataFrame, frequent: int, doc_id: str
         held.append(rows := materialize(among(every, large, "t"), "lines-rows"))
         release(counts)
         largest = F.row_number().over(Window.partitionBy("h1").orderBy(F.desc("c"), "t"))  # of a line's keys, so few rows each
-        asking = rows.withColumn("nth", largest).filter(F.col("nth") <= LEADS)
-        lead = rows.groupBy("t").agg(F.min(F.struct("o", "h1", "ni", *_BITMAP)).alias("y"))
-        led = asking.alias("x").join(lead.select("t", "y"), "t").filter("x.h1 <> y.h1").filter(link)
+        # each step is written, so that the shuffles of one are gone before those of the next
+        held.append(asking := materialize(rows.withColumn("nth", largest).filter(F.col("nth") <= LEADS).drop("nth"), "lines-asking"))
+        held.append(lead := materialize(rows.groupBy("t").agg(F.min(F.struct("o", "h1", "ni", *_BITMAP)).alias("y")), "lines-lead"))
+        led = asking.alias("x").join(lead, "t").filter("x.h1 <> y.h1").filter(link)
         held.append(by_leader := _verified(_pairs(led).unionByName(near).distinct(), docs, doc_id, text, percent))
-        release(near)
+        release(near, asking, lead)
 
-        left = rows.join(by_leader.select("h1"), "h1", "left_anti")
+        held.append(left := materialize(rows.join(by_leader.select("h1"), "h1", "left_anti"), "lines-left"))
         met = left.alias("x").join(rows.alias("y"), (F.col("x.t") == F.col("y.t")) & (F.col("x.h1") != F.col("y.h1")) & link)
         held.append(rest := _verified(_pairs(met), docs, doc_id, text, percent))
         return materialize(by_leader.unionByName(rest).distinct(), "lines-removed")
