@@ -25,7 +25,8 @@ from its root; subtrees whose bound is below what their smallest sizes need, or
 that lie in one component, are left out. Blocks of over TILE classes are cut into
 tiles, each pair of tiles a tree of its own, and many small trees make a task. For
 TURNS rounds a class is verified against PICKS partners only, which joins
-components; then all pairs that survive are verified on the texts.
+components; then all pairs that survive, and survive finer counts, are verified on
+the texts.
 
 Memory: a task holds a bucket of keys, a tile pair or a batch of texts; the
 driver holds the list of common shingles and counts. Hashes have 64 bits.
@@ -58,6 +59,8 @@ HOT_LIMIT, HOT_LOCAL, LOCAL_BYTES = 1 << 17, 4, 8 << 20
 BUCKET_ROWS, TILE, LEAF, GROUPS = 1 << 20, 4096, 16, 128
 #: Rows of small blocks that one task joins.
 TREE_ROWS = 1 << 15
+#: The finer groups of a pair that the trees let through are told by so many bits of a hash.
+FINE_BITS = 10
 #: Rounds in which a class of a larger block is verified against a few partners, before all that are left.
 TURNS, PICKS = 2, 4
 _KEY = np.dtype([("key", "<u8"), ("cls", "<i8"), ("n", "<i4"), ("pos", "<i4")])
@@ -299,15 +302,37 @@ def verified(pairs: DataFrame, texts: DataFrame, k: int = K, percent: int = PERC
 
 
 def points_of(texts: DataFrame, k: int = K) -> DataFrame:
-    """cls and the packed group counts of its set."""
+    """cls, n, the packed group counts of its set, and finer ones (bytes; a group of more counts as 255)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
+            n, out, fine = [], [], []
             for _, _, sets in sets_of(batch.column("text"), k):
-                out += [np.bincount((s >> np.uint64(57)).astype(np.int64), minlength=GROUPS).clip(0, 65535).astype("<u2").tobytes() for s in sets]
-            yield pa.RecordBatch.from_arrays([batch.column("cls"), pa.array(out, pa.binary())], names=["cls", "point"])
+                n += map(len, sets)
+                counts = [np.bincount((s >> np.uint64(64 - FINE_BITS)).astype(np.int64), minlength=1 << FINE_BITS) for s in sets]
+                fine += [c.clip(0, 255).astype("u1").tobytes() for c in counts]
+                coarse = [c.reshape(GROUPS, -1).sum(axis=1) for c in counts]
+                # a set with a group beyond 16 bits gets the point that bounds nothing
+                out += [(c if c.max() < 65536 else np.full(GROUPS, 65535)).astype("<u2").tobytes() for c in coarse]
+            yield pa.RecordBatch.from_arrays([batch.column("cls"), pa.array(n, pa.int64()), pa.array(out, pa.binary()), pa.array(fine, pa.binary())], names=["cls", "n", "point", "fine"])
 
-    return texts.mapInArrow(run, "cls long, point binary")
+    return texts.mapInArrow(run, "cls long, n long, point binary, fine binary")
+
+
+def bounded(pairs: DataFrame, points: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs (a, b) whose finer counts allow the overlap they need; counts are smaller than texts, so texts move for these only."""
+    both = pairs
+    for c in "ab":
+        both = both.join(points.select(F.col("cls").alias(c), F.col("n").alias(f"n{c}"), F.col("fine").alias(f"f{c}")), c)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = (np.asarray(batch.column(c)) for c in ("na", "nb"))
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "u1").reshape(-1, 1 << FINE_BITS) for c in ("fa", "fb"))
+            # what a full byte does not count may be common too
+            most = np.minimum(x, y).sum(axis=1, dtype=np.int64) + np.minimum(n - x.sum(axis=1, dtype=np.int64), m - y.sum(axis=1, dtype=np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(most >= need(n, m, percent), pa.bool_()))
+
+    return both.select("a", "b", "na", "nb", "fa", "fb").mapInArrow(run, "a long, b long")
 
 
 class RTree:
@@ -396,7 +421,7 @@ def tree_pairs(rows: DataFrame, points: DataFrame, percent: int = PERCENT, picks
     total = dealt.agg(F.count(F.lit(1))).first()[0]
     unit = F.xxhash64("key", "t1", "t2")
     dealt = dealt.withColumn("bucket", F.pmod(unit, F.lit(total // TREE_ROWS + 1)))
-    dealt = dealt.join(points, "cls").select("bucket", unit.alias("unit"), "own", "cls", "n", "free", "root", "asks", "point")
+    dealt = dealt.join(points.select("cls", "point"), "cls").select("bucket", unit.alias("unit"), "own", "cls", "n", "free", "root", "asks", "point")
 
     def join_all(table: pa.Table) -> pa.Table:
         unit, cls, size, free, comp, own, asks = (np.asarray(table.column(c)) for c in ("unit", "cls", "n", "free", "root", "own", "asks"))
@@ -487,7 +512,7 @@ def _links(docs: DataFrame, sets: DataFrame, classes: DataFrame, shared, counts:
         for turn in range(TURNS + 1):
             if rows.isEmpty():
                 break
-            held.append(pairs := materialize(tree_pairs(rows, points, percent, PICKS if turn < TURNS else None, turn).distinct(), "jaccard-pairs"))
+            held.append(pairs := materialize(bounded(tree_pairs(rows, points, percent, PICKS if turn < TURNS else None, turn).distinct(), points, percent), "jaccard-pairs"))
             found = materialize(verified(pairs, texts, k, percent), "jaccard-links")
             held += [rows, found]
             if found.isEmpty():
