@@ -185,7 +185,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, percent
 
 
 def similar_later(docs: DataFrame, heads_: DataFrame, frequent: int, doc_id: str, text: str, percent: int = PERCENT) -> DataFrame:
-    """h1, h2 of the classes of lines that are similar to an earlier one."""
+    """h1, h2 of the classes of lines that are similar to an earlier one; the heads are released once their keys are dealt."""
     every = keys(heads_, frequent)
     link = F.expr(_may_link(percent))
     with scratch() as held:
@@ -197,7 +197,7 @@ def similar_later(docs: DataFrame, heads_: DataFrame, frequent: int, doc_id: str
 
         large = counts.filter(F.col("c") >= BLOCK)
         held.append(rows := materialize(among(every, large, "t"), "lines-rows"))
-        release(counts)
+        release(counts, heads_)
         largest = F.row_number().over(Window.partitionBy("h1").orderBy(F.desc("c"), "t"))  # of a line's keys, so few rows each
         # each step is written, so that the shuffles of one are gone before those of the next
         held.append(asking := materialize(rows.withColumn("nth", largest).filter(F.col("nth") <= LEADS).drop("nth"), "lines-asking"))
@@ -217,10 +217,11 @@ def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percen
     if not 50 < percent <= 100:  # two lines that link, of two tokens or more, must share two
         raise ValueError("percent must be above 50 and at most 100")
     classes, frequent = heads(docs, doc_id, text, percent)
+    narrow = materialize(classes.select("h1", "h2", "first", "copies"), "lines-classes")
     later = similar_later(docs, classes, frequent, doc_id, text, percent)
-    touched = classes.select("h1", "h2", "first", "copies").join(later.withColumn("gone", F.lit(True)), ["h1", "h2"], "left").filter("copies > 1 or gone")
+    touched = narrow.join(later.withColumn("gone", F.lit(True)), ["h1", "h2"], "left").filter("copies > 1 or gone")
     touched = materialize(touched, "lines-touched")
-    release(classes, later)
+    release(narrow, later)
     drop = among(places(docs, doc_id, text).drop("line"), touched.select("h1").distinct(), "h1").join(touched, ["h1", "h2"]).filter("at <> first or gone")
     out = materialize(drop.groupBy(F.col("at.doc").alias("doc")).agg(F.sort_array(F.collect_set("at.pos")).alias("removed")), "lines-places")
     release(touched)
