@@ -255,7 +255,7 @@ def project_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
   g as (select *, min(file_rank) over (partition by ticker) as first from f),
   r as (select ticker, file_rank, k, CASE code WHEN 'AU' THEN 'Australia' WHEN ' us' THEN 'United States' WHEN 'FR' THEN 'France' END as country, CASE WHEN p_size % 2 = 0 THEN nullif(k * 1000.0::double, 0) END as cap, CASE WHEN p_size % 3 = 0 THEN nullif(k * 1.0::double, 0) END as assets from g where file_rank = first),
   m as (select * from r where country = 'Australia' or cap is not null or assets is not null)
-  select ticker, country, cap, assets, row_number() over (order by cap is null, CASE country WHEN 'Australia' THEN 0 WHEN 'United States' THEN 1 WHEN 'France' THEN 4 ELSE 13 END, coalesce(cap, assets) desc nulls last, file_rank, k) as place from m
+  select * from (select ticker, country, cap, assets, row_number() over (order by cap is null, CASE country WHEN 'Australia' THEN 0 WHEN 'United States' THEN 1 WHEN 'France' THEN 4 ELSE 13 END, coalesce(cap, assets) desc nulls last, file_rank, k) as place from m)
   where cap is not null or assets is not null""")
 def market_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Market data cleaned and ordered; unlisted foreigners go. Rows without a value, whose order is that of their files, are left out here."""
