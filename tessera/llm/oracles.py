@@ -93,6 +93,29 @@ REPEATS = f"""with d as (select doc_id, {_WORDS.format(f"translate(coalesce(text
   u as (select doc_id, sum(b - a) as n, string_agg(a || ':' || b, ',' order by a) as spans from s group by 1), v as (select doc_id, sum(b - a) as m from t group by 1)
   select doc_id, len(w)::bigint as n_words, coalesce(n, 0)::bigint as n_repeated_words, coalesce(m, 0)::bigint as n_later_words, coalesce(spans, '') as spans from d left join u using (doc_id) left join v using (doc_id)"""
 
+AUDIT = rf"""with t as (select doc_id, coalesce(source, '') as part, coalesce(text, '') as t from documents), w as (select *, {_WORDS.format('t')} as w from t),
+  l as (select doc_id, coalesce(max(quality), 0) = 1 as good, coalesce(max(toxic), 0) = 1 as toxic from labels group by 1),
+  f as (select part, good, toxic, CASE WHEN len(w) < 200 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 2 * length(t) THEN 'C' ELSE '' END || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+    || CASE WHEN doc_id > min(doc_id) over (partition by t) THEN 'E' ELSE '' END as f from w left join l using (doc_id)),
+  c as (select part, f, count(*) as n, count(*) filter (where good) as good, count(*) filter (where toxic) as toxic from f group by 1, 2),
+  x as (select unnest(['A', 'B', 'C', 'D', 'E']) as x), o as (select a.x || b.x || c.x || d.x || e.x as o from x a, x b, x c, x d, x e where len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+  s as (select o, unnest(range(1, 6))::int as step from o), q as (select o, step, substr(o, step, 1) as x from s),
+  p as (select c.*, o, step, x, coalesce(list_min(list_transform(string_split(nullif(f, ''), ''), lambda z: instr(o, z))), 9) as pos from c, q),
+  r as (select part, o, step, x, coalesce(sum(n) filter (where pos > step), 0) as kept, coalesce(sum(n) filter (where pos = step), 0) as removed, coalesce(sum(n) filter (where pos < step and contains(f, x)), 0) as redundant,
+    coalesce(sum(n) filter (where f = x), 0) as unique_fails, coalesce(sum(good) filter (where pos = step), 0) as good_lost, coalesce(sum(toxic) filter (where pos = step), 0) as toxic_lost from p group by 1, 2, 3, 4)
+  select part, o as filter_order, step, kept::bigint as kept, removed::bigint as removed, redundant::bigint as redundant, unique_fails::bigint as unique_fails, good_lost::bigint as good_lost, toxic_lost::bigint as toxic_lost,
+    (sum(removed) over (partition by part, x))::bigint as shapley from r"""
+
+_TERMS = r"regexp_extract_all(translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+SEARCH = f"""with d as (select row_number() over () as r, doc_id, {_TERMS.format('text')} as w from documents), s as (select count(*) as n_docs, sum(len(w)) as n_terms from d where len(w) > 0),
+  i as (select item_id, x, count(*) as times from (select item_id, unnest({_TERMS.format('text')}) as x from benchmark) group by 1, 2),
+  p as (select r, any_value(doc_id) as doc_id, any_value(n) as n, x, count(*) as tf from (select r, doc_id, len(w) as n, unnest(w) as x from d) where x in (select x from i) group by r, x),
+  w as (select x, floor(1000 * ln((2 * n_docs + 2)::double / (2 * count(*) + 1)::double))::bigint as w from p, s group by x, n_docs),
+  m as (select r, doc_id, x, tf::bigint as tf, (75 + (25 * n * n_docs) // n_terms)::bigint as m from p, s),
+  c as (select item_id, r, any_value(doc_id) as doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::bigint as score from i join m using (x) join w using (x) group by item_id, r)
+  select * from (select item_id, (row_number() over (partition by item_id order by score desc, doc_id))::int as rank, doc_id, score from c where score > 0) where rank <= 20"""
+
 ORACLES = {
     "op2_jaccard_components": JACCARD,
     "op3_secret_scan": SECRETS,
@@ -100,4 +123,6 @@ ORACLES = {
     "op7_quality_rules": QUALITY,
     "op9_line_dedup": LINES,
     "op10_suffix_repeats": REPEATS,
+    "op11_filter_audit": AUDIT,
+    "op12_ranked_search": SEARCH,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, decontaminate, jaccard, line_dedup, quality, secrets, suffix_dedup, token_counts, toxicity, warc
+from tessera.llm import bpe, decontaminate, filter_audit, jaccard, line_dedup, quality, search, secrets, simhash, suffix_dedup, token_counts, toxicity, warc
 from tessera.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES", "table", "tokenizer"]
@@ -67,6 +67,18 @@ def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.document_repeats(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.document_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op2_jaccard_components": op2_jaccard_components,
@@ -78,4 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_line_dedup": op9_line_dedup,
     "op10_suffix_repeats": op10_suffix_repeats,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_simhash_components": op13_simhash_components,
 }

@@ -1,6 +1,6 @@
 """Words and their hashes for whole Arrow batches of text, in numpy.
 
-A word is a maximal run of bytes outside 0x20 and 0x09-0x0D. Hashes are 64 bits
+A word is a maximal run of bytes outside 0x20 and 0x09-0x0D, or outside another set of gaps. Hashes are 64 bits
 wide, of the UTF-8 bytes, with A-Z taken as a-z when ``lower`` is set.
 """
 
@@ -37,6 +37,8 @@ _BYTE_LOWER = _BYTE.copy()
 _BYTE_LOWER[ord("A") : ord("Z") + 1] = _BYTE[ord("a") : ord("z") + 1]
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: All ASCII bytes but letters and digits: gaps between the terms of a search.
+NOT_ALNUM = np.array([b < 0x80 and not chr(b).isalnum() for b in range(256)])
 _POWERS: list[np.ndarray] = [np.ones(1, _U), np.ones(1, _U)]
 
 
@@ -79,8 +81,8 @@ def chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int,
         lo = min(hi, n)
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> Words:
-    """Words of the texts that offsets cut data into; start and end count bytes within data."""
+def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool = True, gaps: np.ndarray = _SPACE) -> Words:
+    """Words of the texts that offsets cut data into; start and end count bytes within data. gaps tells for each byte whether it parts words."""
     base = int(offsets[0])
     data = data[base : int(offsets[-1])]
     cuts = (offsets - base).astype(np.int64)
@@ -88,7 +90,7 @@ def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> Words
     if n == 0:
         none = np.zeros(0, np.int64)
         return Words(np.zeros(len(cuts), np.int64), none, none, np.zeros(0, _U))
-    solid = ~_SPACE[data]
+    solid = ~gaps[data]
     opens = solid.copy()
     opens[1:] &= ~solid[:-1]
     inner = cuts[1:-1]
