@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tessera.operators.order import dense_ids
+from tessera.operators.stages import folders, release, remove, replace_text
 from tessera.operators.stages import written as cut
+from tessera.operators.substring import containing
+
+MANIFEST = "graph.json"
 
 
 def make_nodes(df: DataFrame, value: str, prefix: str, id_col: str = "id", text_col: str = "text") -> DataFrame:
@@ -48,23 +56,27 @@ def hierarchy_edges(df: DataFrame, child: str, parent: str) -> DataFrame:
 
 
 def closure(edges: DataFrame, max_depth: int | None = None) -> DataFrame:
-    """src, dst, depth for all pairs joined by directed edges, with the least depth; one join for each level that is new.
+    """src, dst, depth for all pairs joined by directed edges, with the least depth, in as many rounds as the logarithm of the greatest.
 
-    With max_depth, pairs up to that depth only.
+    With the pairs up to depth d known, those of up to 2d are a pair of depth d and one
+    of up to d after it. Each round's new pairs are a table of their own, and tables
+    of earlier rounds are read, not written again. With max_depth, pairs up to that depth only.
     """
-    step = edges.select("src", "dst").distinct()
-    new = out = cut(step.withColumn("depth", F.lit(1)))
-    depth = 1
-    while max_depth is None or depth < max_depth:
-        depth += 1
-        further = new.select("src", F.col("dst").alias("via")).join(step.withColumnRenamed("src", "via"), "via").select("src", "dst").distinct()
-        known = out.select(F.col("src").alias("a"), F.col("dst").alias("b"))
-        fresh = further.join(known, F.col("src").eqNullSafe(F.col("a")) & F.col("dst").eqNullSafe(F.col("b")), "left_anti")
-        new = cut(fresh.withColumn("depth", F.lit(depth)))
+    found = [cut(edges.select("src", "dst").distinct().withColumn("depth", F.lit(1)), "closure")]
+    reach = 1
+    while max_depth is None or reach < max_depth:
+        known = reduce(DataFrame.unionByName, found)
+        ahead = found[-1].filter(F.col("depth") == reach).select("src", F.col("dst").alias("via"))
+        further = ahead.join(known.select(F.col("src").alias("via"), "dst", (F.col("depth") + reach).alias("depth")), "via").groupBy("src", "dst").agg(F.min("depth").alias("depth"))
+        held = known.select(F.col("src").alias("a"), F.col("dst").alias("b"))
+        fresh = further.join(held, F.col("src").eqNullSafe(F.col("a")) & F.col("dst").eqNullSafe(F.col("b")), "left_anti")
+        new = cut(fresh if max_depth is None else fresh.filter(F.col("depth") <= max_depth), "closure")
         if new.isEmpty():
+            release(new)
             break
-        out = cut(out.unionByName(new))
-    return out
+        found.append(new)
+        reach *= 2
+    return reduce(DataFrame.unionByName, found)
 
 
 @dataclass
@@ -110,13 +122,10 @@ class PropertyGraph:
         return out.select("a", "x", "b") if keep_self else out.filter("a < b").select("a", "x", "b")
 
     def search(self, label: str, column: str, terms: DataFrame, term: str = "term") -> DataFrame:
-        """term with the nodes whose column contains it in any case.
-
-        Terms are a query set: beyond a size that may be broadcast, join them in blocks.
-        """
+        """term with the nodes whose column contains it in any case."""
         nodes = self.label(label)
-        wanted = terms.select(F.col(term).alias("term")).distinct()
-        return nodes.join(wanted, F.lower(F.col(column)).contains(F.lower(F.col("term"))))
+        found = containing(nodes, column, terms, term).withColumnRenamed("text", "__text")
+        return nodes.join(found, F.col(column) == F.col("__text")).drop("__text")
 
     def register(self) -> None:
         """Temporary views node_<label> and edge_<type>, for SQL."""
@@ -126,18 +135,41 @@ class PropertyGraph:
             df.createOrReplaceTempView(f"edge_{name}")
 
     def save(self, path: str) -> None:
-        """Replace what the path holds with one Parquet table for each label and type."""
-        for name, df in self.nodes.items():
-            df.write.mode("overwrite").parquet(f"{path}/nodes/{name}")
-        for name, df in self.edges.items():
-            df.write.mode("overwrite").parquet(f"{path}/edges/{name}")
+        """Replace the graph that the path holds, whole.
+
+        Tables go to a folder of this save's own. A manifest that names them then takes
+        the place of the one before by a rename, so readers see one graph or the other, and
+        a save that fails leaves the old one. Folders that the manifest does not name
+        are deleted at the end.
+        """
+        tables = {f"{kind}/{name}": df for kind, held in (("nodes", self.nodes), ("edges", self.edges)) for name, df in held.items()}
+        if not tables:
+            raise ValueError("an empty graph has no session to be written by")
+        version = uuid.uuid4().hex[:12]
+        for name, df in tables.items():
+            df.write.parquet(f"{path}/{version}/{name}")
+        spark = next(iter(tables.values())).sparkSession
+        whole = {"version": version, "tables": {name: df.schema.json() for name, df in tables.items()}, "ends": self.ends, "aliases": self.aliases}
+        replace_text(spark, f"{path}/{MANIFEST}", json.dumps(whole))
+        for name in folders(spark, path):
+            if name != version:
+                remove(spark, f"{path}/{name}")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> PropertyGraph:
+        """The graph that save() has written last."""
+        held = json.loads(spark.read.text(f"{path}/{MANIFEST}", wholetext=True).first()[0])
+        out = cls(ends={k: [tuple(x) for x in v] for k, v in held["ends"].items()}, aliases=held["aliases"])
+        for name, schema in held["tables"].items():
+            kind, label = name.split("/", 1)
+            getattr(out, kind)[label] = spark.read.schema(StructType.fromJson(json.loads(schema))).parquet(f"{path}/{held['version']}/{name}")
+        return out
 
 
 def search_report(nodes: DataFrame, text: str, terms: DataFrame, term: str = "term") -> DataFrame:
     """term, match_count and the matched texts, sorted; terms without a match have 0."""
     wanted = terms.select(F.col(term).alias("term")).distinct()
-    hits = nodes.select(F.col(text).alias("text")).distinct().join(wanted, F.lower(F.col("text")).contains(F.lower(F.col("term"))))
-    found = hits.groupBy("term").agg(F.count(F.lit(1)).alias("match_count"), F.array_sort(F.collect_set("text")).alias("matches"))
+    found = containing(nodes, text, terms, term).groupBy("term").agg(F.count(F.lit(1)).alias("match_count"), F.array_sort(F.collect_set("text")).alias("matches"))
     return wanted.join(found, "term", "left").select("term", F.coalesce("match_count", F.lit(0).cast("long")).alias("match_count"), F.coalesce("matches", F.expr("cast(array() as array<string>)")).alias("matches"))
 
 

@@ -1,10 +1,11 @@
-"""Two scans whose outcome for a row depends on the rows before it, run for each group of rows that can affect each other.
-
-Rows affect each other only if they share a name, so rows are grouped by the
-connected components of that relation, and each component is scanned in order.
-Components hold the names of one family of companies and stay small; they come
-from joins of names with their least neighbour, in rounds, each written to the
-cluster's shared folder (spark.checkpoint.dir).
+"""Two scans whose outcome for a row depends on the rows before it.
+
+The register is settled by rounds of joins. Consolidation runs for each group of
+rows that can affect each other: rows affect each other only if they share a name,
+so rows are grouped by the connected components of that relation, and each component
+is scanned in order. Components hold the names of one family of companies and stay
+small; they come from joins of names with their least neighbour, in rounds. All
+rounds are written to the cluster's shared folder (spark.checkpoint.dir), and those before deleted.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.stages import written
+from tessera.operators.stages import release, written
 
 
 def name_components(rows: DataFrame, row: str, name: str) -> DataFrame:
@@ -26,7 +27,10 @@ def name_components(rows: DataFrame, row: str, name: str) -> DataFrame:
         # follow the label one step further: components halve in depth each round
         jump = least.alias("a").join(least.alias("b"), F.col("a.component") == F.col("b.row"), "left")
         new = written(jump.select(F.col("a.row").alias("row"), F.coalesce("b.component", "a.component").alias("component")))
-        if new.join(now.withColumnRenamed("component", "old"), "row").filter("component <> old").isEmpty():
+        same = new.join(now.withColumnRenamed("component", "old"), "row").filter("component <> old").isEmpty()
+        release(now)
+        if same:
+            release(links)
             return new.withColumnRenamed("row", row)
         now = new
 
@@ -36,25 +40,55 @@ def register_names(register: DataFrame, order: str = "ord", name: str = "name",
 
     A row of at least 14 columns is eligible if it names no previous company, or one
     that, in upper case, is not yet a name of the result.
+
+    Each name has a lower and an upper bound of the place of its first eligible row:
+    its first row not ruled out, and its first row known to be eligible. A row is
+    settled where the bounds of its previous name lie on one side of it. Rows depend on
+    earlier rows only, so joins of rows with bounds settle the earliest open row at
+    least, and mostly all. Names with one open row form chains, in which a row is
+    eligible if and only if the one before it is not: a chain of any length is settled by
+    following its links two by two, in rounds as many as the logarithm of its length.
     """
     rows = register.select(F.col(order).alias("ord"), F.trim(name).alias("name"), F.trim(F.col(number).cast("string")).alias("acn"), F.upper(F.trim(F.coalesce(F.col(previous), F.lit("")))).alias("prev"), F.col(width).alias("n"))
     rows = rows.filter("name <> '' and acn <> '' and n >= 14")
-    # a name whose rows all name no previous company, and that no row names, needs no scan
-    linked = rows.filter("prev <> ''").select(F.explode(F.array("name", "prev")).alias("name")).distinct()
-    free = rows.join(linked, "name", "left_anti").groupBy("name").agg(F.min_by("acn", "ord").alias("acn"))
-    bound = rows.join(linked, "name", "left_semi")
-    pairs = bound.select("ord", F.explode(F.array_distinct(F.array("name", F.when(F.col("prev") != "", F.col("prev")).otherwise(F.col("name"))))).alias("key"))
-    grouped = bound.join(name_components(pairs, "ord", "key"), "ord")
-
-    def scan(rows_: pd.DataFrame) -> pd.DataFrame:
-        found: dict[str, str] = {}
-        for r in rows_.sort_values("ord", kind="stable").itertuples():
-            if (not r.prev or r.prev not in found) and r.name not in found:
-                found[r.name] = r.acn
-        return pd.DataFrame({"name": list(found), "acn": list(found.values())}, dtype="object")
-
-    scanned = grouped.select("component", "ord", "name", "acn", "prev").groupBy("component").applyInPandas(lambda pdf: scan(pdf), "name string, acn string")
-    return free.unionByName(scanned)
+    # numbers come back at the end; what is after a name's first row without a previous name cannot count
+    first = rows.filter("prev = ''").groupBy("name").agg(F.min("ord").alias("hi"))
+    lean = rows.select("ord", "name", "prev").join(first, "name", "left").filter("hi is null or ord <= hi")
+    now = written(lean.select("ord", "name", "prev", (F.col("prev") == "").alias("eligible")), "register")
+    while not now.filter("not eligible").isEmpty():
+        after = _settled(now)
+        release(now)
+        now = after
+    firsts = now.groupBy("name").agg(F.min("ord").alias("ord"))
+    return rows.select("name", "ord", "acn").join(firsts, ["name", "ord"], "left_semi").groupBy("name").agg(F.min_by("acn", "ord").alias("acn"))
+
+
+def _settled(now: DataFrame) -> DataFrame:
+    """One round: rows of (ord, name, prev, eligible) with those ruled out left out, and those now known to be eligible marked."""
+    bounds = now.groupBy("name").agg(F.min("ord").alias("lo"), F.min(F.when(F.col("eligible"), F.col("ord"))).alias("hi"), F.count_if(~F.col("eligible")).alias("open"))
+    bounds = written(bounds, "register-bounds")
+    own = bounds.select("name", F.col("hi").alias("own_hi"), F.col("open").alias("own_open"))
+    of_prev = bounds.select(F.col("name").alias("prev"), "lo", F.col("hi").alias("prev_hi"), F.col("open").alias("prev_open"))
+    held = now.filter("not eligible").join(own, "name").filter("own_hi is null or ord <= own_hi").join(of_prev, "prev", "left")
+    verdict = F.when(F.col("lo").isNull() | (F.col("lo") >= F.col("ord")), True).when(F.col("prev_hi") < F.col("ord"), False)
+    held = written(held.select("ord", "name", "prev", "own_open", "prev_open", verdict.alias("verdict")), "register-held")
+    release(bounds)
+    chain = held.filter("own_open = 1")
+    link = F.when(F.col("verdict").isNull() & (F.col("prev_open") == 1), F.col("prev"))
+    chain = written(chain.select("name", link.alias("source"), F.lit(True).alias("flip"), "verdict"), "register-chain")
+    while not chain.filter("source is not null").isEmpty():
+        up = chain.select(F.col("name").alias("source"), F.col("source").alias("further"), F.col("flip").alias("flip_up"), F.col("verdict").alias("verdict_up"))
+        stepped = chain.join(up, "source", "left")
+        turned = F.when(F.col("source").isNull(), F.col("verdict")).otherwise(F.col("verdict_up") != F.col("flip"))
+        after = written(stepped.select("name", F.when(F.col("source").isNotNull(), F.col("further")).alias("source"), F.when(F.col("further").isNull(), True).otherwise(F.col("flip") != F.col("flip_up")).alias("flip"), turned.alias("verdict")), "register-chain")
+        release(chain)
+        chain = after
+    known = chain.filter("verdict is not null").select("name", F.col("verdict").alias("by_chain"))
+    judged = held.join(known, "name", "left").withColumn("verdict", F.coalesce("verdict", "by_chain")).filter("verdict is null or verdict")
+    left = judged.select("ord", "name", "prev", F.coalesce("verdict", F.lit(False)).alias("eligible"))
+    out = written(now.filter("eligible").unionByName(left), "register")
+    release(held, chain)
+    return out
 
 
 def consolidate(master: DataFrame, order: str = "ord", company: str = "name", synonyms: str = "synonyms", number: str = "acn", fill: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:

@@ -74,15 +74,22 @@ def json_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select(F.from_json("value", rows.schema).alias("j")).select("j.*")
 
 
-@query("""select 'Customer' as name, c_custkey::varchar as a, c_name as b from customer union all select 'PLACED', 'c' || o_custkey, 'o' || o_orderkey from orders
-  where o_custkey in (select c_custkey from customer)""")
+@query("""select 'Region' as name, 'r' || r_regionkey as a, r_name as b from region union all select 'Nation', 'n' || n_nationkey, n_name from nation union all select 'Customer', 'c' || c_custkey, c_name from customer
+  union all select 'Order', 'o' || o_orderkey, o_orderstatus from orders union all select 'PART_OF', 'n' || n_nationkey, 'r' || n_regionkey from nation union all select 'LOCATED_IN', 'c' || c_custkey, 'n' || c_nationkey from customer
+  union all select 'PLACED', 'c' || o_custkey, 'o' || o_orderkey from orders where o_custkey in (select c_custkey from customer)
+  union all select 'label', unnest(['Customer', 'Nation', 'Order', 'Region']), null union all select 'PLACED ends', 'Customer', 'Order'""")
 def graph_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The graph saved over an older one, and read back."""
+    """The graph saved over an older one with labels of its own, and read back whole."""
     g, path = trade_graph(spark, sf_dir), fresh_path(spark, "graph")
-    G.PropertyGraph(nodes={"Customer": g.label("Region")}).save(path)
+    G.PropertyGraph(nodes={"Customer": g.label("Region"), "Old": g.label("Region")}, edges={"OLD": g.edge("PART_OF")}).save(path)
     g.save(path)
-    nodes = spark.read.parquet(f"{path}/nodes/Customer").select(F.lit("Customer").alias("name"), F.substring("id", 2, 30).alias("a"), F.col("text").alias("b"))
-    return nodes.unionByName(spark.read.parquet(f"{path}/edges/PLACED").select(F.lit("PLACED").alias("name"), F.col("src").alias("a"), F.col("dst").alias("b")))
+    held = G.PropertyGraph.load(spark, path)
+    out = spark.createDataFrame([*[("label", x, None) for x in held.nodes], *[("PLACED ends", *x) for x in held.ends["PLACED"]]], "name string, a string, b string")
+    for label, df in held.nodes.items():
+        out = out.unionByName(df.select(F.lit(label).alias("name"), F.col("id").alias("a"), F.col("status" if label == "Order" else "text").alias("b")))
+    for kind, df in held.edges.items():
+        out = out.unionByName(df.select(F.lit(kind).alias("name"), F.col("src").alias("a"), F.col("dst").alias("b")))
+    return out
 
 
 @query("select distinct c_mktsegment as term from customer")

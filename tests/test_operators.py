@@ -145,7 +145,7 @@ def test_pattern_queries(graph):
 def test_graph_tables(spark, graph, tmp_path):
     assert graph.edge("HAS").count() == 3  # the repeated edge once, the one without a node not at all
     graph.save(str(tmp_path / "g"))
-    assert spark.read.parquet(str(tmp_path / "g/nodes/Project")).count() == 2
+    assert G.PropertyGraph.load(spark, str(tmp_path / "g")).label("Project").count() == 2
     graph.register()
     assert spark.sql("select count(*) from node_Project join edge_HAS_COMMODITY on id = src").first()[0] == 3
     terms = spark.createDataFrame([("a",), ("zz",)], "term string")
