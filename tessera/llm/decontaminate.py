@@ -14,8 +14,9 @@ white space as one space; places count code points of the document so changed.
 
 Defined cases: a null or empty document has no match; a null item, and one without
 anything but white space, matches nowhere; an item of fewer than SHORT code points
-matches where it occurs without an edit and as whole words, since a part of a word
-says nothing about a document; of equally good matches of an item, the first in the
+matches, with as many edits as its length allows, only what begins and ends between
+words (at the text's ends, or beside anything but a letter, digit or underscore),
+since a part of a word says nothing about a document; of equally good matches of an item, the first in the
 document is given; items of equal text match alike; repeated documents are rows of their
 own; empty tables give no matches; other columns are ignored by ``matches`` and
 kept by ``clean``, whatever their names.
@@ -81,9 +82,34 @@ def best_end(peq: dict[str, int], m: int, text: str, anchored: bool = False) ->
     return best, where
 
 
-def whole_words(text: str, a: int, b: int) -> bool:
-    """Whether text[a:b] begins and ends where words do."""
-    return (a == 0 or text[a - 1] == " ") and (b == len(text) or text[b] == " ")
+def ends_within(peq: dict[str, int], m: int, text: str, k: int, anchored: bool = False) -> list[tuple[int, int]]:
+    """(edits, end) of every end in the text where the pattern matches with at most k edits; as best_end otherwise."""
+    full, high = (1 << m) - 1, 1 << (m - 1)
+    pv, mv, score = full, 0, m
+    carry = 1 if anchored else 0
+    out = []
+    for j, c in enumerate(text, 1):
+        eq = peq.get(c, 0)
+        xv = eq | mv
+        xh = (((eq & pv) + pv) ^ pv) | eq
+        ph = mv | (~(xh | pv) & full)
+        mh = pv & xh
+        score += bool(ph & high) - bool(mh & high)
+        ph = (ph << 1) | carry
+        pv = ((mh << 1) | (~(xv | ph))) & full
+        mv = ph & xv & full
+        if score <= k:
+            out.append((score, j))
+    return out
+
+
+def _of_word(c: str) -> bool:
+    return c.isalnum() or c == "_"
+
+
+def border(text: str, at: int) -> bool:
+    """Whether a place is not inside a word: letters, digits and underscores on both sides."""
+    return at in (0, len(text)) or not (_of_word(text[at - 1]) and _of_word(text[at]))
 
 
 class Matcher:
@@ -96,7 +122,7 @@ class Matcher:
         for i, text in items:
             if n := normal(text):
                 by_text.setdefault(n, []).append(i)
-        self.items = [(t, ids, int(len(t) * error_rate) if len(t) >= SHORT else 0, masks(t), masks(t[::-1])) for t, ids in by_text.items()]
+        self.items = [(t, ids, int(len(t) * error_rate), masks(t), masks(t[::-1])) for t, ids in by_text.items()]
         self.find = ahocorasick.Automaton()
         for n, (t, _, k, _, _) in enumerate(self.items):
             for at, piece in pieces(t, k):
@@ -115,8 +141,6 @@ class Matcher:
         for end, held in self.find.iter(text):
             for n, upto in held:
                 t, _, k, _, _ = self.items[n]
-                if len(t) < SHORT and not whole_words(text, end + 1 - len(t), end + 1):
-                    continue
                 lo = max(0, end + 1 - upto - k)
                 hi = min(len(text), end + 1 - upto + len(t) + k)
                 spans = around.setdefault(n, [])
@@ -128,6 +152,9 @@ class Matcher:
         out = []
         for n, spans in around.items():
             t, ids, k, forward, backward = self.items[n]
+            if len(t) < SHORT:
+                out += [(i, *found) for found in self.whole(n, text, spans) for i in ids]
+                continue
             best = None
             for lo, hi in spans:
                 d, e = best_end(forward, len(t), text[lo:hi])
@@ -141,6 +168,17 @@ class Matcher:
                 out += [(i, d, e - back, e) for i in ids]
         return sorted(out)
 
+    def whole(self, n: int, text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+        """(distance, start, end) of the best match of a short item that begins and ends between words, if there is one."""
+        t, _, k, forward, backward = self.items[n]
+        found = []
+        for lo, hi in spans:
+            for _, e in ends_within(forward, len(t), text[lo:hi], k):
+                if border(text, lo + e):
+                    starts = ends_within(backward, len(t), text[lo : lo + e][::-1], k, anchored=True)
+                    found += [(d, lo + e - back, lo + e) for d, back in starts if border(text, lo + e - back)]
+        return [min(found)] if found else []
+
 
 def blocks(benchmark: DataFrame, item_id: str, text: str) -> Iterator[list[tuple[int, str]]]:
     """The items, a block at a time; the driver holds one partition and one block of them."""

@@ -12,7 +12,7 @@ filters before it and not those up to it.
 
 Defined cases: a null text is an empty one, and equals one; a null source is the
 empty string. A null doc_id is no smaller and no larger than another, so such a row
-neither repeats a text nor is repeated. Rows that repeat a doc_id are documents of
+neither repeats a text nor is repeated, and has no label. Rows that repeat a doc_id are documents of
 their own, and all have its label; of several labels of one doc_id the greatest
 counts. Texts may be of any length; one at a time is hashed. An empty table has no
 parts, so no rows. Columns that are not named are not read, whatever their names.

@@ -1,116 +1,5 @@
-"""Cutting lineage through the shared folder of the cluster, and dropping what is no longer read."""
+"""Cutting lineage through the shared folder of the cluster, as the operators of the core do."""
 
-from __future__ import annotations
+from tessera.operators.stages import fresh_path, materialize, recorded, release, release_paths, remove, scratch, shared_dir
 
-import atexit
-import itertools
-import tempfile
-import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
-
-from pyspark.sql import DataFrame, SparkSession
-
-_SERIAL = itertools.count()
-_OWN_DIRS: dict[str, str] = {}
-_WRITTEN: dict[str, SparkSession] = {}
-_PATHS = "_tessera_paths"
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir of the session.
-
-    Only a master of one machine may leave that unset; a folder of the driver's own is made then.
-    """
-    given = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if given:
-        return given.rstrip("/")
-    master = spark.sparkContext.master
-    if not (master == "local" or master.startswith("local[")):
-        raise ValueError(f"set spark.checkpoint.dir to a folder that all machines of {master} share")
-    app = spark.sparkContext.applicationId
-    if app not in _OWN_DIRS:
-        _OWN_DIRS[app] = "file://" + tempfile.mkdtemp(prefix="tessera-")
-    return _OWN_DIRS[app]
-
-
-def fresh_path(spark: SparkSession, tag: str) -> str:
-    """A path below shared_dir that nothing has used; it is removed by release(), or when the driver ends."""
-    path = f"{shared_dir(spark)}/tessera/{tag}-{next(_SERIAL)}-{uuid.uuid4().hex[:12]}"
-    _WRITTEN[path] = spark
-    return path
-
-
-def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """df, written as Parquet to the shared folder and read again.
-
-    The plan above reads files instead of computing df again, and a lost
-    executor costs no more than a second read. The write is the only use of its
-    shuffles, so Spark may delete their files as soon as it has ended.
-    """
-    spark = df.sparkSession
-    path = fresh_path(spark, tag)
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
-    try:
-        df.write.option("compression", "zstd").parquet(path)
-    finally:
-        if before is None:
-            spark.conf.unset(_CLEANUP)
-        else:
-            spark.conf.set(_CLEANUP, before)
-    out = spark.read.schema(df.schema).parquet(path)
-    setattr(out, _PATHS, path)
-    return out
-
-
-def release(*tables: DataFrame | None) -> None:
-    """Delete the files of tables that materialize() gave and that no plan will read again."""
-    for table in tables:
-        path = getattr(table, _PATHS, None)
-        if path in _WRITTEN:
-            remove(_WRITTEN.pop(path), path)
-
-
-@contextmanager
-def scratch() -> Iterator[list[DataFrame]]:
-    """A list whose tables are released at the end of the block."""
-    held: list[DataFrame] = []
-    try:
-        yield held
-    finally:
-        release(*held)
-
-
-@contextmanager
-def recorded() -> Iterator[list[str]]:
-    """A list that holds, at the end of the block, the paths handed out in it and not yet released."""
-    before, made = set(_WRITTEN), []
-    yield made
-    made += [p for p in _WRITTEN if p not in before]
-
-
-def release_paths(paths: list[str]) -> None:
-    """As release(), for paths."""
-    for path in paths:
-        if path in _WRITTEN:
-            remove(_WRITTEN.pop(path), path)
-    paths.clear()
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete what is below path, through Hadoop's file system for its scheme."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
-@atexit.register
-def _clean() -> None:
-    for path, spark in _WRITTEN.items():
-        try:
-            if spark.sparkContext._jsc is not None:
-                remove(spark, path)
-        except Exception:  # the JVM may be gone at exit; the folder is then the cluster's to clear
-            return
+__all__ = ["fresh_path", "materialize", "recorded", "release", "release_paths", "remove", "scratch", "shared_dir"]

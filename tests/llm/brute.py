@@ -203,3 +203,88 @@ def repeats(docs: list[tuple], least: int = 50) -> list[tuple[list[tuple[int, in
                         got[k].append((p, p + least))
         out.append(got)
     return out
+
+
+def distance(a: str, b: str) -> int:
+    """Edits between two texts."""
+    row = list(range(len(b) + 1))
+    for i, c in enumerate(a, 1):
+        new = [i]
+        for j, d in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (c != d)))
+        row = new
+    return row[-1]
+
+
+def audit(docs: list[tuple], labels: list[tuple]) -> dict[tuple, tuple]:
+    """(part, order, step) -> kept, removed, redundant, unique_fails, good_lost, toxic_lost, shapley, by applying every order to every document."""
+    from itertools import permutations
+
+    good, toxic = ({d for d, *v in labels if d is not None and v[i] == 1} for i in (0, 1))
+    rows = defaultdict(list)
+    for d, t, _, source, *_ in docs:
+        t = t or ""
+        w = words(t)
+        fails = {c for c, bad in zip("ABCDE", (
+            len(w) < 200, 100 * len(set(w)) < 50 * len(w), 100 * sum("A" <= c <= "Z" for c in t) > 2 * len(t), any(c in "#$%&*|" for c in t),
+            d is not None and any(e is not None and e < d and (u or "") == t for e, u, *_ in docs),
+        ), strict=True) if bad}
+        rows[source or ""].append((fails, d in good, d in toxic))
+    out = {}
+    for part, held in rows.items():
+        whole: Counter = Counter()
+        for order in permutations("ABCDE"):
+            left = held
+            for k, c in enumerate(order, 1):
+                here = [x for x in left if c in x[0]]
+                left = [x for x in left if c not in x[0]]
+                whole[c] += len(here)
+                fails = sum(c in x[0] for x in held)
+                out[part, "".join(order), k] = (len(left), len(here), fails - len(here), sum(x[0] == {c} for x in held), sum(x[1] for x in here), sum(x[2] for x in here))
+        for key, v in list(out.items()):
+            if key[0] == part:
+                out[key] = (*v, whole[key[1][key[2] - 1]])
+    return out
+
+
+def terms(text: str | None) -> list[str]:
+    return re.findall("[0-9A-Za-z\x80-\U0010ffff]+", ascii_lower(text or ""))
+
+
+def ranked(docs: list[tuple], items: list[tuple], k: int = 20) -> set[tuple]:
+    """(item_id, rank, doc_id, score) of the best documents, each document scored by itself."""
+    held = [(d, Counter(terms(t))) for d, t, *_ in docs]
+    held = [(d, c, sum(c.values())) for d, c in held if c]
+    n, total, df = len(held), sum(x[2] for x in held), Counter(t for _, c, _ in held for t in c)
+    out = set()
+    for i, text in items:
+        scored = []
+        for d, c, size in held:
+            m = 75 + 25 * size * n // total
+            score = sum(math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1))) * (10**9 * c[t] // (1000 * c[t] + 12 * m)) for t in terms(text) if t in c)
+            if score > 0:
+                scored.append((-score, d is None, d or 0, d))
+        out |= {(i, r, d, -s) for r, (s, _, _, d) in enumerate(sorted(scored, key=lambda x: x[:3])[:k], 1)}
+    return out
+
+
+def simhash(text: str | None) -> int:
+    import xxhash
+
+    ws = [ascii_lower(w) for w in words(text)]
+    if not ws:
+        return 0
+    hashes = [xxhash.xxh64_intdigest(" ".join(ws[i : i + 3]).encode(), 42) for i in range(max(1, len(ws) - 2))]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def simhash_components(docs: list[tuple]) -> list[tuple]:
+    """(doc_id, fingerprint, component_id) by comparing all pairs of fingerprints."""
+    fps = [simhash(t) for _, t, *_ in docs]
+    kinds = sorted(set(fps))
+    top = components([(a, b) for i, a in enumerate(kinds) for b in kinds[i + 1 :] if (a ^ b).bit_count() <= 3], kinds)
+    least: dict = {}
+    for (d, *_), fp in zip(docs, fps, strict=True):
+        if d is not None:
+            least[top[fp]] = min(least.get(top[fp], d), d)
+    return [(d, f"{fp:016x}", least.get(top[fp])) for (d, *_), fp in zip(docs, fps, strict=True)]
