@@ -11,7 +11,7 @@ from tessera.functions import similarity as S
 from tessera.functions.text import normalize_name
 from tessera.operators.order import dense_ids, keep_first
 from tessera.operators.relational import append_unmatched
-from tessera.operators.stages import written
+from tessera.operators.stages import release, written
 
 THRESHOLD = 80.0
 #: Names whose lengths differ by more cannot reach the threshold.
@@ -42,36 +42,161 @@ def best_jaccard(pairs: DataFrame, least: float = 0.0) -> DataFrame:
     return best_by(scored, "l", [F.col("jaccard").desc(), F.col("r").asc()])
 
 
+#: Buckets that letters are counted in, and rows of one word on the right beyond which its join is salted.
+LETTERS = 32
+HOT_WORD = 10_000
+
+
+def _described(df: DataFrame, name: str) -> DataFrame:
+    """name and d: distinct names with their distinct words, sorted, and the lengths and letter counts that bound scores."""
+    c = F.col("name")
+    words = F.array_remove(F.split(c, r"\s+"), "")
+    bare = F.regexp_replace(c, r"\s+", "")
+    seen = F.transform(F.split(bare, ""), lambda x: F.ascii(x) % LETTERS)
+    counts = F.transform(F.sequence(F.lit(0), F.lit(LETTERS - 1)), lambda i: F.size(F.filter(seen, lambda x: x == i)).cast("short"))
+    return df.select(F.col(name).alias("name")).filter("name <> ''").distinct().select(
+        "name", F.struct(F.array_sort(F.array_distinct(words)).alias("words"), F.size(words).alias("k"), F.length(c).alias("n"), F.length(bare).alias("bare"), counts.alias("letters")).alias("d"))
+
+
+def score_bounds(a: str = "a", b: str = "b") -> tuple[Column, Column]:
+    """(least, most) that the weighted ratio of two described names with a word in common can be, without comparing them letter by letter.
+
+    A common subsequence is no longer than the letters that both have, counted with
+    repeats; lengths and the words in common are known exactly.
+    """
+    of = lambda side, what: F.col(f"{side}.{what}")
+    chars = lambda words: F.aggregate(words, F.lit(0), lambda s, w: s + F.length(w))
+    shared = F.aggregate(F.zip_with(of(a, "letters"), of(b, "letters"), lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
+    spaces = F.least(of(a, "n") - of(a, "bare"), of(b, "n") - of(b, "bare"))
+    share = lambda common, total: F.least(F.lit(100.0), 200.0 * common / F.greatest(total, F.lit(1)))
+    whole = share(shared + spaces, of(a, "n") + of(b, "n"))
+    by_words = share(shared + F.least(of(a, "k"), of(b, "k")) - 1, of(a, "bare") + of(a, "k") + of(b, "bare") + of(b, "k") - 2)
+    both = F.array_intersect(of(a, "words"), of(b, "words"))
+    both_chars, both_n = chars(both), F.size(both)
+    rest = {s: (chars(of(s, "words")) - both_chars, F.greatest(F.size(of(s, "words")) - both_n - 1, F.lit(0))) for s in (a, b)}
+    left, right = (c + gaps for c, gaps in rest.values())
+    head = both_chars + both_n - 1
+    common = F.least(left, right, F.greatest(shared - both_chars, F.lit(0)) + F.least(rest[a][1], rest[b][1]))
+    covered = (left == 0) | (right == 0)
+    known = F.greatest(*[100.0 * (1 - (1 + x) / (head + head + 1 + x)) for x in (left, right)])
+    total = head + 1 + left + head + 1 + right
+    set_most = F.when(covered, 100.0).otherwise(F.greatest(known, 100.0 * (1 - (left + right - 2 * common) / total)))
+    stretch = F.greatest(of(a, "n"), of(b, "n")) / F.least(of(a, "n"), of(b, "n"))
+    part = F.when(stretch <= 8, 0.9).otherwise(0.6)
+    window = share(shared + spaces, F.least(of(a, "n"), of(b, "n")) + shared + spaces)
+    near = stretch < 1.5
+    most = F.when(near, F.greatest(whole, 0.95 * F.greatest(by_words, set_most))).otherwise(F.greatest(whole, part * window, 95.0 * part))
+    least = F.when(near, 0.95 * F.when(covered, 100.0).otherwise(known)).otherwise(95.0 * part)
+    return least, most
+
+
+def candidates(left: DataFrame, right: DataFrame, left_name: str, right_name: str, hot_word: int = HOT_WORD) -> DataFrame:
+    """l, r, a, b: each pair of names that share a word, once, with what describes them.
+
+    A pair comes up at the first of its common words only, so pairs need not be made
+    distinct. The names of a word that very many names on the right have are dealt to
+    salted parts, and those on the left to all of that word's parts.
+    """
+    words = lambda df, name, x, d: df.select(F.col("name").alias(x), F.col("d").alias(d), F.explode("d.words").alias("word"))
+    x = words(_described(left, left_name), left_name, "l", "a")
+    y = written(words(_described(right, right_name), right_name, "r", "b"), "right-words")
+    hot = written(y.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_word).select("word", F.ceil(F.col("n") / hot_word).cast("int").alias("parts")), "hot-words")
+    keys = ["word"]
+    if not hot.isEmpty():
+        parts = F.coalesce("parts", F.lit(1))
+        y = y.join(hot, "word", "left").withColumn("part", F.pmod(F.xxhash64("r"), parts).cast("int")).drop("parts")
+        x = x.join(hot, "word", "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
+        keys.append("part")
+    met = x.join(y, keys)
+    return met.filter(F.element_at(F.array_intersect("a.words", "b.words"), 1) == F.col("word")).select("l", "r", "a", "b")
+
+
+def scored_pairs(met: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """l, r, w_ratio of those pairs of candidates() that can be the best of their left name.
+
+    Of each name, the pair with the greatest bound is scored first. Others follow
+    only where their bound reaches that score, and the greatest score that any pair is known to have.
+    """
+    longer, shorter = F.greatest("a.n", "b.n"), F.least("a.n", "b.n")
+    least, most = score_bounds()
+    slack = 1e-6  # bounds are sums in another order
+    bounded = met.filter((shorter > 0) & (longer <= MAX_STRETCH * shorter)).select("l", "r", least.alias("least"), (most + slack).alias("most")).filter(F.col("most") >= threshold)
+    bounded = written(bounded, "bounded")
+    heads = bounded.groupBy("l").agg(F.max("least").alias("floor"), F.max_by("r", F.struct("most", "least", "r")).alias("r"))
+    heads = written(heads.withColumn("w_ratio", S.weighted_ratio_udf("l", "r")), "heads")
+    floors = heads.select("l", F.col("r").alias("__head"), F.greatest(F.col("floor") - slack, "w_ratio", F.lit(threshold)).alias("floor"))
+    rest = bounded.join(floors, "l").filter("r <> __head and most >= floor").select("l", "r")
+    scored = heads.select("l", "r", "w_ratio").unionByName(rest.withColumn("w_ratio", S.weighted_ratio_udf("l", "r")))
+    scored = written(scored, "scored")
+    release(bounded, heads)
+    return scored
+
+
+def best_bounded(met: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """l, r, w_ratio, levenshtein_ratio of the best of candidates(), as best_weighted gives it."""
+    return _best_scored(scored_pairs(met, threshold), threshold)
+
+
+def _best_scored(scored: DataFrame, threshold: float) -> DataFrame:
+    good = scored.filter(F.col("w_ratio") >= threshold)
+    # only candidates with the best first score need the second
+    tied = good.withColumn("__top", F.max("w_ratio").over(Window.partitionBy("l"))).filter("w_ratio = __top").drop("__top")
+    return best_by(tied.withColumn("levenshtein_ratio", S.indel_ratio_udf("l", "r")), "l", [F.col("levenshtein_ratio").desc(), F.col("r").asc()])
+
+
 def best_weighted(pairs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """l, r, w_ratio, levenshtein_ratio of the best candidate: cheap filters first, then one score, then the other."""
+    """l, r, w_ratio, levenshtein_ratio of the best candidate, every pair of like length scored."""
     longer, shorter = F.greatest(F.length("l"), F.length("r")), F.least(F.length("l"), F.length("r"))
     near = pairs.filter((shorter > 0) & (longer <= MAX_STRETCH * shorter))
-    scored = near.withColumn("w_ratio", S.weighted_ratio_udf("l", "r")).filter(F.col("w_ratio") >= threshold)
-    top = F.max("w_ratio").over(Window.partitionBy("l"))
-    # only candidates with the best first score need the second
-    tied = scored.withColumn("__top", top).filter("w_ratio = __top").drop("__top")
-    scored = tied.withColumn("levenshtein_ratio", S.indel_ratio_udf("l", "r"))
-    return best_by(scored, "l", [F.col("levenshtein_ratio").desc(), F.col("r").asc()])
+    return _best_scored(near.withColumn("w_ratio", S.weighted_ratio_udf("l", "r")), threshold)
+
+
+def name_vectors(names: DataFrame, name: str, vectors: DataFrame, word: str = "word", vector: str = "vector") -> DataFrame:
+    """name, vector: the mean of the vectors of each name's words, repeats included; words that the table lacks count as zero vectors.
+
+    vectors is a table of a model's words, of any size: it is joined, not loaded.
+    """
+    words = F.posexplode(F.array_remove(F.split(F.col("name"), r"\s+"), ""))
+    each = names.select(F.col(name).alias("name")).distinct().select("name", words.alias("i", "word"))
+    found = each.join(vectors.select(F.col(word).alias("word"), F.col(vector).cast("array<double>").alias("v")), "word", "left")
+    held = found.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list(F.when(F.col("v").isNotNull(), F.struct("i", "v")))).alias("vs"))
+    plus = lambda s, x: F.when(F.size(s) == 0, x["v"]).otherwise(F.zip_with(s, x["v"], lambda p, q: p + q))
+    total = F.aggregate("vs", F.expr("cast(array() as array<double>)"), plus)
+    return held.select("name", F.transform(total, lambda x: x / F.col("n")).alias("vector"))
+
+
+def with_vector_similarity(pairs: DataFrame, vectors: DataFrame, alias: str = "vector_similarity") -> DataFrame:
+    """pairs of l and r with the cosine of their mean word vectors; 0 where a name has no vector or one of no length."""
+    both = written(name_vectors(pairs.select(F.explode(F.array("l", "r")).alias("name")), "name", vectors), "vectors")
+    x, y = (both.select(F.col("name").alias(side), F.col("vector").alias(f"__{side}")) for side in ("l", "r"))
+    known = (F.size("__l") > 0) & (F.size("__r") > 0)
+    joined = pairs.join(x, "l", "left").join(y, "r", "left")
+    return joined.withColumn(alias, F.coalesce(F.when(known, S.cosine("__l", "__r")), F.lit(0.0))).drop("__l", "__r")
 
 
 def match(
     left: DataFrame, right: DataFrame, left_name: str = "norm", right_name: str = "norm",
-    vector: Callable[[str, str], Column] | None = S.ngram_cosine, vector_gate: tuple[float, float] = (95.0, 100.0),
+    vector: Callable[[str, str], Column] | DataFrame | None = S.ngram_cosine, vector_gate: tuple[float, float] = (95.0, 100.0),
 ) -> DataFrame:
     """l, r, six scores and the folded status for every distinct left name; scores are null where there is no candidate.
 
-    vector scores a pair of names and takes part where vector_gate[0] <= w_ratio <
+    vector scores a pair of names, or is a table of (word, vector), and takes part where vector_gate[0] <= w_ratio <
     vector_gate[1]; None leaves it 0, so that no match is confident by scores.
     """
     names = left.select(F.col(left_name).alias("l")).distinct()
-    best = best_weighted(token_pairs(left, right, left_name, right_name))
+    best = best_bounded(candidates(left, right, left_name, right_name))
     gate = (F.col("w_ratio") >= vector_gate[0]) & (F.col("w_ratio") < vector_gate[1])
+    if isinstance(vector, DataFrame):
+        best = written(best, "best")
+        close = with_vector_similarity(best.filter(gate).select("l", "r"), vector, "__near")
+        best = best.join(close, ["l", "r"], "left")
     best = best.withColumns({
         "jaccard_similarity": S.word_jaccard("l", "r"),
-        "vector_similarity": F.when(gate, vector("l", "r")).otherwise(0.0) if vector else F.lit(0.0),
+        "vector_similarity": F.coalesce("__near", F.lit(0.0)) if isinstance(vector, DataFrame) else F.when(gate, vector("l", "r")).otherwise(0.0) if vector else F.lit(0.0),
         "no_space_exact_match": S.same_without_spaces("l", "r"),
         "au_removed_match": S.same_without_au("l", "r"),
     })
+    best = best.drop("__near")
     status = S.match_status(F.col("w_ratio"), F.col("levenshtein_ratio"), F.col("jaccard_similarity"), F.col("vector_similarity"), F.col("no_space_exact_match"), F.col("au_removed_match"))
     out = names.join(best, "l", "left")
     return out.withColumn("status", S.folded_status(status, F.col("r").isNotNull()))

@@ -120,7 +120,8 @@ def indel_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 _SORTED = "array_to_string(list_sort({0}), ' ')"
 _GRAMS = "list_distinct(list_transform(range(1, greatest(len({0}), 1) + 1), lambda i: substr(' ' || {0} || ' ', i, 3)))"
 #: The weighted ratio in full: every pair of texts whose subsequence it needs, once, then the ratios from their lengths.
-_STATUS = f"""with part_names as (select distinct p_name as n, {ending_sql('p_name', 'p_partkey')} as o from part),
+def _status_sql(low: int, high: int, vector: str, more: str = "", joined: str = "") -> str:
+    return f"""with part_names as (select distinct p_name as n, {ending_sql('p_name', 'p_partkey')} as o from part),
   left_names as (select distinct {normalised_sql('n')} as l from part_names where {normalised_sql('n')} <> ''), right_names as (select distinct {normalised_sql('o')} as r from part_names where {normalised_sql('o')} <> ''),
   lt as (select l, unnest({_WORDS.format('l')}) as token from left_names), rt as (select r, unnest({_WORDS.format('r')}) as token from right_names),
   pairs as (select distinct l, r from lt join rt using (token) where greatest(len(l), len(r)) <= 8 * least(len(l), len(r))),
@@ -135,14 +136,17 @@ _STATUS = f"""with part_names as (select distinct p_name as n, {ending_sql('p_na
     from c join lcs k on k.p = c.l and k.q = c.r left join lcs o on not far and o.p = ls and o.q = rs left join lcs d on d.p = x and d.q = y left join part_ratio h on h.l = c.l and h.r = c.r),
   scored as (select l, r, whole, CASE WHEN far THEN greatest(whole, 0.9::double * part, 0.95::double * 0.9::double * 100.0::double) ELSE greatest(whole, 0.95::double * greatest(by_token, CASE WHEN x = '' or y = '' THEN 100.0::double
     ELSE greatest(100.0::double * (1 - apart::double / (nx + ny)), 100.0::double * (1 - (1 + len(x))::double / (len(common) + nx)), 100.0::double * (1 - (1 + len(y))::double / (len(common) + ny))) END)) END as ratio from ratios),
-  best as (select l, r, ratio, whole from (select *, row_number() over (partition by l order by ratio desc, whole desc, r) as k from scored where ratio >= 80) where k = 1),
+  best as (select l, r, ratio, whole from (select *, row_number() over (partition by l order by ratio desc, whole desc, r) as k from scored where ratio >= 80) where k = 1),{more}
   f as (select l, r, round(ratio, 6) as w_ratio, round(whole, 6) as levenshtein_ratio, round({_JACCARD}, 6) as jaccard_similarity,
-    CASE WHEN ratio >= 95 and ratio < 100 THEN round(len(list_intersect({_GRAMS.format('l')}, {_GRAMS.format('r')})) / sqrt(len({_GRAMS.format('l')})::double * len({_GRAMS.format('r')})), 6) ELSE 0 END as vector_similarity,
-    (replace(l, ' ', '') = replace(r, ' ', ''))::int as no_space_exact_match, CASE WHEN {normalised_sql('l')} like '% au' THEN (left({normalised_sql('l')}, len({normalised_sql('l')}) - 3) = {normalised_sql('r')})::int ELSE 0 END as au_removed_match from best)
+    CASE WHEN ratio >= {low} and ratio < {high} THEN round({vector}, 6) ELSE 0 END as vector_similarity,
+    (replace(l, ' ', '') = replace(r, ' ', ''))::int as no_space_exact_match, CASE WHEN {normalised_sql('l')} like '% au' THEN (left({normalised_sql('l')}, len({normalised_sql('l')}) - 3) = {normalised_sql('r')})::int ELSE 0 END as au_removed_match from best {joined})
   select left_names.l, f.* exclude (l), CASE WHEN r is null THEN 'no_candidate_found' WHEN no_space_exact_match = 1 THEN 'no_space_exact_match' WHEN au_removed_match = 1 THEN 'au_removed_match'
     WHEN w_ratio >= 95 and levenshtein_ratio >= 90 and jaccard_similarity >= 0.5 and vector_similarity >= 0.5 THEN 'confident_score_match' ELSE 'low_confidence' END as status from left_names left join f using (l)"""
 
 
+_STATUS = _status_sql(95, 100, f"len(list_intersect({_GRAMS.format('l')}, {_GRAMS.format('r')})) / sqrt(len({_GRAMS.format('l')})::double * len({_GRAMS.format('r')}))")
+
+
 @query(_STATUS)
 def match_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Six scores and the status of the best candidate, names of parts against the same names with endings."""
@@ -152,6 +156,25 @@ def match_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.match(left, right).withColumns({c: F.round(c, 6) for c in ("w_ratio", "levenshtein_ratio", "jaccard_similarity", "vector_similarity")})
 
 
+_MEANS = """
+  word_vectors as (select word, embedding from (select word, row_number() over (order by word) as k from (select token as word from lt union select token from rt)) join embeddings on vec_id = k where k % 5 <> 0),
+  spread as (select name, len(ws) as n, unnest(ws) as word from (select name, list_filter(string_split(name, ' '), lambda z: z <> '') as ws from (select l as name from left_names union select r from right_names))),
+  sums as (select name, d, sum(embedding[d]::double) / max(n) as m from (select *, unnest(range(1, len(embedding) + 1)) as d from spread join word_vectors using (word)) group by 1, 2),
+  means as (select name, list(m order by d) as v from sums group by 1),"""
+_COSINE = "coalesce(list_dot_product(p.v, q.v) / nullif(sqrt(list_dot_product(p.v, p.v)) * sqrt(list_dot_product(q.v, q.v)), 0), 0)"
+
+
+@query(_status_sql(80, 101, _COSINE, _MEANS, "left join means p on p.name = l left join means q on q.name = r"))
+def match_word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As match_status, with a table of word vectors in place of trigrams; every fifth word has none."""
+    part = table(spark, sf_dir, "part").withColumn("other", ending(F.col("p_name"), F.col("p_partkey")))
+    left, right = M.prepared(part, "p_name", "p_partkey"), M.prepared(part, "other", "p_partkey")
+    words = left.select("norm").unionByName(right.select("norm")).select(F.explode(S.word_set("norm")).alias("word")).distinct()
+    numbered = O.dense_ids(words, ["word"], alias="vec_id").filter("vec_id % 5 <> 0")
+    vectors = numbered.join(table(spark, sf_dir, "embeddings"), "vec_id").select("word", F.col("embedding").alias("vector"))
+    return M.match(left, right, vector=vectors, vector_gate=(80.0, 101.0)).withColumns({c: F.round(c, 6) for c in ("w_ratio", "levenshtein_ratio", "jaccard_similarity", "vector_similarity")})
+
+
 @query(f"""with n as (select distinct {normalised_sql(ending_sql('p_name', 'p_partkey'))} as a, lower(p_name) as b from part)
   select a, b, (replace(a, ' ', '') = replace(b, ' ', ''))::int as no_space,
     CASE WHEN a like '% au' THEN (left(a, len(a) - 3) = {normalised_sql('b')})::int ELSE 0 END as no_au from n""")
