@@ -11,7 +11,7 @@ from tessera.functions import similarity as S
 from tessera.functions.text import normalize_name
 from tessera.operators.order import dense_ids, keep_first
 from tessera.operators.relational import append_unmatched
-from tessera.operators.stages import release, written
+from tessera.operators.stages import settled, written
 
 THRESHOLD = 80.0
 #: Names whose lengths differ by more cannot reach the threshold.
@@ -99,8 +99,8 @@ def candidates(left: DataFrame, right: DataFrame, left_name: str, right_name: st
     """
     words = lambda df, name, x, d: df.select(F.col("name").alias(x), F.col("d").alias(d), F.explode("d.words").alias("word"))
     x = words(_described(left, left_name), left_name, "l", "a")
-    y = written(words(_described(right, right_name), right_name, "r", "b"), "right-words")
-    hot = written(y.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_word).select("word", F.ceil(F.col("n") / hot_word).cast("int").alias("parts")), "hot-words")
+    y = words(_described(right, right_name), right_name, "r", "b")
+    hot = written(token_index(right, right_name).withColumnRenamed("token", "word").groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_word).select("word", F.ceil(F.col("n") / hot_word).cast("int").alias("parts")), "hot-words")
     keys = ["word"]
     if not hot.isEmpty():
         parts = F.coalesce("parts", F.lit(1))
@@ -126,10 +126,7 @@ def scored_pairs(met: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     heads = written(heads.withColumn("w_ratio", S.weighted_ratio_udf("l", "r")), "heads")
     floors = heads.select("l", F.col("r").alias("__head"), F.greatest(F.col("floor") - slack, "w_ratio", F.lit(threshold)).alias("floor"))
     rest = bounded.join(floors, "l").filter("r <> __head and most >= floor").select("l", "r")
-    scored = heads.select("l", "r", "w_ratio").unionByName(rest.withColumn("w_ratio", S.weighted_ratio_udf("l", "r")))
-    scored = written(scored, "scored")
-    release(bounded, heads)
-    return scored
+    return heads.select("l", "r", "w_ratio").unionByName(rest.withColumn("w_ratio", S.weighted_ratio_udf("l", "r")))
 
 
 def best_bounded(met: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -209,7 +206,7 @@ def cascade(left: DataFrame, name: str, sources: Sequence[tuple[str, DataFrame,
     """
     rest, out = left.select(F.col(name)).distinct(), None
     for label, right, right_name in sources:
-        got = written(find(rest, right, name, right_name).withColumn("matched_source", F.lit(label)), "cascade")
+        got = settled(lambda: find(rest, right, name, right_name).withColumn("matched_source", F.lit(label)), "cascade")  # noqa: B023
         out = got if out is None else out.unionByName(got, allowMissingColumns=True)
         rest = written(rest.join(got.select(F.col("l").alias(name)), name, "left_anti"), "cascade")
     return out.unionByName(rest.select(F.col(name).alias("l")), allowMissingColumns=True)
@@ -229,8 +226,7 @@ def enrich_append(left: DataFrame, right: DataFrame, name: str, order: str, take
     step is written to the shared folder, so that stages on stages stay small plans.
     """
     a, b = written(prepared(left, name, order), "left"), written(prepared(right, name, order), "right")
-    good = match(a, b).filter(F.col("status").isin(*S.HIGH_CONFIDENCE)).select(F.col("l").alias("norm"), F.col("r").alias("__r"))
-    good = written(good, "matches")
+    good = settled(lambda: match(a, b).filter(F.col("status").isin(*S.HIGH_CONFIDENCE)).select(F.col("l").alias("norm"), F.col("r").alias("__r")), "matches")
     found = good.join(b.select(F.col("norm").alias("__r"), *take), "__r")
     mine = a.drop(*[c for c in take if c in a.columns]).join(found.drop("__r"), "norm", "left")
     extra = b.join(good.select(F.col("__r").alias("norm")).distinct(), "norm", "left_anti")

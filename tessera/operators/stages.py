@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import contextvars
 import itertools
 import tempfile
 import threading
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,8 @@ _WRITTEN: dict[str, SparkSession] = {}
 _PATHS = "_tessera_paths"
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _LOCK = threading.Lock()
+#: Paths handed out in the innermost settled() or recorded() of this thread.
+_SCOPE: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("scope", default=None)
 #: Writes under way in each session, and the setting before the first of them.
 _WRITING: dict[int, tuple[int, str | None]] = {}
 
@@ -43,6 +46,8 @@ def fresh_path(spark: SparkSession, tag: str) -> str:
     """A path below shared_dir that nothing has used; it is removed by release(), or when the driver ends."""
     path = f"{shared_dir(spark)}/tessera/{tag}-{next(_SERIAL)}-{uuid.uuid4().hex[:12]}"
     _WRITTEN[path] = spark
+    if (scope := _SCOPE.get()) is not None:
+        scope.append(path)
     return path
 
 
@@ -108,10 +113,24 @@ def scratch() -> Iterator[list[DataFrame]]:
 
 @contextmanager
 def recorded() -> Iterator[list[str]]:
-    """A list that holds, at the end of the block, the paths handed out in it and not yet released."""
-    before, made = set(_WRITTEN), []
-    yield made
-    made += [p for p in _WRITTEN if p not in before]
+    """A list of the paths that this thread hands out in the block; at its end, of those not yet released."""
+    outer, made = _SCOPE.get(), []
+    token = _SCOPE.set(made)
+    try:
+        yield made
+    finally:
+        _SCOPE.reset(token)
+        made[:] = [p for p in made if p in _WRITTEN]
+        if outer is not None:
+            outer += made
+
+
+def settled(make: Callable[[], DataFrame], tag: str = "stage") -> DataFrame:
+    """The table that make() plans, written; the tables that it has written on the way are deleted."""
+    with recorded() as made:
+        out = materialize(make(), tag)
+        release_paths([p for p in made if p != getattr(out, _PATHS)])
+    return out
 
 
 def release_paths(paths: list[str]) -> None:

@@ -12,6 +12,7 @@ from tessera.operators.stages import fresh_path
 from tessera.plans import pipelines as C
 from tessera.plans.queries import _PIP, _POLYGONS, _REGISTER_NAMES, _case, _points, _polygons, query, register, table, trade_graph
 from tessera.sources import readers, writers
+from tessera.sources.shapefiles import polygons, write_shapefiles
 
 
 # -- files -------------------------------------------------------------------------
@@ -39,15 +40,35 @@ _REGISTER = """select 'COMPANY ' || (o_orderkey * 7 % 3001) as name, (o_custkey
   CASE WHEN o_orderkey % 5 = 0 THEN 'COMPANY ' || ((o_orderkey * 11 + 3) % 3001) ELSE '' END as prev, CASE WHEN o_orderkey % 13 = 0 THEN 3 ELSE 14 END as n from orders"""
 
 
-@query(f"select name, acn, CASE WHEN n = 14 THEN prev ELSE '' END as previous, n as n_columns from ({_REGISTER})")
+_ODD_NAME = """CASE WHEN acn::bigint % 17 = 0 THEN name || ' "Q"' || chr(9) || 'x' WHEN acn::bigint % 19 = 0 THEN name || chr(10) || 'second, "line"' ELSE name END"""
+
+
+@query(f"select {_ODD_NAME} as name, acn, CASE WHEN n = 14 THEN prev ELSE '' END as previous, n as n_columns from ({_REGISTER})")
 def register_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A ragged register without a header."""
+    """A ragged register without a header, some names of which are quoted for the quotes, tabs and line breaks that they hold."""
     path = fresh_path(spark, "register")
+    k, name = F.col("acn").cast("long"), F.col("name")
+    odd = F.when(k % 17 == 0, F.concat(name, F.lit(' "Q"\tx'))).when(k % 19 == 0, F.concat(name, F.lit('\nsecond, "line"')))
+    rows = register(spark, sf_dir).withColumn("name", F.coalesce(F.concat(F.lit('"'), F.replace(odd, F.lit('"'), F.lit('""')), F.lit('"')), name))
     cells = F.when(F.col("n_columns") == 14, F.array(*["name", "acn", *[F.lit("")] * 11, "previous"])).otherwise(F.array("name", "acn", F.lit("x")))
-    register(spark, sf_dir).select(F.array_join(cells, "\t").alias("value")).write.text(path)
+    rows.select(F.array_join(cells, "\t").alias("value")).write.text(path)
     return readers.register_tsv(spark, path).select("name", "acn", "previous", "n_columns")
 
 
+@query("""select vec_id::varchar as name, round(embedding[1]::double * 64) / 8 - (1 + label) / 4 as x0, round(embedding[2]::double * 64) / 8 + (1 + label) / 4 as y1, 4 as corners from embeddings
+  where round(embedding[1]::double * 64) / 8 - (1 + label) / 4 >= -1""")
+def polygon_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shapefiles of a square around each vector's place, read back by ranges of records, those on the left left out by their boxes."""
+    path = fresh_path(spark, "shapes")
+    x, y = (F.round(F.element_at("embedding", i).cast("double") * 64) / 8 for i in (1, 2))
+    half = (1 + F.col("label")) / 4
+    corner = lambda a, b: F.struct((x + a * half).alias("x"), (y + b * half).alias("y"))
+    squares = table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("string").alias("NAME"), F.array(F.array(corner(-1, -1), corner(1, -1), corner(1, 1), corner(-1, 1))).alias("rings"))
+    files = write_shapefiles(squares.repartition(4, "NAME"), path, {"NAME": 20})
+    found = polygons(spark, files, ["NAME"], range_bytes=1 << 12).filter("x0 >= -1.0D")
+    return found.select(F.col("NAME").alias("name"), "x0", "y1", F.size(F.element_at("rings", 1)).alias("corners"))
+
+
 @query("""select 'node' as kind, 'r' || r_regionkey as a, r_name as b from region union all select 'PART_OF', 'n' || n_nationkey, 'r' || n_regionkey from nation
   union all select 'header', ':START_ID|:END_ID|:TYPE|role:string', '0'""")
 def graph_load_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,18 +123,18 @@ def search_term_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""select s_suppkey::varchar as eno, CASE WHEN s_nationkey % 2 = 0 THEN s_name END as state, s_suppkey / 8 as longitude, -s_nationkey / 4 as latitude,
-  (row_number() over (order by s_suppkey) - 1)::int as ord from supplier""")
+  (row_number() over (order by s_suppkey) - 1)::bigint as ord from supplier""")
 def geojson_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Features of a GeoJSON file."""
+    """Features of GeoJSON files with a line for each, read by many tasks and numbered in the order of the files."""
     path = fresh_path(spark, "geojson")
     s = table(spark, sf_dir, "supplier")
     feature = F.struct(
-        F.col("s_suppkey").alias("k"),
+        F.lit("Feature").alias("type"),
         F.struct(F.col("s_suppkey").cast("string").alias("ENO"), F.when(F.col("s_nationkey") % 2 == 0, F.col("s_name")).alias("STATE")).alias("properties"),
         F.struct(F.array(F.col("s_suppkey") / 8, -F.col("s_nationkey") / 4).alias("coordinates")).alias("geometry"),
     )
-    s.agg(F.to_json(F.struct(F.array_sort(F.collect_list(feature)).alias("features"))).alias("value")).write.text(path)
-    return readers.geojson_points(spark, path, ["ENO", "STATE"]).select(F.col("ENO").alias("eno"), F.col("STATE").alias("state"), "longitude", "latitude", "ord")
+    s.repartitionByRange(4, "s_suppkey").sortWithinPartitions("s_suppkey").select(F.concat(F.to_json(feature), F.lit(",")).alias("value")).write.text(path)
+    return readers.geojson_points(spark, path, ["ENO", "STATE"], by_line=True).select(F.col("ENO").alias("eno"), F.col("STATE").alias("state"), "longitude", "latitude", "ord")
 
 
 _SIDES = "select trim(p_type) as x, 'T' || length(p_brand) || p_size as y, p_partkey as o from part"
@@ -258,25 +279,29 @@ def project_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.project_similarity(_project_graph(spark, sf_dir), pairs).select("a", "b", F.round("similarity", 6).alias("similarity"))
 
 
-@query("""with f as (select 'T' || (p_partkey % 500) as ticker, p_partkey % 3 as file_rank, p_partkey as k, CASE p_partkey % 4 WHEN 0 THEN 'AU' WHEN 1 THEN ' us' WHEN 2 THEN 'FR' ELSE '--' END as code, p_size from part),
+@query("""with f as (select 'T' || (p_partkey % 500) as ticker, (p_partkey % 3)::int as file_rank, p_partkey as k, CASE p_partkey % 4 WHEN 0 THEN 'AU' WHEN 1 THEN ' us' WHEN 2 THEN 'FR' ELSE '--' END as code, p_size from part),
   g as (select *, min(file_rank) over (partition by ticker) as first from f),
-  r as (select ticker, file_rank, k, CASE code WHEN 'AU' THEN 'Australia' WHEN ' us' THEN 'United States' WHEN 'FR' THEN 'France' END as country, CASE WHEN p_size % 2 = 0 THEN nullif(k * 1000.0::double, 0) END as cap, CASE WHEN p_size % 3 = 0 THEN nullif(k * 1.0::double, 0) END as assets from g where file_rank = first),
+  r as (select ticker, file_rank, k, CASE code WHEN 'AU' THEN 'Australia' WHEN ' us' THEN 'United States' WHEN 'FR' THEN 'France' END as country, CASE WHEN p_size % 2 = 0 THEN nullif((k % 7) * 1000.0::double, 0) END as cap, CASE WHEN p_size % 3 = 0 THEN nullif((k % 5) * 1.0::double, 0) END as assets from g where file_rank = first),
   m as (select * from r where country = 'Australia' or cap is not null or assets is not null)
-  select * from (select ticker, country, cap, assets, row_number() over (order by cap is null, CASE country WHEN 'Australia' THEN 0 WHEN 'United States' THEN 1 WHEN 'France' THEN 4 ELSE 13 END, coalesce(cap, assets) desc nulls last, file_rank, k) as place from m)
-  where cap is not null or assets is not null""")
+  select ticker, country, cap, assets, nullif(k::varchar, '0') as name, row_number() over (order by cap is null, CASE country WHEN 'Australia' THEN 0 WHEN 'United States' THEN 1 WHEN 'France' THEN 4 ELSE 13 END, coalesce(cap, assets) desc nulls last, file_rank, k) as place from m""")
 def market_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Market data cleaned and ordered; unlisted foreigners go. Rows without a value, whose order is that of their files, are left out here."""
+    """Market data of files in three folders, cleaned and ordered, rows of equal or no value by their place in the files; unlisted foreigners go."""
     p = table(spark, sf_dir, "part")
     k = F.col("p_partkey")
-    texts = {"Ticker": F.concat(F.lit("T"), (k % 500).cast("string")), "Short Name": F.lit("s"), "Cntry Terrtry Of Dom": F.element_at(F.array(F.lit("AU"), F.lit(" us"), F.lit("FR"), F.lit("--")), (k % 4 + 1).cast("int")), "Company Type": F.lit("--")}
-    texts["Market Cap"] = F.when(F.col("p_size") % 2 == 0, F.concat(k.cast("string"), F.lit("K"))).otherwise("--")
+    texts = {"Ticker": F.concat(F.lit("T"), (k % 500).cast("string")), "Short Name": k.cast("string"), "Cntry Terrtry Of Dom": F.element_at(F.array(F.lit("AU"), F.lit(" us"), F.lit("FR"), F.lit("--")), (k % 4 + 1).cast("int")), "Company Type": F.lit("--")}
+    texts["Market Cap"] = F.when(F.col("p_size") % 2 == 0, F.concat((k % 7).cast("string"), F.lit("K"))).otherwise("--")
     texts["Revenue:Y"] = F.lit(" ")
-    texts["Tot Assets:Y"] = F.when(F.col("p_size") % 3 == 0, k.cast("string")).otherwise("0")
+    texts["Tot Assets:Y"] = F.when(F.col("p_size") % 3 == 0, (k % 5).cast("string")).otherwise("0")
     texts["Number of Employees LF"] = F.lit("1k")
-    files = p.select(*[v.alias(n) for n, v in texts.items()], *[F.lit("x").alias(f"c{i}") for i in range(8)], (k % 3).cast("int").alias("file_rank"))
-    countries = spark.createDataFrame([("AU", "Australia"), ("US", "United States"), ("FR", "France")], "code string, name string")
-    out = C.market_companies(files, countries).select(F.col("Ticker").alias("ticker"), F.col("Country of Domicile").alias("country"), F.col("Market Cap").alias("cap"), F.col("`Tot Assets:Y`").alias("assets"), F.col("__place").alias("place"))
-    return out.filter("cap is not null or assets is not null")
+    rows = p.select(*[v.alias(n) for n, v in texts.items()], *[F.lit("x").alias(f"c{i}") for i in range(8)], k.alias("__k"))
+    path = fresh_path(spark, "market")
+    for i in range(3):
+        mine = rows.filter(F.col("__k") % 3 == i)
+        writers.write_csv(mine.repartitionByRange(2, "__k").sortWithinPartitions("__k").drop("__k"), f"{path}/{i}")
+    # two files to a folder, which count as one source here
+    files = readers.csv_folders(spark, [f"{path}/{i}" for i in range(3)], "Ticker").withColumns({"file_row": F.struct("file_rank", "file_row"), "file_rank": F.floor(F.col("file_rank") / 2).cast("int")})
+    out = C.market_companies(files)
+    return out.select(F.col("Ticker").alias("ticker"), F.col("Country of Domicile").alias("country"), F.col("Market Cap").alias("cap"), F.col("`Tot Assets:Y`").alias("assets"), F.col("Short Name").alias("name"), F.col("__place").alias("place"))
 
 
 @query("""with m as (select c_custkey, c_name, c_mktsegment, n_name, c_custkey % 3 as k from customer join nation on n_nationkey = c_nationkey)

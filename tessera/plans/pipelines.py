@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 from tessera.functions import similarity as S
 from tessera.functions import text as X
 from tessera.functions import vocabulary as V
+from tessera.functions.countries import countries as iso_countries
 from tessera.operators import graph as G
 from tessera.operators import matching as M
 from tessera.operators import order as O
 from tessera.operators import relational as R
 from tessera.operators import sequential as Q
 from tessera.operators import spatial as P
-from tessera.operators.stages import written
+from tessera.operators.stages import settled, written
 
 
 # -- projects ----------------------------------------------------------------------
@@ -125,15 +126,21 @@ def commodity_groups(graph: G.PropertyGraph, categories: DataFrame) -> tuple[G.P
 
 
 # -- companies ---------------------------------------------------------------------
-def market_companies(files: DataFrame, countries: DataFrame, descriptions: DataFrame | None = None) -> DataFrame:
+def market_companies(files: DataFrame, countries: DataFrame | None = None, descriptions: DataFrame | None = None) -> DataFrame:
     """Market data of all files, of each ticker the rows of its first file, cleaned, described, without unlisted foreigners.
 
-    files have file_rank and 16 columns; countries map a two-letter code to a name.
-    __place gives the order of the list: by market value, then by assets.
+    files have file_rank, file_row where they come from csv_folders (else rows count in
+    the order they are read), and 16 columns; countries map a two-letter code to a
+    name, those of the standard if not given. __place gives the order of the list: by
+    market value, then by assets; rows of equal or no value keep the order of their files.
     """
+    # the order of rows is taken before any of them moves
+    numbered = files.withColumn("__row", F.col("file_row") if "file_row" in files.columns else F.monotonically_increasing_id()).drop("file_row")
     first = F.min("file_rank").over(_by("Ticker"))
-    rows = files.withColumn("__first", first).filter("file_rank = __first").withColumn("__row", F.monotonically_increasing_id())
-    data = [c for c in files.columns if c != "file_rank"]
+    rows = numbered.withColumn("__first", first).filter("file_rank = __first")
+    data = [c for c in files.columns if c not in ("file_rank", "file_row")]
+    if countries is None:
+        countries = iso_countries(files.sparkSession)
     numeric = ("Market Cap", "Revenue:Y", "Tot Assets:Y", "Number of Employees LF")
     code = "Cntry Terrtry Of Dom"
     if code in data:
@@ -194,8 +201,11 @@ def cascaded_matches(projects: DataFrame, master: DataFrame, column: str = "COMP
     rest, out = names.select("l").distinct(), None
     for source, gate in (("market", (90.0, 100.0)), ("profiles", (90.0, 101.0)), ("statements", (90.0, 101.0))):
         right = written(M.prepared(master.filter(F.col("Source") == source), "name", "ord"), "source")
-        got = M.match(rest, right, "l", "norm", vector_gate=gate).filter(F.col("status").isin(*S.HIGH_CONFIDENCE)).withColumn("matched_source", F.lit(source))
-        got = written(got.join(right.select(F.col("norm").alias("r"), F.col("name").alias("matched_name")), "r"), "cascade")
+        def found() -> DataFrame:
+            good = M.match(rest, right, "l", "norm", vector_gate=gate).filter(F.col("status").isin(*S.HIGH_CONFIDENCE)).withColumn("matched_source", F.lit(source))  # noqa: B023
+            return good.join(right.select(F.col("norm").alias("r"), F.col("name").alias("matched_name")), "r")  # noqa: B023
+
+        got = settled(found, "cascade")
         out = got if out is None else out.unionByName(got)
         rest = written(rest.join(got.select("l"), "l", "left_anti"), "cascade")
     return names.join(out, "l", "left").withColumn("status", F.coalesce("status", F.lit("no_candidate_found")))
@@ -245,7 +255,7 @@ def project_owners(projects: DataFrame, project_ids: DataFrame, master: DataFram
     known = master.select("companyID", X.id_number("companyID").alias("o"), F.explode(every).alias("n")).withColumn("norm", X.normalize_name("n")).filter("norm <> ''")
     owner = written(O.last_wins(known, ["norm"], "companyID", "o", "companyID"), "owner")
     named = written(named, "named")
-    good = M.match(named, owner, "l", "norm").filter(F.col("status").isin(*S.HIGH_CONFIDENCE)).select("l", F.col("r").alias("norm"))
+    good = settled(lambda: M.match(named, owner, "l", "norm").filter(F.col("status").isin(*S.HIGH_CONFIDENCE)).select("l", F.col("r").alias("norm")), "owners")
     return named.join(good, "l").join(owner, "norm").join(project_ids.select("ENO", "projectID"), "ENO").select("companyID", "projectID").distinct()
 
 

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-import struct
-from collections.abc import Iterator, Sequence
+import csv
+from collections.abc import Sequence
+from urllib.parse import unquote, urlsplit
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+from tessera.sources.lines import numbered_lines, quoted_records
+from tessera.sources.shapefiles import shapefile
+
+__all__ = ["PROPERTIES", "csv_folders", "csv_or_none", "csv_strings", "exists", "geojson_points", "lookup_pairs", "register_tsv", "search_terms", "shapefile"]
 
 PROPERTIES = (
     "ENO", "DEPOSIT_NAME", "SYNONYMS", "STATE", "LONG_GDA94", "LAT_GDA94", "ACCURACY_M", "OPERATING_STATUS", "COMMODITY_CODES", "COMMODITY_NAMES",
@@ -22,12 +28,21 @@ def exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
-def geojson_points(spark: SparkSession, path: str, properties: Sequence[str] = PROPERTIES) -> DataFrame:
-    """A row for each feature: its properties as strings, longitude and latitude, and ord, its place in the file."""
+def geojson_points(spark: SparkSession, path: str, properties: Sequence[str] = PROPERTIES, by_line: bool = False) -> DataFrame:
+    """A row for each feature: its properties as strings, longitude and latitude, and ord, its place.
+
+    A document is read by one task. With by_line, each feature has a line of its own,
+    as writers of large files lay them out (a comma may follow it; lines that are no
+    feature are left out), and a file is read by many tasks; ord then counts lines, over all files of the path.
+    """
     fields = ", ".join(f"`{p}`: string" for p in properties)
-    schema = f"features array<struct<properties: struct<{fields}>, geometry: struct<coordinates: array<double>>>>"
-    raw = spark.read.text(path, wholetext=True).select(F.from_json(F.regexp_replace("value", "^﻿", ""), schema).alias("j"))
-    each = raw.select(F.posexplode("j.features").alias("ord", "f"))
+    feature = f"struct<type: string, properties: struct<{fields}>, geometry: struct<coordinates: array<double>>>"
+    if by_line:
+        lines = numbered_lines(spark, path)
+        each = lines.select("ord", F.from_json(F.regexp_replace("value", r"^\ufeff|,\s*$", ""), feature).alias("f")).filter("f.type = 'Feature'")
+    else:
+        raw = spark.read.text(path, wholetext=True).select(F.from_json(F.regexp_replace("value", "^\ufeff", ""), f"features array<{feature}>").alias("j"))
+        each = raw.select(F.posexplode("j.features").alias("ord", "f"))
     at = lambda i: F.get(F.col("f.geometry.coordinates"), F.lit(i))
     return each.select(*[F.col(f"f.properties.{p}").alias(p) for p in properties], at(0).alias("longitude"), at(1).alias("latitude"), "ord")
 
@@ -45,36 +60,52 @@ def csv_or_none(spark: SparkSession, path: str, columns: Sequence[str] | None =
 
 
 def csv_folders(spark: SparkSession, folders: Sequence[str], needed: str) -> DataFrame | None:
-    """CSV files of folders, by the sorted names within each, with file_rank; files without the needed column are left out.
+    """CSV files of folders, by the sorted names within each, with file_rank and file_row; files without the needed column are left out.
 
-    The files of a folder share a header; it is read once for each file on the driver.
+    One scan gives the headers of all files, and one more reads the files of each
+    header that occurs: the plan grows with different headers, not with files. A file's rank
+    comes from a table of paths, and file_row orders the rows of a file. A header is one line.
     """
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    paths = []
+    places = []
     for folder in folders:
-        pattern = jvm.org.apache.hadoop.fs.Path(f"{folder}/*.csv")
-        found = pattern.getFileSystem(conf).globStatus(pattern) or []
-        paths += sorted(f.getPath().toString() for f in found if f.getLen() > 0)
+        target = jvm.org.apache.hadoop.fs.Path(folder)
+        places.append(_place(target.getFileSystem(conf).makeQualified(target).toUri().toString()))
+    patterns = [f"{f}/*.csv" for f in folders if exists(spark, f"{f}/*.csv")]
+    if not patterns:
+        return None
+    lines = spark.read.text(patterns).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row"))
+    heads = lines.filter("start = 0").groupBy("file").agg(F.min_by("value", "row").alias("head")).collect()
+    order = sorted((places.index(_place(r["file"]).rpartition("/")[0]), r["file"], r["head"]) for r in heads)  # a row for each file
+    by_head: dict[tuple[str, ...], list[tuple[str, int]]] = {}
+    for rank, (_, file, head) in enumerate(order):
+        names = tuple(next(csv.reader([head.lstrip("\ufeff")])))
+        if needed in names:
+            by_head.setdefault(names, []).append((file, rank))
+    ranks = spark.createDataFrame([x for files in by_head.values() for x in files], "__file string, file_rank int") if by_head else None
     out = None
-    for rank, path in enumerate(paths):
-        df = csv_strings(spark, path)
-        if needed not in df.columns:
-            continue
-        df = df.withColumn("file_rank", F.lit(rank))
+    for names, files in by_head.items():
+        schema = StructType([StructField(n, StringType()) for n in names])
+        df = spark.read.schema(schema).csv([unquote(f) for f, _ in files], header=True, multiLine=True, quote='"', escape='"')
+        df = df.select("*", F.col("_metadata.file_path").alias("__file"), F.monotonically_increasing_id().alias("file_row"))
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
-    return out
+    return None if out is None else out.join(F.broadcast(ranks), "__file").drop("__file")  # as long as the list of files that the driver holds
+
+
+def _place(uri: str) -> str:
+    """A path's scheme, host and place in one spelling."""
+    parts = urlsplit(uri)
+    return f"{parts.scheme}://{parts.netloc}{parts.path.rstrip('/')}"
 
 
 def register_tsv(spark: SparkSession, path: str) -> DataFrame:
-    """ord, name, acn, previous and n_columns of a ragged tab-separated register without a header.
+    """ord, name, acn, previous and n_columns of a ragged tab-separated register without a header, fields of which may be quoted.
 
-    ord follows the places of lines in their file: splits of a file are numbered in
-    order, and so are the lines of a split.
+    ord is the number of a record's first line. Records of one column are left out.
     """
-    lines = spark.read.text(path).withColumn("ord", F.monotonically_increasing_id())
-    cells = lines.select("ord", F.split("value", "\t", -1).alias("c"))
-    plain = lambda i: F.regexp_replace(F.trim(F.coalesce(F.get("c", F.lit(i)), F.lit(""))), '^"(.*)"$', "$1")
-    return cells.filter(F.size("c") >= 2).select("ord", plain(0).alias("name"), plain(1).alias("acn"), plain(13).alias("previous"), F.size("c").alias("n_columns"))
+    cells = quoted_records(spark, path).filter(F.size("cells") >= 2)
+    plain = lambda i: F.trim(F.coalesce(F.get("cells", F.lit(i)), F.lit("")))
+    return cells.select("ord", plain(0).alias("name"), plain(1).alias("acn"), plain(13).alias("previous"), F.size("cells").alias("n_columns"))
 
 
 def lookup_pairs(df: DataFrame, a: str, b: str, order: str) -> tuple[DataFrame, DataFrame]:
@@ -91,62 +122,3 @@ def search_terms(spark: SparkSession, folder: str) -> DataFrame:
     """term and file: the first column of every CSV file of a folder, which has no header."""
     df = spark.read.csv(f"{folder}/*.csv", header=False)
     return df.select(F.trim(F.col(df.columns[0])).alias("term"), F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file")).filter("term <> ''")
-
-
-# -- shapefiles -------------------------------------------------------------------
-def parse_polygons(data: bytes) -> Iterator[list[list[tuple[float, float]]]]:
-    """The rings of each record of a .shp file of polygons; a null shape has none."""
-    at = 100
-    while at + 8 <= len(data):
-        size = struct.unpack_from(">i", data, at + 4)[0] * 2
-        body = at + 8
-        kind = struct.unpack_from("<i", data, body)[0]
-        rings: list[list[tuple[float, float]]] = []
-        if kind in (5, 15, 25):
-            parts, points = struct.unpack_from("<ii", data, body + 36)
-            begins = [*struct.unpack_from(f"<{parts}i", data, body + 44), points]
-            flat = struct.unpack_from(f"<{2 * points}d", data, body + 44 + 4 * parts)
-            for a, b in zip(begins, begins[1:], strict=False):
-                ring = [(flat[2 * i], flat[2 * i + 1]) for i in range(a, b)]
-                rings.append(ring[:-1] if len(ring) > 1 and ring[0] == ring[-1] else ring)
-        elif kind != 0:
-            raise ValueError(f"shape type {kind} is no polygon")
-        yield rings
-        at = body + size
-
-
-def parse_table(data: bytes, encoding: str = "utf-8") -> Iterator[dict[str, str | None]]:
-    """The records of a .dbf file as texts; blanks are null."""
-    records, head, width = struct.unpack_from("<IHH", data, 4)
-    fields, at = [], 32
-    while data[at] != 0x0D:
-        fields.append((data[at : at + 11].split(b"\0")[0].decode("ascii"), data[at + 16]))
-        at += 32
-    for r in range(records):
-        place = head + r * width + 1
-        row: dict[str, str | None] = {}
-        for name, size in fields:
-            row[name] = data[place : place + size].decode(encoding, "replace").strip("\0 ") or None
-            place += size
-        yield row
-
-
-def shapefile(spark: SparkSession, path: str, needed: Sequence[str]) -> DataFrame:
-    """ord, the needed attributes and rings (arrays of x, y) of a .shp file and the .dbf file beside it.
-
-    A shapefile is a table of regions: a few hundred MB at most, read by one task.
-    """
-    both = spark.read.format("binaryFile").load(f"{path.removesuffix('.shp')}.{{shp,dbf}}").select(F.lower(F.substring("path", -3, 3)).alias("kind"), "content")
-    whole = both.groupBy().agg(F.max(F.when(F.col("kind") == "shp", F.col("content"))).alias("shp"), F.max(F.when(F.col("kind") == "dbf", F.col("content"))).alias("dbf"))
-    attributes = ", ".join(f"`{c}` string" for c in needed)
-
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for shp, dbf in zip(batch["shp"], batch["dbf"], strict=True):
-                table = list(parse_table(bytes(dbf)))
-                if table and (missing := [c for c in needed if c not in table[0]]):
-                    raise KeyError(f"missing fields: {', '.join(missing)}")
-                out = [{"ord": i, **{c: row[c] for c in needed}, "rings": [[{"x": x, "y": y} for x, y in ring] for ring in rings]} for i, (row, rings) in enumerate(zip(table, parse_polygons(bytes(shp)), strict=True))]
-                yield pd.DataFrame(out, columns=["ord", *needed, "rings"])
-
-    return whole.mapInPandas(rows, f"ord long, {attributes}, rings array<array<struct<x: double, y: double>>>").filter(F.size("rings") > 0)
