@@ -311,8 +311,7 @@ def points_of(texts: DataFrame, k: int = K) -> DataFrame:
                 counts = [np.bincount((s >> np.uint64(64 - FINE_BITS)).astype(np.int64), minlength=1 << FINE_BITS) for s in sets]
                 fine += [c.clip(0, 255).astype("u1").tobytes() for c in counts]
                 coarse = [c.reshape(GROUPS, -1).sum(axis=1) for c in counts]
-                # a set with a group beyond 16 bits gets the point that bounds nothing
-                out += [(c if c.max() < 65536 else np.full(GROUPS, 65535)).astype("<u2").tobytes() for c in coarse]
+                out += [c.astype("<u4").tobytes() for c in coarse]
             yield pa.RecordBatch.from_arrays([batch.column("cls"), pa.array(n, pa.int64()), pa.array(out, pa.binary()), pa.array(fine, pa.binary())], names=["cls", "n", "point", "fine"])
 
     return texts.mapInArrow(run, "cls long, n long, point binary, fine binary")
@@ -425,7 +424,7 @@ def tree_pairs(rows: DataFrame, points: DataFrame, percent: int = PERCENT, picks
 
     def join_all(table: pa.Table) -> pa.Table:
         unit, cls, size, free, comp, own, asks = (np.asarray(table.column(c)) for c in ("unit", "cls", "n", "free", "root", "own", "asks"))
-        points_ = np.frombuffer(b"".join(table.column("point").to_pylist()), "<u2").reshape(len(cls), GROUPS)
+        points_ = np.frombuffer(b"".join(table.column("point").to_pylist()), "<u4").reshape(len(cls), GROUPS)
         order = np.argsort(unit, kind="stable")
         begin = np.flatnonzero(np.diff(unit[order], prepend=~unit[order[0]]))
         end = np.append(begin[1:], len(order))

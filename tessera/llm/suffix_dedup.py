@@ -21,9 +21,8 @@ bits.
 
 Defined cases: a null or empty text, or one of fewer words than ``least``, has no
 spans; repetition within one document alone does not count; documents without an
-id take part as copies of their class only; repeated ids are rows of their own,
-but a passage that only different texts under one id share is not reported, since
-they count as one document; empty tables give no rows; other columns are ignored, whatever their names.
+id take part as copies of their class only; repeated ids are rows of their own, and
+a passage that different texts under one id share is reported for both; empty tables give no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -42,7 +41,7 @@ from tessera.llm.shared import materialize
 LEAST, SEED = 50, 20
 #: Rows that are sorted together, and in how many texts of a task's batch a hash is settled there.
 BATCH_ROWS, LOCAL = 1 << 20, 6
-_ROW = np.dtype([("hash", "<u8"), ("doc", "<i8"), ("at", "<i4"), ("later", "?")])
+_ROW = np.dtype([("hash", "<u8"), ("doc", "<i8"), ("cls", "<i8"), ("at", "<i4"), ("later", "?")])
 
 
 def sliding(x: np.ndarray, width: int, pick) -> np.ndarray:  # noqa: ANN001
@@ -73,15 +72,20 @@ def _sequences(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
             yield lo + i, w.hash[w.first[i] : w.first[i + 1]]
 
 
-def _rows(hashes: np.ndarray, doc: int, at: np.ndarray) -> np.ndarray:
+def _rows(hashes: np.ndarray, doc: int, cls: int, at: np.ndarray | int) -> np.ndarray:
     row = np.zeros(len(hashes), _ROW)
-    row["hash"], row["doc"], row["at"] = hashes, doc, at
+    row["hash"], row["doc"], row["cls"], row["at"] = hashes, doc, cls, at
     return row
 
 
+def _other(rows: np.ndarray, i: np.ndarray | slice, j: np.ndarray | slice) -> np.ndarray:
+    """Whether rows i and rows j are of different texts."""
+    return (rows["cls"][i] != rows["cls"][j]) | (rows["doc"][i] != rows["doc"][j])
+
+
 def _sorted(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows by hash and doc, where each run of one hash begins, and the run of each row."""
-    rows = rows[np.lexsort((rows["doc"], rows["hash"]))]
+    """Rows by hash, doc and class, where each run of one hash begins, and the run of each row."""
+    rows = rows[np.lexsort((rows["cls"], rows["doc"], rows["hash"]))]
     begins = np.ones(len(rows), bool)
     begins[1:] = rows["hash"][1:] != rows["hash"][:-1]
     return rows, np.flatnonzero(begins), np.cumsum(begins) - 1
@@ -94,13 +98,12 @@ def deal(held: list[np.ndarray], buckets: int, own: int) -> Iterator[tuple[int,
         return
     rows, begins, run = _sorted(rows)
     ends = np.append(begins[1:], len(rows)) - 1
-    first, last = rows["doc"][begins], rows["doc"][ends]
     fresh = np.ones(len(rows), bool)
-    fresh[1:] = (run[1:] != run[:-1]) | (rows["doc"][1:] != rows["doc"][:-1])
+    fresh[1:] = (run[1:] != run[:-1]) | _other(rows, slice(1, None), slice(None, -1))
     texts = np.bincount(run[fresh], minlength=len(begins))
     busy = texts[run] >= LOCAL
     # the first text's rows and one of the last's go on, the others are settled: an earlier text has them
-    inner = busy & (rows["doc"] != first[run])
+    inner = busy & _other(rows, slice(None), begins[run])
     settled = rows[inner]
     settled["later"] = True
     if len(settled):
@@ -123,9 +126,8 @@ def repeating(table: pa.Table) -> np.ndarray:
         return rows
     rows, begins, run = _sorted(rows)
     ends = np.append(begins[1:], len(rows)) - 1
-    first, last = rows["doc"][begins], rows["doc"][ends]
-    several = (first != last)[run]
-    rows["later"] |= rows["doc"] != first[run]
+    several = _other(rows, begins, ends)[run]
+    rows["later"] |= _other(rows, slice(None), begins[run])
     return rows[several]
 
 
@@ -187,21 +189,21 @@ def matched_seeds(sets: DataFrame) -> DataFrame:
 
     def rows_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for c, s in zip(batch.column("cls").to_pylist(), batch.column("seeds"), strict=True):
-            yield _rows(np.frombuffer(s.as_py(), np.uint64), c, 0)
+            yield _rows(np.frombuffer(s.as_py(), np.uint64), 0, c, 0)
 
     def meet(table: pa.Table) -> pa.Table:
-        return _by_doc(repeating(table), "hash", np.uint64, "cls", "seeds")
+        return _by_class(repeating(table), "hash", np.uint64, "cls", "seeds")
 
     dealt = _dealt(sets.filter("seeds is not null").select("cls", "seeds"), rows_of, rows)
     return materialize(dealt.groupBy("bucket").applyInArrow(meet, "cls long, seeds binary"), "suffix-matches")
 
 
-def _by_doc(rows: np.ndarray, field: str, kind, key: str, name: str, extra: bool = False) -> pa.Table:  # noqa: ANN001
-    """A row for each doc with its packed values."""
-    rows = rows[np.argsort(rows["doc"], kind="stable")]
-    cuts = np.flatnonzero(np.diff(rows["doc"])) + 1
+def _by_class(rows: np.ndarray, field: str, kind, key: str, name: str, extra: bool = False) -> pa.Table:  # noqa: ANN001
+    """A row for each class with its packed values."""
+    rows = rows[np.argsort(rows["cls"], kind="stable")]
+    cuts = np.flatnonzero(np.diff(rows["cls"])) + 1
     parts = np.split(rows, cuts) if len(rows) else []
-    docs = [int(p["doc"][0]) for p in parts]
+    docs = [int(p["cls"][0]) for p in parts]
     values = [np.ascontiguousarray(p[field]).astype(kind).tobytes() for p in parts]
     cols = {key: pa.array(docs, pa.int64()), name: pa.array(values, pa.binary())}
     if extra:
@@ -218,7 +220,7 @@ def spans_of(starts: np.ndarray, least: int) -> list[tuple[int, int]]:
 
 
 def repeated_passages(docs: DataFrame, sets: DataFrame, least: int = LEAST, seed: int = SEED) -> DataFrame:
-    """first_id (of a class), spans and later: the repeated words, and those that an earlier text has."""
+    """cls, spans and later: the repeated words of a class's text, and those that an earlier text has (of one id, the one of the lesser class)."""
     found = matched_seeds(sets)
     classes = sets.filter("cls is not null and doc_id is not null").groupBy("cls").agg(F.min("doc_id").alias("first_id"))
     wanted = found.groupBy("cls").agg(F.collect_list("seeds").alias("seeds")).join(classes, "cls")
@@ -237,15 +239,15 @@ def repeated_passages(docs: DataFrame, sets: DataFrame, least: int = LEAST, seed
             np.add.at(ahead, np.maximum(at - (least - seed), 0), 1)
             np.add.at(ahead, at + 1, -1)
             starts = np.flatnonzero(np.cumsum(ahead)[: len(h) - least + 1] > 0)
-            yield _rows(W.gram_hashes(h, least)[starts], own[i], starts)
+            yield _rows(W.gram_hashes(h, least)[starts], own[i], cls[i], starts)
 
     words = sets.agg(F.sum("n_words")).first()[0] or 0
     dealt = _dealt(texts, passages, words // 8)
 
     def meet(table: pa.Table) -> pa.Table:
-        return _by_doc(repeating(table), "at", np.int32, "first_id", "starts", extra=True)
+        return _by_class(repeating(table), "at", np.int32, "cls", "starts", extra=True)
 
-    pieces = dealt.groupBy("bucket").applyInArrow(meet, "first_id long, starts binary, later binary")
+    pieces = dealt.groupBy("bucket").applyInArrow(meet, "cls long, starts binary, later binary")
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
@@ -257,10 +259,10 @@ def repeated_passages(docs: DataFrame, sets: DataFrame, least: int = LEAST, seed
                 tell = lambda x: [{"start": a, "end": b} for a, b in spans_of(np.unique(x), least)]
                 every.append(tell(starts))
                 later.append(tell(starts[flags]))
-            yield pa.RecordBatch.from_arrays([batch.column("first_id"), pa.array(every, kind), pa.array(later, kind)], names=["first_id", "spans", "later"])
+            yield pa.RecordBatch.from_arrays([batch.column("cls"), pa.array(every, kind), pa.array(later, kind)], names=["cls", "spans", "later"])
 
-    joined = pieces.groupBy("first_id").agg(F.collect_list("starts").alias("starts"), F.collect_list("later").alias("later"))
-    return joined.mapInArrow(merge, "first_id long, spans array<struct<start:int,end:int>>, later array<struct<start:int,end:int>>")
+    joined = pieces.groupBy("cls").agg(F.collect_list("starts").alias("starts"), F.collect_list("later").alias("later"))
+    return joined.mapInArrow(merge, "cls long, spans array<struct<start:int,end:int>>, later array<struct<start:int,end:int>>")
 
 
 def document_spans(docs: DataFrame, least: int = LEAST, seed: int = SEED) -> DataFrame:
@@ -268,7 +270,7 @@ def document_spans(docs: DataFrame, least: int = LEAST, seed: int = SEED) -> Dat
     sets = seeds_of(docs, least, seed)
     spans = materialize(repeated_passages(docs, sets, least, seed), "suffix-spans")
     classes = sets.filter("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
-    known = classes.join(spans, "first_id", "left")
+    known = classes.join(spans, "cls", "left")
     all_words = F.array(F.struct(F.lit(0).alias("start"), F.col("n_words").cast("int").alias("end")))
     none = F.expr("cast(array() as array<struct<start:int,end:int>>)")
     copied = F.coalesce(F.col("copies") > 1, F.lit(False))

@@ -22,10 +22,9 @@ around them.
 
 Defined cases: a null or empty text has no words, so the model's severity for an
 empty document; labels that are null or conflict count as toxic if any says so;
-with labels of one kind only, or none, or so few that no word of LEAST_DOCS
-documents reaches the z score LEAST_Z, there is no model and every severity is 0
-(a word that stands in all toxic and no other documents reaches it from 36
-labelled documents on); of candidates that tell as much, the one of the smaller
+with labels of one kind only, or none, or where no word of LEAST_DOCS documents tells
+them apart by three quarters of the greatest possible z score or by LEAST_Z, there is no
+model and every severity is 0; of candidates that tell as much, the one of the smaller
 hash is taken; repeated documents are rows of their own; other columns are ignored.
 """
 
@@ -43,8 +42,8 @@ from tessera.llm.shared import materialize
 
 GRADES = 4
 FIT_ROWS = 20_000
-#: Most candidate words (of those with a z score of CANDIDATE_Z in the FIT_ROWS rows, the best), that z score, and the documents and the z score that a chosen word needs.
-FEATURES, CANDIDATE_Z, LEAST_DOCS, LEAST_Z = 16_384, 3.0, 5, 6.0
+#: The z score of a candidate word among the fitted rows, the documents and the z score that a chosen word needs, and the part of the greatest possible z score that is enough.
+CANDIDATE_Z, LEAST_DOCS, LEAST_Z, OF_GREATEST = 3.0, 5, 6.0, 0.75
 RIDGE, STEPS, RATE = 1e-6, 1500, 0.05
 _EDGE = np.zeros(256, dtype=bool)
 _EDGE[[b for b in range(0x21, 0x7F) if not chr(b).isalnum()]] = True
@@ -82,8 +81,14 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFram
     return materialize(joined.mapInArrow(run, "doc_id long, toxic int, hashes binary, counts binary"), "toxicity-sample")
 
 
-def features(rows: DataFrame, limit: int = FEATURES) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words that stand out most in toxic documents, sorted, and their z scores."""
+def needed(documents: int) -> tuple[float, float]:
+    """The z scores of a candidate and of a chosen word. A word of all toxic and no other documents has the root of their number, so few documents ask for less."""
+    most = OF_GREATEST * documents**0.5
+    return min(CANDIDATE_Z, most / 2), min(LEAST_Z, most)
+
+
+def features(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words that stand out in toxic documents, sorted, and their z scores; at most as many as a sample of FIT_ROWS documents has words of LEAST_DOCS."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got = [np.frombuffer(h.as_py(), np.uint64) for h in batch.column("hashes")]
@@ -102,7 +107,7 @@ def features(rows: DataFrame, limit: int = FEATURES) -> tuple[np.ndarray, np.nda
     counts = rows.mapInArrow(run, "hash long, bad long, good long").groupBy("hash").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     rate = (F.col("bad") + F.col("good")) / F.lit(float(bad + good))
     z = (F.col("bad") / F.lit(float(bad)) - F.col("good") / F.lit(float(good))) / F.sqrt(F.greatest(rate * (1 - rate), F.lit(1e-12)) * F.lit(1 / bad + 1 / good))
-    top = counts.filter(F.col("bad") + F.col("good") >= LEAST_DOCS).withColumn("z", z).filter(F.col("z") >= CANDIDATE_Z).orderBy(F.col("z").desc(), "hash").limit(limit).collect()
+    top = counts.filter(F.col("bad") + F.col("good") >= LEAST_DOCS).withColumn("z", z).filter(F.col("z") >= needed(bad + good)[0]).collect()
     hashes = np.array([r["hash"] for r in top], np.int64).view(np.uint64)
     order = np.argsort(hashes)
     return hashes[order], np.array([r["z"] for r in top])[order]
@@ -131,6 +136,7 @@ def select(rows: list[np.ndarray], toxic: np.ndarray, n_features: int) -> np.nda
     flat = np.concatenate(rows) if rows else np.zeros(0, np.int64)
     owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     left = np.ones(len(rows), bool)
+    enough = needed(len(rows))[1]
     chosen: list[int] = []
     while True:
         bad, good = int((left & toxic).sum()), int((left & ~toxic).sum())
@@ -143,7 +149,7 @@ def select(rows: list[np.ndarray], toxic: np.ndarray, n_features: int) -> np.nda
         z = (a / bad - b / good) / np.sqrt(np.maximum(rate * (1 - rate), 1e-12) * (1 / bad + 1 / good))
         z[a + b < LEAST_DOCS] = 0
         best = int(np.argmax(z))
-        if z[best] < LEAST_Z:
+        if z[best] < enough:
             break
         chosen.append(best)
         left[owner[flat == best]] = False

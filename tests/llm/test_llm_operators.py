@@ -135,6 +135,13 @@ def test_tree_finds_all_that_brute_force_finds():
     assert got == want and want
 
 
+def test_tree_of_very_large_sets():
+    """Counts beyond 16 bits in a group bound what they should."""
+    points = np.full((2, jaccard.GROUPS), 93_750, "<u4")
+    sizes = points.sum(axis=1, dtype=np.int64)
+    assert [tuple(map(int, np.concatenate(p))) for p in jaccard.RTree(points, sizes, sizes, np.array([0, 1])).pairs()] == [(0, 1)]
+
+
 def test_components(spark):
     r = random.Random(5)
     links = [(r.randrange(200), r.randrange(200)) for _ in range(150)] + [(i, i + 1) for i in range(300, 360)]
@@ -343,6 +350,78 @@ def test_toxicity_learns_held_out_labels(spark, empty):
     assert toxicity.document_toxicity(empty, lab).count() == 0
 
 
+def test_toxicity_equals_a_plain_fit(spark):
+    """Words, grades, weights and severities against loops over a few labelled documents, fewer than the usual z score can be reached with."""
+    import math
+
+    r = random.Random(21)
+    docs, labels = [], []
+    for i in range(44):
+        ws = [r.choice(WORDS) for _ in range(r.randrange(5, 30))]
+        if i < 30 and i % 2:
+            ws += r.sample(["vile", "Foul!", "rank"], r.randrange(1, 4)) * r.randrange(1, 3)
+        docs.append((i, " ".join(ws)))
+        if i < 30:
+            labels.append((i, i % 2))
+    df, marks = spark.createDataFrame(docs, "doc_id long, text string").repartition(3), spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = by_id(toxicity.document_toxicity(df, marks))
+    bags = [[brute.ascii_lower(w).strip("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~") for w in brute.words(t)] for _, t in docs]
+    bags = [[w for w in b if w] for b in bags]
+    y = [t for _, t in labels]
+    n, bad = len(y), sum(y)
+
+    def z_of(word, rows):
+        a, b = (sum(word in bags[i] for i in rows if y[i] == k) for k in (1, 0))
+        many, few = sum(y[i] for i in rows), sum(1 - y[i] for i in rows)
+        rate = (a + b) / (many + few)
+        return (a / many - b / few) / math.sqrt(max(rate * (1 - rate), 1e-12) * (1 / many + 1 / few)), a + b
+
+    some = [w for w in {w for b in bags[:n] for w in b} if z_of(w, range(n))[1] >= 5 and z_of(w, range(n))[0] >= min(3, 0.375 * n**0.5)]
+    chosen, rows = [], list(range(n))
+    while any(y[i] for i in rows) and any(not y[i] for i in rows):
+        scored = [(z_of(w, rows)[0] if z_of(w, rows)[1] >= 5 else 0, w) for w in some]
+        best = max(scored, default=(0, ""))
+        if best[0] < min(6, 0.75 * n**0.5):
+            break
+        chosen.append(best[1])
+        rows = [i for i in rows if best[1] not in bags[i]]
+    assert chosen and set(chosen) <= {"vile", "foul", "rank"} and bad == 15
+    density = [sum(w in chosen for w in bags[i]) / max(1, len(bags[i])) for i in range(n)]
+    toxic = sorted(density[i] for i in range(n) if y[i])
+    grade = [1 + min(2, int(sum(d < density[i] for d in toxic) / bad * 3)) if y[i] else 0 for i in range(n)]
+    sigmoid = lambda x: 1 / (1 + math.exp(-max(-40, min(40, x))))
+    share = [min(max(sum(g <= j for g in grade) / n, 1e-3), 1 - 1e-3) for j in range(3)]
+    theta = [math.log(s / (1 - s)) for s in share]
+    x = [0.0] * len(chosen) + [theta[0], *[math.log(max(b - a, 1e-2)) for a, b in zip(theta, theta[1:], strict=False)]]
+    m, v, k = [0.0] * len(x), [0.0] * len(x), len(chosen)
+    held = [[f for f, w in enumerate(chosen) if w in bags[i]] for i in range(n)]
+    cuts = lambda x: [x[k], x[k] + math.exp(x[k + 1]), x[k] + math.exp(x[k + 1]) + math.exp(x[k + 2])]
+    for step in range(1, 1501):
+        theta, g, at = cuts(x), [1e-6 * w for w in x[:k]] + [0.0] * 3, [0.0] * 3
+        for i in range(n):
+            score = sum(x[f] for f in held[i])
+            upper = sigmoid(theta[grade[i]] - score) if grade[i] < 3 else 1.0
+            lower = sigmoid(theta[grade[i] - 1] - score) if grade[i] > 0 else 0.0
+            chance = max(upper - lower, 1e-12)
+            du, dl = upper * (1 - upper) / chance, lower * (1 - lower) / chance
+            for f in held[i]:
+                g[f] += (du - dl) / n
+            if grade[i] < 3:
+                at[grade[i]] -= du / n
+            if grade[i] > 0:
+                at[grade[i] - 1] += dl / n
+        g[k:] = [sum(at), math.exp(x[k + 1]) * (at[1] + at[2]), math.exp(x[k + 2]) * at[2]]
+        for j in range(len(x)):
+            m[j], v[j] = 0.9 * m[j] + 0.1 * g[j], 0.999 * v[j] + 0.001 * g[j] ** 2
+            x[j] -= 0.05 * (m[j] / (1 - 0.9**step)) / (math.sqrt(v[j] / (1 - 0.999**step)) + 1e-8)
+    theta = cuts(x)
+    for i, b in enumerate(bags):
+        above = [sigmoid(sum(x[f] for f, w in enumerate(chosen) if w in b) - t) for t in theta]
+        # steps are gradients over their own size, so near the optimum roundings grow to the second decimal
+        assert abs(got[i]["severity"] - sum(above)) < 2e-2 and got[i]["toxic"] == any(a >= 0.5 for a in above), (i, docs[i])
+    assert any(row["toxic"] for row in got.values())
+
+
 def test_toxicity_gradient():
     rows = [np.array([0]), np.array([0, 1]), np.array([], np.int64), np.array([1])] * 50
     y = np.array([1, 3, 0, 2] * 50)
@@ -405,6 +484,17 @@ def test_repeats(spark, frame, docs, empty):
     assert whole[None] == whole[5] > 60 and whole[3] == 0
 
 
+def test_repeats_of_texts_under_one_id(spark):
+    """Different texts under one id share a passage that no other id has."""
+    r = random.Random(17)
+    passage = sentence(r, 60)
+    docs = [(5, sentence(r, 30) + " " + passage), (5, passage + " " + sentence(r, 40)), (9, sentence(r, 80)), (9, "one two"), (None, sentence(r, 70))]
+    rows = suffix_dedup.document_repeats(spark.createDataFrame(docs, "doc_id long, text string").repartition(2)).collect()
+    got = sorted((x["doc_id"], x["n_words"], x["spans"]) for x in rows if x["doc_id"])
+    assert got == [(5, 90, "30:90"), (5, 100, "0:60"), (9, 2, ""), (9, 80, "")]
+    assert sorted(x["n_later_words"] for x in rows) == [0, 0, 0, 0, 60]
+
+
 def test_repeats_settled_in_a_task(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "LOCAL", 2)
     monkeypatch.setattr(suffix_dedup, "BATCH_ROWS", 300)
