@@ -115,6 +115,36 @@ class PropertyGraph:
         out = a.join(r, F.col("a.id") == F.col("r.src")).join(b, F.col("b.id") == F.col("r.dst"))
         return out.filter(where) if where is not None else out
 
+    def steps(self, kinds: Sequence[tuple[str, str, str]], direction: str = "out") -> DataFrame:
+        """src, dst, type and edge (all that tells an edge from others, as JSON) of the edges of (type, source label, target label), as they are walked: out, in or both ways."""
+        every = []
+        for kind, source, target in kinds:
+            e = self.edges[kind].filter((F.col("src_label") == source) & (F.col("dst_label") == target))
+            every.append(e.select("src", "dst", F.lit(kind).alias("type"), F.to_json(F.struct(F.lit(kind).alias("type"), *[F.col(f"`{c}`") for c in sorted(e.columns)])).alias("edge")))
+        ahead = reduce(DataFrame.unionByName, every)
+        back = ahead.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "type", "edge")
+        return ahead if direction == "out" else back if direction == "in" else ahead.unionByName(back.filter("src <> dst"))  # a loop is one way, not two
+
+    def paths(self, starts: DataFrame, kinds: Sequence[tuple[str, str, str]], least: int = 1, most: int = 3, direction: str = "both") -> DataFrame:
+        """a, b, length and edges of the walks of least to most steps from each id of starts (column id) that use no edge twice.
+
+        One join a step. The number of walks grows with the degrees of the nodes they pass,
+        so the bound is part of the question; each step's walks are written, and
+        an end that very many of them reach is a skewed key of the next join, which may be split.
+        """
+        if not 0 <= least <= most:
+            raise ValueError(f"{least} to {most} steps")
+        edges = cut(self.steps(kinds, direction).select(F.col("src").alias("b"), F.col("dst").alias("next"), "edge"), "steps")
+        now = starts.select(F.col("id").alias("a")).distinct().select("a", F.col("a").alias("b"), F.expr("cast(array() as array<string>)").alias("edges"))
+        found = [now] if least == 0 else []
+        for step in range(1, most + 1):
+            walks = now.join(edges, "b").filter(~F.array_contains("edges", F.col("edge")))
+            now = walks.select("a", F.col("next").alias("b"), F.concat("edges", F.array("edge")).alias("edges"))
+            now = cut(now, "walks") if step < most else now
+            if step >= least:
+                found.append(now)
+        return reduce(DataFrame.unionByName, found).select("a", "b", F.size("edges").alias("length"), "edges")
+
     def common_targets(self, kind: str, keep_self: bool = False) -> DataFrame:
         """a, x, b: pairs of nodes with an edge to the same node."""
         e = self.edge(kind)

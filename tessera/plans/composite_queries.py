@@ -10,6 +10,7 @@ from tessera.operators import graph as G
 from tessera.operators import relational as R
 from tessera.operators.stages import fresh_path
 from tessera.plans import pipelines as C
+from tessera.plans.pattern_query import run_query
 from tessera.plans.queries import _PIP, _POLYGONS, _REGISTER_NAMES, _case, _points, _polygons, query, register, table, trade_graph
 from tessera.sources import readers, writers
 from tessera.sources.shapefiles import polygons, write_shapefiles
@@ -113,6 +114,27 @@ def graph_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+@query("""with recursive e as (select 'n' || n_nationkey as a, 'r' || n_regionkey as b, 'p' || n_nationkey as e from nation union all select 'c' || c_custkey, 'n' || c_nationkey, 'l' || c_custkey from customer),
+  s as (select a, b, e from e union all select b, a, e from e),
+  w(a, b, es) as (select 'n' || n_nationkey, 'n' || n_nationkey, []::varchar[] from nation union all select w.a, s.b, list_append(es, e) from w join s on s.a = w.b where len(es) < 3 and not list_contains(es, e))
+  select a, b, len(es)::int as length from w where len(es) between 2 and 3""")
+def graph_walks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Walks of two or three edges from every nation, in either direction, that use no edge twice."""
+    g = trade_graph(spark, sf_dir)
+    kinds = [("PART_OF", "Nation", "Region"), ("LOCATED_IN", "Customer", "Nation")]
+    return g.paths(g.label("Nation"), kinds, 2, 3, "both").select("a", "b", "length")
+
+
+@query("""with o as (select o_custkey as c, 'o' || o_orderkey as id, o_totalprice as total, o_orderstatus as status from orders)
+  select c_name as buyer, a.id as first, b.id as other from customer left join (o a join o b on a.c = b.c and a.id <> b.id and a.status = 'P' and b.total > 150000) on a.c = c_custkey where c_mktsegment = 'BUILDING'
+  union all select n_name, r_name, null from nation join region on n_regionkey = r_regionkey""")
+def optional_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Buyers with pairs of their orders, those without a pair kept; and edges asked for without a direction."""
+    text = """MATCH (c:Customer {segment: 'BUILDING'}) OPTIONAL MATCH (c)-[:PLACED]->(a:Order)-[:PLACED*2..2]-(b:Order) WHERE a.status = 'P' AND b.total > 150000
+      RETURN c.text AS buyer, a.id AS first, b.id AS other UNION ALL MATCH (r:Region)-[:PART_OF]-(n:Nation) RETURN n.text AS buyer, r.text AS first, NULL AS other"""
+    return run_query(trade_graph(spark, sf_dir), text)
+
+
 @query("select distinct c_mktsegment as term from customer")
 def search_term_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Search terms of all files of a folder."""
@@ -266,7 +288,7 @@ def commodity_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.hop("Commodity", "GROUPED_AS", "CommodityGroup").select("a.symbol", F.col("b.name").alias("commodity_group")).unionByName(lone.select("symbol", F.lit(None).cast("string").alias("commodity_group")))
 
 
-_MATCHED = "(select (t.x)::varchar as a, (t.x + 1)::varchar as b from (select unnest(range(1, 200)) as x) t)"
+_MATCHED = "(select p_partkey::varchar as a, (p_partkey + 1)::varchar as b from part where p_partkey + 1 in (select p_partkey from part))"
 
 
 @query(f"""{_USES}, k as (select eno, symbol, max(CASE role WHEN 'Primary' THEN 1.0 ELSE 0.5 END)::double as w from r group by 1, 2), q as {_MATCHED},
@@ -274,8 +296,9 @@ _MATCHED = "(select (t.x)::varchar as a, (t.x + 1)::varchar as b from (select un
     (select a, b, 0 as side, symbol, w from q join k on eno = a union all select a, b, 1, symbol, w from q join k on eno = b) group by 1, 2, 3)
   select a, b, round(sum(least(x, y)) / sum(greatest(x, y)), 6) as similarity from s group by 1, 2""")
 def project_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Similarity of neighbouring projects by their commodities, asked of the graph."""
-    pairs = spark.range(1, 200).select(F.col("id").cast("string").alias("a"), (F.col("id") + 1).cast("string").alias("b"))
+    """Similarity of every two neighbouring projects by their commodities, asked of the graph."""
+    keys = table(spark, sf_dir, "part").select("p_partkey")
+    pairs = keys.join(keys.select((F.col("p_partkey") - 1).alias("p_partkey")), "p_partkey").select(F.col("p_partkey").cast("string").alias("a"), (F.col("p_partkey") + 1).cast("string").alias("b"))
     return C.project_similarity(_project_graph(spark, sf_dir), pairs).select("a", "b", F.round("similarity", 6).alias("similarity"))
 
 

@@ -1,7 +1,8 @@
 """A read-only subset of Cypher over a PropertyGraph, turned into joins, and questions turned into it by a pluggable translator.
 
-Accepted: UNWIND $list AS x; MATCH with labels, {property: value}, directed edges
-of one or any type and several hops, comma-separated patterns; WHERE with =, <>,
+Accepted: UNWIND $list AS x; MATCH and OPTIONAL MATCH with labels, {property: value},
+edges of one or any type, in one direction or either, of one hop, several, or a
+range of lengths (*1..3, walks that use no edge twice), comma-separated patterns; WHERE with =, <>,
 <, <=, >, >=, CONTAINS, toLower, AND, OR, NOT, IS NULL; RETURN [DISTINCT] with
 aliases and count(*); ORDER BY; LIMIT; UNION [ALL]. Anything that writes is refused.
 """
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators.graph import PropertyGraph
 
-_TOKEN = re.compile(r"\s*(?:(?P<string>'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\")|(?P<number>\d+(?:\.\d+)?)|(?P<word>[A-Za-z_$][A-Za-z0-9_]*)|(?P<sign>->|<-|<>|<=|>=|[-\[\](){}.,:=<>*|]))")
+_TOKEN = re.compile(r"\s*(?:(?P<string>'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\")|(?P<range>\.\.)|(?P<number>\d+(?:\.\d+)?)|(?P<word>[A-Za-z_$][A-Za-z0-9_]*)|(?P<sign>->|<-|<>|<=|>=|[-\[\](){}.,:=<>*|]))")
 _WRITES = {"CREATE", "MERGE", "DELETE", "DETACH", "SET", "REMOVE", "DROP", "LOAD", "CALL", "FOREACH"}
 _CLAUSES = {"MATCH", "WHERE", "RETURN", "ORDER", "LIMIT", "UNION", "UNWIND"}
 
@@ -70,6 +71,7 @@ class _Query:
         self.graph, self.r, self.params = graph, reader, params
         self.frame: DataFrame | None = None
         self.bound: dict[str, str] = {}  # variable -> label, "" for an edge, "*" for a value
+        self.known: dict[str, str] = {}  # variables of the query around this one
         self.names = 0
 
     # values and conditions
@@ -172,15 +174,16 @@ class _Query:
             label = self.r.next()
         props = self.properties()
         self.r.need(")")
-        return name, label or self.bound.get(name, ""), props
+        return name, label or self.bound.get(name, "") or self.known.get(name, ""), props
 
-    def edge(self) -> tuple[str, str, bool, list[tuple[str, Column]]]:
+    def edge(self) -> tuple[str, str, str, list[tuple[str, Column]], tuple[int, int] | None]:
+        """Name, type, direction (out, in or both), properties and, for a walk, its least and greatest length."""
         back = self.r.peek() == "<-"
         if self.r.next() not in ("-", "<-", "->"):
             raise QueryError("an edge is expected")
-        name, kind, props = self.fresh(), "", []
+        name, kind, props, lengths = self.fresh(), "", [], None
         if self.r.items[self.r.at - 1] == "->":
-            return name, kind, False, props
+            return name, kind, "out", props, lengths
         if self.r.peek() == "[":
             self.r.next()
             if self.r.peek() not in (":", "]", "{"):
@@ -188,12 +191,29 @@ class _Query:
             if self.r.peek() == ":":
                 self.r.next()
                 kind = self.r.next()
+            if self.r.peek() == "*":
+                lengths = self.lengths()
             props = self.properties()
             self.r.need("]")
         closing = self.r.next()
-        if back and closing != "-" or not back and closing != "->":
+        if closing not in (("-",) if back else ("-", "->")):
             raise QueryError("edges have one direction")
-        return name, kind, back, props
+        if lengths is not None and props:
+            raise QueryError("walks have no properties")
+        return name, kind, "in" if back else "out" if closing == "->" else "both", props, lengths
+
+    def lengths(self) -> tuple[int, int]:
+        """*n, *a..b or *..b: a walk needs a greatest length."""
+        self.r.need("*")
+        least = int(self.r.next()) if self.r.peek().isdigit() else 1
+        if self.r.peek() != "..":
+            if not self.r.items[self.r.at - 1].isdigit():
+                raise QueryError("a walk needs a greatest length")
+            return least, least
+        self.r.next()
+        if not self.r.peek().isdigit():
+            raise QueryError("a walk needs a greatest length")
+        return least, int(self.r.next())
 
     def struct(self, df: DataFrame, name: str, props: list[tuple[str, Column]]) -> DataFrame:
         for p, v in props:
@@ -225,24 +245,21 @@ class _Query:
             name, label, props = self.node()
             pending = (name, label, props)
             while self.r.peek() in ("-", "<-", "->"):
-                edge, kind, back, edge_props = self.edge()
+                edge, kind, way, edge_props, lengths = self.edge()
                 other, other_label, other_props = self.node()
-                source, target = ((other, other_label), (pending[0], pending[1])) if back else ((pending[0], pending[1]), (other, other_label))
-                found = self.kinds(kind, source[1], target[1])
+                ends = {"out": (pending[1], other_label), "in": (other_label, pending[1])}
+                found = [f for d in (("out", "in") if way == "both" else (way,)) for f in self.kinds(kind, *(ends[d] if lengths is None else ("", "")))]
+                found = list(dict.fromkeys(found))
                 if not found:
-                    raise QueryError(f"no edge {kind or 'of any type'} between {source[1] or 'any'} and {target[1] or 'any'}")
-                labels = lambda i: {f[i] for f in found}
-                here = pending[1] or (labels(2) if back else labels(1)).pop()
-                there = other_label or (labels(1) if back else labels(2)).pop()
-                if len(labels(1)) > 1 and not source[1] or len(labels(2)) > 1 and not target[1]:
+                    raise QueryError(f"no edge {kind or 'of any type'} between {pending[1] or 'any'} and {other_label or 'any'}")
+                near = {f[1 if d == "out" else 2] for f in found for d in (("out", "in") if way == "both" else (way,))}
+                far = {f[2 if d == "out" else 1] for f in found for d in (("out", "in") if way == "both" else (way,))}
+                if not pending[1] and len(near) > 1 or not other_label and len(far) > 1:
                     raise QueryError("give the labels of the nodes: several would fit")
-                self.bind_node(pending[0], here, pending[2], None)
-                edges = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [self.graph.edges[k].filter((F.col("src_label") == a) & (F.col("dst_label") == b)).withColumn("type", F.lit(k)) for k, a, b in found])
-                near, far = ("dst", "src") if back else ("src", "dst")
-                at = pending[0]
-                self.join(self.struct(edges, edge, edge_props), F.col(f"`{at}`.id") == F.col(f"`{edge}`.{near}"))
-                self.bound[edge] = ""
-                self.bind_node(other, there, other_props, lambda n, e=edge, f=far: F.col(f"`{e}`.{f}") == F.col(f"`{n}`.id"))
+                self.bind_node(pending[0], pending[1] or near.pop(), pending[2], None)
+                self.walk(edge, edge_props, found, way, lengths, pending[0])
+                there = other_label or far.pop()
+                self.bind_node(other, there, other_props, lambda n, e=edge: F.col(f"`__to_{e}`") == F.col(f"`{n}`.id"))
                 pending = (other, there, [])
             if pending[0] not in self.bound:
                 if not pending[1]:
@@ -252,6 +269,39 @@ class _Query:
                 return
             self.r.next()
 
+    def walk(self, edge: str, props: list[tuple[str, Column]], kinds: list[tuple[str, str, str]], way: str, lengths: tuple[int, int] | None, at: str) -> None:
+        """Bind an edge, or a walk (whose length it has), that leaves a bound node; columns of their own hold its ends as it is walked."""
+        if lengths is not None:
+            starts = self.frame.select(F.col(f"`{at}`.id").alias("id"))
+            df = self.graph.paths(starts, kinds, *lengths, direction=way).select(F.col("a").alias("__from"), F.col("b").alias("__to"), "length")
+        else:
+            whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [self.graph.edges[k].filter((F.col("src_label") == a) & (F.col("dst_label") == b)).withColumn("type", F.lit(k)) for k, a, b in kinds])
+            out, back = (whole.withColumns({"__from": F.col(x), "__to": F.col(y)}) for x, y in (("src", "dst"), ("dst", "src")))
+            df = out if way == "out" else back if way == "in" else out.unionByName(back.filter("src <> dst"))
+        for p, v in props:
+            df = df.filter(F.col(f"`{p}`") == v)
+        df = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns if c not in ("__from", "__to")]).alias(edge), F.col("__from").alias(f"__from_{edge}"), F.col("__to").alias(f"__to_{edge}"))
+        self.join(df, F.col(f"`{at}`.id") == F.col(f"`__from_{edge}`"))
+        self.bound[edge] = ""
+
+    def optional(self) -> None:
+        """Keep every row, with what the pattern finds for its nodes, or nulls; a WHERE after it is part of the pattern."""
+        inner = _Query(self.graph, self.r, self.params)
+        inner.names = self.names
+        before, self.names = dict(self.bound), self.names + 1000
+        inner.bound = {}
+        inner.known = before
+        inner.match()
+        if self.r.word("WHERE"):
+            inner.frame = inner.frame.filter(inner.condition())
+        shared = [n for n in inner.bound if n in before]
+        if not shared:
+            raise QueryError("OPTIONAL MATCH begins at a node that is known")
+        right = inner.frame.select(*[F.col(f"`{n}`").alias(f"__o_{n}") if n in shared else F.col(f"`{n}`") for n in inner.bound])
+        on = reduce(lambda x, y: x & y, [F.col(f"`{n}`.id") == F.col(f"`__o_{n}`.id") for n in shared])
+        self.frame = self.frame.join(right, on, "left").drop(*[f"__o_{n}" for n in shared])
+        self.bound |= {n: v for n, v in inner.bound.items() if n not in shared}
+
     def unwind(self) -> None:
         given = self.r.next()
         self.r.need("AS")
@@ -269,6 +319,8 @@ class _Query:
         while True:
             if self.r.word("UNWIND"):
                 self.unwind()
+            elif self.frame is not None and self.r.word("OPTIONAL", "MATCH"):
+                self.optional()
             elif self.r.word("MATCH"):
                 self.match()
             elif self.frame is not None and self.r.word("WHERE"):

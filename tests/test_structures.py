@@ -12,6 +12,7 @@ from tessera.operators import graph as G
 from tessera.operators import sequential as Q
 from tessera.operators import spatial as P
 from tessera.operators.substring import containing
+from tessera.plans.pattern_query import QueryError, run_query
 
 
 # -- points in polygons --------------------------------------------------------------
@@ -167,3 +168,36 @@ def test_substring_plans_have_no_nested_loop(spark):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert sorted((x["term"], x["id"]) for x in graph.search("Name", "text", terms).collect() if x["term"]) == [("A", "Alpine"), ("A", "alpha"), ("A", "beta"), ("A", "xa"), ("alp", "Alpine"), ("alp", "alpha"), ("et", "beta")]
+
+
+def test_walks_use_no_edge_twice(spark):
+    r = random.Random(4)
+    pairs = sorted({(f"n{r.randrange(7)}", f"n{r.randrange(7)}") for _ in range(14)})
+    graph = G.PropertyGraph(nodes={"N": nodes(spark, *{x for p in pairs for x in p})})
+    graph.add_edges("E", "N", "N", spark.createDataFrame(pairs, "src string, dst string"))
+    for way in ("out", "in", "both"):
+        ahead = [(a, b, i) for i, (a, b) in enumerate(pairs)]
+        back = [(b, a, i) for a, b, i in ahead]
+        steps = ahead if way == "out" else back if way == "in" else ahead + [s for s in back if s[0] != s[1]]
+        want, level = [], [(x, x, ()) for x in {y for p in pairs for y in p}]
+        for n in range(1, 4):
+            level = [(a, t, (*used, i)) for a, b, used in level for s, t, i in steps if s == b and i not in used]
+            want += [(a, b, n) for a, b, _ in level if n >= 2]
+        got = graph.paths(graph.label("N"), [("E", "N", "N")], 2, 3, way)
+        assert sorted((x["a"], x["b"], x["length"]) for x in got.collect()) == sorted(want) and want
+    with pytest.raises(ValueError, match="steps"):
+        graph.paths(graph.label("N"), [("E", "N", "N")], 3, 2)
+
+
+def test_patterns_of_walks_and_options(spark):
+    graph = G.PropertyGraph(nodes={"P": nodes(spark, "p1", "p2", "p3"), "C": nodes(spark, "c1", "c2")})
+    graph.add_edges("HAS", "P", "C", spark.createDataFrame([("p1", "c1", "x"), ("p2", "c1", "y"), ("p2", "c2", "x")], "src string, dst string, role string"))
+    ask = lambda text: sorted((tuple(x) for x in run_query(graph, text).collect()), key=str)
+    assert ask("MATCH (a:P)-[:HAS*2..2]-(b:P) RETURN a.id AS a, b.id AS b") == [("p1", "p2"), ("p2", "p1")]
+    assert ask("MATCH (a:C)-[w:HAS*1..3]-(b:C) RETURN a.id AS a, b.id AS b, w.length AS n") == [("c1", "c2", 2), ("c2", "c1", 2)]
+    assert ask("MATCH (c:C)-[r:HAS {role: 'x'}]-(p:P) RETURN c.id AS c, p.id AS p, r.src AS s") == [("c1", "p1", "p1"), ("c2", "p2", "p2")]
+    assert ask("MATCH (p:P) OPTIONAL MATCH (p)-[:HAS]->(c:C) WHERE c.id = 'c2' RETURN p.id AS p, c.id AS c") == [("p1", None), ("p2", "c2"), ("p3", None)]
+    assert ask("MATCH (p:P) OPTIONAL MATCH (p)-[:HAS]->(c:C) RETURN p.id AS p, count(c.id) AS n") == [("p1", 1), ("p2", 2), ("p3", 0)]
+    for bad in ("MATCH (a:P)-[:HAS*]-(b:P) RETURN a.id", "MATCH (a:P)-[:HAS*2..]-(b:P) RETURN a.id", "MATCH (a:P)<-[:HAS]->(b:C) RETURN a.id", "MATCH (a:P) OPTIONAL MATCH (x:C) RETURN x.id"):
+        with pytest.raises(QueryError):
+            run_query(graph, bad)
