@@ -3,12 +3,16 @@
 Defined cases: null and empty texts have too few words, so the first stage drops
 them; documents without an id pass all stages by their texts alone; of rows that
 repeat id and text, one is left after the third stage; an empty table gives an
-empty result with the same columns. Every stage takes its input as written: the
-tables that a stage has used are deleted when the next one begins.
+empty result with the same columns; further columns of the input go on to the last
+stage, whatever their names; a text of any length is one row throughout; of lines and
+near copies that tie, the one of the smaller id stays. The tables that a stage has used are
+deleted when the next one of its thread begins, unless that one's input still reads them.
 """
 
 from __future__ import annotations
 
+import re
+import threading
 from collections.abc import Callable
 from functools import wraps
 
@@ -19,17 +23,35 @@ from tessera.llm.queries import table, tokenizer
 from tessera.llm.shared import materialize, recorded, release, release_paths
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-#: Tables that the stage before has left for its result; the result is written when the next stage begins.
-_LEFT: list[str] = []
+
+
+class _Left(threading.local):
+    """Tables that the stages of this thread have left for results yet to be written, by session."""
+
+    def __init__(self) -> None:
+        self.paths: dict[int, list[str]] = {}
+
+
+_LEFT = _Left()
+
+
+def _read_by(docs: DataFrame, paths: list[str]) -> list[str]:
+    """Those of the paths that a table's plan still reads."""
+    plain = lambda path: re.sub("^file:/+", "/", path)
+    files = [plain(f) for f in docs.inputFiles()] if paths else []
+    return [p for p in paths if any(f.startswith(plain(p)) for f in files)]
 
 
 def _stage(f: Stage) -> Stage:
+    """A stage that first deletes what the stages before it have left, but for what its own input still reads: stages may be chained without a write between."""
     @wraps(f)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        release_paths(_LEFT)
+        before = _LEFT.paths.pop(id(spark), [])
+        kept = _read_by(docs, before)
+        release_paths([p for p in before if p not in kept])
         with recorded() as made:
             out = f(spark, docs, sf_dir)
-        _LEFT.extend(made)
+        _LEFT.paths[id(spark)] = kept + made
         return out
 
     return run_stage

@@ -532,6 +532,17 @@ def test_pipeline_of_nothing(spark, tmp_path, rows):
     assert out.count() == 0 and out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"]
 
 
+def test_stages_can_be_chained(spark, docs):
+    """Without a write between, a stage's tables stay until nothing reads them; a stage of another input then deletes them."""
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    df = spark.createDataFrame(docs, SCHEMA).repartition(2)
+    kept = corpus_pipeline.near_duplicates(spark, corpus_pipeline.line_deduplication(spark, corpus_pipeline.quality_rules(spark, df, ""), ""), "")
+    held = list(corpus_pipeline._LEFT.paths[id(spark)])
+    assert kept.count() > 20 and kept.columns == df.columns and held
+    corpus_pipeline.quality_rules(spark, df, "").count()
+    assert not set(held) & set(corpus_pipeline._LEFT.paths[id(spark)])
+
+
 def test_a_text_of_several_megabytes(spark):
     r = random.Random(13)
     long = "\n".join(sentence(r, 12) for _ in range(40_000))  # over 2 MB, so a pass of numpy by itself
