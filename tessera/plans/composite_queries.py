@@ -216,7 +216,9 @@ def _name_sql(symbol: str) -> str:
 _MAJORS = f"""select p_partkey::varchar as eno, p_name as name, 'Queensland ' as state, {_nth_sql('p_size', {k: v[1] for k, v in _KINDS.items()})} as kind,
   {_nth_sql('p_partkey', _NTH)} as a, CASE WHEN p_partkey % 4 > 0 THEN {_nth_sql('(p_partkey // 3)', _NTH)} ELSE '' END as b, p_brand as company from part"""
 _VIEWS = f"""select s_suppkey::varchar as eno, s_name as name, '' as state, 'Mine Projects' as kind, {_nth_sql('s_suppkey', _NTH)} as a, {_nth_sql('(s_suppkey + 1)', _NTH)} as b, 'owner' as company from supplier"""
-_PROJECTS = f"""with m as ({_MAJORS}), v as ({_VIEWS}), u as (select * from m union all select * from v where eno not in (select eno from m))"""
+_DEPOSITS = f"""select n_nationkey::varchar as eno, n_name as name, '' as state, 'Mine Projects' as kind, {_nth_sql('n_nationkey', _NTH)} as a, {_nth_sql('(n_nationkey + 2)', _NTH)} as b, 'digger' as company from nation"""
+_PROJECTS = f"""with d as ({_DEPOSITS}), m as ({_MAJORS}), v as ({_VIEWS}),
+  u as (select * from d union all select * from m where eno not in (select eno from d) union all select * from v where eno not in (select eno from d) and eno not in (select eno from m))"""
 
 
 def _projects(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -226,13 +228,18 @@ def _projects(spark: SparkSession, sf_dir: str) -> DataFrame:
     majors = part.select(F.col("p_partkey").cast("string").alias("ENO"), F.col("p_name").alias("PROJECT_NAME"), F.lit("Queensland ").alias("STATE"), _nth(F.col("p_size"), {k: v[0] for k, v in _KINDS.items()}).alias("PROJECT_TYPE"), commodity.alias("COMMODITY_PRIMARY"), F.col("p_brand").alias("PRINCIPAL_COMPANY"), F.col("p_partkey").alias("ord"))
     full = {i: _SYMBOLS.get(s, s) for i, s in _NTH.items()}
     views = supplier.select(F.col("s_suppkey").cast("string").alias("ENO"), F.col("s_name").alias("name"), F.lit("closed").alias("status"), F.concat(_nth(F.col("s_suppkey"), full), F.lit(" ("), _nth(F.col("s_suppkey") + 1, full), F.lit(")")).alias("commodity"), F.lit("owner").alias("owner"), F.col("s_suppkey").alias("ord"))
+    n, path = F.col("n_nationkey"), fresh_path(spark, "deposits")
+    codes = F.concat(_nth(n, _NTH), F.lit(" ("), _nth(n + 2, _NTH), F.lit(")"))
+    properties = {"ENO": n.cast("string"), "DEPOSIT_NAME": F.concat("n_name", F.lit("\n")), "STATE": F.lit(""), "OPERATING_STATUS": F.lit("Operating mine"), "COMMODITY_CODES": codes, "COMPANIES": F.lit("digger")}
+    feature = F.struct(F.lit("Feature").alias("type"), F.struct(*[c.alias(k) for k, c in properties.items()]).alias("properties"), F.struct(F.array(n / 2, -n / 4).alias("coordinates")).alias("geometry"))
+    table(spark, sf_dir, "nation").select(F.to_json(feature).alias("value")).write.text(path)
     symbols = spark.createDataFrame(list(_SYMBOLS.items()), "symbol string, name string")
-    return C.unified_projects(None, majors, views, symbols, symbols.select("name", "symbol"))
+    return C.unified_projects(readers.geojson_points(spark, path, by_line=True), majors, views, symbols, symbols.select("name", "symbol"))
 
 
 @query(f"""{_PROJECTS} select eno, name, state, kind, a as first, b as second, {_name_sql('a')} || CASE WHEN b <> '' THEN ', (' || {_name_sql('b')} || ')' ELSE '' END as names, company from u""")
 def unified_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Projects of two sources in one table: the first source of an id wins, commodities are named, statuses graded."""
+    """Projects of three sources, one of them GeoJSON, in one table: the first source of an id wins, commodities are named, statuses graded."""
     p = _projects(spark, sf_dir)
     return p.select(F.col("ENO").alias("eno"), F.col("DEPOSIT_NAME").alias("name"), F.col("STATE").alias("state"), F.col("OPERATING_STATUS").alias("kind"), F.col("COMMODITY_PRIMARY").alias("first"), F.col("COMMODITY_SECONDARY").alias("second"), F.col("COMMODITY_NAMES").alias("names"), F.col("COMPANIES").alias("company"))
 

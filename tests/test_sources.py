@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.countries import country_names
 from tessera.plans import pipelines as C
+from tessera.plans.config import INPUTS, OUTPUTS, EngineConfig
 from tessera.sources import readers
 from tessera.sources.lines import ends_quoted, numbered_lines, quoted_records
 from tessera.sources.shapefiles import polygons, shapefile_bytes, write_shapefiles
@@ -128,3 +129,16 @@ def test_shapes_written_by_tasks(spark, tmp_path):
     df = spark.range(40).select(F.concat(F.lit("n"), "id").alias("N"), F.array(square).alias("rings")).repartition(3)
     files = write_shapefiles(df, str(tmp_path / "out"), {"N": 5})
     assert len(files) == 3 and sorted((x["N"], x["x0"], x["x1"]) for x in polygons(spark, files, ["N"]).collect()) == sorted((f"n{i}", i, i + 1) for i in range(40))
+
+
+def test_paths_by_name(spark, tmp_path, monkeypatch):
+    config = EngineConfig(raw=str(tmp_path / "raw"), out=str(tmp_path / "out"))
+    assert set(config.missing(spark)) == set(INPUTS)
+    assert config.source("areas").endswith("raw/shp/LGA_2025_AUST_GDA94/LGA_2025_AUST_GDA94.shp") and config.source("x/y.csv") == f"{tmp_path}/raw/x/y.csv"
+    monkeypatch.setenv("TESSERA_IN_REGISTER", str(tmp_path / "r.tsv"))
+    (tmp_path / "r.tsv").write_text("A\t1\n")
+    assert "register" not in config.missing(spark) and readers.register_tsv(spark, config.source("register")).count() == 1
+    path = config.ready(spark, "companies")
+    spark.range(3).write.csv(path)
+    assert spark.read.csv(path).count() == 3 and path.startswith(str(tmp_path / "out/master"))
+    assert len(set(OUTPUTS.values())) == len(OUTPUTS)
