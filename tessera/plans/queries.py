@@ -605,7 +605,20 @@ def register_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.register_names(register(spark, sf_dir))
 
 
-@query()
+#: Names registered by the rows that stay, found by one fold in order; rows, fills and synonyms follow from them.
+_CONSOLIDATED = """with m as (select p_partkey as ord, p_name || ' ' || p_brand as name, CASE WHEN p_partkey % 3 = 0 THEN p_name || ' ' || p_type END as synonyms, CASE WHEN p_partkey % 5 = 0 THEN p_partkey::varchar END as acn, CASE WHEN p_size % 2 = 0 THEN p_retailprice END as revenue from part),
+  o as (select *, list_filter([trim(name), trim(coalesce(synonyms, ''))], lambda x: x <> '') as own, list_distinct(list_transform(list_filter([trim(name), trim(coalesce(synonyms, ''))], lambda x: x <> ''), lambda x: lower(x))) as keys from m),
+  f as (select list_reduce(list(struct_pack(ord := ord, acn := acn, keys := keys) order by ord), lambda reg, r: CASE WHEN r.acn is null and list_has_any(list_transform(reg, lambda z: z.k), r.keys) THEN reg
+    ELSE list_concat(reg, list_transform(list_filter(r.keys, lambda k: not list_contains(list_transform(reg, lambda z: z.k), k)), lambda k: struct_pack(k := k, place := r.ord))) END, []::struct(k varchar, place bigint)[]) as reg from o),
+  g as (select z.k as k, z.place as place from (select unnest(reg) as z from f)),
+  h as (select o.ord, arg_min(g.place, CASE WHEN lower(trim(o.name)) = g.k THEN 0 ELSE 1 END) as target from o join g on list_contains(keys, g.k) and g.place < o.ord where acn is null group by 1),
+  a as (select target, list(struct_pack(own := own) order by o.ord) as rows, arg_min(revenue, o.ord) filter (where revenue is not null) as more from h join o using (ord) group by 1)
+  select o.ord, name, nullif(CASE WHEN rows is null THEN coalesce(synonyms, '') ELSE list_reduce(rows, lambda syn, r: CASE WHEN len(list_filter(r.own, lambda x: lower(x) <> lower(trim(name)) and not list_contains(list_transform(string_split(syn, ','), lambda y: lower(trim(y))), lower(x)))) = 0 THEN syn
+    ELSE concat_ws(', ', nullif(syn, ''), array_to_string(list_sort(list_filter(r.own, lambda x: lower(x) <> lower(trim(name)) and not list_contains(list_transform(string_split(syn, ','), lambda y: lower(trim(y))), lower(x)))), ', ')) END, coalesce(synonyms, '')) END, '') as synonyms,
+    acn, coalesce(revenue, more) as revenue from o left join a on a.target = o.ord where o.ord not in (select ord from h)"""
+
+
+@query(_CONSOLIDATED)
 def consolidated(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     master = part.select(F.col("p_partkey").alias("ord"), F.concat("p_name", F.lit(" "), "p_brand").alias("name"), F.when(F.col("p_partkey") % 3 == 0, F.concat("p_name", F.lit(" "), "p_type")).alias("synonyms"), F.when(F.col("p_partkey") % 5 == 0, F.col("p_partkey").cast("string")).alias("acn"), F.when(F.col("p_size") % 2 == 0, F.col("p_retailprice")).alias("revenue"))
