@@ -1,40 +1,19 @@
-"""Two scans whose outcome for a row depends on the rows before it.
-
-The register is settled by rounds of joins. Consolidation runs for each group of
-rows that can affect each other: rows affect each other only if they share a name,
-so rows are grouped by the connected components of that relation, and each component
-is scanned in order. Components hold the names of one family of companies and stay
-small; they come from joins of names with their least neighbour, in rounds. All
-rounds are written to the cluster's shared folder (spark.checkpoint.dir), and those before deleted.
+"""Two scans whose outcome for a row depends on the rows before it, settled by rounds of joins.
+
+Every name has bounds of the place of the first row that counts for it. Rows whose
+outcome follows from the bounds are settled, which narrows the bounds, until no row
+is open. A round's tables are written to the cluster's shared folder
+(spark.checkpoint.dir), and those of the round before deleted.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.stages import release, written
 
 
-def name_components(rows: DataFrame, row: str, name: str) -> DataFrame:
-    """row, component for a table of (row, name): rows linked by names they share; the component is its least row."""
-    links = written(rows.select(F.col(row).alias("row"), F.col(name).alias("name")).distinct())
-    now = written(links.select("row").distinct().withColumn("component", F.col("row")))
-    while True:
-        by_name = links.join(now, "row").groupBy("name").agg(F.min("component").alias("c"))
-        least = links.join(by_name, "name").groupBy("row").agg(F.min("c").alias("component"))
-        # follow the label one step further: components halve in depth each round
-        jump = least.alias("a").join(least.alias("b"), F.col("a.component") == F.col("b.row"), "left")
-        new = written(jump.select(F.col("a.row").alias("row"), F.coalesce("b.component", "a.component").alias("component")))
-        same = new.join(now.withColumnRenamed("component", "old"), "row").filter("component <> old").isEmpty()
-        release(now)
-        if same:
-            release(links)
-            return new.withColumnRenamed("row", row)
-        now = new
-
-
 def register_names(register: DataFrame, order: str = "ord", name: str = "name", number: str = "acn", previous: str = "previous", width: str = "n_columns") -> DataFrame:
     """name -> number of the first row of each name that is eligible when the register is read in order.
 
@@ -98,47 +77,48 @@ def consolidate(master: DataFrame, order: str = "ord", company: str = "name", sy
     registered is dropped: it fills that row's null columns (``fill``) and appends its
     new names, sorted. Other rows stay and register the names not yet known. Names
     that a row gains by absorbing are not registered.
+
+    Rows are settled as those of the register: a row stays where no row that may stay
+    has one of its names before it, and goes where one that does stay has; each round
+    settles the earliest open row at least, and most rows at once. What a kept row gains is
+    then a matter of aggregates, so a row that absorbs very many others is no group of its own.
     """
     names = F.expr(f"filter(transform(concat(array(coalesce(`{company}`, '')), coalesce(split(`{synonyms}`, ','), array())), x -> trim(x)), x -> x <> '')")
-    rows = master.withColumn("__ord", F.col(order)).withColumn("__names", names)
-    links = rows.select("__ord", F.explode(F.transform("__names", F.lower)).alias("key"))
-    grouped = rows.join(name_components(links, "__ord", "key").withColumnRenamed("component", "__component"), "__ord", "left")
-    grouped = grouped.withColumn("__component", F.coalesce("__component", "__ord"))
-    columns = master.columns
-    texts = [F.col(f"`{c}`").cast("string").alias(c) for c in columns]
-
-    def scan(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("__ord", kind="stable")
-        kept: dict[int, dict] = {}
-        owner: dict[str, int] = {}
-        log: dict[int, tuple] = {}
-        for r in pdf.to_dict("records"):
-            at = r["__ord"]
-            own: dict[str, str] = {}
-            for n in r["__names"]:
-                own.setdefault(n.lower(), n)
-            hit = next((k for k in own if k in owner), None)
-            if hit is not None and r[number] is None:
-                target = kept[owner[hit]]
-                filled = [c for c in fill if target[c] is None and r[c] is not None]
-                for c in filled:
-                    target[c] = r[c]
-                held = {(target[company] or "").strip().lower(), *(s.strip().lower() for s in (target[synonyms] or "").split(","))}
-                new = sorted(n for k, n in own.items() if k not in held)
-                if new:
-                    target[synonyms] = ", ".join([*([target[synonyms]] if target[synonyms] else []), *new])
-                log[at] = (own[hit], owner[hit], ", ".join(sorted(own.values())), ", ".join(filled))
-            else:
-                kept[at] = r
-                for k in own:
-                    owner.setdefault(k, at)
-        out = [{**{c: r[c] for c in columns}, "__kept": True, "__matched": None, "__target": None, "__merged": None, "__filled": None, "__ord": r["__ord"]} for r in kept.values()]
-        out += [{**dict.fromkeys(columns), "__kept": False, "__matched": m, "__target": t, "__merged": n, "__filled": u, "__ord": at} for at, (m, t, n, u) in log.items()]
-        return pd.DataFrame(out, columns=[*columns, "__kept", "__matched", "__target", "__merged", "__filled", "__ord"])
-
-    kinds = ", ".join(f"`{c}` string" for c in columns)
-    schema = f"{kinds}, __kept boolean, __matched string, __target long, __merged string, __filled string, __ord long"
-    done = written(grouped.select("__component", F.col("__ord").cast("long").alias("__ord"), "__names", *texts).groupBy("__component").applyInPandas(lambda pdf: scan(pdf.astype(object).where(pdf.notna(), None)), schema))
-    kept = done.filter("__kept").select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in master.schema])
-    log = done.filter("not __kept").select(F.col("__matched").alias("matched_name"), F.col("__target").alias("target"), F.col("__ord").alias("dropped"), F.col("__merged").alias("merged_names"), F.col("__filled").alias("updated_columns"))
-    return kept, log
+    rows = written(master.withColumns({"__ord": F.col(f"`{order}`").cast("long"), "__names": names}), "consolidate")
+    each = rows.select("__ord", F.col(f"`{number}`").isNotNull().alias("fixed"), F.posexplode("__names").alias("pos", "spelling"))
+    each = each.groupBy("__ord", "fixed", F.lower("spelling").alias("key")).agg(F.min(F.struct("pos", "spelling")).alias("s"))
+    own = written(each.select("__ord", "fixed", "key", "s.pos", "s.spelling"), "consolidate-names")
+    first_of = lambda kept: kept.groupBy("key").agg(F.min("__ord").alias("__ord")).select("__ord", "key", F.lit(True).alias("stays"))
+    now = written(first_of(own.filter("fixed")).unionByName(own.filter("not fixed").select("__ord", "key", F.lit(False).alias("stays"))), "consolidate-open")
+    while not now.filter("not stays").isEmpty():
+        bounds = now.groupBy("key").agg(F.min("__ord").alias("lo"), F.min(F.when(F.col("stays"), F.col("__ord"))).alias("hi"))
+        bounds = written(bounds, "consolidate-bounds")
+        waiting = now.filter("not stays").join(bounds, "key").groupBy("__ord").agg(F.bool_or(F.coalesce(F.col("hi") < F.col("__ord"), F.lit(False))).alias("goes"), F.bool_and(F.col("lo") >= F.col("__ord")).alias("stays"))
+        left = now.filter("not stays").drop("stays").join(waiting.filter("not goes").drop("goes"), "__ord")
+        after = written(first_of(now.filter("stays").unionByName(left.filter("stays"))).unionByName(left.filter("not stays").select("__ord", "key", "stays")), "consolidate-open")
+        release(bounds, now)
+        now = after
+    owners = now.select("key", F.col("__ord").alias("target"))
+    hits = own.filter("not fixed").join(owners, "key").filter("target < __ord")
+    gone = written(hits.groupBy("__ord").agg(F.min_by("target", "pos").alias("__target"), F.min_by("spelling", "pos").alias("__matched")), "consolidate-gone")
+    release(now)
+
+    # names that the target lacks, each as the first row that brings it spells it
+    brought = gone.select("__ord", "__target").join(own.select("__ord", "key", "spelling"), "__ord").groupBy("__target", "key").agg(F.min(F.struct("__ord", "spelling")).alias("s"))
+    new = brought.join(own.select(F.col("__ord").alias("__target"), "key"), ["__target", "key"], "left_anti")
+    gained = new.groupBy("__target").agg(F.array_join(F.transform(F.array_sort(F.collect_list("s")), lambda x: x["spelling"]), ", ").alias("__gained"))
+    absorbed = gone.join(rows.select("__ord", *[F.col(f"`{c}`").alias(f"__fill_{c}") for c in fill]), "__ord")
+    firsts = [F.min(F.when(F.col(f"__fill_{c}").isNotNull(), F.struct("__ord", f"__fill_{c}"))).alias(f"__first_{c}") for c in fill]
+    gains = gained if not fill else gained.join(absorbed.groupBy("__target").agg(*firsts), "__target", "full")
+    gains = written(gains, "consolidate-gains")
+
+    kept = rows.join(gone.select("__ord"), "__ord", "left_anti").join(gains, F.col("__ord") == F.col("__target"), "left")
+    values = {c: F.coalesce(F.col(f"`{c}`"), F.col(f"__first_{c}.__fill_{c}")) for c in fill}
+    values[synonyms] = F.when(F.col("__gained").isNull(), F.col(f"`{synonyms}`")).otherwise(F.concat_ws(", ", F.nullif(F.col(f"`{synonyms}`"), F.lit("")), "__gained"))
+    out = kept.select(*[values.get(c, F.col(f"`{c}`")).alias(c) for c in master.columns])
+
+    said = own.groupBy("__ord").agg(F.array_join(F.array_sort(F.collect_list("spelling")), ", ").alias("merged_names"))
+    used = gone.join(said, "__ord").join(gains.drop("__gained"), "__target", "left").join(rows.select(F.col("__ord").alias("__target"), *[F.col(f"`{c}`").isNull().alias(f"__empty_{c}") for c in fill]), "__target")
+    filled = [F.when(F.col(f"__empty_{c}") & (F.col(f"__first_{c}.__ord") == F.col("__ord")), F.lit(c)) for c in fill]
+    log = used.select(F.col("__matched").alias("matched_name"), F.col("__target").alias("target"), F.col("__ord").alias("dropped"), "merged_names", F.concat_ws(", ", *filled).alias("updated_columns") if fill else F.lit("").alias("updated_columns"))
+    return out, log
