@@ -13,7 +13,9 @@ lower case, and whose pre-tokeniser cuts by one regular expression and maps
 bytes to the printable alphabet.
 
 Nulls: a null text is an empty one. Empty texts have no ids. Rows are worked on
-one by one, so repeated rows and ties need no rule; other columns are untouched.
+one by one, so repeated rows and ties need no rule; a text of any length is one
+row, encoded whole; an empty table gives an empty result. Other columns are
+untouched, but for those that have the name of a result (n_tokens, ids_sha256, ...): the result takes their place.
 """
 
 from __future__ import annotations

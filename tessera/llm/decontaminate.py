@@ -18,7 +18,7 @@ matches, with as many edits as its length allows, only what begins and ends betw
 words (at the text's ends, or beside anything but a letter, digit or underscore),
 since a part of a word says nothing about a document; of equally good matches of an item, the first in the
 document is given; items of equal text match alike; repeated documents are rows of their
-own; empty tables give no matches; other columns are ignored by ``matches`` and
+own; a text of any length is searched whole; empty tables give no matches; other columns are ignored by ``matches`` and
 kept by ``clean``, whatever their names.
 """
 

@@ -15,7 +15,9 @@ two as near), so a credential can be put together from its parts.
 
 One shuffle, by document, carries lengths and never texts. Defined cases: a null
 text is an empty one and has no spans; documents that repeat, or have no id, are
-rows of their own; other columns are ignored.
+rows of their own; spans of one kind that tie in place go by the order of kinds; a
+text of any length is one row, searched whole; an empty table gives no rows; other
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -19,7 +19,8 @@ white space or changes characters) is refused; a null text is an empty one; an e
 within the text as the edits before it have left it; a document without edits
 counts as it is; a null in an edit is 0 or an empty text; edits of no document
 are ignored; repeated documents are rows of their own and each gets the edits of
-its id; other columns are ignored.
+its id; a text of any length is one row of pre-tokens; empty tables give no rows; other
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -25,7 +25,8 @@ empty document; labels that are null or conflict count as toxic if any says so;
 with labels of one kind only, or none, or where no word of LEAST_DOCS documents tells
 them apart by three quarters of the greatest possible z score or by LEAST_Z, there is no
 model and every severity is 0; of candidates that tell as much, the one of the smaller
-hash is taken; repeated documents are rows of their own; other columns are ignored.
+hash is taken; repeated documents are rows of their own; a text of any length is scored
+whole; an empty table of documents gives no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -11,7 +11,7 @@ that ran twice or died leaves no record in the result.
 
 Defined cases: a null payload is an empty one; a null page_id or url stays null;
 of rows that repeat a page_id with one payload, all that have the largest id are
-responses; an empty table gives no archive and no rows; other columns, whatever
+responses; a payload of any length is one record; an empty table gives no archive and no rows; other columns, whatever
 their names, are ignored.
 """
 

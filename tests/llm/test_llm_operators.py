@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 import re
 
@@ -11,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm import bpe, decontaminate, jaccard, line_dedup, quality, queries, secrets, suffix_dedup, token_counts, toxicity, warc
+from tessera.llm import words as W
 from tessera.llm.components import components
 
 tokenizers = pytest.importorskip("tokenizers")
@@ -557,6 +559,30 @@ def test_a_text_of_several_megabytes(spark):
     assert by_id(line_dedup.document_lines(df))[2]["n_removed"] == 40_000
 
 
+def test_texts_of_five_megabytes(spark):
+    """One text of 5 MB and a short one, whole, through the operators that work on texts one by one."""
+    r = random.Random(14)
+    item = sentence(r, 20)
+    secret = 'password="hunter22" AKIA' + "Q" * 16
+    long = "\n".join(sentence(r, 12) for _ in range(40_000)) + "\n"
+    long = long + long + item + " " + secret + " vile"
+    assert len(long.encode()) > 5 << 20
+    df = spark.createDataFrame([(1, long), (2, "one two")], "doc_id long, text string").repartition(2)
+    lib = tokenizers.Tokenizer.from_file(queries.tokenizer("word_bpe_49k.json"))
+    want = lib.encode(long, add_special_tokens=False).ids
+    got = by_id(bpe.documents_round_trip(spark, df, queries.tokenizer("word_bpe_49k.json")))
+    assert got[1]["n_tokens"] == len(want) and got[1]["ids_sha256"] == hashlib.sha256(np.array(want, "<u4").tobytes()).hexdigest()
+    found = by_id(secrets.document_secrets(df))
+    assert (found[1]["n_assign"], found[1]["n_access"]) == (1, 1) and found[1]["spans"].startswith(f"assign:{long.index('password')}:")
+    byte_lib = tokenizers.Tokenizer.from_file(queries.tokenizer("byte_bpe_50k.json"))
+    counted = by_id(token_counts.document_counts(df, bpe.read_spec(queries.tokenizer("byte_bpe_50k.json"))))
+    assert {len(byte_lib.encode(long, add_special_tokens=False).ids)} & {v for v in counted[1].values() if isinstance(v, int)}
+    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+    assert [(m["doc_id"], m["distance"]) for m in decontaminate.matches(df, bench).collect()] == [(1, 0)]
+    scored = by_id(toxicity.score(df, (np.sort(W.words_of(np.frombuffer(b"vile", np.uint8), np.array([0, 4])).hash), np.array([8.0]), np.array([1.0, 2.0, 3.0]))))
+    assert scored[1]["toxic"] and not scored[2]["toxic"]
+
+
 @pytest.mark.parametrize("rows", [[(1, "one two three four five six seven")], [(1, "a b c d e f g"), (2, "h i j k l m n o"), (3, None)], []])
 def test_jaccard_without_links(spark, rows):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
