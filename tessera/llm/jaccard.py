@@ -57,6 +57,7 @@ K, PERCENT = 5, 80
 HOT_LIMIT, HOT_LOCAL, LOCAL_BYTES = 1 << 17, 4, 8 << 20
 #: Key rows that a bucket holds, classes of a block's tile, of a leaf, and coordinates of a point.
 BUCKET_ROWS, TILE, LEAF, GROUPS = 1 << 20, 4096, 16, 128
+UNBOUNDED = 65535 * GROUPS
 #: Rows of small blocks that one task joins.
 TREE_ROWS = 1 << 15
 #: The finer groups of a pair that the trees let through are told by so many bits of a hash.
@@ -311,7 +312,8 @@ def points_of(texts: DataFrame, k: int = K) -> DataFrame:
                 counts = [np.bincount((s >> np.uint64(64 - FINE_BITS)).astype(np.int64), minlength=1 << FINE_BITS) for s in sets]
                 fine += [c.clip(0, 255).astype("u1").tobytes() for c in counts]
                 coarse = [c.reshape(GROUPS, -1).sum(axis=1) for c in counts]
-                out += [c.astype("<u4").tobytes() for c in coarse]
+                # a set with a group beyond 16 bits gets the point that bounds nothing
+                out += [(c if c.max() < 65536 else np.full(GROUPS, 65535)).astype("<u2").tobytes() for c in coarse]
             yield pa.RecordBatch.from_arrays([batch.column("cls"), pa.array(n, pa.int64()), pa.array(out, pa.binary()), pa.array(fine, pa.binary())], names=["cls", "n", "point", "fine"])
 
     return texts.mapInArrow(run, "cls long, n long, point binary, fine binary")
@@ -362,7 +364,8 @@ class RTree:
         if 100 * a[2] < self.percent * b[1] or 100 * b[2] < self.percent * a[1]:
             return True
         least = need(a[1], b[1], self.percent)
-        return min(a[6], b[6]) < least or int(np.minimum(a[0], b[0]).sum(dtype=np.int64)) < least
+        # two points that bound nothing have UNBOUNDED in common
+        return min(a[6], b[6]) < least or int(np.minimum(a[0], b[0]).sum(dtype=np.int64)) < min(least, UNBOUNDED)
 
     def pairs(self, side: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Pairs of rows that may link and are in different components; if sides are given, on different sides."""
@@ -391,7 +394,7 @@ class RTree:
             least = need(n, m, self.percent)
             good = (np.minimum(self.free[x], self.free[y]) >= least) & (100 * np.minimum(n, m) >= self.percent * np.maximum(n, m))
             x, y, least = x[good], y[good], least[good]
-            good = np.minimum(self.points[x], self.points[y]).sum(axis=1, dtype=np.int64) >= least
+            good = np.minimum(self.points[x], self.points[y]).sum(axis=1, dtype=np.int64) >= np.minimum(least, UNBOUNDED)
             if good.any():
                 yield x[good], y[good]
 
@@ -424,7 +427,7 @@ def tree_pairs(rows: DataFrame, points: DataFrame, percent: int = PERCENT, picks
 
     def join_all(table: pa.Table) -> pa.Table:
         unit, cls, size, free, comp, own, asks = (np.asarray(table.column(c)) for c in ("unit", "cls", "n", "free", "root", "own", "asks"))
-        points_ = np.frombuffer(b"".join(table.column("point").to_pylist()), "<u4").reshape(len(cls), GROUPS)
+        points_ = np.frombuffer(b"".join(table.column("point").to_pylist()), "<u2").reshape(len(cls), GROUPS)
         order = np.argsort(unit, kind="stable")
         begin = np.flatnonzero(np.diff(unit[order], prepend=~unit[order[0]]))
         end = np.append(begin[1:], len(order))
