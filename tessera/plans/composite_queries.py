@@ -128,7 +128,7 @@ def graph_walks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""with o as (select o_custkey as c, 'o' || o_orderkey as id, o_totalprice as total, o_orderstatus as status from orders)
   select c_name as buyer, a.id as first, b.id as other from customer left join (o a join o b on a.c = b.c and a.id <> b.id and a.status = 'P' and b.total > 150000) on a.c = c_custkey where c_mktsegment = 'BUILDING'
   union all select n_name, r_name, null from nation join region on n_regionkey = r_regionkey""")
-def optional_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
+def pattern_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Buyers with pairs of their orders, those without a pair kept; and edges asked for without a direction."""
     text = """MATCH (c:Customer {segment: 'BUILDING'}) OPTIONAL MATCH (c)-[:PLACED]->(a:Order)-[:PLACED*2..2]-(b:Order) WHERE a.status = 'P' AND b.total > 150000
       RETURN c.text AS buyer, a.id AS first, b.id AS other UNION ALL MATCH (r:Region)-[:PART_OF]-(n:Nation) RETURN n.text AS buyer, r.text AS first, NULL AS other"""
