@@ -53,7 +53,8 @@ def _described(df: DataFrame, name: str) -> DataFrame:
     words = F.array_remove(F.split(c, r"\s+"), "")
     bare = F.regexp_replace(c, r"\s+", "")
     seen = F.transform(F.split(bare, ""), lambda x: F.ascii(x) % LETTERS)
-    counts = F.transform(F.sequence(F.lit(0), F.lit(LETTERS - 1)), lambda i: F.size(F.filter(seen, lambda x: x == i)).cast("short"))
+    # bound as a lambda's argument, the letters are taken apart once and not once for each bucket
+    counts = F.transform(F.array(seen), lambda s: F.transform(F.sequence(F.lit(0), F.lit(LETTERS - 1)), lambda i: F.size(F.filter(s, lambda x: x == i)).cast("short")))[0]
     return df.select(F.col(name).alias("name")).filter("name <> ''").distinct().select(
         "name", F.struct(F.array_sort(F.array_distinct(words)).alias("words"), F.size(words).alias("k"), F.length(c).alias("n"), F.length(bare).alias("bare"), counts.alias("letters")).alias("d"))
 
@@ -181,7 +182,13 @@ def match(
     vector_gate[1]; None leaves it 0, so that no match is confident by scores.
     """
     names = left.select(F.col(left_name).alias("l")).distinct()
-    best = best_bounded(candidates(left, right, left_name, right_name))
+    best = _judged(best_bounded(candidates(left, right, left_name, right_name)), vector, vector_gate)
+    out = names.join(best, "l", "left")
+    return out.withColumn("status", S.folded_status(F.col("status"), F.col("r").isNotNull()))
+
+
+def _judged(best: DataFrame, vector: Callable[[str, str], Column] | DataFrame | None, vector_gate: tuple[float, float]) -> DataFrame:
+    """l, r, w_ratio and levenshtein_ratio of best pairs with the other four scores and the rule that holds."""
     gate = (F.col("w_ratio") >= vector_gate[0]) & (F.col("w_ratio") < vector_gate[1])
     if isinstance(vector, DataFrame):
         best = written(best, "best")
@@ -194,9 +201,99 @@ def match(
         "au_removed_match": S.same_without_au("l", "r"),
     })
     best = best.drop("__near")
-    status = S.match_status(F.col("w_ratio"), F.col("levenshtein_ratio"), F.col("jaccard_similarity"), F.col("vector_similarity"), F.col("no_space_exact_match"), F.col("au_removed_match"))
-    out = names.join(best, "l", "left")
-    return out.withColumn("status", S.folded_status(status, F.col("r").isNotNull()))
+    return best.withColumn("status", S.match_status(F.col("w_ratio"), F.col("levenshtein_ratio"), F.col("jaccard_similarity"), F.col("vector_similarity"), F.col("no_space_exact_match"), F.col("au_removed_match")))
+
+
+#: The weighted ratio from which confident() finds all pairs by their form: below it only names that are equal but for spaces or an "au" can be confident.
+CLOSE = 95.0
+
+
+def _worded(df: DataFrame, name: str, alias: str, words: str) -> DataFrame:
+    c = F.col(name)
+    return df.select(c.alias(alias), S.word_set(c).alias(words)).filter(F.size(words) > 0).distinct()
+
+
+def _contained(x: DataFrame, y: DataFrame) -> DataFrame:
+    """l, r where all words of one name are among those of the other, and lengths differ by less than a half.
+
+    They meet at the word of the smaller set that fewest names on the right have.
+    """
+    counts = y.select(F.explode("b").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+
+    def rarest(df: DataFrame, name: str, words: str) -> DataFrame:
+        each = df.select(name, words, F.explode(words).alias("word")).join(counts, "word")
+        # a name with a word that no name on the right has is in none of them
+        return each.groupBy(name, words).agg(F.min_by("word", F.struct("n", "word")).alias("word"), F.count(F.lit(1)).alias("known")).filter(F.col("known") == F.size(words)).drop("known")
+
+    longer, shorter = F.greatest(F.length("l"), F.length("r")), F.least(F.length("l"), F.length("r"))
+    near = 2 * longer < 3 * shorter
+    inner = rarest(x, "l", "a").join(y.select("r", "b", F.explode("b").alias("word")), "word").filter(near & (F.size(F.array_except("a", "b")) == 0))
+    outer = rarest(y, "r", "b").join(x.select("l", "a", F.explode("a").alias("word")), "word").filter(near & (F.size(F.array_except("b", "a")) == 0))
+    return inner.select("l", "r").unionByName(outer.select("l", "r"))
+
+
+def _alike(x: DataFrame, y: DataFrame) -> DataFrame:
+    """l, r of different names with a word in common, among them all whose whole ratio reaches CLOSE.
+
+    Names of n and m letters then differ by at most (n + m) / 20 letters put in or taken out, and by
+    2 * m / 19 whatever n is. The right name is cut into one part more than that, one of which
+    stands unchanged in the left one, moved by no more letters than differ.
+    """
+    m, n = F.col("m"), F.length("l")
+    parts = (F.floor(2 * m / 19) + 1).cast("int")
+    start = lambda j: F.floor(j * m / F.col("k")).cast("int")
+    length = (start(F.col("j") + 1) - start(F.col("j"))).alias("length")
+    each = lambda df: df.withColumn("k", parts).filter("k > 1").withColumn("j", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    right = each(y.withColumn("m", F.length("r"))).withColumns({"at": start(F.col("j")), "length": length})
+    right = right.select("m", "j", F.col("r").substr(F.col("at") + 1, F.col("length")).alias("part"), "r", "b")
+
+    sized = x.withColumn("n", n).withColumn("m", F.explode(F.sequence(F.ceil(19 * n / 21).cast("int"), F.floor(21 * n / 19).cast("int"))))
+    apart = F.abs(F.col("n") - m)
+    # as many letters differ as the lengths do, or more by an even number
+    spare = F.floor((F.floor((F.col("n") + m) / 20) - apart) / 2).cast("int")
+    left = each(sized.withColumn("spare", spare).filter((F.col("spare") >= 0) & ((apart > 0) | (F.col("spare") > 0))))
+    moves = F.sequence(F.least(F.lit(0), F.col("n") - m) - F.col("spare"), F.greatest(F.lit(0), F.col("n") - m) + F.col("spare"))
+    left = left.withColumns({"at": start(F.col("j")), "length": length}).withColumn("at", F.explode(F.transform(moves, lambda d: F.col("at") + d)))
+    left = left.filter((F.col("at") >= 0) & (F.col("at") + F.col("length") <= F.col("n")))
+    left = left.select("m", "j", F.col("l").substr(F.col("at") + 1, F.col("length")).alias("part"), "l", "a")
+    return left.join(right, ["m", "j", "part"]).filter((F.col("l") != F.col("r")) & F.arrays_overlap("a", "b")).select("l", "r")
+
+
+def confident(
+    left: DataFrame, right: DataFrame, left_name: str = "norm", right_name: str = "norm",
+    vector: Callable[[str, str], Column] | DataFrame | None = S.ngram_cosine, vector_gate: tuple[float, float] = (95.0, 100.0),
+) -> DataFrame:
+    """The rows of match() of high confidence, without the pairs that have no more in common than a frequent word.
+
+    Names are normalised ones. An equal name is the best there is. Other pairs whose
+    weighted ratio reaches CLOSE have one name's words within the other's, or few letters that differ; both are
+    found by joins on rare keys, and the best of them is the best of all. A name without such a
+    pair can only be confident where it equals one on the right but for spaces or an
+    "au"; those few are held against all their candidates.
+    """
+    x, y = _worded(left, left_name, "l", "a"), _worded(right, right_name, "r", "b")
+    exact = x.join(y.select(F.col("r").alias("l")), "l").select("l", F.col("l").alias("r"), F.lit(100.0).alias("w_ratio"), F.lit(100.0).alias("levenshtein_ratio"))
+    exact = written(exact, "exact")
+    others = written(x.join(exact.select("l"), "l", "left_anti"), "others")
+    pairs = written(_contained(others, y).unionByName(_alike(others, y)).distinct(), "close")
+    close = written(_best_scored(pairs.withColumn("w_ratio", S.weighted_ratio_udf("l", "r")), CLOSE), "close-best")
+    best = _judged(exact.unionByName(close.select("l", "r", "w_ratio", "levenshtein_ratio")), vector, vector_gate)
+
+    rest = others.join(close.select("l"), "l", "left_anti").select("l", "a")
+    bare = lambda name: F.replace(F.col(name), F.lit(" "), F.lit(""))
+    less_au = lambda c: F.when(c.endswith(" au"), c.substr(F.lit(1), F.length(c) - 3))
+    spaced = rest.withColumn("key", bare("l")).join(y.select(bare("r").alias("key")), "key", "left_semi")
+    with_au = rest.withColumn("key", less_au(normalize_name("l"))).join(y.select(normalize_name("r").alias("key")), "key", "left_semi")
+    plain = rest.withColumn("key", less_au(F.col("l"))).join(y.select(F.col("r").alias("key")), "key", "left_semi")
+    odd = spaced.unionByName(with_au).select("l", "a").distinct().join(plain.select("l", F.lit(True).alias("plain")), "l", "left")
+    odd = written(odd, "odd")
+    if not odd.isEmpty():
+        # a ratio of 90, which a name has with itself less an "au", takes a like length or a part of the other name
+        longer, shorter = F.greatest(F.length("l"), F.length("r")), F.least(F.length("l"), F.length("r"))
+        like = (2 * longer < 3 * shorter) | F.contains(F.col("l"), F.col("r")) | F.contains(F.col("r"), F.col("l"))
+        met = odd.withColumn("word", F.explode("a")).join(y.select("r", F.explode("b").alias("word")), "word").filter(F.col("plain").isNull() | like)
+        best = best.unionByName(match(odd, written(met.select("r").distinct(), "odd-right"), "l", "r", vector, vector_gate))
+    return best.filter(F.col("status").isin(*S.HIGH_CONFIDENCE))
 
 
 def cascade(left: DataFrame, name: str, sources: Sequence[tuple[str, DataFrame, str]], find: Callable[[DataFrame, DataFrame, str, str], DataFrame]) -> DataFrame:
@@ -226,7 +323,7 @@ def enrich_append(left: DataFrame, right: DataFrame, name: str, order: str, take
     step is written to the shared folder, so that stages on stages stay small plans.
     """
     a, b = written(prepared(left, name, order), "left"), written(prepared(right, name, order), "right")
-    good = settled(lambda: match(a, b).filter(F.col("status").isin(*S.HIGH_CONFIDENCE)).select(F.col("l").alias("norm"), F.col("r").alias("__r")), "matches")
+    good = settled(lambda: confident(a, b).select(F.col("l").alias("norm"), F.col("r").alias("__r")), "matches")
     found = good.join(b.select(F.col("norm").alias("__r"), *take), "__r")
     mine = a.drop(*[c for c in take if c in a.columns]).join(found.drop("__r"), "norm", "left")
     extra = b.join(good.select(F.col("__r").alias("norm")).distinct(), "norm", "left_anti")

@@ -64,3 +64,41 @@ def test_match_takes_a_table_of_vectors(spark):
     row = M.match(left, right, vector=vectors, vector_gate=(90.0, 101.0)).first()
     assert abs(row["vector_similarity"] - 1) < 1e-9 and row["status"] == "confident_score_match" and "__near" not in row.asDict()
     assert M.match(left, right, vector=vectors, vector_gate=(99.0, 101.0)).select(F.col("vector_similarity")).first()[0] == 0
+
+
+def variants(seed, n):
+    """Names of two rare words and frequent ones, and the same with a letter changed, words moved, spaces gone or an "au" more."""
+    r = random.Random(seed)
+    word = lambda k: "".join(r.choice("abcdefgh") for _ in range(k))
+    out = []
+    for _ in range(n):
+        base = " ".join([word(r.randrange(1, 14)), word(r.randrange(1, 14)), *r.sample(["gold", "mining", "au", "of"], r.randrange(3))])
+        at = r.randrange(len(base))
+        changed = [base, base[:at] + base[at + 1 :], base[:at] + "x" + base[at:], base[:at] + "y" + base[at + 1 :], base + " au", base.replace(" ", "", 1), " ".join(sorted(base.split())), base + " gold", f"{base} {word(3)}"]
+        out += [" ".join(v.split()) for v in r.sample(changed, 4)]
+    return out
+
+
+@pytest.mark.parametrize("gate", [(95.0, 100.0), (90.0, 101.0)])
+def test_confident_is_match_of_high_confidence(spark, gate):
+    whole = variants(3, 400)
+    random.Random(4).shuffle(whole)
+    extra = ["n1 m1 au", "ab c au", "ab cd", "", None]
+    left, right = frame(spark, [*whole[:700], *extra]), frame(spark, [*whole[700:], "n1 m1", "n2 m1 au", "abc au", "a bcd ab cd", None])
+    got = M.confident(left, right, "n", "n", vector_gate=gate)
+    want = M.match(left, right, "n", "n", vector_gate=gate).filter(F.col("status").isin(*S.HIGH_CONFIDENCE))
+    assert got.columns == want.columns
+    rows = sorted(map(tuple, want.collect()))
+    assert sorted(map(tuple, got.collect())) == rows
+    assert {r[-1] for r in rows} == set(S.HIGH_CONFIDENCE) and {r[2] < M.CLOSE for r in rows} == {True, False}
+
+
+def test_confident_makes_no_pairs_of_a_frequent_word(spark, monkeypatch):
+    """3,000 names on either side share a word: of nine million pairs, one or two a name are scored."""
+    seen = []
+    best = M._best_scored
+    monkeypatch.setattr(M, "_best_scored", lambda scored, threshold: seen.append(scored.count()) or best(scored, threshold))
+    monkeypatch.setattr(M, "candidates", lambda *_: pytest.fail("all pairs of a word were asked for"))
+    left = frame(spark, [f"left{i:05d} west{i:05d} au" for i in range(3000)])
+    right = frame(spark, [f"left{i:05d} west{i:05d}" if i < 100 else f"right{i:05d} east{i:05d} au" for i in range(3000)])
+    assert M.confident(left, right, "n", "n").count() == 100 and sum(seen) < 6000
