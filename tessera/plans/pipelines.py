@@ -202,7 +202,7 @@ def cascaded_matches(projects: DataFrame, master: DataFrame, column: str = "COMP
     for source, gate in (("market", (90.0, 100.0)), ("profiles", (90.0, 101.0)), ("statements", (90.0, 101.0))):
         right = written(M.prepared(master.filter(F.col("Source") == source), "name", "ord"), "source")
         def found() -> DataFrame:
-            good = M.match(rest, right, "l", "norm", vector_gate=gate).filter(F.col("status").isin(*S.HIGH_CONFIDENCE)).withColumn("matched_source", F.lit(source))  # noqa: B023
+            good = M.confident(rest, right, "l", "norm", vector_gate=gate).withColumn("matched_source", F.lit(source))  # noqa: B023
             return good.join(right.select(F.col("norm").alias("r"), F.col("name").alias("matched_name")), "r")  # noqa: B023
 
         got = settled(found, "cascade")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import similarity as S
 from tessera.operators import matching as M
+from tessera.plans import pipelines as C
 
 
 def names(seed, n, words=60):
@@ -102,3 +103,11 @@ def test_confident_makes_no_pairs_of_a_frequent_word(spark, monkeypatch):
     left = frame(spark, [f"left{i:05d} west{i:05d} au" for i in range(3000)])
     right = frame(spark, [f"left{i:05d} west{i:05d}" if i < 100 else f"right{i:05d} east{i:05d} au" for i in range(3000)])
     assert M.confident(left, right, "n", "n").count() == 100 and sum(seen) < 6000
+
+
+def test_cascade_makes_no_pairs_of_a_frequent_word(spark, monkeypatch):
+    monkeypatch.setattr(M, "candidates", lambda *_: pytest.fail("all pairs of a word were asked for"))
+    projects = spark.createDataFrame([(f"west{i:05d} rock{i:05d} Australia",) for i in range(300)], "COMPANIES string")
+    master = spark.createDataFrame([(f"west{i:05d} rock{i:05d}" if i < 50 else f"east{i:05d} sand{i:05d} Australia", i, "market" if i % 2 else "statements") for i in range(300)], "name string, ord int, Source string")
+    got = C.cascaded_matches(projects, master).filter("matched_name is not null").collect()
+    assert {(x["name"], x["matched_source"], x["matched_name"]) for x in got} == {(f"west{i:05d} rock{i:05d} Australia", "market" if i % 2 else "statements", f"west{i:05d} rock{i:05d}") for i in range(50)}
