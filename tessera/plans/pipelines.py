@@ -255,7 +255,7 @@ def project_owners(projects: DataFrame, project_ids: DataFrame, master: DataFram
     known = master.select("companyID", X.id_number("companyID").alias("o"), F.explode(every).alias("n")).withColumn("norm", X.normalize_name("n")).filter("norm <> ''")
     owner = written(O.last_wins(known, ["norm"], "companyID", "o", "companyID"), "owner")
     named = written(named, "named")
-    good = settled(lambda: M.match(named, owner, "l", "norm").filter(F.col("status").isin(*S.HIGH_CONFIDENCE)).select("l", F.col("r").alias("norm")), "owners")
+    good = settled(lambda: M.confident(named, owner, "l", "norm").select("l", F.col("r").alias("norm")), "owners")
     return named.join(good, "l").join(owner, "norm").join(project_ids.select("ENO", "projectID"), "ENO").select("companyID", "projectID").distinct()
 
 

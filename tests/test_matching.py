@@ -111,3 +111,11 @@ def test_cascade_makes_no_pairs_of_a_frequent_word(spark, monkeypatch):
     master = spark.createDataFrame([(f"west{i:05d} rock{i:05d}" if i < 50 else f"east{i:05d} sand{i:05d} Australia", i, "market" if i % 2 else "statements") for i in range(300)], "name string, ord int, Source string")
     got = C.cascaded_matches(projects, master).filter("matched_name is not null").collect()
     assert {(x["name"], x["matched_source"], x["matched_name"]) for x in got} == {(f"west{i:05d} rock{i:05d} Australia", "market" if i % 2 else "statements", f"west{i:05d} rock{i:05d}") for i in range(50)}
+
+
+def test_owners_make_no_pairs_of_a_frequent_word(spark, monkeypatch):
+    monkeypatch.setattr(M, "candidates", lambda *_: pytest.fail("all pairs of a word were asked for"))
+    projects = spark.createDataFrame([(str(i), f"west{i:05d} rock{i:05d} Australia") for i in range(300)], "ENO string, COMPANIES string")
+    master = spark.createDataFrame([(f"comp_{i}", f"west{i:05d} rock{i:05d}" if i < 50 else f"east{i:05d} sand{i:05d} Australia", None) for i in range(300)], "companyID string, name string, synonyms string")
+    got = C.project_owners(projects, projects.select("ENO", F.concat(F.lit("p"), "ENO").alias("projectID")), master).collect()
+    assert {tuple(x) for x in got} == {(f"comp_{i}", f"p{i}") for i in range(50)}
