@@ -233,6 +233,15 @@ class Bpe:
             at = hit.end()
         yield from ((m.end(), m[0]) for m in self.pattern.finditer(text, at))
 
+    def pieces(self, text: str) -> list[str]:
+        """The pre-tokens of pretokens(), all at once."""
+        out, at = [], 0
+        for hit in self.specials.finditer(text) if self.specials else ():
+            out += self.pattern.findall(text, at, hit.start())
+            out.append(hit[0])
+            at = hit.end()
+        return out + self.pattern.findall(text, at) if at else self.pattern.findall(text)
+
     def normal(self, text: str) -> str:
         """The text as the file's normaliser leaves it, up to the kind of white space."""
         if self.compose and not text.isascii():

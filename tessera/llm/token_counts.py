@@ -84,13 +84,13 @@ class TokenTree:
     @staticmethod
     def _sums(leaves: list[int], width: int) -> list[int]:
         """The nodes of a tree over the leaves: the root at 1, the children of i at 2i and 2i + 1."""
-        level = np.zeros(width, np.int64)
-        level[: len(leaves)] = leaves
-        levels = [level]
-        while len(level) > 1:
-            level = level[::2] + level[1::2]
-            levels.append(level)
-        return [0, *np.concatenate(levels[::-1]).tolist()]
+        nodes = np.zeros(2 * width, np.int64)
+        nodes[width : width + len(leaves)] = leaves
+        while width > 1:
+            half = width // 2
+            np.add(nodes[width : 2 * width : 2], nodes[width + 1 : 2 * width : 2], out=nodes[half:width])
+            width = half
+        return nodes.tolist()
 
     def leaf(self, i: int) -> list[str]:
         """The pre-tokens of a leaf: one at first, any number after an edit."""
@@ -148,7 +148,7 @@ class TokenTree:
             now = was[: at - start] + inserted + was[at - start + removed :]
             to_end = hi == self.n_leaves - 1
             if to_end:
-                new = [p for _, p in self.bpe.pretokens(now)]
+                new = self.bpe.pieces(now)
                 break
             # old boundaries past the edit, counted from the region's end
             ends, left = {0}, len(was)
@@ -199,7 +199,7 @@ def _checked(spec: str) -> None:
 
 def _cut(bpe: Bpe, texts: list[str]) -> list[list[str]]:
     """The pre-tokens of each text, all of them in the memo: the trees of many pre-tokens share an array."""
-    cut = [[p for _, p in bpe.pretokens(t)] for t in texts]
+    cut = list(map(bpe.pieces, texts))
     if new := set().union(*cut).difference(bpe.memo, bpe.special):
         bpe.learn(new)
     return cut

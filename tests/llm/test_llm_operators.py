@@ -601,3 +601,10 @@ def test_line_dedup_finds_one_changed_word(spark):
     rows = [(1, "a b c d e f g h i j k l"), (2, "a b c d e f g h i j k x"), (3, "A B C D E F G H I J y z"), (4, "")]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"doc": F.lit(1), "removed": F.lit(2), "row": F.lit(3), "d": F.lit(4), "g": F.lit(5)})
     assert {r["doc_id"]: r["text"] for r in line_dedup.deduplicated(df).collect()} == {1: rows[0][1], 2: "", 3: rows[2][1], 4: ""}
+
+
+def test_pieces_are_pretokens_cut_at_once():
+    b = bpe.load(bpe.read_spec(queries.tokenizer("byte_bpe_50k.json")))
+    special = next(iter(b.special), "")
+    for text in ["", " ", "it's  a\n\n b ", f"{special}{special} x{special}", f"a {special}\n\n c", "é ñ 12 !?  "]:
+        assert b.pieces(text) == [p for _, p in b.pretokens(text)] and "".join(b.pieces(text)) == text
