@@ -7,28 +7,24 @@ then by a digest of the document, then by their place. Lines of one text are a
 class whose first line stands for it, so copies cost one aggregation with partial
 results and no join.
 
-Order. Tokens go by rarity, then by hash. Rarity is how often words occur in all
-texts, counted in SLOTS hash slots, so the table of counts has a fixed size
-whatever the corpus; words that share a slot count as equally frequent, which
-changes the work, never the result.
-
-Prefix. Two similar lines share one of the first n - ceil(percent * n) + 1 tokens
-of each, and two of the first n - ceil(percent * n) + 2 if they have two tokens
-or more. So a rare token of the prefix is a key, and of frequent ones (FREQUENT
-times the mean of a slot) every pair is: if the rarest token that two lines share
-is frequent, so is the next one. Blocks of a key stay small without leaving any
-line out.
-
-Position and length. A shared key at places i and j leaves room for
-1 + min(n - i - 1, m - j - 1) common tokens, and sizes may differ by the
-percentage. A bitmap of 128 bits, of which each token turns one, bounds how many
+Parts. Two linked sets of n and m tokens have at most d = (n + m) * (100 - percent) / (100 + percent)
+tokens apart. The hashes are dealt into more than d ranges, and what a set has in
+a range is a part: sets that differ in d tokens differ in d parts at most, and all
+other parts are equal. So among the d + 1 strongest parts of either set is one that
+both have, and these parts are a line's keys. Strength is what the lengths of a
+part's words add up to, as long words are rare; any strength gives the same links. A
+line with d tokens or more in too few ranges has its strongest tokens as keys too.
+The number of ranges goes by groups of sizes, powers of two: a line has keys for its
+own group and for that of the largest set that it can link with.
+
+Filter. Keys go through one aggregation, which tells those that two classes have;
+a bitmap of fixed size picks their rows, and what it picks too much meets nothing.
+Sizes and a sketch of 128 bits, of which each token turns one, bound how many
 tokens two sets have apart. What passes is verified on the token sets.
 
-Blocks of fewer than BLOCK lines are joined with themselves at once: a line meets
-BLOCK others a key at most. In larger blocks, a line is first verified against the
-earliest lines of its LEADS largest blocks, which is linear and settles the many
-variants of one line; those that no such leader removed are then held against all
-of their blocks, in parts where the join is skewed.
+Leaders. A line is first verified against the earliest line of each of its keys,
+which is linear and settles the many variants of one line; those that no such
+leader removed are then held against all earlier lines of their keys, in parts where the join is skewed.
 
 Defined cases: a null text is a text without lines; lines without a word are
 never removed; a document whose lines are all removed has an empty text; rows
@@ -39,20 +35,17 @@ ignored by ``removals``, whatever their names.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from tessera.llm.shared import materialize, release, scratch
 
 PERCENT = 80
-#: Hash slots in which words are counted, and how many times a slot's mean makes a word frequent (LEAST_FREQUENT at least).
-SLOTS, FREQUENT, LEAST_FREQUENT = 1 << 20, 16, 1 << 12
-#: Lines with a key from which a block has a leader, and leaders that a line is held against.
-BLOCK, LEADS = 16, 2
+#: Longs of a bitmap that is sent to all tasks.
+BITMAP_LONGS = 1 << 20
 SPACE = r"[ \t-\r]+"
-#: A token: its rarity (7 bits) above the low bits of its hash.
-_BITS = 55
-_BITMAP = ("b0", "b1")
+_SKETCH = ("b0", "b1")
 
 
 def doc_key(doc_id: str, text: str) -> Column:
@@ -64,7 +57,7 @@ def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """doc, pos and line of every line with a word."""
     # the key first: computed beside the lines, it would hash the whole text for each of them
     whole = docs.select(doc_key(doc_id, text).alias("doc"), F.split(F.coalesce(F.col(f"`{text}`"), F.lit("")), "\n", -1).alias("lines"))
-    lines = whole.select("doc", F.posexplode("lines").alias("pos", "line"))
+    lines = whole.select("doc", F.posexplode_outer("lines").alias("pos", "line"))
     return lines.filter(F.col("line").rlike(r"[^ \t-\r]"))
 
 
@@ -87,81 +80,77 @@ def _hashes(line: str) -> Column:
     return F.transform(F.array_remove(words(line), ""), lambda w: F.xxhash64(w))
 
 
-def rarity(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, int]:
-    """One row with the rarity of each slot (in the high bits of a long), and the rarity from which words are frequent."""
-    found = _lines(docs, doc_id, text).select(F.explode(words("line")).alias("w")).filter("w <> ''").select(F.xxhash64("w").bitwiseAND(SLOTS - 1).alias("slot"), F.lit(1).cast("long").alias("n"))
-    spark = docs.sparkSession
-    every = found.unionByName(spark.range(SLOTS).select(F.col("id").alias("slot"), F.lit(0).cast("long").alias("n")))
-    grade = F.when(F.col("n") == 0, 0).otherwise(F.least(F.lit(127), 1 + F.floor(4 * F.log2("n"))))
-    slots = materialize(every.groupBy("slot").agg(F.sum("n").alias("n")).select("slot", "n", grade.cast("long").alias("grade")), "lines-slots")
-    total = slots.agg(F.sum("n")).first()[0] or 0
-    often = max(LEAST_FREQUENT, FREQUENT * total // SLOTS)
-    limit = slots.filter(F.col("n") >= often).agg(F.min("grade")).first()[0] or 127
-    table = slots.agg(F.sort_array(F.collect_list(F.struct("slot", F.shiftleft("grade", _BITS).alias("v"))))["v"].alias("table"))
-    out = materialize(table, "lines-rarity")
-    release(slots)
-    return out, int(limit)
-
-
-def _tokens(line: str, table: Column) -> Column:
-    """The distinct tokens of a line, rarest first."""
-    low = (1 << _BITS) - 1
-    return F.sort_array(F.array_distinct(F.transform(_hashes(line), lambda h: F.get(table, h.bitwiseAND(SLOTS - 1).cast("int")).bitwiseOR(h.bitwiseAND(low)))))
-
-
-def _prefix(percent: int) -> Column:
-    """n - ceil(percent * n) + 1"""
-    return (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int")
-
-
-def heads(docs: DataFrame, doc_id: str, text: str, percent: int = PERCENT) -> tuple[DataFrame, int]:
-    """Classes of lines: h1, h2, first, copies, n, p, the p + 1 rarest tokens and a bitmap; and from which token on words are frequent."""
-    table, limit = rarity(docs, doc_id, text)
-    classes = places(docs, doc_id, text).groupBy("h1", "h2").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("copies"), F.first("line").alias("line"))
-    own = ["h1", "h2", "first", "copies"]
-    # the optimiser moves the subquery into the function over words, so that no row carries the table; the
-    # filter, which all rows pass, keeps it from moving into the aggregation instead
-    sets = classes.filter("copies > 0").select(*own, "line", table.scalar().alias("table")).select(*own, _tokens("line", F.col("table")).alias("tokens"))
-    bits = [F.expr(f"aggregate(tokens, 0L, (a, t) -> if((t & {1 << 26}) = {k << 26}, a ^ shiftleft(1L, cast(shiftright(t, 20) & 63 as int)), a))").alias(b) for k, b in enumerate(_BITMAP)]
-    sized = sets.select(*own, F.size("tokens").alias("n"), *bits, "tokens")
-    out = sized.withColumn("p", _prefix(percent)).select(*own, "n", "p", *_BITMAP, F.slice("tokens", F.lit(1), F.col("p") + 1).alias("rarest"))
-    written = materialize(out, "lines-heads")
-    release(table)
-    return written, limit << _BITS
-
-
-def keys(heads_: DataFrame, frequent: int) -> DataFrame:
-    """t, h1, ni (size and place in the order), the bitmap and o (about the order of lines) of every key of every class."""
-    o = F.coalesce(F.shiftleft(F.col("first.doc.id").cast("long"), 20), F.col("first.doc.digest")) + F.col("first.pos")
-    own = ["h1", "n32", *_BITMAP, "o"]
-    rows = heads_.select("h1", F.shiftleft(F.col("n").cast("long"), 32).alias("n32"), *_BITMAP, o.alias("o"), "n", "p", "rarest")
-    ni = F.col("n32").bitwiseOR(F.col("i")).alias("ni")
-    first = F.posexplode(F.slice("rarest", F.lit(1), F.col("p"))).alias("i", "t")
-    single = rows.select(*own, first).filter((F.col("t") < frequent) | (F.col("n32") == 1 << 32)).select("t", "h1", ni, *_BITMAP, "o")
-    # of the frequent tokens, which come last, each pair whose first token is in the prefix
-    several = rows.filter((F.col("n") > 1) & (F.get("rarest", F.col("p") - 1) >= frequent)).select(*own, "p", "rarest", first).filter(F.col("t") >= frequent)
-    pairs = several.select(*own, "i", "t", F.explode(F.slice("rarest", F.col("i") + 2, F.col("p") - F.col("i"))).alias("u"))
-    return single.unionByName(pairs.select(F.xxhash64("t", "u").alias("t"), "h1", ni, *_BITMAP, "o"))
+def _tokens(line: str) -> Column:
+    """The distinct tokens of a line in order: 57 bits of a hash, which part them, above the word's length, 63 at most."""
+    token = lambda w: F.xxhash64(w).bitwiseAND(0x7FFFFFFFFFFFFFC0).bitwiseOR(F.least(F.length(w), F.lit(63)).cast("long"))
+    return F.sort_array(F.array_distinct(F.transform(F.array_remove(words(line), ""), token)))
+
+
+def _apart(sizes: str, percent: int) -> str:
+    """How many tokens two linked sets whose sizes add up to this can have apart."""
+    return f"cast(floor(({sizes}) * {100 - percent} / {100 + percent}) as int)"
+
+
+def _deal(percent: int) -> list[int]:
+    """The number of parts of each group of sizes: a fifth more than can differ, and one."""
+    most = [2 * ((1 << g) - 1) * (100 - percent) // (100 + percent) for g in range(32)]
+    return [1 + k + -(-k // 5) for k in most]
+
+
+def _literal(values: list[int]) -> str:
+    return f"array({', '.join(f'{v}L' for v in values)})"
+
+
+def parted(docs: DataFrame, doc_id: str, text: str, percent: int = PERCENT) -> DataFrame:
+    """h1, h2, at, own, n, a sketch of 128 bits and the keys of every line with a word, by group of sizes; own is set in the first row of each."""
+    group = lambda n: f"length(bin({n}))"  # noqa: E731  sizes from 2 ** (g - 1) to 2 ** g - 1
+    found = places(docs, doc_id, text).select("h1", "h2", "at", _tokens("line").alias("tokens")).withColumn("n", F.size("tokens"))
+    # tokens are in order, so those of either half of the hashes are a slice
+    half = found.withColumn("low", F.filter("tokens", lambda t: t < (1 << 62)))
+    halves = (F.col("low"), F.slice("tokens", F.size("low") + 1, F.col("n")))
+    bits = [F.aggregate(t, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(x, 20).bitwiseAND(63).cast("int")))).alias(b) for b, t in zip(_SKETCH, halves, strict=True)]
+    larger = f"floor(100L * n / {percent})"
+    sized = half.select("h1", "h2", "at", "n", *bits, "tokens", F.expr(group("n")).alias("g0"), F.expr(f"sequence({group('n')}, {group(larger)})").alias("gs"))
+    each = sized.select("h1", "h2", "at", "n", *_SKETCH, "tokens", "g0", F.explode("gs").alias("g"))
+    need = F.expr(_apart(f"n + least({larger}, shiftleft(1L, g) - 1)", percent)) + 1
+    # a part is a range of hashes; where each begins, a long without a length is set among the tokens
+    deal = _deal(percent)
+    starts = f"transform(sequence(0L, {_literal(deal)}[g] - 1), p -> p * {_literal([((1 << 63) - 1) // k for k in deal])}[g] & -64)"
+    merged = each.select("h1", "h2", "at", "n", *_SKETCH, "tokens", "g0", "g", need.alias("need"), F.expr(f"sort_array(concat(tokens, {starts}))").alias("merged"))
+    cut = merged.withColumn("cuts", F.expr("filter(sequence(0, size(merged) - 1), i -> merged[i] & 63 = 0)"))
+    runs = cut.withColumn("runs", F.expr("transform(cuts, (c, k) -> slice(merged, c + 1, coalesce(get(cuts, k + 1), size(merged)) - c))"))
+    # a key: what the lengths of a part's words add up to, above 53 bits of the part's hash
+    key = "shiftleft(least({0}, 1023), 53) | shiftrightunsigned(xxhash64({1}), 11)"
+    best = "slice(sort_array(transform({0}, {1}), false), 1, need)"
+    keyed = runs.withColumn("keys", F.expr(best.format("runs", f"r -> {key.format('aggregate(r, 0L, (a, t) -> a + (t & 63))', 'g, r')}")))
+    # where all parts that are not empty may differ, the tokens are parts of their own too
+    alone = F.expr(best.format("tokens", f"t -> {key.format('t & 63', 'g, t, 0')}"))
+    full = F.expr("shiftrightunsigned(element_at(keys, -1), 53) > 0")
+    every = F.when(full, F.col("keys")).otherwise(F.concat(F.filter("keys", lambda k: F.shiftrightunsigned(k, 53) > 0), alone))
+    return keyed.select("h1", "h2", "at", (F.col("g") == F.col("g0")).alias("own"), "n", *_SKETCH, every.alias("keys"))
+
+
+def bitmap(values: DataFrame, count: int, name: str) -> tuple[DataFrame, int]:
+    """A table of one row, an array of longs with one bit for each value of the only column, a long; and the array's length, for about count values."""
+    n = min(BITMAP_LONGS, max(64, 1 << (count // 4).bit_length()))
+    v = F.col(values.columns[0])
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(v, 20).bitwiseAND(63).cast("int"))
+    none = values.sparkSession.range(n).select(F.col("id").alias("at"), F.lit(0).cast("long").alias("b"))
+    packed = values.select(v.bitwiseAND(n - 1).alias("at"), bit.alias("b")).unionByName(none).groupBy("at").agg(F.bit_or("b").alias("b"))
+    return materialize(packed.agg(F.sort_array(F.collect_list(F.struct("at", "b")))["b"].alias("bits")), name), n
+
+
+def among(key: str, bits: tuple[DataFrame, int]) -> Column:
+    """Whether a row's key may be among the values of a bitmap; true for all that are."""
+    k = F.col(key)
+    word = F.get(bits[0].scalar(), k.bitwiseAND(bits[1] - 1).cast("int"))
+    return F.call_function("shiftrightunsigned", word, F.shiftrightunsigned(k, 20).bitwiseAND(63).cast("int")).bitwiseAND(1) == 1
 
 
 def _may_link(percent: int) -> str:
-    """Condition on rows x and y of one key: lengths, places and bitmaps allow a link."""
-    n, m, i, j = "shiftright(x.ni, 32)", "shiftright(y.ni, 32)", "(x.ni & 4294967295)", "(y.ni & 4294967295)"
-    # least overlap of linked sets: need * (100 + percent) >= (n + m) * percent
-    room = f"least({n} - {i}, {m} - {j})"
-    return f"""100 * least({n}, {m}) >= {percent} * greatest({n}, {m}) and {100 + percent} * {room} >= {percent} * ({n} + {m})
-        and {100 + percent} * ({" + ".join(f"bit_count(x.{b} ^ y.{b})" for b in _BITMAP)}) <= {100 - percent} * ({n} + {m})"""
-
-
-def among(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
-    """The rows whose key is among the wanted, each key once, with the wanted's columns; most other rows do not move.
-
-    First a broadcast of which of SLOTS hash slots they fall into, so of SLOTS
-    numbers at most, whatever their number; then the exact join.
-    """
-    slots = wanted.select(F.pmod(F.col(key), F.lit(SLOTS)).alias("__slot")).distinct()
-    some = rows.withColumn("__slot", F.pmod(F.col(key), F.lit(SLOTS))).join(F.broadcast(slots), "__slot", "left_semi").drop("__slot")
-    return some.join(wanted, key)
+    """Condition on rows x and y of one key: sizes and sketches allow a link."""
+    return f"""x.h1 <> y.h1 and 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)
+        and {100 + percent} * ({" + ".join(f"bit_count(x.{b} ^ y.{b})" for b in _SKETCH)}) <= {100 - percent} * (x.n + y.n)"""
 
 
 def _pairs(met: DataFrame) -> DataFrame:
@@ -173,8 +162,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, percent
     """h1, h2 of the later class of each pair (a, b) whose token sets are similar."""
     with scratch() as held:
         held.append(pairs := materialize(pairs, "lines-pairs"))
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct()
-        texts = among(places(docs, doc_id, text), wanted, "h1").groupBy("h1", "h2").agg(F.min("at").alias("first"), F.first("line").alias("line"))
+        wanted = bitmap(pairs.select(F.explode(F.array("a", "b")).alias("h1")), 2 * pairs.count(), "lines-wanted")
+        held.append(wanted[0])
+        texts = places(docs, doc_id, text).filter(among("h1", wanted)).groupBy("h1", "h2").agg(F.min("at").alias("first"), F.first("line").alias("line"))
         held.append(sets := materialize(texts.select("h1", "h2", "first", F.sort_array(F.array_distinct(_hashes("line"))).alias("s")), "lines-sets"))
         left = sets.select(F.col("h1").alias("a"), F.col("h2").alias("a2"), F.col("first").alias("fa"), F.col("s").alias("sa"))
         right = sets.select(F.col("h1").alias("b"), F.col("h2").alias("b2"), F.col("first").alias("fb"), F.col("s").alias("sb"))
@@ -184,48 +174,54 @@ def _verified(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, percent
         return materialize(good.select(later.alias("l")).select("l.*").distinct(), "lines-later")
 
 
-def similar_later(docs: DataFrame, heads_: DataFrame, frequent: int, doc_id: str, text: str, percent: int = PERCENT) -> DataFrame:
-    """h1, h2 of the classes of lines that are similar to an earlier one; the heads are released once their keys are dealt."""
-    every = keys(heads_, frequent)
+def _shared(every: DataFrame, copied: DataFrame) -> DataFrame:
+    """t, h1, n, the sketch and o of each key of each class that another class may have too; o never falls along the order of lines."""
+    keys = every.select(F.explode("keys").alias("t"), "h1")
+    ends = keys.groupBy("t").agg(F.min("h1").alias("a"), F.max("h1").alias("b"))
+    with scratch() as held:
+        common = bitmap(ends.filter("a <> b").select("t"), every.count(), "lines-common")
+        several = bitmap(copied.select("h1"), copied.count(), "lines-several")
+        held += [common[0], several[0]]
+        whole = isinstance(every.schema["at"].dataType["doc"].dataType["id"].dataType, IntegralType)
+        o = F.coalesce(F.col("at.doc.id").cast("long"), F.lit((1 << 63) - 1)) if whole else F.lit(0).cast("long")
+        own = ["t", "h1", "n", *_SKETCH]
+        rows = every.select(F.explode("keys").alias("t"), "h1", "n", *_SKETCH, o.alias("o")).filter(among("t", common))
+        once = rows.filter(~among("h1", several))
+        often = rows.filter(among("h1", several)).groupBy(*own).agg(F.min("o").alias("o"))  # copies of a line ask once
+        return materialize(once.unionByName(often), "lines-rows")
+
+
+def similar_later(docs: DataFrame, every: DataFrame, copied: DataFrame, doc_id: str, text: str, percent: int = PERCENT) -> DataFrame:
+    """h1, h2 of the classes of lines that are similar to an earlier one."""
     link = F.expr(_may_link(percent))
     with scratch() as held:
-        held.append(counts := materialize(every.groupBy("t").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "lines-counts"))
-
-        few = every.select("t", "h1", "ni", *_BITMAP).join(counts.filter(F.col("c") < BLOCK).select("t").hint("shuffle_hash"), "t")
-        small = few.alias("x").join(few.alias("y").hint("shuffle_hash"), (F.col("x.t") == F.col("y.t")) & (F.col("x.h1") < F.col("y.h1")) & link)
-        held.append(near := materialize(_pairs(small), "lines-near"))
-
-        large = counts.filter(F.col("c") >= BLOCK)
-        held.append(rows := materialize(among(every, large, "t"), "lines-rows"))
-        release(counts, heads_)
-        largest = F.row_number().over(Window.partitionBy("h1").orderBy(F.desc("c"), "t"))  # of a line's keys, so few rows each
+        held.append(rows := _shared(every, copied))
         # each step is written, so that the shuffles of one are gone before those of the next
-        held.append(asking := materialize(rows.withColumn("nth", largest).filter(F.col("nth") <= LEADS).drop("nth"), "lines-asking"))
-        held.append(lead := materialize(rows.groupBy("t").agg(F.min(F.struct("o", "h1", "ni", *_BITMAP)).alias("y")), "lines-lead"))
-        led = asking.alias("x").join(lead, "t").filter("x.h1 <> y.h1").filter(link)
-        held.append(by_leader := _verified(_pairs(led).unionByName(near).distinct(), docs, doc_id, text, percent))
-        release(near, asking, lead)
-
-        held.append(left := materialize(rows.join(by_leader.select("h1"), "h1", "left_anti"), "lines-left"))
-        met = left.alias("x").join(rows.alias("y"), (F.col("x.t") == F.col("y.t")) & (F.col("x.h1") != F.col("y.h1")) & link)
+        lead = rows.groupBy("t").agg(*[F.min_by(c, "o").alias(c) for c in ("h1", "n", *_SKETCH)], F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c")
+        led = rows.alias("x").join(lead.alias("y"), F.col("x.t") == F.col("y.t")).filter(link)
+        held.append(by_leader := _verified(_pairs(led), docs, doc_id, text, percent))
+
+        held.append(left := materialize(rows.join(by_leader.select("h1").distinct(), "h1", "left_anti"), "lines-left"))
+        met = left.alias("x").join(rows.alias("y"), (F.col("x.t") == F.col("y.t")) & (F.col("y.o") <= F.col("x.o")) & link)
         held.append(rest := _verified(_pairs(met), docs, doc_id, text, percent))
         return materialize(by_leader.unionByName(rest).distinct(), "lines-removed")
 
 
 def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """doc (none, id, digest) and the places of the lines to remove, for documents that lose any."""
-    if not 50 < percent <= 100:  # two lines that link, of two tokens or more, must share two
+    if not 50 < percent <= 100:
         raise ValueError("percent must be above 50 and at most 100")
-    classes, frequent = heads(docs, doc_id, text, percent)
-    narrow = materialize(classes.select("h1", "h2", "first", "copies"), "lines-classes")
-    later = similar_later(docs, classes, frequent, doc_id, text, percent)
-    touched = narrow.join(later.withColumn("gone", F.lit(True)), ["h1", "h2"], "left").filter("copies > 1 or gone")
-    touched = materialize(touched, "lines-touched")
-    release(narrow, later)
-    drop = among(places(docs, doc_id, text).drop("line"), touched.select("h1").distinct(), "h1").join(touched, ["h1", "h2"]).filter("at <> first or gone")
-    out = materialize(drop.groupBy(F.col("at.doc").alias("doc")).agg(F.sort_array(F.collect_set("at.pos")).alias("removed")), "lines-places")
-    release(touched)
-    return out
+    with scratch() as held:
+        held.append(every := materialize(parted(docs, doc_id, text, percent), "lines-parted"))
+        lines = every.filter("own").select("h1", "h2", "at")
+        held.append(classes := materialize(lines.groupBy("h1", "h2").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("copies")).filter("copies > 1"), "lines-copied"))
+        held.append(later := similar_later(docs, every, classes, doc_id, text, percent))
+        touched = classes.select("h1", "h2", "first").join(later.withColumn("gone", F.lit(True)), ["h1", "h2"], "full")
+        held.append(touched := materialize(touched, "lines-touched"))
+        bits = bitmap(touched.select("h1"), touched.count(), "lines-gone")
+        held.append(bits[0])
+        drop = lines.filter(among("h1", bits)).join(touched, ["h1", "h2"]).filter("gone or at <> first")
+        return materialize(drop.groupBy(F.col("at.doc").alias("doc")).agg(F.sort_array(F.collect_set("at.pos")).alias("removed")), "lines-places")
 
 
 def _with_removed(docs: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:

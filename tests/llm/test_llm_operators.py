@@ -608,3 +608,22 @@ def test_pieces_are_pretokens_cut_at_once():
     special = next(iter(b.special), "")
     for text in ["", " ", "it's  a\n\n b ", f"{special}{special} x{special}", f"a {special}\n\n c", "é ñ 12 !?  "]:
         assert b.pieces(text) == [p for _, p in b.pretokens(text)] and "".join(b.pieces(text)) == text
+
+
+def test_line_keys_are_few_and_lose_no_link(spark):
+    """Similar lines of any size share a key; unrelated lines of frequent words hardly do."""
+    r = random.Random(9)
+    common, lines = [f"w{i}" for i in range(100)], []
+    for n in [*range(1, 60), 120, 250] * 2:
+        base = [f"x{r.randrange(10**6)}" for _ in range(n)]
+        lines += [" ".join(base), " ".join([*base[: n - n // 10], *(f"y{i}" for i in range(n // 10))]), " ".join(base[: max(1, 4 * n // 5 + (4 * n % 5 > 0))])]
+    first = len(lines)
+    lines += [" ".join(r.sample(common, 30)) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string").repartition(2)
+    keys: dict[int, set] = {}
+    for row in line_dedup.parted(df, "doc_id", "text").select("at.doc.id", "keys").collect():
+        keys.setdefault(row["id"], set()).update(row["keys"])
+    sets = [brute.line_tokens(x) for x in lines]
+    linked = [(a, b) for a in range(first) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    assert len(linked) > 200 and all(keys[a] & keys[b] for a, b in linked)
+    assert sum(len(keys[a] & keys[b]) for a in range(first, len(lines)) for b in range(first, a)) < 0.2 * 300 * 299 / 2
